@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarline.config import NOT_REPORTED_STATUSES, UNCATEGORIZED
 from bazaarline.functions import days_between, exact_mean, safe_divide
-from bazaarline.plans.core import days_to_deliver, is_delivered
+from bazaarline.plans.core import days_to_deliver, is_delivered, is_on_time
 
 ALL = "(all)"
 
@@ -57,8 +57,13 @@ def average_days_to_deliver(fact: DataFrame) -> DataFrame:
     )
 
 
-def items_per_order(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("order_id").agg(F.count("order_item_id").alias("items"))
+def items_per_order(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines per order that has lines and exists.
+
+    Equal to counting the fact by order, but lines are counted before they meet the orders.
+    """
+    counts = items.groupBy("order_id").agg(F.count("order_item_id").alias("items"))
+    return counts.join(orders.select("order_id"), "order_id")
 
 
 # Item fact by product category. The fact is rolled up per product before it meets the
@@ -222,16 +227,35 @@ def avg_time_per_status(durations: DataFrame) -> DataFrame:
 # Announced marts, in their smallest form
 
 
-def product_performance(fact: DataFrame, products: DataFrame, reviews_agg: DataFrame) -> DataFrame:
-    """Revenue, on-time rate and review score per category."""
-    scored = fact.join(reviews_agg.select("order_id", "avg_review_score"), "order_id", "left")
-    per_product = scored.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.sum("item_price").alias("price"),
-        F.count_if("is_delivered").alias("delivered"),
-        F.count_if("is_on_time").alias("on_time"),
-        F.sum("avg_review_score").alias("score_sum"),
-        F.count("avg_review_score").alias("scored"),
+def product_performance(
+    items: DataFrame, orders: DataFrame, reviews_agg: DataFrame, products: DataFrame
+) -> DataFrame:
+    """Revenue, on-time rate and review score per category, over the lines of existing orders.
+
+    Lines are rolled up per order and product, and again per product, so each join meets
+    one row per key on both sides; ``lines`` carries how many rows a sum must count.
+    """
+    lines = F.col("lines")
+    score = F.col("avg_review_score")
+
+    def lines_where(condition: Column) -> Column:
+        return F.sum(F.when(condition, lines).otherwise(0))
+
+    per_order = items.groupBy("order_id", "product_id").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("item_price").alias("price")
+    )
+    reviewed = orders.join(reviews_agg.select("order_id", "avg_review_score"), "order_id", "left")
+    per_product = (
+        per_order.join(reviewed, "order_id")
+        .groupBy("product_id")
+        .agg(
+            F.sum("lines").alias("lines"),
+            F.sum("price").alias("price"),
+            lines_where(is_delivered()).alias("delivered"),
+            lines_where(is_on_time()).alias("on_time"),
+            F.sum(score * lines.cast("decimal(10,0)")).alias("score_sum"),
+            lines_where(score.isNotNull()).alias("scored"),
+        )
     )
     category = F.coalesce("product_category_name_en", F.lit(UNCATEGORIZED))
     return (

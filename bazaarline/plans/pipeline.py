@@ -8,6 +8,7 @@ from bazaarline.config import MartConfig
 from bazaarline.operators.quality import all_of
 from bazaarline.plans.contracts import CONTRACTS, contract_checks, relation
 from bazaarline.plans.relations import Relations
+from bazaarline.session import prepare
 from bazaarline.sources.readers import RawTables
 from bazaarline.sources.writers import materialize_table, materialize_view
 
@@ -48,6 +49,7 @@ def build(
     only. A mart gets its view name after its checks passed; until then readers keep seeing
     the previous run.
     """
+    prepare(spark)
     relations = Relations(raw, config)
     _gate([name for name in _contract_names() if name.startswith("raw_")], relations)
     _gate(STAGING, relations)

@@ -6,15 +6,24 @@ import os
 
 from pyspark.sql import SparkSession
 
-# Settings the plans count on; a cluster sets its own sizes.
+# Settings the plans count on. Sizes (memory, partitions) belong to the cluster.
 PLAN_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
+    # Split a hot key's partition in a join even if the next step then needs a shuffle:
+    # without this, a join followed by a grouping on the same key keeps the hot task.
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the settings the plans count on to a session."""
+    for key, value in PLAN_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(name: str, cpus: int | None = None, **settings: str) -> SparkSession:
     """A session on this machine, for tests, checks and measurements."""
     cores = cpus or os.cpu_count() or 1
@@ -24,9 +33,10 @@ def local_session(name: str, cpus: int | None = None, **settings: str) -> SparkS
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cores))
+        .config("spark.sql.session.timeZone", "UTC")
     )
-    for key, value in {**PLAN_SETTINGS, **settings}.items():
+    for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return prepare(spark)

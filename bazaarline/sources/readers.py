@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import csv
 from dataclasses import dataclass
+from itertools import islice
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from bazaarline.sources.schemas import RAW_SCHEMAS
@@ -56,17 +58,23 @@ def load_source(
 def load_seed(spark: SparkSession, path: str | Path, schema: str) -> DataFrame:
     """A small version-controlled CSV with a header as a local relation.
 
-    The file is read where the program runs, so executors need no copy of it. Its exact
-    size is known to the optimizer, which then broadcasts it by its own size check.
+    The file is read where the program runs, so executors need no copy of it. A local
+    relation has an exact size, so the optimizer broadcasts it by its own size check.
     """
-    names = [part.split()[0] for part in schema.split(",")]
+    target = StructType.fromDDL(schema)
     with open(path, encoding="utf-8", newline="") as handle:
-        rows = []
-        for record in csv.DictReader(handle):
-            rows.append(tuple(record[name] or None for name in names))
-            if len(rows) > MAX_SEED_ROWS:
-                raise ValueError(f"{path} has over {MAX_SEED_ROWS} rows: load it as a source")
-    return spark.createDataFrame(rows, schema)
+        records = list(islice(csv.DictReader(handle), MAX_SEED_ROWS + 1))
+    if len(records) > MAX_SEED_ROWS:
+        raise ValueError(f"{path} has over {MAX_SEED_ROWS} rows: load it as a source")
+    texts = pa.table(
+        {
+            name: pa.array([record[name] or None for record in records], pa.string())
+            for name in target.names
+        }
+    )
+    return spark.createDataFrame(texts).select(
+        *[F.col(item.name).cast(item.dataType).alias(item.name) for item in target]
+    )
 
 
 def load_raw_tables(

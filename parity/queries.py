@@ -27,6 +27,7 @@ from bazaarline.operators.calendar import date_spine, densify_calendar
 from bazaarline.operators.latest import latest_per_key
 from bazaarline.plans import contracts, core, marketing, metrics
 from bazaarline.plans.relations import Relations
+from bazaarline.session import prepare
 from bazaarline.sources.readers import load_source
 from bazaarline.sources.sample_binding import (
     SAMPLE_SCHEMAS,
@@ -74,7 +75,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def relations(spark: SparkSession, sf_dir: str) -> Relations:
-    return Relations(bind_sample(spark, sf_dir), CONFIG)
+    return Relations(bind_sample(prepare(spark), sf_dir), CONFIG)
 
 
 REGISTRY: dict[str, Query] = {}
@@ -547,7 +548,7 @@ def metric_avg_days(r: Relations) -> DataFrame:
 
 @query("items_per_order")
 def items_per_order(r: Relations) -> DataFrame:
-    return metrics.items_per_order(r.fct_order_items)
+    return metrics.items_per_order(r.stg_order_items, r.stg_orders)
 
 
 def _category_totals(r: Relations) -> DataFrame:
@@ -604,7 +605,9 @@ def customer_rfm(r: Relations) -> DataFrame:
 
 @query("product_performance")
 def product_performance(r: Relations) -> DataFrame:
-    return metrics.product_performance(r.fct_order_items, r.dim_products, r.order_reviews_agg)
+    return metrics.product_performance(
+        r.stg_order_items, r.stg_orders, r.order_reviews_agg, r.dim_products
+    )
 
 
 @query("seller_fulfillment")
