@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bazaarline.sources.readers import load_source
 
+TEXT_FORMATS = ("csv", "json")
+# The default of text formats cuts timestamps to milliseconds.
+FULL_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every node can reach, named by ``spark.checkpoint.dir``.
@@ -41,6 +45,8 @@ def materialize_table(df: DataFrame, path: str, file_format: str = "parquet") ->
     Reading back cuts the lineage: a lost executor costs a re-read, not a recomputation.
     """
     writer = df.write.mode("overwrite").format(file_format)
+    if file_format in TEXT_FORMATS:
+        writer = writer.options(timestampNTZFormat=FULL_TIMESTAMP)
     if file_format == "csv":
         writer = writer.options(header=True, nullValue="", escape='"')
     writer.save(path)

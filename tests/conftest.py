@@ -29,12 +29,15 @@ def settings(spark):
     def change(**values: str) -> None:
         for name, value in values.items():
             key = name.replace("__", ".")
-            before.setdefault(key, spark.conf.get(key))
+            before.setdefault(key, spark.conf.get(key, None))
             spark.conf.set(key, value)
 
     yield change
     for key, value in before.items():
-        spark.conf.set(key, value)
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
 
 
 @pytest.fixture
