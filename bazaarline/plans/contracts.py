@@ -22,6 +22,15 @@ class Contract:
     not_null: tuple[str, ...] = ()
     accepted: dict[str, tuple] = field(default_factory=dict)
 
+    def joined(self, other: Contract) -> Contract:
+        """The tests of both, on this relation, each once."""
+        return Contract(
+            self.relation,
+            tuple(dict.fromkeys(self.unique + other.unique)),
+            tuple(dict.fromkeys(self.not_null + other.not_null)),
+            {**other.accepted, **self.accepted},
+        )
+
 
 # The column tests, source tables first.
 CONTRACTS = (
@@ -63,6 +72,8 @@ CONTRACTS = (
     ),
 )
 
+CONTRACT_OF = {contract.relation: contract for contract in CONTRACTS}
+
 
 def relation(relations: Relations, name: str) -> DataFrame:
     if name.startswith("raw_"):

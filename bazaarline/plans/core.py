@@ -85,7 +85,7 @@ def fct_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def order_revenue(orders: DataFrame, items_agg: DataFrame, payments_agg: DataFrame) -> DataFrame:
+def order_revenue(summary: DataFrame) -> DataFrame:
     """One row per order; orders without items or payments count 0."""
 
     def or_zero(name: str) -> Column:
@@ -94,36 +94,29 @@ def order_revenue(orders: DataFrame, items_agg: DataFrame, payments_agg: DataFra
     revenue = or_zero("total_item_revenue")
     freight = or_zero("total_freight")
     payment = or_zero("total_payment")
-    return (
-        orders.join(items_agg, "order_id", "left")
-        .join(payments_agg, "order_id", "left")
-        .select(
-            "order_id",
-            "customer_id",
-            "order_status",
-            F.col("ordered_at").alias("order_purchase_at"),
-            F.col("delivered_at").alias("order_delivered_at"),
-            or_zero("total_items").alias("total_items"),
-            revenue.alias("total_item_revenue"),
-            freight.alias("total_freight"),
-            payment.alias("total_payment"),
-            "payment_types",
-            "payment_installments_max",
-            (payment - (revenue + freight)).alias("revenue_freight_delta"),
-        )
+    return summary.select(
+        "order_id",
+        "customer_id",
+        "order_status",
+        F.col("ordered_at").alias("order_purchase_at"),
+        F.col("delivered_at").alias("order_delivered_at"),
+        or_zero("total_items").alias("total_items"),
+        revenue.alias("total_item_revenue"),
+        freight.alias("total_freight"),
+        payment.alias("total_payment"),
+        "payment_types",
+        "payment_installments_max",
+        (payment - (revenue + freight)).alias("revenue_freight_delta"),
     )
 
 
-def seller_order_detail(
-    seller_orders: DataFrame, orders: DataFrame, reviews_agg: DataFrame
-) -> DataFrame:
+def seller_order_detail(seller_orders: DataFrame, summary: DataFrame) -> DataFrame:
     """One row per seller and order with the order's dates and review roll-up.
 
     ``detail_rows`` is how many rows a join with the single reviews would give, so that a
     consumer can weigh by it; the pairs of sellers and reviews are never built.
     """
-    reviewed = orders.join(reviews_agg, "order_id", "left")
-    return seller_orders.join(reviewed, "order_id").select(
+    return seller_orders.join(summary, "order_id").select(
         "seller_id",
         "order_id",
         "items_in_order",

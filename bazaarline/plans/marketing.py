@@ -12,9 +12,7 @@ from bazaarline.operators.calendar import densify_calendar
 from bazaarline.plans.core import is_delivered
 
 
-def customer_metrics(
-    orders: DataFrame, customers: DataFrame, items_agg: DataFrame, reviews_agg: DataFrame
-) -> DataFrame:
+def customer_metrics(summary: DataFrame, customers: DataFrame) -> DataFrame:
     """One row per person over the delivered orders of all their customer ids.
 
     Orders are first rolled up per customer id, then joined with the customers, so the join
@@ -22,10 +20,7 @@ def customer_metrics(
     ``order_id`` and ``customer_id`` being unique in their tables, which the contracts check.
     """
     per_customer = (
-        orders.where(is_delivered())
-        .select("order_id", "customer_id", "ordered_at")
-        .join(items_agg.select("order_id", "total_item_revenue", "total_freight"), "order_id", "left")
-        .join(reviews_agg.select("order_id", "avg_review_score"), "order_id", "left")
+        summary.where(is_delivered())
         .groupBy("customer_id")
         .agg(
             F.min("ordered_at").alias("first_order_at"),

@@ -227,9 +227,7 @@ def avg_time_per_status(durations: DataFrame) -> DataFrame:
 # Announced marts, in their smallest form
 
 
-def product_performance(
-    items: DataFrame, orders: DataFrame, reviews_agg: DataFrame, products: DataFrame
-) -> DataFrame:
+def product_performance(items: DataFrame, summary: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue, on-time rate and review score per category, over the lines of existing orders.
 
     Lines are rolled up per order and product, and again per product, so each join meets
@@ -244,9 +242,8 @@ def product_performance(
     per_order = items.groupBy("order_id", "product_id").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("item_price").alias("price")
     )
-    reviewed = orders.join(reviews_agg.select("order_id", "avg_review_score"), "order_id", "left")
     per_product = (
-        per_order.join(reviewed, "order_id")
+        per_order.join(summary, "order_id")
         .groupBy("product_id")
         .agg(
             F.sum("lines").alias("lines"),

@@ -83,11 +83,15 @@ class Relations:
         return rollups.seller_order_items(self.stg_order_items)
 
     @cached_property
-    def seller_order_detail(self) -> DataFrame:
-        return core.seller_order_detail(
-            self.seller_order_items, self.stg_orders, self.order_reviews_agg
+    def order_summary(self) -> DataFrame:
+        return rollups.order_summary(
+            self.stg_orders, self.order_items_agg, self.order_payments_agg, self.order_reviews_agg
         )
 
+    @cached_property
+    def seller_order_detail(self) -> DataFrame:
+        return core.seller_order_detail(self.seller_order_items, self.order_summary)
+
     # Marts
 
     @cached_property
@@ -100,7 +104,7 @@ class Relations:
 
     @cached_property
     def order_revenue(self) -> DataFrame:
-        return core.order_revenue(self.stg_orders, self.order_items_agg, self.order_payments_agg)
+        return core.order_revenue(self.order_summary)
 
     @cached_property
     def seller_performance(self) -> DataFrame:
@@ -108,9 +112,7 @@ class Relations:
 
     @cached_property
     def customer_metrics(self) -> DataFrame:
-        return marketing.customer_metrics(
-            self.stg_orders, self.stg_customers, self.order_items_agg, self.order_reviews_agg
-        )
+        return marketing.customer_metrics(self.order_summary, self.stg_customers)
 
     @cached_property
     def customer_segmentation(self) -> DataFrame:

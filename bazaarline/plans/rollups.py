@@ -48,3 +48,19 @@ def order_reviews_agg(reviews: DataFrame) -> DataFrame:
         total.alias("review_score_sum"),
         exact_mean(total, scored).alias("avg_review_score"),
     )
+
+
+def order_summary(
+    orders: DataFrame, items_agg: DataFrame, payments_agg: DataFrame, reviews_agg: DataFrame
+) -> DataFrame:
+    """One row per order with its item, payment and review roll-ups; null where it has none.
+
+    The order-grain table under the marts: all joins on the order happen here, partitioned
+    by the order once. Each roll-up is unique by order, so a plan that uses no column of one
+    drops its join altogether.
+    """
+    return (
+        orders.join(items_agg, "order_id", "left")
+        .join(payments_agg, "order_id", "left")
+        .join(reviews_agg, "order_id", "left")
+    )

@@ -605,9 +605,7 @@ def customer_rfm(r: Relations) -> DataFrame:
 
 @query("product_performance")
 def product_performance(r: Relations) -> DataFrame:
-    return metrics.product_performance(
-        r.stg_order_items, r.stg_orders, r.order_reviews_agg, r.dim_products
-    )
+    return metrics.product_performance(r.stg_order_items, r.order_summary, r.dim_products)
 
 
 @query("seller_fulfillment")

@@ -212,7 +212,7 @@ def test_metrics(relations):
 def test_product_performance(relations):
     r = relations
     found = by_key(
-        metrics.product_performance(r.stg_order_items, r.stg_orders, r.order_reviews_agg, r.dim_products),
+        metrics.product_performance(r.stg_order_items, r.order_summary, r.dim_products),
         "product_category_name_en",
     )
     furniture, rest = found["furniture"], found["uncategorized"]

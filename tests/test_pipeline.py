@@ -29,7 +29,7 @@ def test_build_publishes_checked_marts(spark, tmp_path, rows):
 def test_build_stops_at_a_broken_contract(spark, tmp_path):
     raw = bind_sample(spark, SAMPLE)
     doubled = RawTables(**{**raw.__dict__, "sellers": raw.sellers.unionByName(raw.sellers.limit(1))})
-    with pytest.raises(ContractViolation, match="raw_sellers.seller_id unique: 1"):
+    with pytest.raises(ContractViolation, match="stg_sellers.seller_id unique: 1"):
         build(spark, doubled, str(tmp_path), "run-1", CONFIG)
     assert not (tmp_path / "core").exists()
 

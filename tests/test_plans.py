@@ -37,6 +37,19 @@ def test_review_texts_are_not_read_for_scores(spark):
     assert "event_id" in plan and "props" not in plan and "event_type" not in plan
 
 
+@pytest.mark.parametrize(
+    ("name", "unused"),
+    [
+        ("order_revenue", "event_id"),
+        ("seller_performance", "l_returnflag"),
+        ("customer_segmentation", "l_returnflag"),
+        ("customer_segmentation", "l_partkey"),
+    ],
+)
+def test_joins_with_unused_rollups_are_dropped(spark, name, unused):
+    assert unused not in plan_of(REGISTRY[name](spark, SAMPLE))
+
+
 def test_filters_reach_the_scan(spark):
     plan = plan_of(REGISTRY["order_payments_agg"](spark, SAMPLE))
     assert "GreaterThan(l_quantity,2.0)" in plan
@@ -138,7 +151,8 @@ def test_reviews_are_not_multiplied_with_sellers(spark, hot):
         F.lit(4).alias("review_score"),
     )
     seller_orders = rollups.seller_order_items(items)
-    detail = core.seller_order_detail(seller_orders, orders, rollups.order_reviews_agg(reviews))
+    summary = orders.join(rollups.order_reviews_agg(reviews), "order_id", "left")
+    detail = core.seller_order_detail(seller_orders, summary)
     assert detail.count() == seller_orders.count()
     pairs = seller_orders.join(orders, "order_id").join(reviews, "order_id", "left").count()
     assert detail.agg(F.sum("detail_rows")).first()[0] == pairs
