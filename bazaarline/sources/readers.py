@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import csv
-from dataclasses import dataclass
 from itertools import islice
 from pathlib import Path
+from types import SimpleNamespace
+from typing import Protocol
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,8 +20,7 @@ SEED_DIR = Path(__file__).resolve().parents[1] / "seeds"
 MAX_SEED_ROWS = 10_000
 
 
-@dataclass(frozen=True)
-class RawTables:
+class RawTables(Protocol):
     """The raw tables every plan starts from."""
 
     orders: DataFrame
@@ -95,4 +95,4 @@ def load_raw_tables(
     }
     if seed is not None:
         tables["translations"] = load_seed(spark, seed, RAW_SCHEMAS["translations"])
-    return RawTables(**tables)
+    return SimpleNamespace(**tables)

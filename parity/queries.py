@@ -31,7 +31,7 @@ from bazaarline.session import prepare
 from bazaarline.sources.readers import load_source
 from bazaarline.sources.sample_binding import (
     SAMPLE_SCHEMAS,
-    bind_sample,
+    SampleTables,
     sample_table,
     status_run_1,
     status_run_2,
@@ -75,7 +75,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def relations(spark: SparkSession, sf_dir: str) -> Relations:
-    return Relations(bind_sample(prepare(spark), sf_dir), CONFIG)
+    return Relations(SampleTables(prepare(spark), sf_dir), CONFIG)
 
 
 REGISTRY: dict[str, Query] = {}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,6 @@ from pyspark.sql import functions as F
 from bazaarline.config import MartConfig
 from bazaarline.plans import marketing, metrics, rollups
 from bazaarline.plans.relations import Relations
-from bazaarline.sources.readers import RawTables
 from bazaarline.sources.schemas import RAW_SCHEMAS
 
 AS_OF = date(2018, 7, 1)
@@ -71,7 +71,7 @@ def relations(spark):
     def table(name, data):
         return spark.createDataFrame(data, RAW_SCHEMAS[name])
 
-    raw = RawTables(
+    raw = SimpleNamespace(
         orders=table("orders", ORDERS),
         order_items=table(
             "order_items",

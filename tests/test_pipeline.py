@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 from conftest import SAMPLE
 from pyspark.sql import functions as F
@@ -7,15 +9,20 @@ from pyspark.sql import functions as F
 from bazaarline.plans import contracts
 from bazaarline.plans.pipeline import MARTS, ContractViolation, build
 from bazaarline.plans.relations import Relations
-from bazaarline.sources.readers import RawTables, load_raw_tables, load_seed
-from bazaarline.sources.sample_binding import SAMPLE_SEED, bind_sample
+from bazaarline.sources.readers import load_raw_tables, load_seed
+from bazaarline.sources.sample_binding import SAMPLE_SEED, SampleTables
 from bazaarline.sources.schemas import RAW_SCHEMAS
 from bazaarline.sources.writers import materialize_table, shared_dir
 from parity.queries import CONFIG
 
 
+def replaced(raw, **tables):
+    """The raw tables with some of them replaced."""
+    return SimpleNamespace(**{name: tables.get(name, getattr(raw, name)) for name in RAW_SCHEMAS})
+
+
 def test_build_publishes_checked_marts(spark, tmp_path, rows):
-    raw = bind_sample(spark, SAMPLE)
+    raw = SampleTables(spark, SAMPLE)
     marts = build(spark, raw, str(tmp_path), "run-1", CONFIG)
     assert list(marts) == list(MARTS)
     plain = Relations(raw, CONFIG)
@@ -27,20 +34,20 @@ def test_build_publishes_checked_marts(spark, tmp_path, rows):
 
 
 def test_build_stops_at_a_broken_contract(spark, tmp_path):
-    raw = bind_sample(spark, SAMPLE)
-    doubled = RawTables(**{**raw.__dict__, "sellers": raw.sellers.unionByName(raw.sellers.limit(1))})
+    raw = SampleTables(spark, SAMPLE)
+    doubled = replaced(raw, sellers=raw.sellers.unionByName(raw.sellers.limit(1)))
     with pytest.raises(ContractViolation, match="stg_sellers.seller_id unique: 1"):
         build(spark, doubled, str(tmp_path), "run-1", CONFIG)
     assert not (tmp_path / "core").exists()
 
 
 def test_a_mart_that_fails_keeps_its_published_version(spark, tmp_path):
-    raw = bind_sample(spark, SAMPLE)
+    raw = SampleTables(spark, SAMPLE)
     build(spark, raw, str(tmp_path), "run-1", CONFIG)
     before = spark.table("seller_performance").count()
     refunds = raw.order_items.withColumn("price", F.lit(-1).cast("double"))
     with pytest.raises(ContractViolation, match="seller_performance.seller_tier accepted_values"):
-        build(spark, RawTables(**{**raw.__dict__, "order_items": refunds}), str(tmp_path), "run-2", CONFIG)
+        build(spark, replaced(raw, order_items=refunds), str(tmp_path), "run-2", CONFIG)
     assert spark.table("seller_performance").count() == before
     assert spark.table("seller_performance").where("seller_tier = 'unclassified'").count() == 0
 
@@ -53,7 +60,7 @@ def test_every_column_test_is_declared():
 
 
 def test_contract_checks_cover_a_relation(spark):
-    relations = Relations(bind_sample(spark, SAMPLE), CONFIG)
+    relations = Relations(SampleTables(spark, SAMPLE), CONFIG)
     contract = next(c for c in contracts.CONTRACTS if c.relation == "stg_orders")
     found = {
         (r.rule, r.column_name): r.failing
@@ -70,7 +77,7 @@ def test_contract_checks_cover_a_relation(spark):
 @pytest.mark.parametrize("file_format", ["parquet", "csv", "json", "orc"])
 def test_raw_tables_from_files(spark, tmp_path, rows, file_format):
     """Tables written in a format read back with the raw schemas."""
-    sample = bind_sample(spark, SAMPLE)
+    sample = SampleTables(spark, SAMPLE)
     suffix = ".csv" if file_format == "csv" else ""
     expected = {}
     for name, schema in RAW_SCHEMAS.items():
