@@ -11,6 +11,7 @@ from bazaarline.functions import (
     classify_tier,
     days_between,
     exact_mean,
+    hashed_key,
     safe_divide,
     surrogate_key,
 )
@@ -58,6 +59,14 @@ def dim_products(products: DataFrame, translations: DataFrame) -> DataFrame:
     )
 
 
+def dim_sellers(sellers: DataFrame) -> DataFrame:
+    return sellers.select(hashed_key(F.col("seller_id")).alias("seller_sk"), "*")
+
+
+def dim_customers(customers: DataFrame) -> DataFrame:
+    return customers.select(hashed_key(F.col("customer_id")).alias("customer_sk"), "*")
+
+
 def fct_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per order line whose order exists.
 
@@ -85,6 +94,33 @@ def fct_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def fct_order_payments(payments: DataFrame, orders: DataFrame) -> DataFrame:
+    """One row per payment whose order exists."""
+    return payments.join(orders.select("order_id", "customer_id", "ordered_at"), "order_id").select(
+        surrogate_key(F.col("order_id"), F.col("payment_sequential")).alias("payment_sk"),
+        "order_id",
+        "payment_sequential",
+        "customer_id",
+        "ordered_at",
+        "payment_type",
+        "payment_installments",
+        "payment_value",
+    )
+
+
+def fct_order_reviews(reviews: DataFrame, orders: DataFrame) -> DataFrame:
+    """One row per review whose order exists."""
+    return reviews.join(orders.select("order_id", "customer_id", "ordered_at"), "order_id").select(
+        "review_id",
+        "order_id",
+        "customer_id",
+        "ordered_at",
+        "review_score",
+        "reviewed_at",
+        "review_answered_at",
+    )
+
+
 def order_revenue(summary: DataFrame) -> DataFrame:
     """One row per order; orders without items or payments count 0."""
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarline.config import MartConfig
-from bazaarline.operators.quality import all_of
+from bazaarline.operators.history import ORDER_STATUS, snapshot
+from bazaarline.operators.quality import all_of, check_intervals
 from bazaarline.plans.contracts import CONTRACT_OF, Contract, contract_checks, relation
 from bazaarline.plans.relations import Relations
+from bazaarline.plans.staging import order_versions
 from bazaarline.session import prepare
 from bazaarline.sources.readers import RawTables
 from bazaarline.sources.writers import materialize_table, materialize_view
@@ -24,6 +28,8 @@ ROW_WISE = {
 }
 STAGING = (*ROW_WISE, "stg_order_reviews", "stg_translations")
 
+STATUS_HISTORY = "orders_status_snapshot"
+
 # The layer each mart belongs to.
 MARTS = {
     "dim_products": "core",
@@ -45,39 +51,61 @@ def build(
 
     Every table goes to a folder of its own run, so repeating a run replaces its own output
     only. A mart gets its view name after its checks passed; until then readers keep seeing
-    the previous run.
+    the previous run. The outcome of every check is stored under ``root/quality``.
     """
     prepare(spark)
+
+    def stored_at(folder: str) -> str:
+        return f"{root}/{folder}/run={run}"
+
+    def gate(relations: Relations, stage: str, *contracts: Contract) -> None:
+        checks = all_of(contract_checks(relation(relations, c.relation), c) for c in contracts)
+        _stop_on_failures(materialize_table(checks, stored_at(f"quality/{stage}")))
+
     relations = Relations(raw, config)
-    _gate(relations, *_staging_contracts())
+    gate(relations, "staging", *_staging_contracts())
     for name in STAGING:
         materialize_view(relation(relations, name), name)
 
     # All marts read this one: written once instead of joined again per mart.
-    summary = materialize_table(relations.order_summary, f"{root}/shared/order_summary/run={run}")
-    stored = {"order_summary": summary}
-    relations = Relations(raw, config, stored)
-
+    stored = {
+        "order_summary": materialize_table(
+            relations.order_summary, stored_at("shared/order_summary")
+        )
+    }
     marts: dict[str, DataFrame] = {}
     for name, layer in MARTS.items():
-        marts[name] = materialize_table(
-            getattr(relations, name), f"{root}/{layer}/{name}/run={run}"
-        )
-        stored[name] = marts[name]
         relations = Relations(raw, config, stored)
-        _gate(relations, CONTRACT_OF[name])
+        marts[name] = materialize_table(getattr(relations, name), stored_at(f"{layer}/{name}"))
+        stored[name] = marts[name]
+        gate(Relations(raw, config, stored), name, CONTRACT_OF[name])
         materialize_view(marts[name], name)
     return marts
 
 
+def snapshot_orders(spark: SparkSession, raw: RawTables, root: str, as_of: datetime) -> DataFrame:
+    """Take the status history one run further; the history is published as a view.
+
+    Meant to run before :func:`build`, so that it sees the orders as the source has them.
+    """
+    prepare(spark)
+    folder = f"{root}/snapshots/{STATUS_HISTORY}"
+    history = snapshot(order_versions(raw.orders), folder, ORDER_STATUS, as_of)
+    checks = check_intervals(history, STATUS_HISTORY, ORDER_STATUS.key)
+    label = as_of.strftime("%Y%m%dT%H%M%S")
+    _stop_on_failures(
+        materialize_table(checks, f"{root}/quality/{STATUS_HISTORY}/run={label}")
+    )
+    return materialize_view(history, STATUS_HISTORY)
+
+
 def _staging_contracts() -> list[Contract]:
     contracts = [CONTRACT_OF[name] for name in ("raw_order_reviews", "stg_order_reviews", "stg_translations")]
     return contracts + [CONTRACT_OF[name].joined(CONTRACT_OF[raw]) for name, raw in ROW_WISE.items()]
 
 
-def _gate(relations: Relations, *contracts: Contract) -> None:
-    """Stop if a rule fails. Brings only the failing rules to the driver."""
-    checks = all_of(contract_checks(relation(relations, c.relation), c) for c in contracts)
+def _stop_on_failures(checks: DataFrame) -> None:
+    """Brings only the failing rules to the driver."""
     failed = checks.where("failing > 0").collect()
     if failed:
         report = "; ".join(

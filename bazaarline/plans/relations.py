@@ -102,6 +102,22 @@ class Relations:
     def fct_order_items(self) -> DataFrame:
         return core.fct_order_items(self.stg_order_items, self.stg_orders)
 
+    @cached_property
+    def dim_sellers(self) -> DataFrame:
+        return core.dim_sellers(self.stg_sellers)
+
+    @cached_property
+    def dim_customers(self) -> DataFrame:
+        return core.dim_customers(self.stg_customers)
+
+    @cached_property
+    def fct_order_payments(self) -> DataFrame:
+        return core.fct_order_payments(self.stg_order_payments, self.stg_orders)
+
+    @cached_property
+    def fct_order_reviews(self) -> DataFrame:
+        return core.fct_order_reviews(self.stg_order_reviews, self.stg_orders)
+
     @cached_property
     def order_revenue(self) -> DataFrame:
         return core.order_revenue(self.order_summary)

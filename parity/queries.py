@@ -107,8 +107,8 @@ def _register_relations() -> None:
         "stg_orders", "stg_order_items", "stg_order_payments", "stg_order_reviews",
         "stg_customers", "stg_sellers", "stg_products",
         "order_items_agg", "order_payments_agg", "seller_order_items", "seller_order_detail",
-        "dim_products", "fct_order_items", "order_revenue", "seller_performance",
-        "customer_segmentation",
+        "dim_products", "dim_sellers", "dim_customers", "fct_order_items", "fct_order_payments",
+        "fct_order_reviews", "order_revenue", "seller_performance", "customer_segmentation",
     )
     for name in names:
         query(name)(attrgetter(name))

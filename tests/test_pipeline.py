@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from datetime import datetime
 from types import SimpleNamespace
 
 import pytest
@@ -7,7 +8,7 @@ from conftest import SAMPLE
 from pyspark.sql import functions as F
 
 from bazaarline.plans import contracts
-from bazaarline.plans.pipeline import MARTS, ContractViolation, build
+from bazaarline.plans.pipeline import MARTS, ContractViolation, build, snapshot_orders
 from bazaarline.plans.relations import Relations
 from bazaarline.sources.readers import load_raw_tables, load_seed
 from bazaarline.sources.sample_binding import SAMPLE_SEED, SampleTables
@@ -33,6 +34,26 @@ def test_build_publishes_checked_marts(spark, tmp_path, rows):
     assert again["order_revenue"].count() == plain.order_revenue.count()
 
 
+def test_outcomes_of_the_checks_are_stored(spark, tmp_path):
+    build(spark, SampleTables(spark, SAMPLE), str(tmp_path), "run-1", CONFIG)
+    for stage in ("staging", *MARTS):
+        checks = spark.read.parquet(f"{tmp_path}/quality/{stage}/run=run-1")
+        assert checks.count() > 0
+        if stage != "staging":
+            assert checks.where("failing > 0").count() == 0
+
+
+def test_snapshot_orders(spark, tmp_path):
+    raw = SampleTables(spark, SAMPLE)
+    first = snapshot_orders(spark, raw, str(tmp_path), datetime(2024, 1, 1))
+    assert first.count() == raw.orders.count()
+    shipped = replaced(raw, orders=raw.orders.withColumn("order_status", F.lit("SHIPPED")))
+    second = snapshot_orders(spark, shipped, str(tmp_path), datetime(2024, 1, 2))
+    changed = raw.orders.where("order_status <> 'SHIPPED'").count()
+    assert second.count() == raw.orders.count() + changed
+    assert spark.table("orders_status_snapshot").where("valid_to is not null").count() == changed
+
+
 def test_build_stops_at_a_broken_contract(spark, tmp_path):
     raw = SampleTables(spark, SAMPLE)
     doubled = replaced(raw, sellers=raw.sellers.unionByName(raw.sellers.limit(1)))
