@@ -25,11 +25,13 @@ def to_whole(value: Column) -> Column:
     return F.round(value.cast("decimal(20,6)")).cast("int")
 
 
-def exact_mean(total: Column, count: Column) -> Column:
-    """``total / count`` as a decimal with six digits, null for an empty group.
+def exact_mean(total: Column, count: Column, digits: int = 6) -> Column:
+    """``total / count`` as a decimal with ``digits`` digits, null for an empty group.
 
     ``total`` is an exact sum (integer or decimal), so the mean does not depend on how
-    rows were spread over partitions, which an average of doubles would.
+    rows were spread over partitions, which an average of doubles would. A warehouse mean
+    has six digits for whole numbers and six more than its input, at most twelve, otherwise.
     """
+    # These precisions leave twenty digits to the quotient before it is rounded.
     quotient = total.cast("decimal(24,6)") / F.nullif(count, F.lit(0)).cast("decimal(14,0)")
-    return F.round(quotient, 6).cast("decimal(18,6)")
+    return F.round(quotient, digits).cast(f"decimal({12 + digits},{digits})")

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarline.config import CALENDAR_END, CALENDAR_START, SegmentRules
-from bazaarline.functions import as_of_date, days_between
+from bazaarline.functions import as_of_date, days_between, exact_mean
 from bazaarline.operators.calendar import densify_calendar
 from bazaarline.plans.core import is_delivered
 
@@ -32,7 +32,7 @@ def customer_metrics(summary: DataFrame, customers: DataFrame) -> DataFrame:
             F.count("avg_review_score").alias("scored_orders"),
         )
     )
-    score = F.sum("score_sum") / F.nullif(F.sum("scored_orders"), F.lit(0)).cast("decimal(14,0)")
+    score = exact_mean(F.sum("score_sum"), F.sum("scored_orders"), digits=12)
     return (
         customers.join(per_customer, "customer_id")
         .groupBy("customer_unique_id")

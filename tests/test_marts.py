@@ -178,6 +178,23 @@ def test_segment_limits(spark, orders, days, segment):
     assert df.select(marketing.segment_of(F.col("f"), F.col("r"))).first()[0] == segment
 
 
+def test_mean_of_means_keeps_the_digits_of_the_inner_means(spark):
+    """Orders score 3.333333, 3.333333 and 3.083333: their mean stays below 3.25."""
+    scores = [("a", s) for s in (3, 3, 4)] + [("b", s) for s in (3, 3, 4)] + [("c", 3)] * 11 + [("c", 4)]
+    reviews = spark.createDataFrame(scores, "order_id string, review_score int")
+    orders = spark.createDataFrame(
+        [(o, "c1", "delivered", day(6, 1), None, None) for o in "abc"],
+        """order_id string, customer_id string, order_status string, ordered_at timestamp_ntz,
+        total_item_revenue decimal(22,2), total_freight decimal(22,2)""",
+    )
+    customers = spark.createDataFrame(
+        [("c1", "u1", "x", "y")],
+        "customer_id string, customer_unique_id string, customer_city string, customer_state string",
+    )
+    summary = orders.join(rollups.order_reviews_agg(reviews), "order_id", "left")
+    assert marketing.customer_metrics(summary, customers).first().avg_review_score == Decimal("3.2")
+
+
 def test_rollups_read_the_fact_as_well(relations, rows):
     from_fact = rollups.order_items_agg(relations.fct_order_items)
     from_items = relations.order_items_agg.where("order_id <> 'lost'")
