@@ -138,7 +138,8 @@ def weight_delivery_corr(fact: DataFrame, products: DataFrame) -> DataFrame:
 
     def correlation(attribute: str) -> Column:
         known = F.col(attribute).isNotNull()
-        x = F.col(attribute).cast("bigint")
+        # Wide decimals: squares times counts of a hot product do not fit a long.
+        x = F.col(attribute).cast("decimal(12,0)")
 
         def total(value: Column) -> Column:
             return F.sum(F.when(known, value)).cast("decimal(38,0)")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from bazaarline.config import MartConfig
 from bazaarline.operators.history import ORDER_STATUS, snapshot
 from bazaarline.operators.quality import all_of, check_intervals
+from bazaarline.plans import contracts
 from bazaarline.plans.contracts import CONTRACT_OF, Contract, contract_checks, relation
 from bazaarline.plans.relations import Relations
 from bazaarline.plans.staging import order_versions
@@ -58,8 +60,8 @@ def build(
     def stored_at(folder: str) -> str:
         return f"{root}/{folder}/run={run}"
 
-    def gate(relations: Relations, stage: str, *contracts: Contract) -> None:
-        checks = all_of(contract_checks(relation(relations, c.relation), c) for c in contracts)
+    def gate(relations: Relations, stage: str, *tests: Contract) -> None:
+        checks = all_of(contract_checks(relation(relations, c.relation), c) for c in tests)
         _stop_on_failures(materialize_table(checks, stored_at(f"quality/{stage}")))
 
     relations = Relations(raw, config)
@@ -99,9 +101,36 @@ def snapshot_orders(spark: SparkSession, raw: RawTables, root: str, as_of: datet
     return materialize_view(history, STATUS_HISTORY)
 
 
+# Acceptance criteria beyond the column tests. They report, they do not stop a run: some are
+# expectations about the business, such as the share of sellers in a tier.
+ACCEPTANCE = {
+    "ranges": contracts.range_checks,
+    "nullness": contracts.nullness_checks,
+    "orphans": contracts.orphan_checks,
+    "row_counts": contracts.row_count_checks,
+    "reconciliation": contracts.reconciliation_checks,
+    "shares": contracts.share_checks,
+}
+
+
+def report_acceptance(
+    raw: RawTables,
+    marts: Mapping[str, DataFrame],
+    root: str,
+    run: str,
+    config: MartConfig = MartConfig(),
+) -> dict[str, DataFrame]:
+    """Check the built marts against their acceptance criteria and store the outcomes."""
+    relations = Relations(raw, config, marts)
+    return {
+        name: materialize_table(check(relations), f"{root}/quality/{name}/run={run}")
+        for name, check in ACCEPTANCE.items()
+    }
+
+
 def _staging_contracts() -> list[Contract]:
-    contracts = [CONTRACT_OF[name] for name in ("raw_order_reviews", "stg_order_reviews", "stg_translations")]
-    return contracts + [CONTRACT_OF[name].joined(CONTRACT_OF[raw]) for name, raw in ROW_WISE.items()]
+    single = [CONTRACT_OF[name] for name in ("raw_order_reviews", "stg_order_reviews", "stg_translations")]
+    return single + [CONTRACT_OF[name].joined(CONTRACT_OF[raw]) for name, raw in ROW_WISE.items()]
 
 
 def _stop_on_failures(checks: DataFrame) -> None:

@@ -236,3 +236,22 @@ def test_product_performance(relations):
     assert (furniture.items, furniture.on_time_delivery_rate, furniture.avg_review_score) == (3, 1.0, 3.5)
     assert (rest.items, rest.on_time_delivery_rate) == (3, round(1 / 3, 4))
     assert rest.avg_review_score == Decimal("3.25")
+
+
+def test_correlation_of_large_values(spark):
+    schema = "product_id int, days_to_deliver int"
+    days = [(1, 1), (2, 2), (3, 4), (3, 3), (4, 9), (5, None)]
+    sizes = [(1, 10, 2_000_000_000), (2, 20, 1_900_000_000), (3, 35, 1_000_000_000), (4, None, 5), (5, 9, 9)]
+    fact = spark.createDataFrame(days, schema)
+    products = spark.createDataFrame(sizes, "product_id int, product_weight_g int, product_volume_cm3 int")
+    found = metrics.weight_delivery_corr(fact, products).first()
+    lines = fact.join(products, "product_id").where("days_to_deliver is not null")
+    assert found.weight_days_corr == pytest.approx(
+        lines.where("product_weight_g is not null")
+        .select(F.corr("product_weight_g", "days_to_deliver"))
+        .first()[0],
+        abs=1e-6,
+    )
+    assert found.volume_days_corr == pytest.approx(
+        lines.select(F.corr("product_volume_cm3", "days_to_deliver")).first()[0], abs=1e-6
+    )

@@ -7,6 +7,7 @@ import pytest
 from conftest import SAMPLE
 from pyspark.sql import functions as F
 
+import bazaarline.__main__ as jobs
 from bazaarline.plans import contracts
 from bazaarline.plans.pipeline import MARTS, ContractViolation, build, snapshot_orders
 from bazaarline.plans.relations import Relations
@@ -129,3 +130,23 @@ def test_seed_limits(spark, tmp_path, monkeypatch):
 
 def test_shared_dir_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_jobs(spark, tmp_path):
+    """Both jobs over raw tables stored as files."""
+    sample, raw, root = SampleTables(spark, SAMPLE), f"{tmp_path}/raw", f"{tmp_path}/marts"
+    for name, schema in RAW_SCHEMAS.items():
+        if name != "translations":
+            typed = getattr(sample, name).to(spark.createDataFrame([], schema).schema)
+            materialize_table(typed, f"{raw}/{name}")
+    places = ["--raw", raw, "--root", root, "--seed", str(SAMPLE_SEED)]
+    jobs.main(["snapshot", *places, "--at", "2024-01-02T03:00:00"])
+    jobs.main(["build", *places, "--run", "a", "--as-of", "2001-08-02"])
+    orders = sample.orders.count()
+    assert spark.table("orders_status_snapshot").count() == orders
+    assert spark.read.parquet(f"{root}/core/order_revenue/run=a").count() == orders
+    totals = spark.read.parquet(f"{root}/quality/reconciliation/run=a")
+    passed = {(r.relation, r.rule): r.passed for r in totals.collect()}
+    assert not passed.pop(("seller_performance", "gmv")) and all(passed.values())
+    counts = spark.read.parquet(f"{root}/quality/row_counts/run=a")
+    assert counts.where("not passed").count() == 0
