@@ -67,14 +67,18 @@ def check_unique(df: DataFrame, relation: str, column: str) -> DataFrame:
     return _counted(repeated, relation, "unique", column)
 
 
-def check_orphans(child: DataFrame, parent: DataFrame, relation: str, column: str) -> DataFrame:
+def check_orphans(
+    child: DataFrame, parent: DataFrame, relation: str, column: str, rows: str | None = None
+) -> DataFrame:
     """Failing: child rows whose non-null key has no parent.
 
     The child is rolled up to one row per key before the join, so a hot key costs nothing.
+    If the child is rolled up already, ``rows`` names how many rows each of its rows stands for.
     """
-    keys = child.where(F.col(column).isNotNull()).groupBy(column).count()
+    counted = F.sum(rows) if rows else F.count(F.lit(1))
+    keys = child.where(F.col(column).isNotNull()).groupBy(column).agg(counted.alias("__rows"))
     orphans = keys.join(parent.select(column), column, "left_anti")
-    failing = F.coalesce(F.sum("count"), F.lit(0))
+    failing = F.coalesce(F.sum("__rows"), F.lit(0))
     return orphans.agg(failing.alias("n")).select(
         _outcome(relation, "no_orphans", column, F.col("n")).alias("o")
     ).select("o.*")

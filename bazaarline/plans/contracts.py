@@ -186,18 +186,21 @@ def nullness_checks(relations: Relations) -> DataFrame:
     )
 
 
-def orphan_checks(relations: Relations) -> DataFrame:
+def orphan_checks(
+    relations: Relations, fact: DataFrame | None = None, fact_rows: str | None = None
+) -> DataFrame:
+    """``fact`` replaces the item fact, rolled up to any keys that keep order and product."""
     r = relations
-    return q.all_of(
-        [
-            q.check_orphans(r.stg_order_items, r.stg_orders, "stg_order_items", "order_id"),
-            q.check_orphans(r.stg_order_payments, r.stg_orders, "stg_order_payments", "order_id"),
-            q.check_orphans(r.stg_order_reviews, r.stg_orders, "stg_order_reviews", "order_id"),
-            q.check_orphans(r.stg_orders, r.stg_customers, "stg_orders", "customer_id"),
-            q.check_orphans(r.fct_order_items, r.stg_orders, "fct_order_items", "order_id"),
-            q.check_orphans(r.fct_order_items, r.dim_products, "fct_order_items", "product_id"),
-        ]
-    )
+    fact = r.fct_order_items if fact is None else fact
+    children = [
+        (r.stg_order_items, r.stg_orders, "stg_order_items", "order_id", None),
+        (r.stg_order_payments, r.stg_orders, "stg_order_payments", "order_id", None),
+        (r.stg_order_reviews, r.stg_orders, "stg_order_reviews", "order_id", None),
+        (r.stg_orders, r.stg_customers, "stg_orders", "customer_id", None),
+        (fact, r.stg_orders, "fct_order_items", "order_id", fact_rows),
+        (fact, r.dim_products, "fct_order_items", "product_id", fact_rows),
+    ]
+    return q.all_of(q.check_orphans(*child) for child in children)
 
 
 def row_count_checks(relations: Relations, history: DataFrame | None = None) -> DataFrame:

@@ -94,6 +94,27 @@ def fct_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def fct_by_order(order_lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """The item fact summed to one row per order; ``lines`` says how many rows it stands for.
+
+    For measures over whole orders when the fact is not stored: lines are summed before
+    they meet the orders, so a hot order joins as one row and the join needs no exchange
+    beyond that of the sums.
+    """
+    return order_lines.join(orders, "order_id").select(
+        "order_id",
+        "customer_id",
+        "order_status",
+        "ordered_at",
+        "lines",
+        "item_price",
+        "freight_value",
+        is_delivered().alias("is_delivered"),
+        is_on_time().alias("is_on_time"),
+        days_to_deliver().alias("days_to_deliver"),
+    )
+
+
 def fct_order_payments(payments: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per payment whose order exists."""
     return payments.join(orders.select("order_id", "customer_id", "ordered_at"), "order_id").select(

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from bazaarline.config import NOT_REPORTED_STATUSES, UNCATEGORIZED
 from bazaarline.functions import days_between, exact_mean, safe_divide
 from bazaarline.plans.core import days_to_deliver, is_delivered, is_on_time
+from bazaarline.plans.rollups import order_product_lines
 
 ALL = "(all)"
 
@@ -38,25 +39,36 @@ def freight_ratio(revenue: DataFrame, flag_above: float) -> DataFrame:
     )
 
 
-# Item fact
+# Item fact, as it is or summed by order; ``lines`` is then how many lines a row stands for.
 
 
 def fact_totals(fact: DataFrame) -> DataFrame:
     return fact.agg(F.sum("item_price").alias("gmv"), F.sum("freight_value").alias("total_freight"))
 
 
-def on_time_rate(fact: DataFrame) -> DataFrame:
-    on_time = F.sum(F.col("is_on_time").cast("int"))
-    delivered = F.sum(F.col("is_delivered").cast("int"))
-    return fact.agg(safe_divide(on_time, delivered).alias("on_time_rate"))
+def on_time_rate(fact: DataFrame, lines: str | None = None) -> DataFrame:
+    """Lines on time by lines delivered."""
+    return fact.agg(
+        safe_divide(
+            F.sum(F.col("is_on_time").cast("int") * _lines(lines)),
+            F.sum(F.col("is_delivered").cast("int") * _lines(lines)),
+        ).alias("on_time_rate")
+    )
 
 
-def average_days_to_deliver(fact: DataFrame) -> DataFrame:
+def average_days_to_deliver(fact: DataFrame, lines: str | None = None) -> DataFrame:
+    """Mean over delivered lines with a known delivery date."""
+    days = F.col("days_to_deliver")
+    known = F.sum(F.when(days.isNotNull(), _lines(lines)).otherwise(0))
     return fact.where("is_delivered").agg(
-        exact_mean(F.sum("days_to_deliver"), F.count("days_to_deliver")).alias("avg_days_to_deliver")
+        exact_mean(F.sum(days * _lines(lines)), known).alias("avg_days_to_deliver")
     )
 
 
+def _lines(column: str | None) -> Column:
+    return F.col(column) if column else F.lit(1)
+
+
 def items_per_order(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Lines per order that has lines and exists.
 
@@ -116,7 +128,7 @@ def _categories(totals: DataFrame) -> DataFrame:
     return totals.where(F.col("product_category_name_en") != ALL)
 
 
-def weight_delivery_corr(fact: DataFrame, products: DataFrame) -> DataFrame:
+def weight_delivery_corr(fact: DataFrame, products: DataFrame, lines: str | None = None) -> DataFrame:
     """Correlation of weight and of volume with the days to deliver, over delivered lines.
 
     The moments are exact integers built from per-product sums, so the result does not
@@ -127,9 +139,9 @@ def weight_delivery_corr(fact: DataFrame, products: DataFrame) -> DataFrame:
         fact.where(days.isNotNull())
         .groupBy("product_id")
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(days).alias("y"),
-            F.sum(days * days).alias("yy"),
+            F.sum(_lines(lines)).alias("n"),
+            F.sum(days * _lines(lines)).alias("y"),
+            F.sum(days * days * _lines(lines)).alias("yy"),
         )
     )
     joined = per_product.join(
@@ -240,15 +252,13 @@ def product_performance(items: DataFrame, summary: DataFrame, products: DataFram
     def lines_where(condition: Column) -> Column:
         return F.sum(F.when(condition, lines).otherwise(0))
 
-    per_order = items.groupBy("order_id", "product_id").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum("item_price").alias("price")
-    )
     per_product = (
-        per_order.join(summary, "order_id")
+        order_product_lines(items)
+        .join(summary, "order_id")
         .groupBy("product_id")
         .agg(
             F.sum("lines").alias("lines"),
-            F.sum("price").alias("price"),
+            F.sum("item_price").alias("price"),
             lines_where(is_delivered()).alias("delivered"),
             lines_where(is_on_time()).alias("on_time"),
             F.sum(score * lines.cast("decimal(10,0)")).alias("score_sum"),

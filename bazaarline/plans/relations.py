@@ -102,6 +102,17 @@ class Relations:
     def fct_order_items(self) -> DataFrame:
         return core.fct_order_items(self.stg_order_items, self.stg_orders)
 
+    @cached_property
+    def fct_by_order(self) -> DataFrame:
+        return core.fct_by_order(rollups.order_lines(self.stg_order_items), self.stg_orders)
+
+    @cached_property
+    def fct_by_order_product(self) -> DataFrame:
+        """The item fact summed to one row per order and product, with the days to deliver."""
+        lines = rollups.order_product_lines(self.stg_order_items)
+        orders = self.stg_orders.select("order_id", core.days_to_deliver().alias("days_to_deliver"))
+        return lines.join(orders, "order_id")
+
     @cached_property
     def dim_sellers(self) -> DataFrame:
         return core.dim_sellers(self.stg_sellers)

@@ -327,12 +327,12 @@ def customer_representative_location(r: Relations) -> DataFrame:
 
 @query("distinct_customers")
 def distinct_customers(r: Relations) -> DataFrame:
-    return r.fct_order_items.select("customer_id").distinct()
+    return r.fct_by_order.select("customer_id").distinct()
 
 
 @query("daily_orders_by_customer")
 def daily_orders_by_customer(r: Relations) -> DataFrame:
-    return marketing.daily_orders(r.fct_order_items, "customer_id")
+    return marketing.daily_orders(r.fct_by_order, "customer_id")
 
 
 @query("seller_performance_reconciled")
@@ -375,7 +375,7 @@ def densify_calendar_query(r: Relations) -> DataFrame:
 
 @query("customer_order_dates")
 def customer_order_dates(r: Relations) -> DataFrame:
-    return marketing.customer_order_dates(r.fct_order_items, *CUSTOMER_CALENDAR)
+    return marketing.customer_order_dates(r.fct_by_order, *CUSTOMER_CALENDAR)
 
 
 # Status history
@@ -479,7 +479,7 @@ def dq_conditional_null(r: Relations) -> DataFrame:
 
 @query("dq_orphans")
 def dq_orphans(r: Relations) -> DataFrame:
-    return contracts.orphan_checks(r)
+    return contracts.orphan_checks(r, fact=r.fct_by_order_product, fact_rows="lines")
 
 
 @query("dq_row_count_match")
@@ -533,17 +533,17 @@ def metric_freight_ratio(r: Relations) -> DataFrame:
 
 @query("metric_fact_totals")
 def metric_fact_totals(r: Relations) -> DataFrame:
-    return metrics.fact_totals(r.fct_order_items)
+    return metrics.fact_totals(r.fct_by_order)
 
 
 @query("metric_on_time_rate")
 def metric_on_time_rate(r: Relations) -> DataFrame:
-    return metrics.on_time_rate(r.fct_order_items)
+    return metrics.on_time_rate(r.fct_by_order, lines="lines")
 
 
 @query("metric_avg_days")
 def metric_avg_days(r: Relations) -> DataFrame:
-    return metrics.average_days_to_deliver(r.fct_order_items)
+    return metrics.average_days_to_deliver(r.fct_by_order, lines="lines")
 
 
 @query("items_per_order")
@@ -572,7 +572,7 @@ def category_freight_ratio(r: Relations) -> DataFrame:
 
 @query("weight_delivery_corr")
 def weight_delivery_corr(r: Relations) -> DataFrame:
-    return metrics.weight_delivery_corr(r.fct_order_items, r.dim_products)
+    return metrics.weight_delivery_corr(r.fct_by_order_product, r.dim_products, lines="lines")
 
 
 @query("metric_seller_rollup")

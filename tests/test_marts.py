@@ -87,6 +87,10 @@ def relations(spark):
     return Relations(raw, MartConfig(as_of=AS_OF))
 
 
+def rows_of(df):
+    return sorted(tuple(row) for row in df.collect())
+
+
 def by_key(df, key):
     return {row[key]: row for row in df.collect()}
 
@@ -210,6 +214,16 @@ def test_metrics(relations):
     assert (round(ratio.freight_ratio, 6), ratio.is_flagged) == (round(11.5 / 61044.5, 6), False)
     assert metrics.on_time_rate(r.fct_order_items).first()[0] == 3 / 5
     assert metrics.average_days_to_deliver(r.fct_order_items).first()[0] == Decimal("7.500000")
+    by_order = r.fct_by_order
+    assert rows_of(metrics.fact_totals(by_order)) == rows_of(metrics.fact_totals(r.fct_order_items))
+    assert metrics.on_time_rate(by_order, "lines").first()[0] == 3 / 5
+    assert metrics.average_days_to_deliver(by_order, "lines").first()[0] == Decimal("7.500000")
+    assert rows_of(metrics.weight_delivery_corr(r.fct_by_order_product, r.dim_products, "lines")) == rows_of(
+        metrics.weight_delivery_corr(r.fct_order_items, r.dim_products)
+    )
+    assert rows_of(marketing.daily_orders(by_order, "customer_id")) == rows_of(
+        marketing.daily_orders(r.fct_order_items, "customer_id")
+    )
     items = dict(metrics.items_per_order(r.stg_order_items, r.stg_orders).collect())
     assert items == {"o1": 3, "o2": 1, "o3": 1, "o4": 1}
     totals = by_key(metrics.category_totals(r.fct_order_items, r.dim_products), "product_category_name_en")

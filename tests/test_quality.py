@@ -53,6 +53,8 @@ def test_orphans_count_child_rows(spark):
     parent = frame(spark, ("a", 1), ("b", 1))
     assert outcome(q.check_orphans(child, parent, "t", "k")) == {("no_orphans", "k"): 2}
     assert outcome(q.check_orphans(parent, parent, "t", "k")) == {("no_orphans", "k"): 0}
+    # Rows that stand for several rows.
+    assert outcome(q.check_orphans(child, parent, "t", "k", rows="v")) == {("no_orphans", "k"): 5}
 
 
 def test_totals(spark):
