@@ -49,10 +49,19 @@ def null_where(column: str, condition: Column, name: str = "null_where") -> RowR
     return RowRule(name, column, F.col(column).isNotNull() & condition)
 
 
-def check_rows(df: DataFrame, relation: str, rules: Sequence[RowRule]) -> DataFrame:
-    """All row rules of a relation in one pass over it."""
+def check_rows(
+    df: DataFrame, relation: str, rules: Sequence[RowRule], rows: str | None = None
+) -> DataFrame:
+    """All row rules of a relation in one pass over it.
+
+    If the relation is rolled up, ``rows`` names how many rows each of its rows stands for.
+    """
+    weight = F.col(rows) if rows else F.lit(1)
     counts = df.agg(
-        *[F.count_if(rule.violation).alias(f"rule_{i}") for i, rule in enumerate(rules)]
+        *[
+            F.coalesce(F.sum(F.when(rule.violation, weight)), F.lit(0)).alias(f"rule_{i}")
+            for i, rule in enumerate(rules)
+        ]
     )
     outcomes = [
         _outcome(relation, rule.name, rule.column, F.col(f"rule_{i}"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarline.config import CUSTOMER_SEGMENTS, ORDER_STATUSES, REVIEW_SCORES, SELLER_TIERS
 from bazaarline.operators import quality as q
@@ -120,6 +121,26 @@ def contract_checks(df: DataFrame, contract: Contract) -> DataFrame:
 # Acceptance criteria of the marts
 
 
+@dataclass(frozen=True)
+class Fact:
+    """The item fact for a check: as it is, or rolled up with its number of rows.
+
+    Checks over columns of the order alone may take the fact summed by order, which spares
+    a lazily joined fact the shuffle of single lines.
+    """
+
+    df: DataFrame
+    rows: str | None = None
+
+    @property
+    def row_count(self) -> Column:
+        return F.coalesce(F.sum(self.rows), F.lit(0)) if self.rows else F.count(F.lit(1))
+
+
+def _fact(relations: Relations, fact: Fact | None) -> Fact:
+    return fact or Fact(relations.fct_order_items)
+
+
 def range_rules(name: str) -> list[q.RowRule]:
     col = F.col
     return {
@@ -174,70 +195,82 @@ RANGED = ("fct_order_items", "order_revenue", "dim_products", "seller_performanc
 NULLNESS = ("fct_order_items", "dim_products", "seller_performance", "customer_segmentation")
 
 
-def range_checks(relations: Relations) -> DataFrame:
-    return q.all_of(
-        q.check_rows(relation(relations, name), name, range_rules(name)) for name in RANGED
-    )
+def range_checks(relations: Relations, fact: Fact | None = None) -> DataFrame:
+    return _rule_checks(relations, RANGED, range_rules, fact)
 
 
-def nullness_checks(relations: Relations) -> DataFrame:
-    return q.all_of(
-        q.check_rows(relation(relations, name), name, nullness_rules(name)) for name in NULLNESS
-    )
+def nullness_checks(relations: Relations, fact: Fact | None = None) -> DataFrame:
+    return _rule_checks(relations, NULLNESS, nullness_rules, fact)
 
 
-def orphan_checks(
-    relations: Relations, fact: DataFrame | None = None, fact_rows: str | None = None
+def _rule_checks(
+    relations: Relations,
+    names: tuple[str, ...],
+    rules: Callable[[str], list[q.RowRule]],
+    fact: Fact | None,
 ) -> DataFrame:
-    """``fact`` replaces the item fact, rolled up to any keys that keep order and product."""
+    lines = _fact(relations, fact)
+    checks = []
+    for name in names:
+        checked = lines if name == "fct_order_items" else Fact(relation(relations, name))
+        checks.append(q.check_rows(checked.df, name, rules(name), checked.rows))
+    return q.all_of(checks)
+
+
+def orphan_checks(relations: Relations, fact: Fact | None = None) -> DataFrame:
+    """``fact`` may be rolled up to any keys that keep order and product."""
     r = relations
-    fact = r.fct_order_items if fact is None else fact
+    lines = _fact(relations, fact)
     children = [
         (r.stg_order_items, r.stg_orders, "stg_order_items", "order_id", None),
         (r.stg_order_payments, r.stg_orders, "stg_order_payments", "order_id", None),
         (r.stg_order_reviews, r.stg_orders, "stg_order_reviews", "order_id", None),
         (r.stg_orders, r.stg_customers, "stg_orders", "customer_id", None),
-        (fact, r.stg_orders, "fct_order_items", "order_id", fact_rows),
-        (fact, r.dim_products, "fct_order_items", "product_id", fact_rows),
+        (lines.df, r.stg_orders, "fct_order_items", "order_id", lines.rows),
+        (lines.df, r.dim_products, "fct_order_items", "product_id", lines.rows),
     ]
     return q.all_of(q.check_orphans(*child) for child in children)
 
 
-def row_count_checks(relations: Relations, history: DataFrame | None = None) -> DataFrame:
+def row_count_checks(
+    relations: Relations, history: DataFrame | None = None, fact: Fact | None = None
+) -> DataFrame:
     r = relations
     rows = F.count(F.lit(1))
+    lines = _fact(relations, fact)
     delivered_people = (
         r.stg_orders.where(F.col("order_status") == "delivered")
         .select("customer_id")
         .join(r.stg_customers, "customer_id")
     )
+
+    def distinct(column: str) -> Column:
+        return F.countDistinct(column)
+
     pairs: list[tuple] = [
-        ("fct_order_items", r.fct_order_items, r.stg_order_items, rows, False),
-        ("order_revenue", r.order_revenue, r.raw.orders, F.countDistinct("order_id"), False),
-        ("dim_products", r.dim_products, r.raw.products, F.countDistinct("product_id"), False),
-        (
-            "seller_performance",
-            r.seller_performance,
-            r.raw.order_items,
-            F.countDistinct("seller_id"),
-            False,
-        ),
+        ("fct_order_items", lines.df, lines.row_count, r.stg_order_items, rows),
+        ("order_revenue", r.order_revenue, rows, r.raw.orders, distinct("order_id")),
+        ("dim_products", r.dim_products, rows, r.raw.products, distinct("product_id")),
+        ("seller_performance", r.seller_performance, rows, r.raw.order_items, distinct("seller_id")),
         (
             "customer_segmentation",
             r.customer_segmentation,
+            rows,
             delivered_people,
-            F.countDistinct("customer_unique_id"),
-            False,
+            distinct("customer_unique_id"),
         ),
     ]
+    checks = [
+        q.check_totals(df, actual, source, expected, name, "row_count")
+        for name, df, actual, source, expected in pairs
+    ]
     if history is not None:
-        pairs.append(
-            ("status_history", history, r.raw.orders, F.countDistinct("order_id"), True)
+        checks.append(
+            q.check_totals(
+                history, rows, r.raw.orders, distinct("order_id"), "status_history", "row_count", at_least=True
+            )
         )
-    return q.all_of(
-        q.check_totals(df, rows, source, expected, name, "row_count", at_least)
-        for name, df, source, expected, at_least in pairs
-    )
+    return q.all_of(checks)
 
 
 def reconciliation_checks(relations: Relations) -> DataFrame:

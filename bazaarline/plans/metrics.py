@@ -82,13 +82,13 @@ def items_per_order(items: DataFrame, orders: DataFrame) -> DataFrame:
 # dimension, so a product with a third of all lines joins as one row.
 
 
-def category_totals(fact: DataFrame, products: DataFrame) -> DataFrame:
+def category_totals(fact: DataFrame, products: DataFrame, lines: str | None = None) -> DataFrame:
     """One row per category and one for all: lines, revenue, freight, weight of the lines.
 
     Lines without a product in the dimension are left out, as by an inner join.
     """
     per_product = fact.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("lines"),
+        F.sum(_lines(lines)).alias("lines"),
         F.sum("item_price").alias("price"),
         F.sum("freight_value").alias("freight"),
     )

@@ -22,17 +22,19 @@ def order_items_agg(items: DataFrame) -> DataFrame:
 
 def order_lines(items: DataFrame) -> DataFrame:
     """One row per order: its lines and their amounts, under the names of a single line."""
-    return items.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.sum("item_price").alias("item_price"),
-        F.sum("freight_value").alias("freight_value"),
-    )
+    return _summed(items, "order_id")
 
 
 def order_product_lines(items: DataFrame) -> DataFrame:
     """One row per order and product, like :func:`order_lines`."""
-    return items.groupBy("order_id", "product_id").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum("item_price").alias("item_price")
+    return _summed(items, "order_id", "product_id")
+
+
+def _summed(items: DataFrame, *keys: str) -> DataFrame:
+    return items.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum("item_price").alias("item_price"),
+        F.sum("freight_value").alias("freight_value"),
     )
 
 

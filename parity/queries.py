@@ -469,22 +469,22 @@ def dq_accepted_values(r: Relations) -> DataFrame:
 
 @query("dq_range")
 def dq_range(r: Relations) -> DataFrame:
-    return contracts.range_checks(r)
+    return contracts.range_checks(r, contracts.Fact(r.fct_by_order, "lines"))
 
 
 @query("dq_conditional_null")
 def dq_conditional_null(r: Relations) -> DataFrame:
-    return contracts.nullness_checks(r)
+    return contracts.nullness_checks(r, contracts.Fact(r.fct_by_order, "lines"))
 
 
 @query("dq_orphans")
 def dq_orphans(r: Relations) -> DataFrame:
-    return contracts.orphan_checks(r, fact=r.fct_by_order_product, fact_rows="lines")
+    return contracts.orphan_checks(r, contracts.Fact(r.fct_by_order_product, "lines"))
 
 
 @query("dq_row_count_match")
 def dq_row_count_match(r: Relations) -> DataFrame:
-    return contracts.row_count_checks(r, _second(r))
+    return contracts.row_count_checks(r, _second(r), contracts.Fact(r.fct_by_order, "lines"))
 
 
 @query("dq_reconcile")
@@ -562,7 +562,8 @@ def category_gmv(r: Relations) -> DataFrame:
 
 @query("category_avg_weight")
 def category_avg_weight(r: Relations) -> DataFrame:
-    return metrics.category_avg_weight(_category_totals(r))
+    totals = metrics.category_totals(r.fct_by_order_product, r.dim_products, lines="lines")
+    return metrics.category_avg_weight(totals)
 
 
 @query("category_freight_ratio")

@@ -38,6 +38,11 @@ def test_row_rules(spark):
     }
 
 
+def test_row_rules_on_rolled_up_rows(spark):
+    df = frame(spark, ("a", 3), (None, 4), (None, 5))
+    assert outcome(q.check_rows(df, "t", [q.not_null("k")], rows="v")) == {("not_null", "k"): 9}
+
+
 def test_row_rules_on_an_empty_table(spark):
     assert set(outcome(q.check_rows(frame(spark), "t", rules())).values()) == {0}
 
