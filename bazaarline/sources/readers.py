@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from collections.abc import Mapping
 from itertools import islice
 from pathlib import Path
 from types import SimpleNamespace
@@ -78,20 +79,28 @@ def load_seed(spark: SparkSession, path: str | Path, schema: str) -> DataFrame:
 
 
 def load_raw_tables(
-    spark: SparkSession, root: str, file_format: str = "parquet", seed: str | Path | None = None
+    spark: SparkSession,
+    root: str,
+    file_format: str = "parquet",
+    seed: str | Path | None = None,
+    names: Mapping[str, str] | None = None,
 ) -> RawTables:
-    """All raw tables under ``root`` (one directory or file per table)."""
-    suffix = f".{file_format}" if file_format == "csv" else ""
+    """All raw tables under ``root``, one directory or file per table.
+
+    ``names`` gives the path below ``root`` of tables that are not called like their role
+    (``orders``, or ``orders.csv`` for CSV).
+    """
+    suffix = ".csv" if file_format == "csv" else ""
     tables = {
-        name: load_source(
+        role: load_source(
             spark,
-            f"{root}/{name}{suffix}",
+            f"{root}/{(names or {}).get(role, role + suffix)}",
             schema,
             file_format,
-            multi_line=file_format == "csv" and name == "order_reviews",
+            multi_line=file_format == "csv" and role == "order_reviews",
         )
-        for name, schema in RAW_SCHEMAS.items()
-        if name != "translations" or seed is None
+        for role, schema in RAW_SCHEMAS.items()
+        if role != "translations" or seed is None
     }
     if seed is not None:
         tables["translations"] = load_seed(spark, seed, RAW_SCHEMAS["translations"])

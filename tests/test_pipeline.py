@@ -107,8 +107,11 @@ def test_raw_tables_from_files(spark, tmp_path, rows, file_format):
             continue
         typed = getattr(sample, name).to(spark.createDataFrame([], schema).schema)
         expected[name] = typed
-        materialize_table(typed, f"{tmp_path}/{name}{suffix}", file_format)
-    raw = load_raw_tables(spark, str(tmp_path), file_format, seed=SAMPLE_SEED)
+        path = "people/2024" if name == "customers" else f"{name}{suffix}"
+        materialize_table(typed, f"{tmp_path}/{path}", file_format)
+    raw = load_raw_tables(
+        spark, str(tmp_path), file_format, seed=SAMPLE_SEED, names={"customers": "people/2024"}
+    )
     for name, typed in expected.items():
         assert rows(getattr(raw, name)) == rows(typed), name
 

@@ -21,8 +21,17 @@ def test_no_pairwise_join_no_python_no_unpartitioned_window(spark, name):
     plan = plan_of(REGISTRY[name](spark, SAMPLE))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "MapInPandas", "MapInArrow"):
         assert operator not in plan
+    # Functions, partition keys, order: a window without keys prints only two lists.
     windows = [line for line in plan.splitlines() if re.search(r"\bWindow \[", line)]
-    assert all("windowspecdefinition(" in line for line in windows)
+    assert all(re.search(r"\], \[[^\[\]]+\], \[[^\[\]]+\]$", line) for line in windows)
+
+
+def test_the_window_test_sees_a_window_without_keys(spark):
+    from pyspark.sql import Window
+
+    plan = plan_of(spark.range(3).select(F.row_number().over(Window.orderBy("id"))))
+    line = next(line for line in plan.splitlines() if re.search(r"\bWindow \[", line))
+    assert not re.search(r"\], \[[^\[\]]+\], \[[^\[\]]+\]$", line)
 
 
 def test_scan_reads_only_the_columns_of_the_query(spark):
