@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -167,7 +166,13 @@ def check_freshness(
 
 
 def all_of(checks: Iterable[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, checks)
+    """The rows of all checks, joined in pairs so that no plan is analysed once per check."""
+    parts = list(checks)
+    while len(parts) > 1:
+        pairs = zip(parts[::2], parts[1::2], strict=False)
+        rest = parts[len(parts) // 2 * 2 :]
+        parts = [left.unionByName(right) for left, right in pairs] + rest
+    return parts[0]
 
 
 def _outcome(relation: str, rule: str, column: str, failing: Column) -> Column:

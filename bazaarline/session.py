@@ -14,6 +14,9 @@ PLAN_SETTINGS = {
     # without this, a join followed by a grouping on the same key keeps the hot task.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Compressed columns grow several times in memory. Taking file sizes for row sizes lets
+    # the optimizer broadcast a side that is well over its broadcast limit.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
 
