@@ -100,6 +100,10 @@ def current_versions(history: DataFrame) -> DataFrame:
 # open after it. Spark's own success marker commits a run; repeating a run replaces it.
 
 
+def run_label(as_of: datetime) -> str:
+    return as_of.strftime("%Y%m%dT%H%M%S")
+
+
 def committed_runs(spark: SparkSession, root: str) -> list[str]:
     """Labels of the finished runs that hold versions, oldest first."""
     holding = {_run_of(path) for path in _paths(spark, f"{root}/run=*/state=open")}
@@ -115,7 +119,7 @@ def snapshot(
     Labels order the runs. The work grows with the open versions, not with the history.
     """
     spark = incoming.sparkSession
-    label = run or as_of.strftime("%Y%m%dT%H%M%S")
+    label = run or run_label(as_of)
     done = committed_runs(spark, root)
     if any(other > label for other in done):
         raise ValueError(f"run {label} is older than the last run {done[-1]}")

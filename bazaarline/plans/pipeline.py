@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarline.config import MartConfig
-from bazaarline.operators.history import ORDER_STATUS, snapshot
+from bazaarline.operators.history import ORDER_STATUS, run_label, snapshot
 from bazaarline.operators.quality import all_of, check_intervals
 from bazaarline.plans import contracts
 from bazaarline.plans.contracts import CONTRACT_OF, Contract, contract_checks, relation
@@ -91,13 +91,16 @@ def snapshot_orders(spark: SparkSession, raw: RawTables, root: str, as_of: datet
     Meant to run before :func:`build`, so that it sees the orders as the source has them.
     """
     prepare(spark)
+    label = run_label(as_of)
+
+    def gate(stage: str, checks: DataFrame) -> None:
+        _stop_on_failures(materialize_table(checks, f"{root}/quality/{stage}/run={label}"))
+
+    # Two rows of one order would open two versions, so they must not get into the history.
+    gate(f"{STATUS_HISTORY}_input", contract_checks(raw.orders, CONTRACT_OF["raw_orders"]))
     folder = f"{root}/snapshots/{STATUS_HISTORY}"
-    history = snapshot(order_versions(raw.orders), folder, ORDER_STATUS, as_of)
-    checks = check_intervals(history, STATUS_HISTORY, ORDER_STATUS.key)
-    label = as_of.strftime("%Y%m%dT%H%M%S")
-    _stop_on_failures(
-        materialize_table(checks, f"{root}/quality/{STATUS_HISTORY}/run={label}")
-    )
+    history = snapshot(order_versions(raw.orders), folder, ORDER_STATUS, as_of, run=label)
+    gate(STATUS_HISTORY, check_intervals(history, STATUS_HISTORY, ORDER_STATUS.key))
     return materialize_view(history, STATUS_HISTORY)
 
 

@@ -55,6 +55,14 @@ def test_snapshot_orders(spark, tmp_path):
     assert spark.table("orders_status_snapshot").where("valid_to is not null").count() == changed
 
 
+def test_repeated_orders_do_not_enter_the_history(spark, tmp_path):
+    raw = SampleTables(spark, SAMPLE)
+    doubled = replaced(raw, orders=raw.orders.unionByName(raw.orders.limit(1)))
+    with pytest.raises(ContractViolation, match="raw_orders.order_id unique: 1"):
+        snapshot_orders(spark, doubled, str(tmp_path), datetime(2024, 1, 1))
+    assert not (tmp_path / "snapshots").exists()
+
+
 def test_build_stops_at_a_broken_contract(spark, tmp_path):
     raw = SampleTables(spark, SAMPLE)
     doubled = replaced(raw, sellers=raw.sellers.unionByName(raw.sellers.limit(1)))
