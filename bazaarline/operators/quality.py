@@ -63,10 +63,10 @@ def check_rows(
         ]
     )
     outcomes = [
-        _outcome(relation, rule.name, rule.column, F.col(f"rule_{i}"))
+        F.struct(*_outcome(relation, rule.name, rule.column, F.col(f"rule_{i}")))
         for i, rule in enumerate(rules)
     ]
-    return counts.select(F.explode(F.array(*outcomes)).alias("o")).select("o.*")
+    return counts.select(F.inline(F.array(*outcomes)))
 
 
 def check_unique(df: DataFrame, relation: str, column: str) -> DataFrame:
@@ -87,9 +87,7 @@ def check_orphans(
     keys = child.where(F.col(column).isNotNull()).groupBy(column).agg(counted.alias("__rows"))
     orphans = keys.join(parent.select(column), column, "left_anti")
     failing = F.coalesce(F.sum("__rows"), F.lit(0))
-    return orphans.agg(failing.alias("n")).select(
-        _outcome(relation, "no_orphans", column, F.col("n")).alias("o")
-    ).select("o.*")
+    return orphans.select(*_outcome(relation, "no_orphans", column, failing))
 
 
 def check_totals(
@@ -175,16 +173,14 @@ def all_of(checks: Iterable[DataFrame]) -> DataFrame:
     return parts[0]
 
 
-def _outcome(relation: str, rule: str, column: str, failing: Column) -> Column:
-    return F.struct(
+def _outcome(relation: str, rule: str, column: str, failing: Column) -> list[Column]:
+    return [
         F.lit(relation).alias("relation"),
         F.lit(rule).alias("rule"),
         F.lit(column).alias("column_name"),
         failing.cast("bigint").alias("failing"),
-    )
+    ]
 
 
 def _counted(failures: DataFrame, relation: str, rule: str, column: str) -> DataFrame:
-    return failures.agg(F.count(F.lit(1)).alias("n")).select(
-        _outcome(relation, rule, column, F.col("n")).alias("o")
-    ).select("o.*")
+    return failures.select(*_outcome(relation, rule, column, F.count(F.lit(1))))

@@ -43,7 +43,7 @@ def _plus(days: str = "0", hours: str = "0") -> str:
 
 
 # Unique within an order at every scale: price in cents, then the line number.
-LINE_CODE = "cast(round(l_extendedprice * 100) as int) * 10 + l_linenumber"
+LINE_CODE = "cast(floor(l_extendedprice * 100 + 0.5) as int) * 10 + l_linenumber"
 
 
 class SampleTables:
