@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
 from itertools import groupby
 from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarline.llm.shared import lower_ascii, stored, text_or_empty
+from bazaarline.llm.shared import stored, text_or_empty
 
-BLANKS = " \t\n\x0b\x0c\r"
+BLANKS = b" \t\n\x0b\x0c\r"
 BATCH = 8192
 RUN_SCHEMA = "hash binary, doc bigint, tag bigint, position int, part int, kind string, docs bigint"
 # Kinds of rows: a line that goes; one that goes if its hash has enough documents in all; the
@@ -22,10 +23,28 @@ RUN_SCHEMA = "hash binary, doc bigint, tag bigint, position int, part int, kind
 GOES, WAITS, LEADS, EDGE = "goes", "waits", "leads", "edge"
 
 
-def line_hash(line: Column) -> Column:
-    """16 bytes of the digest of a line's key: stripped and A-Z lower-cased. Null: empty key."""
-    key = lower_ascii(F.btrim(line, F.lit(BLANKS)))
-    return F.when(key != "", F.unhex(F.substring(F.sha2(key, 256), 1, 32)))
+def line_keys(text: str) -> list[bytes]:
+    """The key of every line: stripped of blanks and A-Z lower-cased, in UTF-8."""
+    return [line.strip(BLANKS).lower() for line in text.encode("utf-8", "surrogatepass").split(b"\n")]
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for every line with a key, 16 bytes of its digest in the place of the text."""
+    for batch in batches:
+        for start in range(0, len(batch), 256):
+            part = batch.slice(start, 256)
+            keys = [line_keys(text) for text in part.column(2).to_pylist()]
+            rows = [(k, position, key) for k, ks in enumerate(keys) for position, key in enumerate(ks) if key]
+            of = pa.array([k for k, _, _ in rows], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([blake2b(key, digest_size=16).digest() for _, _, key in rows], pa.binary()),
+                    part.column(0).take(of),
+                    part.column(1).take(of),
+                    pa.array([position for _, position, _ in rows], pa.int32()),
+                ],
+                names=["hash", "doc", "tag", "position"],
+            )
 
 
 def _pass(enough: int, keep_first: bool):
@@ -125,15 +144,18 @@ def line_bitmaps(docs: DataFrame, min_docs: int = 2, keep_first: bool = True) ->
     has its own bitmap; rows equal in id and text share one. Null and empty texts have one
     empty line. Columns other than ``doc_id`` and ``text`` are ignored; empty tables give none.
 
-    Rows are (hash, document, position), range-partitioned by hash and document, so the lines
+    Texts are hashed where they are read and the hashes stored, so the sample for the ranges
+    reads a table. Rows are (hash, document, position), range-partitioned by hash and document, so the lines
     of a frequent key lie in several partitions. Each partition is streamed once; only the keys
     at its two ends can go on elsewhere, and their counts, two rows a partition, are joined.
     """
     lines = (
-        docs.select(F.col("doc_id").cast("long").alias("doc"), text_or_empty("text").alias("text"))
-        .select("doc", F.xxhash64("text").alias("tag"), F.posexplode(F.split("text", "\n")).alias("position", "line"))
-        .select(line_hash(F.col("line")).alias("hash"), "doc", "tag", "position")
-        .where("hash is not null")
+        stored(
+            docs.select(F.col("doc_id").cast("long").alias("doc"), text_or_empty("text").alias("text"))
+            .select("doc", F.xxhash64("text").alias("tag"), "text")
+            .mapInArrow(_hashed, "hash binary, doc bigint, tag bigint, position int"),
+            "lines",
+        )
         .repartitionByRange("hash", "doc")
         .sortWithinPartitions("hash", "doc", "position", "tag")
         .withColumn("part", F.spark_partition_id())
@@ -163,7 +185,8 @@ def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``doc_id, text, keep`` for each row of ``docs``; ``keep`` is null if all lines stay."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
     same = (F.col("doc_id").eqNullSafe(F.col("doc"))) & (F.xxhash64("text") == F.col("tag"))
-    return texts.join(bitmaps, same, "left").select("doc_id", "text", "keep")
+    # As many bitmaps as texts that lose lines: never broadcast.
+    return texts.join(bitmaps.hint("shuffle_merge"), same, "left").select("doc_id", "text", "keep")
 
 
 def _kept_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -74,8 +74,8 @@ with docs as (
 ),
 split as (
     select n, doc_id, source, t,
-        list_filter(regexp_split_to_array(t, '[{SPACE}]+'), x -> x <> '') as words,
-        list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^{SPACE}]')) as lines
+        list_filter(regexp_split_to_array(t, '[{SPACE}]+'), lambda x: x <> '') as words,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^{SPACE}]')) as lines
     from docs
 ),
 grams as (

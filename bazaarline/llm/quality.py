@@ -110,6 +110,7 @@ def judge_documents(
     text: str = "text",
     host: str = "source",
     rules: QualityRules = QualityRules(),
+    without: tuple[str, ...] = (),
 ) -> DataFrame:
     """The columns of ``docs`` with measures of the text, ``base_failed`` and ``kept``.
 
@@ -119,14 +120,14 @@ def judge_documents(
     repeated rows and null ids stay rows. Null and empty texts have no words and fail. A null
     host has no verdict of its own. An empty table gives an empty table. The new columns
     (``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept``)
-    replace columns of the same name.
+    replace columns of the same name. Columns named in ``without`` are left out.
 
     The measures are computed in one pass and stored, so the counts by host and the join back
     read a table; verdicts are one row per host.
     """
     new = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "_words", "_lines"}
     wanted = [c for c in docs.columns if c not in new or c in (text, host)]
-    scored = stored(with_features(docs.select(*wanted), text, rules), "quality")
+    scored = stored(with_features(docs.select(*wanted), text, rules).drop(*without), "quality")
     verdicts = stored(host_verdicts(scored, host, rules), "host-verdicts")
     judged = scored.join(
         verdicts.select(F.col("host").alias("_host"), F.col("rejected").alias("_rejected")),

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from bazaarline.llm.line_dedup import kept_texts
 from bazaarline.llm.quality import judge_documents
 from bazaarline.llm.shared import table
+from bazaarline.llm.token_counts import token_counts
+from bazaarline.llm.token_files import documents_of
 from bazaarline.llm.url_rules import RULE_SCHEMA, judge_urls
 
 URL_RULES = [
@@ -19,6 +21,15 @@ URL_RULES = [
     ("org", "/fr/", "allow"),
 ]
 LINE_MIN_DOCS = 10
+COUNT_VOCABULARY, COUNT_LIMIT = "byte_bpe_50k.json", 512
+FILE_VOCABULARY, END_ID = "word_bpe_49k.json", 2
+
+
+def vocabulary(name: str) -> str:
+    """Path of a vocabulary file, the same on every node."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,9 +42,18 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary(COUNT_VOCABULARY), COUNT_LIMIT)
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = documents_of(table(spark, sf_dir, "documents"), vocabulary(FILE_VOCABULARY), END_ID)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    judged = judge_documents(docs)
+    judged = judge_documents(docs, without=("text",))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
@@ -42,5 +62,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op3_line_dedup": op3_line_dedup,
+    "op7_token_counts": op7_token_counts,
+    "op8_token_files": op8_token_files,
     "op9_quality_rules": op9_quality_rules,
 }

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +53,19 @@ def tasks_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose texts have about ``most`` bytes; a longer text is a part of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    start, total = 0, 0
+    for k, size in enumerate(sizes):
+        if total and total + size > most:
+            yield batch.slice(start, k - start)
+            start, total = k, 0
+        total += int(size)
+    if start < len(batch):
+        yield batch.slice(start)
+
+
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a folder that every node reaches."""
     return pafs.FileSystem.from_uri(uri if ":/" in uri else os.path.abspath(uri))
