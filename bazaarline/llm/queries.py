@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarline.llm.line_dedup import kept_texts
+from bazaarline.llm.mixing import taken_words
 from bazaarline.llm.quality import judge_documents
 from bazaarline.llm.shared import table
 from bazaarline.llm.token_counts import token_counts
@@ -42,6 +43,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken_words(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary(COUNT_VOCABULARY), COUNT_LIMIT)
 
@@ -62,6 +67,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op3_line_dedup": op3_line_dedup,
+    "op4_mixing": op4_mixing,
     "op7_token_counts": op7_token_counts,
     "op8_token_files": op8_token_files,
     "op9_quality_rules": op9_quality_rules,

@@ -31,7 +31,9 @@ LISTED = np.dtype([("doc", "<i8"), ("known", "u1"), ("tokens", "<u8")])
 FRAME_BYTES = 1 << 18
 LEVEL = 3
 MAX_WORDS = 1_000_000  # words whose ids a worker keeps
-MARKS = (".", ",", ";", ":", "!", "?")
+# A mark between a letter and a blank is a piece of its own. Only letters that are one letter
+# after normalising, too.
+LAST_MARK = r"([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?])([ \n])"
 LONG_WORD = 48
 TEXT_BYTES = 4_000_000  # of the texts encoded at a time
 
@@ -43,9 +45,10 @@ class WordIds:
     """Ids of texts under a vocabulary that drops white space, word by word.
 
     Nothing in such a vocabulary goes across white space, so the ids of a text are those of its
-    words one after the other. Letters-only words are encoded many at a time and kept, up to a
-    fixed number; each of them ends with a token that ends a word. A mark after such a word is
-    a piece of its own. The library encodes all other words one by one.
+    words one after the other. The library encodes letters-only words many at a time, as each
+    ends with a token that ends a word, and others one by one; their ids are kept, up to a fixed
+    number. Texts are lower-cased and marks set apart first, which changes no id, unless they
+    may hold the text of a special token.
     """
 
     def __init__(self, path: str):
@@ -54,7 +57,9 @@ class WordIds:
 
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            told = json.load(file)
+        model = told["model"]
+        self.lower = any(n["type"] == "Lowercase" for n in told["normalizer"]["normalizers"])
         suffix = model["end_of_word_suffix"]
         self.ends = np.zeros(max(model["vocab"].values()) + 1, dtype=bool)
         self.ends[[n for token, n in model["vocab"].items() if token.endswith(suffix)]] = True
@@ -83,38 +88,40 @@ class WordIds:
 
     def ids_of(self, words: list[str]) -> list[bytes]:
         """The ids of different words, each as little-endian integers of two or four bytes."""
-        new = [w for w in words if w not in self.kept]
+        found = list(map(self.kept.get, words))
+        new = [k for k, ids in enumerate(found) if ids is None]
         if len(self.kept) + len(new) > MAX_WORDS:
             self.kept.clear()
-            new = words
-        marked = {w for w in new if w[-1:] in MARKS and w[:-1].isalpha()}
-        plain = {w for w in new if len(w) <= LONG_WORD and w.isalpha()}
-        plain |= {w[:-1] for w in marked if len(w) <= LONG_WORD}
-        self._keep(list(plain.difference(self.kept)))
-        others = [w for w in new if w not in marked and w not in self.kept]
-        others += [w[:-1] for w in marked if len(w) > LONG_WORD] + [*MARKS]
-        found = dict(zip(others, map(self._bytes, self._encode(others)), strict=True))
-        kept = self.kept
-
-        def ids(word: str) -> bytes:
-            known = kept.get(word)
-            return found[word] if known is None else known
-
-        return [ids(w[:-1]) + found[w[-1]] if w in marked else ids(w) for w in words]
+        letters = [words[k] for k in new if len(words[k]) <= LONG_WORD and words[k].isalpha()]
+        self._keep(letters)
+        others = [k for k in new if words[k] not in self.kept]
+        for k, ids in zip(others, self._encode([words[k] for k in others]), strict=True):
+            found[k] = self._bytes(ids)
+            if len(words[k]) <= LONG_WORD:
+                self.kept[words[k]] = found[k]
+        for k in new:
+            if found[k] is None:
+                found[k] = self.kept[words[k]]
+        return found
 
     def encode(self, texts: pa.Array, end_id: int) -> list[bytes]:
         """The ids of each text, ``end_id`` last. Words that come again are looked up once."""
-        words = pc.ascii_split_whitespace(texts)
+        if self.lower and not pc.any(pc.match_substring(texts, "<|")).as_py():
+            texts = pc.ascii_lower(texts)
+        words = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, LAST_MARK, r"\1 \2\3"))
         numbered = words.flatten().dictionary_encode()
         found = [*self.ids_of(numbered.dictionary.to_pylist()), self._bytes([end_id])]
         flat = np.frombuffer(b"".join(found), dtype="<u2" if self.small else "<u4")
         lengths = np.fromiter(map(len, found), "int64", len(found)) // flat.itemsize
         starts = np.cumsum(lengths) - lengths
         ends = np.asarray(words.offsets)[1:] - words.offsets[0].as_py()
-        at = np.insert(numbered.indices.to_numpy().astype("int64"), ends, len(found) - 1)
+        at = np.insert(numbered.indices.to_numpy(), ends, len(found) - 1)
         n = lengths[at]
         first = np.cumsum(n) - n
-        ids = flat[np.repeat(starts[at] - first, n) + np.arange(int(n.sum()))]
+        step = np.ones(int(n.sum()), dtype="int64")
+        used = np.flatnonzero(n)  # a blank at an end of a text makes an empty word
+        step[first[used]] = starts[at[used]] - np.concatenate([[0], (starts + lengths - 1)[at[used[:-1]]]])
+        ids = flat[np.cumsum(step)]
         cuts = (first + n)[ends + np.arange(len(ends))].tolist()
         return [ids[i:j].tobytes() for i, j in zip([0, *cuts], cuts, strict=False)]
 
