@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bazaarline.llm.queries import LINE_MIN_DOCS, URL_RULES
+from bazaarline.llm.queries import LINE_MIN_DOCS, REVISIT_BYTES, URL_RULES
 from bazaarline.llm.quality import SYMBOLS, QualityRules
 from bazaarline.llm.shared import SPACE
 
@@ -121,8 +121,24 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 from failed left join verdicts on failed.source = verdicts.source"""
 
 
+def _warc() -> str:
+    return f"""
+with p as (
+    select page_id, coalesce(html, '') as h, strlen(coalesce(html, '')) as payload_bytes from pages
+),
+first as (
+    select h, min(page_id) as first_page from p where payload_bytes >= {REVISIT_BYTES} group by h
+)
+select page_id, payload_bytes::bigint as payload_bytes, sha256(p.h) as payload_digest,
+    case when first_page is not null and page_id is distinct from first_page
+        then 'revisit' else 'response' end as record_type,
+    case when page_id is distinct from first_page then first_page end as refers_to
+from p left join first on p.h = first.h"""
+
+
 ORACLES: dict[str, str] = {
     "op1_url_rules": _url_rules(),
     "op3_line_dedup": _line_dedup(),
+    "op6_warc": _warc(),
     "op9_quality_rules": _quality(),
 }

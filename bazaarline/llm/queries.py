@@ -14,6 +14,7 @@ from bazaarline.llm.shared import table
 from bazaarline.llm.token_counts import token_counts
 from bazaarline.llm.token_files import documents_of
 from bazaarline.llm.url_rules import RULE_SCHEMA, judge_urls
+from bazaarline.llm.warc import round_trip
 
 URL_RULES = [
     ("net", "/", "block"),
@@ -22,6 +23,7 @@ URL_RULES = [
     ("org", "/fr/", "allow"),
 ]
 LINE_MIN_DOCS = 10
+REVISIT_BYTES = 100
 COUNT_VOCABULARY, COUNT_LIMIT = "byte_bpe_50k.json", 512
 FILE_VOCABULARY, END_ID = "word_bpe_49k.json", 2
 
@@ -47,6 +49,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"), REVISIT_BYTES)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary(COUNT_VOCABULARY), COUNT_LIMIT)
 
@@ -68,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op3_line_dedup": op3_line_dedup,
     "op4_mixing": op4_mixing,
+    "op6_warc": op6_warc,
     "op7_token_counts": op7_token_counts,
     "op8_token_files": op8_token_files,
     "op9_quality_rules": op9_quality_rules,
