@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bazaarline.llm.decontaminate import leaked
+from bazaarline.llm.licenses import scan
 from bazaarline.llm.line_dedup import kept_texts
 from bazaarline.llm.mixing import taken_words
+from bazaarline.llm.near_dedup import classes
 from bazaarline.llm.quality import judge_documents
 from bazaarline.llm.shared import table
 from bazaarline.llm.token_counts import token_counts
@@ -40,6 +43,10 @@ def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classes(table(spark, sf_dir, "documents")).rows.select("doc_id", "class_id", "class_rows")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = kept_texts(table(spark, sf_dir, "documents"), LINE_MIN_DOCS, keep_first=False)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -49,6 +56,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("tag")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"), REVISIT_BYTES)
 
@@ -70,12 +82,19 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
+    "op2_near_dedup": op2_near_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_mixing": op4_mixing,
+    "op5_decontamination": op5_decontamination,
     "op6_warc": op6_warc,
     "op7_token_counts": op7_token_counts,
     "op8_token_files": op8_token_files,
     "op9_quality_rules": op9_quality_rules,
+    "op10_licenses": op10_licenses,
 }

@@ -5,26 +5,60 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from bazaarline.llm.decontaminate import without_leaks
+from bazaarline.llm.mixing import mixed_texts
+from bazaarline.llm.near_dedup import one_of_each
 from bazaarline.llm.quality import judge_documents
-from bazaarline.llm.shared import table
+from bazaarline.llm.queries import END_ID, FILE_VOCABULARY, vocabulary
+from bazaarline.llm.shared import stored, table
+from bazaarline.llm.token_files import documents_of
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules and their host's verdict keep."""
+    """Documents that the rules on their text and the verdict on their source keep."""
     return judge_documents(docs).where("kept").select(*docs.columns)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality rules", quality_rules)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates, that with the least id."""
+    return one_of_each(docs)
 
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in whose text no benchmark item was found."""
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The words that the mix takes, a row per document and turn."""
+    return mixed_texts(docs)
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of the mix, written to files and read back: place, number and checksum."""
+    read = documents_of(docs, vocabulary(FILE_VOCABULARY), END_ID)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_rules),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources to target weights", mixing),
+    ("token-ID / binary output", token_files),
+]
+
+# Consistent samples, pseudorandom permutations and a tokenizer are not SQL.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents."""
+    """All stages over the documents; what a stage keeps is stored, as the next reads it often."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.split(" ")[0].lower())
+    return STAGES[-1][1](spark, docs, sf_dir)
