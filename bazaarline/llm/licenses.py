@@ -181,10 +181,10 @@ def matches(index: Index, text: np.ndarray, places: np.ndarray, hashes: np.ndarr
             lo = max(shift - BAND, 0)
             matched, columns, start, end = align(words, text[lo : shift + len(words) + BAND], shift - lo)
             if matched >= MIN_IDENTITY * columns:
-                found.append((matched / columns, matched, template, columns, start + lo, end + lo))
+                found.append((matched, matched / columns, template, columns, start + lo, end + lo))
     kept: list[tuple] = []
     taken: list[tuple[int, int]] = []
-    for identity, matched, template, columns, start, end in sorted(found, key=lambda f: (-f[0], -f[1], f[2], f[4])):
+    for matched, _, template, columns, start, end in sorted(found, key=lambda f: (-f[0], -f[1], f[2], f[4])):
         if all(end <= a or b <= start for a, b in taken):
             taken.append((start, end))
             kept.append((template, matched, columns, start, end))
@@ -240,7 +240,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     ``GRAM + WINNOW - 1`` words in common share a fingerprint; shorter templates are looked up
     by all their grams. Every diagonal with a common fingerprint is aligned within a band, and
     places where at least ``MIN_IDENTITY`` of the alignment's columns are equal words are
-    reported; of overlapping places the one with the larger share, then the longer, stays.
+    reported; of overlapping places the one with more equal words, then the larger share, stays.
     ``coverage`` is the share of the template's words, the span is in characters.
 
     Null and empty texts have no places. Null and repeated ids keep their rows; rows equal in

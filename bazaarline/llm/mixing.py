@@ -135,15 +135,15 @@ def _place(value: int, size: int, key: int) -> int:
 # --- blocks ----------------------------------------------------------------------------------
 
 
-def row_hash(docs: DataFrame) -> Column:
-    """A hash of the whole row. Rows of the same hash are taken for the same."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+def row_hash() -> Column:
+    """A hash of the row's id, source and text; rows with the same one may take each other's place."""
+    return F.xxhash64("doc_id", "source", text_or_empty("text"))
 
 
 def sized(docs: DataFrame) -> DataFrame:
     """``doc_id, source, mix_size, mix_hash``: words of the text, and the hash of the row."""
     size = F.regexp_count(text_or_empty("text"), F.lit(WORD)).cast("long")
-    return docs.select("doc_id", "source", size.alias("mix_size"), row_hash(docs).alias("mix_hash"))
+    return docs.select("doc_id", "source", size.alias("mix_size"), row_hash().alias("mix_hash"))
 
 
 def packed(rows: DataFrame, sources: DataFrame) -> DataFrame:
@@ -308,7 +308,7 @@ class Mixed:
 
 
 def mixed(docs: DataFrame, mix: Mix = Mix()) -> Mixed:
-    """Draw a mix of the sources of ``docs`` (``doc_id, text, source``; other columns only tell rows apart).
+    """Draw a mix of the sources of ``docs`` (``doc_id, text, source``; other columns are ignored).
 
     The words of a source, its rows in the order of a hash, are one stream that is cut into
     blocks of fixed length; a block may hold pieces of several rows. The quota of a source is
@@ -317,7 +317,7 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> Mixed:
     block by a pseudorandom permutation of its blocks, a new one for every turn, so no word is
     taken more often than ``most`` times; slots and blocks are joined by (source, block).
 
-    Null texts have no words. A null source is a source, the last. Rows equal in every column
+    Null texts have no words. A null source is a source, the last. Rows equal in these columns
     follow each other in the stream and may swap their places. Rows without words are in
     ``rows`` and in no piece. An empty table has no targets and no pieces. One row per source comes to the driver: the sources are what
     the weights are stated for.
@@ -381,8 +381,8 @@ def mixed_texts(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     copies = Window.partitionBy("mix_hash").orderBy("mix_start")
     placed = drawn.rows.where("mix_size > 0").withColumn("copy", F.row_number().over(copies))
     placed = placed.join(runs.hint("shuffle_merge"), ["mix_source", "mix_start"]).select("mix_hash", "copy", "turns")
-    whole = docs.select(F.struct("*").alias("row"), row_hash(docs).alias("mix_hash")).withColumn(
-        "copy", F.row_number().over(Window.partitionBy("mix_hash").orderBy("mix_hash"))
+    whole = docs.select(F.struct("*").alias("row"), row_hash().alias("mix_hash")).withColumn(
+        "copy", F.row_number().over(Window.partitionBy("mix_hash").orderBy(F.xxhash64("row")))
     )
     taken = whole.join(placed.hint("shuffle_merge"), ["mix_hash", "copy"]).select(
         "row", F.explode("turns").alias("runs"), text_or_empty("row.text").alias("text")

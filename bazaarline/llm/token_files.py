@@ -30,12 +30,13 @@ LISTED = np.dtype([("doc", "<i8"), ("known", "u1"), ("tokens", "<u8")])
 
 FRAME_BYTES = 1 << 18
 LEVEL = 3
-MAX_WORDS = 1_000_000  # words whose ids a worker keeps
+MAX_WORDS = 300_000  # words whose ids a worker keeps, twice as many with older ones
 # A mark between a letter and a blank is a piece of its own. Only letters that are one letter
 # after normalising, too.
 LAST_MARK = r"([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?])([ \n])"
 LONG_WORD = 48
-TEXT_BYTES = 4_000_000  # of the texts encoded at a time
+RUN_DOCS, READ_DOCS = 512, 8192  # documents that are one row, and that a task reads, about
+TEXT_BYTES = 2_000_000  # of the texts encoded at a time
 
 
 # --- ids of texts ---------------------------------------------------------------------------
@@ -64,6 +65,7 @@ class WordIds:
         self.ends = np.zeros(max(model["vocab"].values()) + 1, dtype=bool)
         self.ends[[n for token, n in model["vocab"].items() if token.endswith(suffix)]] = True
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # kept before; a word met again moves back
 
     def _bytes(self, ids) -> bytes:
         return np.array(ids, dtype="<u2" if self.small else "<u4").tobytes()
@@ -91,17 +93,19 @@ class WordIds:
         found = list(map(self.kept.get, words))
         new = [k for k, ids in enumerate(found) if ids is None]
         if len(self.kept) + len(new) > MAX_WORDS:
-            self.kept.clear()
-        letters = [words[k] for k in new if len(words[k]) <= LONG_WORD and words[k].isalpha()]
+            self.older, self.kept = self.kept, {}
+        kept, older = self.kept, self.older
+        kept.update((words[k], older[words[k]]) for k in new if words[k] in older)
+        letters = [w for w in (words[k] for k in new) if w not in kept and len(w) <= LONG_WORD and w.isalpha()]
         self._keep(letters)
-        others = [k for k in new if words[k] not in self.kept]
+        others = [k for k in new if words[k] not in kept]
         for k, ids in zip(others, self._encode([words[k] for k in others]), strict=True):
             found[k] = self._bytes(ids)
             if len(words[k]) <= LONG_WORD:
-                self.kept[words[k]] = found[k]
+                kept[words[k]] = found[k]
         for k in new:
             if found[k] is None:
-                found[k] = self.kept[words[k]]
+                found[k] = kept[words[k]]
         return found
 
     def encode(self, texts: pa.Array, end_id: int) -> list[bytes]:
@@ -256,7 +260,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     harm.
     """
     spark = docs.sparkSession
-    ids = stored(encoded(docs, vocabulary, end_id), "token-ids")
+    ids = stored(encoded(docs, vocabulary, end_id), "token-ids", compression="zstd")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = open_store(folder)
@@ -307,7 +311,7 @@ def read_token_files(files: DataFrame, folder: str) -> DataFrame:
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                starts = np.arange(0, row["documents"], 512)
+                starts = np.arange(0, row["documents"], RUN_DOCS)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row["file"]] * len(starts)),
@@ -325,7 +329,7 @@ def read_token_files(files: DataFrame, folder: str) -> DataFrame:
                 if row["file"] != name:
                     name = row["file"]
                     reader = FrameReader(store.open_input_file(f"{root}/{name}"))
-                ks = range(row["run"], min(row["run"] + 512, len(reader.listed)))
+                ks = range(row["run"], min(row["run"] + RUN_DOCS, len(reader.listed)))
                 told = reader.listed[ks.start : ks.stop]
                 ids = [reader.document(k) for k in ks]
                 known = told["known"].astype(bool)
@@ -339,10 +343,11 @@ def read_token_files(files: DataFrame, folder: str) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids"],
                 )
 
+    documents = files.agg(F.sum("documents")).first()[0] or 0
     return (
         files.select("file", "documents", "first_token")
         .mapInArrow(runs, "file string, first_token bigint, run bigint")
-        .repartition("file", F.floor(F.col("run") / 8192))
+        .repartition(1 + documents // READ_DOCS, "file", F.floor(F.col("run") / READ_DOCS))
         .sortWithinPartitions("file", "run")
         .mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
     )

@@ -18,6 +18,7 @@ from bazaarline.sources.writers import fresh_path
 
 LEVEL = 6
 CHUNK = 1 << 20
+READ_RECORDS = 2000  # records that a task reads, about
 # Fixed values of the WARC format.
 VERSION = b"WARC/1.1\r\n"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -192,8 +193,8 @@ def normalise_archives(archives: DataFrame, source: str, folder: str) -> DataFra
                     names=["file", "record", "offset", "length", "record_type", "record_id"],
                 )
 
-    # A row per archive: one task for each.
-    apart = archives.select("file").repartition("file")
+    # Rows are small and their work is not: as many tasks as archives.
+    apart = archives.select("file").repartition(max(1, archives.count()))
     return stored(apart.mapInArrow(rewrite, INDEX_SCHEMA), "archive-index")
 
 
@@ -241,7 +242,9 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "record_id string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, payload binary"
-    return index.select("file", "offset", "length").mapInArrow(read, schema)
+    run = F.floor(F.col("record") / READ_RECORDS)
+    spread = index.repartition(max(1, index.count() // READ_RECORDS), "file", run).sortWithinPartitions("file", "offset")
+    return spread.select("file", "offset", "length").mapInArrow(read, schema)
 
 
 def page_of(urn: Column) -> Column:
