@@ -84,12 +84,18 @@ def windows(texts: DataFrame, keys: list[str], size: int) -> DataFrame:
     )
 
     def cut(forms: Column, lead: Column) -> Column:
-        count = F.greatest(F.size(forms) - lead - (size - 1), F.lit(0))
-        return F.transform(
-            F.slice(forms, lead + 1, F.least(count, F.lit(CHUNK))),
-            lambda first, k: F.struct(
-                F.xxhash64(first["form"], *[F.get(forms, lead + k + i)["form"] for i in range(1, size)]).alias("hash"),
-                F.array(*[F.get(forms, lead + k + i)["slot"] for i in range(size)]).alias("slots"),
+        """Hash and slots of the chunk's windows; a window is a slice of two plain arrays."""
+        count = F.least(F.greatest(F.size(forms) - lead - (size - 1), F.lit(0)), F.lit(CHUNK))
+
+        def window(form: Column, slot: Column, k: Column) -> Column:
+            at = lead + k + 1
+            return F.struct(F.xxhash64(F.slice(form, at, size)).alias("hash"), F.slice(slot, at, size).alias("slots"))
+
+        return let(
+            forms["form"],
+            lambda form: let(
+                forms["slot"],
+                lambda slot: F.transform(F.slice(form, lead + 1, count), lambda first, k: window(form, slot, k)),
             ),
         )
 

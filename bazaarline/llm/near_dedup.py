@@ -24,6 +24,10 @@ CHUNK = 1 << 15  # shingles sampled at a time
 COUNTERS = 1 << 20
 SLICES = 16
 BROADCAST_ROWS = 500_000
+# Comparisons of a bucket that are made as rows; larger ones are made by blocks of members.
+SMALL = 256
+WAITING_BLOCK, MEMBER_BLOCK = 256, 1024
+SIGMAS = 3.5
 ROUNDING = 1e-9
 
 
@@ -94,7 +98,11 @@ def shingles_of(texts: pa.Array, size: int) -> Shingles:
 
 
 def inverse_frequencies(texts: DataFrame, near: Near) -> np.ndarray:
-    """Weight of each counter: ``ln((1 + texts) / (1 + texts with it)) + 1``, over all texts.
+    """Weight of each counter over all texts: 1 plus ``ln((1 + texts) / (1 + texts with it))`` as a
+    share of its largest value, so between 1 and 2.
+
+    A rare shingle weighs twice as much as one that all texts have and no more: were it more,
+    a group of near-copies would lose its likeness by its own size.
 
     A task counts into one table of fixed size and hands on its slices; each slice is summed as
     a stream. The driver gets the sums, a table of the same fixed size.
@@ -136,7 +144,8 @@ def inverse_frequencies(texts: DataFrame, near: Near) -> np.ndarray:
     for row in sums:
         frequency[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(zlib.decompress(row["counts"]), "int64")
     n = sum(row["texts"] for row in sums)
-    return np.log((1 + n) / (1 + np.minimum(frequency, n))) + 1
+    inverse = np.log((1 + n) / (1 + np.minimum(frequency, n)))
+    return 1 + inverse / max(float(inverse.max()), 1e-9)
 
 
 # --- samples ----------------------------------------------------------------------------------
@@ -209,11 +218,11 @@ def similarity(left: bytes, right: bytes, idf: np.ndarray) -> float:
 
 
 def sketched(docs: DataFrame, near: Near) -> tuple[DataFrame, object]:
-    """``doc_id, tag, node, vector, b0, b1, ...`` of every row, stored, and the weights."""
+    """``doc_id, tag, node, vector, sketch, b0, b1, ...`` of every row, stored, and the weights."""
     texts = docs.select("doc_id", text_or_empty("text").alias("text"))
     idf = inverse_frequencies(texts, near)
     weights = docs.sparkSession.sparkContext.broadcast(idf)
-    names = ["doc_id", "tag", "node", "vector", *(f"b{k}" for k in range(near.bands))]
+    names = ["doc_id", "tag", "node", "vector", "sketch", *(f"b{k}" for k in range(near.bands))]
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,20 +236,23 @@ def sketched(docs: DataFrame, near: Near) -> tuple[DataFrame, object]:
                 for k in range(near.rows):
                     mixed = _scramble(mixed ^ drawn[:, k :: near.rows])
                 bands[found.texts] = mixed
-                vectors = [b""] * len(part)
+                vectors, sketches = [b""] * len(part), [b"\0" * (2 * near.bands * near.rows)] * len(part)
+                short = drawn.astype("uint16")
                 ends = np.append(found.starts[1:], len(found.hashes))
-                for text, a, b in zip(found.texts.tolist(), found.starts.tolist(), ends.tolist(), strict=True):
+                for k, (text, a, b) in enumerate(zip(found.texts.tolist(), found.starts.tolist(), ends.tolist(), strict=True)):
                     vectors[text] = pack_vector(found.hashes[a:b], found.counts[a:b])
+                    sketches[text] = short[k].tobytes()
                 columns = [
                     part.column(0),
                     part.column(1),
                     pa.array(found.nodes, pa.binary()),
                     pa.array(vectors, pa.binary()),
+                    pa.array(sketches, pa.binary()),
                     *(pa.array(bands[:, k].astype("int64")) for k in range(near.bands)),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = "doc_id bigint, tag bigint, node binary, vector binary, " + ", ".join(f"b{k} bigint" for k in range(near.bands))
+    schema = "doc_id bigint, tag bigint, node binary, vector binary, sketch binary, " + ", ".join(f"b{k} bigint" for k in range(near.bands))
     rows = texts.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tag"), "text")
     return stored(rows.mapInArrow(sketch, schema), "sketches"), weights
 
@@ -273,88 +285,135 @@ def verified(pairs: DataFrame, vectors: DataFrame, weights) -> DataFrame:
     return stored(both.mapInArrow(compare, "a binary, b binary, similarity double"), "similarities")
 
 
-def links(nodes: DataFrame, vectors_of, weights, near: Near) -> DataFrame:
-    """``a, b`` of linked nodes: every two nodes that share a band and are similar are connected.
+def linked(nodes: DataFrame, details_of, weights, near: Near) -> DataFrame:
+    """``node, root`` of the nodes that are linked to others: their components.
 
-    In each bucket a few members lead; all others are compared with them. Members similar to a
-    leader lead no more; the others do in later rounds, several times as many each round, until
-    none is left. One minus the weighted similarity is a metric, so a member whose distance to
-    an earlier leader differs from the new leader's by more than the limit can't be similar to
-    it and is not compared. What is compared thus follows the members of a bucket, not their
-    pairs, where they are copies of each other.
+    Nodes that share a band value meet in its bucket. First every bucket's members are compared
+    with one of them, that which meets most others, and the links make components. Then all
+    pairs of a bucket that are still in different components are compared, but for those inside
+    its largest one, which are connected: in small buckets as rows, in large ones block by
+    block inside tasks, where only links come out. So copies of each other cost one comparison
+    each, and any two members of a bucket end up compared or connected.
     """
-    spark = nodes.sparkSession
     bands = F.array(*[F.xxhash64(F.lit(k), f"b{k}") for k in range(near.bands)])
-    exploded = nodes.select("node", F.explode(bands).alias("bucket"))
-    shared = exploded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = stored(
-        exploded.join(shared.hint("shuffle_merge"), "bucket").select(
-            "bucket",
-            "node",
-            F.xxhash64("node", "bucket").alias("order"),
-            F.lit(True).alias("open"),
-            F.expr("cast(array() as array<double>)").alias("told"),
-        ),
-        "buckets",
+    exploded = nodes.select("node", F.posexplode(bands).alias("band", "bucket"))
+    shared = exploded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(exploded.join(shared.hint("shuffle_merge"), "bucket").select("bucket", "band", "node", "n"), "buckets")
+    details = details_of(members)
+    vectors = details.select("node", "vector")
+
+    meets = members.groupBy("node").agg(F.sum("n").alias("meets"))
+    ranked = members.join(meets.hint("shuffle_merge"), "node").select("bucket", "node", "meets")
+    center = ranked.groupBy("bucket").agg(F.max(F.struct("meets", "node"))["node"].alias("center"))
+    pairs = (
+        ranked.join(center.hint("shuffle_merge"), "bucket")
+        .where("node != center")
+        .select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
+        .distinct()
     )
-    vectors = vectors_of(members)
-    known = None
-    limit = 1 - near.similarity
-    leading = 1
-    while not members.where("open").isEmpty():
-        ranked = members.where("open").withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("order", "node")))
-        leaders = stored(
-            ranked.where(F.col("rank") <= leading).select(
-                "bucket", F.col("node").alias("leader"), F.col("rank").alias("led"), F.col("told").alias("leader_told")
-            ),
-            "leaders",
-        )
-        far = F.exists(
-            F.zip_with("told", "leader_told", lambda x, y: F.abs(x - y) > limit + ROUNDING), lambda x: F.coalesce(x, F.lit(False))
-        )
-        compared = stored(
-            members.join(leaders.hint("shuffle_merge"), "bucket")
-            .where((F.col("node") != F.col("leader")) & ~far)
-            .select(
-                "bucket", "node", "led",
-                F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"),
-            ),
-            "compared",
-        )
-        pairs = compared.select("a", "b").distinct()
-        if known is not None:
-            pairs = pairs.join(known.hint("shuffle_merge"), ["a", "b"], "left_anti")
-        new = verified(pairs, vectors, weights)
-        known = new if known is None else known.unionByName(new)
-        distances = compared.join(known.hint("shuffle_merge"), ["a", "b"]).select(
-            "bucket", "node", F.struct("led", (1 - F.col("similarity")).alias("distance")).alias("one")
-        )
-        distances = distances.groupBy("bucket", "node").agg(F.collect_list("one").alias("some"))
-        led = leaders.groupBy("bucket").agg(F.max("led").alias("leaders"))
-        led_nodes = leaders.select("bucket", F.col("leader").alias("node"), F.lit(True).alias("leads"))
-        told = F.transform(
-            F.sequence(F.lit(1), F.col("leaders")),
-            lambda k: F.get(F.filter("some", lambda one: one["led"] == k), F.lit(0))["distance"],
-        )
-        near_one = F.exists(F.coalesce("some", F.array()), lambda one: one["distance"] <= limit + ROUNDING)
-        members = stored(
-            members.join(led.hint("shuffle_merge"), "bucket")
-            .join(distances.hint("shuffle_merge"), ["bucket", "node"], "left")
-            .join(led_nodes.hint("shuffle_merge"), ["bucket", "node"], "left")
-            .select(
-                "bucket",
-                "node",
-                "order",
-                (F.col("open") & F.col("leads").isNull() & ~near_one).alias("open"),
-                F.concat("told", F.when(F.col("some").isNotNull(), told).otherwise(
-                    F.array_repeat(F.lit(None).cast("double"), F.col("leaders")))).alias("told"),
-            ),
-            "buckets",
-        )
-        leading *= 4
-    if known is None:
-        return spark.createDataFrame([], "a binary, b binary")
-    return known.where(F.col("similarity") >= near.similarity - ROUNDING).select("a", "b")
+    first = verified(pairs, vectors, weights)
+    roots = _joined(members.sparkSession.createDataFrame([], "node binary, root binary"), _links(first, near))
+
+    now = members.join(roots.hint("shuffle_merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = now.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("bucket").agg(
+        F.max(F.struct("n", "root")).alias("largest"), F.sum("n").alias("all"), F.count("*").alias("roots")
+    )
+    largest = largest.where("roots > 1").select(
+        "bucket", F.col("largest.root").alias("main"), F.col("all") - F.col("largest.n") > F.lit(SMALL) / F.col("all")
+    ).toDF("bucket", "main", "large")
+    now = now.drop("n").join(largest.hint("shuffle_merge"), "bucket").withColumn("waits", F.col("root") != F.col("main"))
+    now = stored(now.select("bucket", "band", "node", "root", "waits", "large"), "rooted")
+
+    small = now.where("not large")
+    waiting = small.where("waits").select("bucket", F.col("node").alias("other"), F.col("root").alias("other_root"))
+    pairs = (
+        small.join(waiting.hint("shuffle_merge"), "bucket")
+        .where("root != other_root")
+        .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+        .distinct()
+        .join(first.select("a", "b").hint("shuffle_merge"), ["a", "b"], "left_anti")
+    )
+    rest = _links(verified(pairs, vectors, weights), near)
+    found = stored(_links_by_blocks(now.where("large"), details, weights, near), "block-links")
+    return _joined(roots, rest.unionByName(found))
+
+
+def _links(told: DataFrame, near: Near) -> DataFrame:
+    return told.where(F.col("similarity") >= near.similarity - ROUNDING).select("a", "b")
+
+
+def _links_by_blocks(now: DataFrame, details: DataFrame, weights, near: Near) -> DataFrame:
+    """``a, b``: links between different components in large buckets.
+
+    The waiting members of a bucket are cut into blocks, all its members into others, and each
+    two blocks meet in one task. There a pair is compared in the first band it shares, if its
+    samples agree often enough for it to be likely at all: the number that agree has a
+    binomial distribution, and the limit is ``SIGMAS`` deviations below its mean at the
+    similarity asked for.
+    """
+    number = near.bands * near.rows
+    mean, deviation = near.similarity * number, (near.similarity * (1 - near.similarity) * number) ** 0.5
+    agreeing = int(mean - SIGMAS * deviation)
+    full = now.join(details.hint("shuffle_merge"), "node")
+    place = F.pmod(F.xxhash64("node"), F.lit(1 << 30))
+    counts = now.groupBy("bucket").agg(F.count_if("waits").alias("w"), F.count("*").alias("m")).select(
+        "bucket",
+        F.ceil(F.col("w") / WAITING_BLOCK).cast("int").alias("w"),
+        F.ceil(F.col("m") / MEMBER_BLOCK).cast("int").alias("m"),
+    )
+    full = full.join(counts.hint("shuffle_merge"), "bucket")
+    columns = ["bucket", "wb", "mb", "band", "node", "root", "bands", "sketch", "vector"]
+    left = full.where("waits").withColumn("wb", place % F.col("w")).withColumn("mb", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+    right = full.withColumn("mb", place % F.col("m")).withColumn("wb", F.explode(F.sequence(F.lit(0), F.col("w") - 1)))
+    keys = ["bucket", "wb", "mb"]
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        links: list[tuple[bytes, bytes]] = []
+        if len(left) and len(right):
+            band = left["band"][0].as_py()
+            lefts, rights = ({c: t[c].to_pylist() for c in ("node", "root", "vector")} for t in (left, right))
+            lb, rb = (np.array(t["bands"].to_pylist(), dtype="int64") for t in (left, right))
+            ls, rs = (np.frombuffer(b"".join(t["sketch"].to_pylist()), "uint16").reshape(len(t), -1) for t in (left, right))
+            agree = np.zeros((len(left), len(right)), dtype="uint16")
+            for k in range(ls.shape[1]):
+                agree += ls[:, k, None] == rs[None, :, k]
+            wanted = agree >= agreeing
+            for k in range(band):
+                wanted &= lb[:, k, None] != rb[None, :, k]
+            joined: dict[bytes, bytes] = {}
+
+            def top(root: bytes) -> bytes:
+                while (up := joined.get(root, root)) != root:
+                    root = up
+                return root
+
+            for i, j in zip(*(x.tolist() for x in np.nonzero(wanted)), strict=True):
+                a, b = top(lefts["root"][i]), top(rights["root"][j])
+                if a != b and similarity(lefts["vector"][i], rights["vector"][j], weights.value) >= near.similarity - ROUNDING:
+                    joined[max(a, b)] = min(a, b)
+                    links.append((lefts["node"][i], rights["node"][j]))
+        return pa.table([pa.array([x[k] for x in links], pa.binary()) for k in range(2)], names=["a", "b"])
+
+    # New names for the columns of one side, as both come from one table.
+    right = right.select(*[F.col(c).alias(f"r_{c}") for c in columns]).toDF(*columns)
+    return left.select(*columns).groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "a binary, b binary")
+
+
+def _joined(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """The components after some more links."""
+    old = roots.hint("shuffle_merge")
+    between = (
+        edges.join(old.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
+        .join(old.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
+        .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+        .where("a != b")
+    )
+    tops = components(between)
+    # Old members move with their root, roots of old components and single nodes by themselves.
+    higher = tops.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    moved = roots.join(higher.hint("shuffle_merge"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return stored(moved.unionByName(tops).distinct(), "roots")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -399,7 +458,7 @@ def classes(docs: DataFrame, near: Near = Near()) -> Classes:
     Texts are sets of word shingles with weights tf times idf, see :func:`shingles_of` and
     :func:`inverse_frequencies`. Texts with the same words in order are one node, whatever
     their case and white space. Nodes that share a band of samples are candidates, see
-    :func:`links`; classes are the connected components of the links. ``class_id`` is the least
+    :func:`linked`; classes are the connected components of the links. ``class_id`` is the least
     ``doc_id`` of the class; rows without an id do not give one unless all have none.
 
     A row for each row of ``docs``. Null texts are empty; all texts without words are one
@@ -412,12 +471,14 @@ def classes(docs: DataFrame, near: Near = Near()) -> Classes:
         rows.groupBy("node").agg(*[F.min(b).alias(b) for b in bands], _least("least"), F.count("*").alias("n")), "nodes"
     )
 
-    def vectors_of(members: DataFrame) -> DataFrame:
+    def details_of(members: DataFrame) -> DataFrame:
+        """What equal nodes have in common: the band values, the samples and the vector."""
         wanted = stored(members.select("node").distinct(), "wanted")
-        found = rows.select("node", "vector").join(small_or_merged(wanted), "node", "left_semi")
-        return stored(found.groupBy("node").agg(F.first("vector").alias("vector")), "vectors")
+        found = rows.select("node", F.struct(F.array(*bands).alias("bands"), "sketch", "vector").alias("d"))
+        found = found.join(small_or_merged(wanted), "node", "left_semi")
+        return stored(found.groupBy("node").agg(F.first("d").alias("d")).select("node", "d.*"), "details")
 
-    roots = components(links(nodes.select("node", *bands), vectors_of, weights, near))
+    roots = linked(nodes.select("node", *bands), details_of, weights, near)
     rooted = nodes.select("node", "least", "n").join(roots.hint("shuffle_merge"), "node", "left")
     rooted = stored(rooted.withColumn("root", F.coalesce("root", "node")), "rooted")
     whole = rooted.groupBy("root").agg(F.min("least").alias("least"), F.sum("n").alias("class_rows"))
