@@ -36,76 +36,105 @@ class Leaks:
     tokens: int = 30
 
 
-def tokens_of(text: Column) -> Column:
-    """Words in lower case without marks; a name begins with ``NAME``.
-
-    Marks between digits join them and letters after digits are apart. A name is a word with a
-    capital that follows another word on its line without a full stop between them.
-    """
+def marked(text: Column) -> Column:
+    """The text with ``NAME`` before names and ``JOIN`` for marks between digits, letters after
+    digits apart. A name is a word with a capital that follows another word on its line
+    without a full stop between them."""
     text = F.when(
         text.rlike("[0-9]"),
         F.regexp_replace(
             F.regexp_replace(text, "(?<=[0-9])[.,:/](?=[0-9])", JOIN), "(?<=[0-9])(?=\\p{L})", " "
         ),
     ).otherwise(text)
-    named = F.regexp_replace(text, "(?<=[\\p{L}\\p{N},;][ \\t])(?=\\p{Lu})", NAME)
-    plain = F.regexp_replace(F.lower(named), f"[^\\p{{L}}\\p{{M}}\\p{{N}}{NAME}{JOIN}]+", " ")
+    return F.regexp_replace(text, "(?<=[\\p{L}\\p{N},;][ \\t])(?=\\p{Lu})", NAME)
+
+
+def tokens_of(told: Column) -> Column:
+    """Words of a marked text in lower case and without punctuation."""
+    plain = F.regexp_replace(F.lower(told), f"[^\\p{{L}}\\p{{M}}\\p{{N}}{NAME}{JOIN}]+", " ")
     return F.filter(F.split(plain, " "), lambda w: w != "")
 
 
+def has_slots(told: Column) -> Column:
+    return told.rlike(f"[0-9{NAME}]")
+
+
 def _is_number(token: Column) -> Column:
     return token.substr(1, 1).between("0", "9")
 
 
-def slots_and_forms(tokens: Column) -> Column:
-    """Per token: ``form``, a hash of the token or of its type, and ``slot``, a hash of the value
-    behind a type, null for literals."""
+def _kind(tokens: Column, token: Column, k: Column) -> Column:
+    """The type of a token, null for a literal. A token right after a number may be a unit."""
+    unit = token.isin(UNITS) & (k > 0) & _is_number(F.get(tokens, k - 1))
+    return (
+        F.when(_is_number(token), F.lit("#number"))
+        .when(F.startswith(token, F.lit(NAME)), F.lit("#name"))
+        .when(unit, F.lit("#unit"))
+    )
 
-    def one(token: Column, k: Column) -> Column:
-        # A token right after a number may be a unit.
-        unit = token.isin(UNITS) & (k > 0) & _is_number(F.get(tokens, k - 1))
-        kind = F.when(_is_number(token), F.lit("#number")).when(F.startswith(token, F.lit(NAME)), F.lit("#name")).when(unit, F.lit("#unit"))
-        return F.struct(
-            F.xxhash64(F.coalesce(kind, token)).alias("form"),
-            F.when(kind.isNotNull(), F.xxhash64(token)).alias("slot"),
-        )
 
-    return F.transform(tokens, one)
+def forms_of(tokens: Column, slotted: Column) -> Column:
+    """A hash of each token, or of its type. A text without numbers and names has literals only."""
+    typed = F.transform(tokens, lambda t, k: F.xxhash64(F.coalesce(_kind(tokens, t, k), t)))
+    return F.when(slotted, typed).otherwise(F.transform(tokens, lambda t: F.xxhash64(t)))
+
+
+def slots_of(tokens: Column, slotted: Column) -> Column:
+    """A hash of the value behind each type, null for literals; null for a text without any."""
+    return F.when(slotted, F.transform(tokens, lambda t, k: F.when(_kind(tokens, t, k).isNotNull(), F.xxhash64(t))))
+
+
+def window_hashes(forms: Column, size: int) -> Column:
+    """A hash of every ``size`` forms from each place on, built from those of half as many.
+
+    The last ``size - 1`` hashes are of shorter windows.
+    """
+
+    def joined(first: Column, second: Column, shift: int) -> Column:
+        return F.zip_with(first, F.slice(second, shift + 1, F.size(second)), lambda x, y: F.xxhash64(x, y))
+
+    def build(n: int, body):
+        if n == 1:
+            return body(forms)
+        if n % 2:
+            return build(n - 1, lambda h: body(joined(h, forms, n - 1)))
+        return build(n // 2, lambda h: let(h, lambda one: body(joined(one, one, n // 2))))
+
+    return build(size, lambda h: h)
 
 
 def windows(texts: DataFrame, keys: list[str], size: int) -> DataFrame:
     """Rows ``keys, at, hash, slots`` for every window of ``size`` tokens of the column ``text``.
 
     A text is cut into overlapping chunks first, so a row holds a bounded number of windows.
+    ``slots`` is null for texts without numbers and names.
     """
     chunks = F.transform(
         F.sequence(F.lit(0), F.greatest(F.size("tokens") - size, F.lit(0)), F.lit(CHUNK)),
         lambda start: F.struct(start.alias("start"), F.slice("tokens", F.greatest(start, F.lit(1)), CHUNK + size).alias("tokens")),
     )
-
-    def cut(forms: Column, lead: Column) -> Column:
-        """Hash and slots of the chunk's windows; a window is a slice of two plain arrays."""
-        count = F.least(F.greatest(F.size(forms) - lead - (size - 1), F.lit(0)), F.lit(CHUNK))
-
-        def window(form: Column, slot: Column, k: Column) -> Column:
-            at = lead + k + 1
-            return F.struct(F.xxhash64(F.slice(form, at, size)).alias("hash"), F.slice(slot, at, size).alias("slots"))
-
-        return let(
-            forms["form"],
-            lambda form: let(
-                forms["slot"],
-                lambda slot: F.transform(F.slice(form, lead + 1, count), lambda first, k: window(form, slot, k)),
-            ),
-        )
-
+    lead, hashes, slots = F.col("lead"), F.col("hashes"), F.col("slots")
+    count = F.least(F.greatest(F.size(hashes) - lead - (size - 1), F.lit(0)), F.lit(CHUNK))
+    cut = F.transform(
+        F.slice(hashes, lead + 1, count),
+        lambda h, k: F.struct(
+            h.alias("hash"),
+            F.when(slots.isNotNull(), F.array(*[F.get(slots, lead + k + i) for i in range(size)])).alias("slots"),
+        ),
+    )
     return (
-        texts.select(*keys, tokens_of(text_or_empty("text")).alias("tokens"))
-        .select(*keys, F.explode(chunks).alias("chunk"))
-        # A chunk has the token before it, by which a first unit is known.
-        .withColumn("lead", F.when(F.col("chunk.start") > 0, F.lit(1)).otherwise(F.lit(0)))
-        .select(*keys, "chunk.start", "lead", let(F.col("chunk.tokens"), slots_and_forms).alias("forms"))
-        .select(*keys, "start", F.posexplode(cut(F.col("forms"), F.col("lead"))).alias("k", "window"))
+        texts.select(*keys, marked(text_or_empty("text")).alias("told"))
+        .select(*keys, tokens_of(F.col("told")).alias("tokens"), has_slots(F.col("told")).alias("slotted"))
+        .select(*keys, "slotted", F.explode(chunks).alias("chunk"))
+        # A later chunk has the token before it, by which a first unit is known.
+        .select(
+            *keys,
+            "chunk.start",
+            F.when(F.col("chunk.start") > 0, F.lit(1)).otherwise(F.lit(0)).alias("lead"),
+            window_hashes(let(F.col("chunk.tokens"), lambda t: forms_of(t, F.col("slotted"))), size).alias("hashes"),
+            let(F.col("chunk.tokens"), lambda t: slots_of(t, F.col("slotted"))).alias("slots"),
+        )
+        .select(*keys, "start", F.posexplode(cut).alias("k", "window"))
         .select(*keys, (F.col("start") + F.col("k")).alias("at"), "window.hash", "window.slots")
     )
 
@@ -116,13 +145,16 @@ def item_windows(benchmark: DataFrame, leaks: Leaks) -> DataFrame:
     Items that differ in their slots only are looked for once, under the least of their ids.
     """
     texts = benchmark.where("text is not null").select("item_id", "text")
-    forms = texts.select("item_id", "text", let(tokens_of(F.col("text")), slots_and_forms).alias("forms"))
-    shaped = forms.select("item_id", "text", F.size("forms").alias("item_tokens"), F.xxhash64(F.col("forms.form")).alias("shape"))
+    told = texts.select("item_id", "text", marked(F.col("text")).alias("told"))
+    forms = let(tokens_of(F.col("told")), lambda t: forms_of(t, has_slots(F.col("told"))))
+    shaped = told.select("item_id", "text", forms.alias("forms")).select(
+        "item_id", "text", F.size("forms").alias("item_tokens"), F.xxhash64("forms").alias("shape")
+    )
     first = shaped.groupBy("shape").agg(
         F.min(F.struct(F.col("item_id").isNull().alias("unknown"), "item_id", "text", "item_tokens")).alias("least")
     )
     items = first.select(F.col("least.item_id").alias("item"), F.col("least.item_tokens").alias("item_tokens"), F.col("least.text").alias("text"), "shape")
-    literal = F.size(F.filter("slots", lambda s: s.isNull()))
+    literal = F.coalesce(F.size(F.filter("slots", lambda s: s.isNull())), F.lit(leaks.window))
     return (
         windows(items, ["item", "shape", "item_tokens"], leaks.window)
         .where(literal >= leaks.literals)
@@ -151,10 +183,14 @@ def leaked(docs: DataFrame, benchmark: DataFrame, leaks: Leaks = Leaks()) -> Dat
     if index.count() <= BROADCAST_WINDOWS:
         index = F.broadcast(index)
     texts = docs.select("doc_id", text_or_empty("text").alias("text")).withColumn("tag", F.xxhash64("text"))
-    pairs = F.filter(
-        F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc")),
-        lambda pair: pair["item"].isNotNull(),
-    )
+    # Equal forms have their slots in the same places.
+    pairs = F.when(
+        F.col("item_slots").isNotNull() & F.col("slots").isNotNull(),
+        F.filter(
+            F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc")),
+            lambda pair: pair["item"].isNotNull(),
+        ),
+    ).otherwise(F.expr("cast(array() as array<struct<item: bigint, doc: bigint>>)"))
     hits = (
         windows(texts, ["doc_id", "tag"], leaks.window)
         .join(index, "hash")

@@ -356,7 +356,8 @@ def _links_by_blocks(now: DataFrame, details: DataFrame, weights, near: Near) ->
     mean, deviation = near.similarity * number, (near.similarity * (1 - near.similarity) * number) ** 0.5
     agreeing = int(mean - SIGMAS * deviation)
     full = now.join(details.hint("shuffle_merge"), "node")
-    place = F.pmod(F.xxhash64("node"), F.lit(1 << 30))
+    # An int on both sides: keys of a cogroup are dealt by their type, too.
+    place = F.pmod(F.xxhash64("node"), F.lit(1 << 30)).cast("int")
     counts = now.groupBy("bucket").agg(F.count_if("waits").alias("w"), F.count("*").alias("m")).select(
         "bucket",
         F.ceil(F.col("w") / WAITING_BLOCK).cast("int").alias("w"),

@@ -29,14 +29,14 @@ SEEK_ENTRY, SEEK_FOOTER = struct.Struct("<III"), struct.Struct("<IBI")
 LISTED = np.dtype([("doc", "<i8"), ("known", "u1"), ("tokens", "<u8")])
 
 FRAME_BYTES = 1 << 18
-LEVEL = 3
-MAX_WORDS = 300_000  # words whose ids a worker keeps, twice as many with older ones
+LEVEL = 1
+MAX_WORDS = 400_000  # words whose ids a worker keeps, twice as many with older ones
 # A mark between a letter and a blank is a piece of its own. Only letters that are one letter
 # after normalising, too.
 LAST_MARK = r"([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?])([ \n])"
 LONG_WORD = 48
 RUN_DOCS, READ_DOCS = 512, 8192  # documents that are one row, and that a task reads, about
-TEXT_BYTES = 2_000_000  # of the texts encoded at a time
+TEXT_BYTES = 4_000_000  # of the texts encoded at a time
 
 
 # --- ids of texts ---------------------------------------------------------------------------
