@@ -6,7 +6,8 @@ the version is current).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -14,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bazaarline.functions import hashed_key, hours_between
+from bazaarline.sources.commits import commit, committed
+from bazaarline.sources.commits import existing as _paths
 
 MANAGED = ("scd_id", "updated_at", "valid_from", "valid_to")
 
@@ -55,49 +58,76 @@ def open_versions(incoming: DataFrame, spec: HistorySpec, as_of: datetime) -> Da
     )
 
 
-def scd2_apply(
+def changes(
     open_rows: DataFrame, incoming: DataFrame, spec: HistorySpec, as_of: datetime
 ) -> DataFrame:
-    """The open versions of the previous run after this run's rows.
+    """What a run does to the open versions: the versions it closes and those it opens.
 
-    A new key opens a version, a changed row closes its version and opens another, an
-    unchanged row and a key missing from ``incoming`` keep theirs. Closed versions of
-    earlier runs never change and are not read. One full outer join on the key; both sides
-    hold one row per key.
+    A new key opens a version; a changed row closes its version and opens another; for an
+    unchanged row and a key missing from ``incoming`` nothing is returned. One outer join on
+    the key, in which a null key is a key like any other. Both sides hold one row per key;
+    :func:`snapshot` refuses inputs that do not.
     """
     data = incoming.columns
     fresh = open_versions(incoming, spec, as_of)
     old, new = F.col("__old"), F.col("__new")
-    pairs = open_rows.select(F.col(spec.key).alias("__key"), F.struct(*data, *MANAGED).alias("__old")).join(
-        fresh.select(F.col(spec.key).alias("__key"), F.struct(*data, *MANAGED).alias("__new")),
-        "__key",
-        "full",
+    left = open_rows.select(F.col(spec.key).alias("__old_key"), F.struct(*data, *MANAGED).alias("__old"))
+    right = fresh.select(F.col(spec.key).alias("__new_key"), F.struct(*data, *MANAGED).alias("__new"))
+    pairs = left.join(right, F.col("__old_key").eqNullSafe(F.col("__new_key")), "right")
+    closed = F.struct(
+        *[old[name].alias(name) for name in (*data, "scd_id", "updated_at", "valid_from")],
+        new["valid_from"].alias("valid_to"),
     )
-    if spec.updated_at:
-        changed = new["updated_at"] > old["updated_at"]
-    else:
-        changed = reduce(
-            lambda left, right: left | right,
-            [~old[name].eqNullSafe(new[name]) for name in spec.check],
-        )
+    versions = F.when(old.isNull(), F.array(new)).when(_changed(old, new, spec), F.array(closed, new))
+    return pairs.select(F.explode(versions).alias("__version")).select("__version.*")
+
+
+def scd2_apply(
+    open_rows: DataFrame, incoming: DataFrame, spec: HistorySpec, as_of: datetime
+) -> DataFrame:
+    """The open versions of the previous run after this run's rows: what :func:`changes`
+    returns and the versions it leaves as they are.
+
+    Closed versions of earlier runs never change and are not read.
+    """
+    data = incoming.columns
+    fresh = open_versions(incoming, spec, as_of)
+    old, new = F.col("__old"), F.col("__new")
+    left = open_rows.select(F.col(spec.key).alias("__old_key"), F.struct(*data, *MANAGED).alias("__old"))
+    right = fresh.select(F.col(spec.key).alias("__new_key"), F.struct(*data, *MANAGED).alias("__new"))
+    pairs = left.join(right, F.col("__old_key").eqNullSafe(F.col("__new_key")), "full")
     closed = F.struct(
         *[old[name].alias(name) for name in (*data, "scd_id", "updated_at", "valid_from")],
         new["valid_from"].alias("valid_to"),
     )
     versions = (
         F.when(old.isNull(), F.array(new))
-        .when(new.isNull() | ~F.coalesce(changed, F.lit(False)), F.array(old))
+        .when(new.isNull() | ~F.coalesce(_changed(old, new, spec), F.lit(False)), F.array(old))
         .otherwise(F.array(closed, new))
     )
     return pairs.select(F.explode(versions).alias("__version")).select("__version.*")
 
 
+def _changed(old: Column, new: Column, spec: HistorySpec) -> Column:
+    if spec.updated_at:
+        return new["updated_at"] > old["updated_at"]
+    return reduce(
+        lambda left, right: left | right,
+        [~old[name].eqNullSafe(new[name]) for name in spec.check],
+    )
+
+
 def current_versions(history: DataFrame) -> DataFrame:
     return history.where(F.col("valid_to").isNull())
 
 
-# Stored form: one folder per run, holding the versions closed in that run and all versions
-# open after it. Spark's own success marker commits a run; repeating a run replaces it.
+# Stored form: one folder per run with the versions closed and the versions opened in it, so a
+# run writes what it changed and nothing else. The versions open now are those opened in some
+# run and closed in none. ``compact`` writes them as a new base, in a folder of its own.
+# Each attempt at a run or base has its own folder; a small file named after the run, written
+# last, says which attempt counts.
+
+RUN, BASE = "run", "base"
 
 
 def run_label(as_of: datetime) -> str:
@@ -105,31 +135,47 @@ def run_label(as_of: datetime) -> str:
 
 
 def committed_runs(spark: SparkSession, root: str) -> list[str]:
-    """Labels of the finished runs that hold versions, oldest first."""
-    holding = {_run_of(path) for path in _paths(spark, f"{root}/run=*/state=open")}
-    finished = [_run_of(path) for path in _paths(spark, f"{root}/run=*/_SUCCESS")]
-    return [run for run in finished if run in holding]
+    """Labels of the finished runs, oldest first."""
+    return sorted(committed(spark, f"{root}/{RUN}"))
+
+
+class RepeatedKeys(ValueError):
+    """The input of a run has a key more than once."""
 
 
 def snapshot(
-    incoming: DataFrame, root: str, spec: HistorySpec, as_of: datetime, run: str | None = None
+    incoming: DataFrame,
+    root: str,
+    spec: HistorySpec,
+    as_of: datetime,
+    run: str | None = None,
+    check: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """One run: compare with the versions open after the run before it, store, read back.
 
-    Labels order the runs. The work grows with the open versions, not with the history.
+    Labels order the runs; repeating the last run replaces it. A key that occurs more than
+    once in ``incoming`` is refused, null as well as others. ``check`` gets the history as it
+    would be and may raise: the run is committed only after it. The work grows with the
+    changes since the last compaction and the open versions; what is written grows with the
+    changes of the run.
     """
     spark = incoming.sparkSession
     label = run or run_label(as_of)
     done = committed_runs(spark, root)
     if any(other > label for other in done):
         raise ValueError(f"run {label} is older than the last run {done[-1]}")
-    earlier = [other for other in done if other < label]
-    if earlier:
-        state = scd2_apply(_open_rows(spark, root, earlier[-1]), incoming, spec, as_of)
-    else:
-        state = open_versions(incoming, spec, as_of)
-    marked = state.withColumn("state", F.when(F.col("valid_to").isNull(), "open").otherwise("closed"))
-    marked.write.mode("overwrite").partitionBy("state").parquet(f"{root}/run={label}")
+    repeated = incoming.groupBy(spec.key).count().where("count > 1").limit(3).collect()
+    if repeated:
+        raise RepeatedKeys(f"{spec.key} occurs more than once: {[row[0] for row in repeated]}")
+    before = [other for other in done if other < label]
+    state = open_rows(spark, root, before)
+    new = open_versions(incoming, spec, as_of) if state is None else changes(state, incoming, spec, as_of)
+    marked = new.withColumn("state", F.when(F.col("valid_to").isNull(), "opened").otherwise("closed"))
+    attempt = f"{root}/{RUN}/attempts/{label}-{uuid.uuid4().hex}"
+    marked.write.partitionBy("state").parquet(attempt)
+    if check is not None:
+        check(_history(spark, root, before, attempt))
+    commit(spark, f"{root}/{RUN}", label, attempt)
     return read_history(spark, root)
 
 
@@ -138,26 +184,57 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
     runs = committed_runs(spark, root)
     if not runs:
         raise ValueError(f"no finished run in {root}")
-    history = _open_rows(spark, root, runs[-1])
-    closed = [path for path in _paths(spark, f"{root}/run=*/state=closed") if _run_of(path) in set(runs)]
-    if closed:
-        history = history.unionByName(spark.read.schema(history.schema).parquet(*closed))
-    return history
+    return _history(spark, root, runs)
 
 
-def _open_rows(spark: SparkSession, root: str, run: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/run={run}/state=open")
+def compact(spark: SparkSession, root: str) -> None:
+    """Write the versions open now as a base, so that later runs read it and not the runs before.
 
+    The versions closed until then stay where they are. Meant as a job of its own.
+    """
+    runs = committed_runs(spark, root)
+    state = open_rows(spark, root, runs)
+    if state is None:
+        raise ValueError(f"no finished run in {root}")
+    attempt = f"{root}/{BASE}/attempts/{runs[-1]}-{uuid.uuid4().hex}"
+    state.write.parquet(attempt)
+    commit(spark, f"{root}/{BASE}", runs[-1], attempt)
 
-def _run_of(path: str) -> str:
-    return path.split("/run=")[1].split("/")[0]
 
+def open_rows(spark: SparkSession, root: str, runs: Sequence[str], attempt: str | None = None) -> DataFrame | None:
+    """The versions open after ``runs``, and after an attempt that is not committed yet.
 
-def _paths(spark: SparkSession, pattern: str) -> list[str]:
-    """Existing paths in order; the file system is the one the path names."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return sorted(str(status.getPath()) for status in found or [])
+    Read from the last base at or before the last run and the runs after it.
+    """
+    of_run = committed(spark, f"{root}/{RUN}")
+    bases = {label: path for label, path in committed(spark, f"{root}/{BASE}").items() if runs and label <= runs[-1]}
+    base = max(bases, default="")
+    later = [of_run[label] for label in runs if label > base] + ([attempt] if attempt else [])
+    opened = [path for folder in later for path in _paths(spark, f"{folder}/state=opened")]
+    closed = [path for folder in later for path in _paths(spark, f"{folder}/state=closed")]
+    parts = ([bases[base]] if base else []) + opened
+    if not parts:
+        return None
+    found = spark.read.parquet(parts[0])
+    if len(parts) > 1:
+        found = found.unionByName(spark.read.schema(found.schema).parquet(*parts[1:]))
+    if closed:
+        ended = spark.read.schema(found.schema).parquet(*closed).select("scd_id")
+        found = found.join(ended, "scd_id", "left_anti").select(*found.columns)
+    return found
+
+
+def _history(spark: SparkSession, root: str, runs: Sequence[str], attempt: str | None = None) -> DataFrame:
+    history = open_rows(spark, root, runs, attempt)
+    of_run = committed(spark, f"{root}/{RUN}")
+    folders = [of_run[label] for label in runs] + ([attempt] if attempt else [])
+    if history is None:
+        # A first run without rows.
+        return spark.read.parquet(*folders)
+    closed = [path for folder in folders for path in _paths(spark, f"{folder}/state=closed")]
+    if closed:
+        history = history.unionByName(spark.read.schema(history.schema).parquet(*closed))
+    return history
 
 
 # Measures over a history.

@@ -5,8 +5,8 @@ Rows of a check: ``relation, rule, column_name, failing`` where 0 failing rows i
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -17,11 +17,18 @@ from bazaarline.operators.history import at
 
 @dataclass(frozen=True)
 class RowRule:
-    """A rule on single rows. Rows where ``violation`` is true fail; null passes."""
+    """A rule on single rows. Rows where ``violation`` is true fail; null passes.
+
+    ``relation`` names another relation whose rows are the same, if the rule is that one's.
+    """
 
     name: str
     column: str
     violation: Column
+    relation: str | None = None
+
+    def of(self, relation: str) -> RowRule:
+        return replace(self, relation=relation)
 
 
 def not_null(column: str) -> RowRule:
@@ -63,16 +70,21 @@ def check_rows(
         ]
     )
     outcomes = [
-        F.struct(*_outcome(relation, rule.name, rule.column, F.col(f"rule_{i}")))
+        F.struct(*_outcome(rule.relation or relation, rule.name, rule.column, F.col(f"rule_{i}")))
         for i, rule in enumerate(rules)
     ]
     return counts.select(F.inline(F.array(*outcomes)))
 
 
-def check_unique(df: DataFrame, relation: str, column: str) -> DataFrame:
-    """Failing: non-null values that occur more than once."""
+def check_unique(df: DataFrame, relation: str, column: str, also: Sequence[str] = ()) -> DataFrame:
+    """Failing: non-null values that occur more than once.
+
+    ``also`` names relations whose rows are the same; they get the same outcome.
+    """
     repeated = df.where(F.col(column).isNotNull()).groupBy(column).count().where("count > 1")
-    return _counted(repeated, relation, "unique", column)
+    failing = repeated.agg(F.count(F.lit(1)).alias("failing"))
+    outcomes = [F.struct(*_outcome(name, "unique", column, F.col("failing"))) for name in (relation, *also)]
+    return failing.select(F.inline(F.array(*outcomes)))
 
 
 def check_orphans(
@@ -121,6 +133,65 @@ def check_totals(
     )
 
 
+@dataclass(frozen=True)
+class Equal:
+    """Two measures, each a (relation, measure) name, that must be the same.
+
+    ``at_least`` accepts an actual value above the expected one.
+    """
+
+    relation: str
+    rule: str
+    actual: tuple[str, str]
+    expected: tuple[str, str]
+    at_least: bool = False
+
+
+def check_measures(
+    measured: Mapping[str, tuple[DataFrame, Mapping[str, Column]]], rules: Sequence[Equal]
+) -> DataFrame:
+    """Totals side by side: ``relation, rule, actual, expected, passed``.
+
+    All measures of a relation are taken in one aggregate; the one-row results are stacked and
+    compared in a second one, so every relation is computed once and nothing is joined.
+    """
+    stacked = all_of(
+        df.agg(*[column.cast("decimal(38,2)").alias(f"m_{name}") for name, column in columns.items()]).select(
+            F.inline(
+                F.array(
+                    *[
+                        F.struct(F.lit(f"{relation}.{name}").alias("measure"), F.col(f"m_{name}").alias("value"))
+                        for name in columns
+                    ]
+                )
+            )
+        )
+        for relation, (df, columns) in measured.items()
+    )
+
+    def value(names: tuple[str, str]) -> Column:
+        return F.max(F.when(F.col("measure") == ".".join(names), F.col("value")))
+
+    sides = stacked.agg(
+        *[value(rule.actual).alias(f"a_{i}") for i, rule in enumerate(rules)],
+        *[value(rule.expected).alias(f"e_{i}") for i, rule in enumerate(rules)],
+    )
+    outcomes = []
+    for i, rule in enumerate(rules):
+        actual, expected = F.col(f"a_{i}"), F.col(f"e_{i}")
+        passed = actual >= expected if rule.at_least else actual.eqNullSafe(expected)
+        outcomes.append(
+            F.struct(
+                F.lit(rule.relation).alias("relation"),
+                F.lit(rule.rule).alias("rule"),
+                actual.alias("actual"),
+                expected.alias("expected"),
+                passed.alias("passed"),
+            )
+        )
+    return sides.select(F.inline(F.array(*outcomes)))
+
+
 def check_share(
     df: DataFrame, relation: str, rule: str, predicate: Column, limit: float, above: bool = True
 ) -> DataFrame:

@@ -33,8 +33,8 @@ def days_to_deliver() -> Column:
 
 
 def product_volume() -> Column:
-    """Null if any side is null."""
-    return F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm")
+    """Null if any side is null. Wide, as the product of three sides can leave the 32-bit range."""
+    return F.col("product_length_cm").cast("bigint") * F.col("product_height_cm") * F.col("product_width_cm")
 
 
 def dim_products(products: DataFrame, translations: DataFrame) -> DataFrame:

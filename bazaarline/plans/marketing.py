@@ -84,9 +84,16 @@ def daily_orders(fact: DataFrame, entity: str) -> DataFrame:
 
 
 def customer_order_dates(
-    fact: DataFrame, start: date = CALENDAR_START, end: date = CALENDAR_END
+    fact: DataFrame,
+    start: date = CALENDAR_START,
+    end: date = CALENDAR_END,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Every customer on every calendar day, idle days included."""
+    """Every customer on every calendar day, idle days included.
+
+    ``partitions`` is the number of tasks that make the days; the output has as many rows as
+    customers times days, so it follows the output rather than the input.
+    """
     return densify_calendar(
         daily_orders(fact, "customer_id"),
         entity="customer_id",
@@ -94,4 +101,5 @@ def customer_order_dates(
         measures=["orders_placed", "gmv"],
         start=start,
         end=end,
+        partitions=partitions,
     )

@@ -82,8 +82,12 @@ def items_per_order(items: DataFrame, orders: DataFrame) -> DataFrame:
 # dimension, so a product with a third of all lines joins as one row.
 
 
-def category_totals(fact: DataFrame, products: DataFrame, lines: str | None = None) -> DataFrame:
-    """One row per category and one for all: lines, revenue, freight, weight of the lines.
+def category_totals(
+    fact: DataFrame, products: DataFrame, lines: str | None = None, overall: bool = False
+) -> DataFrame:
+    """One row per category: lines, revenue, freight, weight of the lines.
+
+    ``overall`` adds one row for all of them, told apart by ``is_overall``.
 
     Lines without a product in the dimension are left out, as by an inner join.
     """
@@ -94,40 +98,38 @@ def category_totals(fact: DataFrame, products: DataFrame, lines: str | None = No
     )
     weight = F.col("product_weight_g")
     category = "product_category_name_en"
+    joined = per_product.join(products.select("product_id", category, "product_weight_g"), "product_id")
+    grouped = joined.rollup(category) if overall else joined.groupBy(category)
     return (
-        per_product.join(products.select("product_id", category, "product_weight_g"), "product_id")
-        .rollup(category)
-        .agg(
+        grouped.agg(
             F.sum("lines").alias("items"),
             F.sum("price").alias("gmv"),
             F.sum("freight").alias("total_freight"),
             exact_mean(
                 F.sum(weight * F.col("lines")), F.sum(F.when(weight.isNotNull(), F.col("lines")))
             ).alias("avg_weight_g"),
+            *([(F.grouping(category) == 1).alias("is_overall")] if overall else []),
         )
-        .withColumn(category, F.coalesce(category, F.lit(ALL)))
     )
 
 
 def category_gmv(totals: DataFrame) -> DataFrame:
-    return _categories(totals).select("product_category_name_en", "gmv")
+    return totals.select("product_category_name_en", "gmv")
 
 
 def category_avg_weight(totals: DataFrame) -> DataFrame:
-    return totals.select("product_category_name_en", "avg_weight_g")
+    """Of totals with the overall row, which is labelled as such."""
+    category = F.when(F.col("is_overall"), F.lit(ALL)).otherwise(F.col("product_category_name_en"))
+    return totals.select(category.alias("product_category_name_en"), "avg_weight_g")
 
 
 def category_freight_ratio(totals: DataFrame) -> DataFrame:
-    return _categories(totals).select(
+    return totals.select(
         "product_category_name_en",
         safe_divide(F.col("total_freight"), F.col("gmv")).alias("freight_ratio"),
     )
 
 
-def _categories(totals: DataFrame) -> DataFrame:
-    return totals.where(F.col("product_category_name_en") != ALL)
-
-
 def weight_delivery_corr(fact: DataFrame, products: DataFrame, lines: str | None = None) -> DataFrame:
     """Correlation of weight and of volume with the days to deliver, over delivered lines.
 

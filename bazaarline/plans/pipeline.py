@@ -2,32 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarline.config import MartConfig
-from bazaarline.operators.history import ORDER_STATUS, run_label, snapshot
+from bazaarline.operators.history import ORDER_STATUS, committed_runs, read_history, run_label, snapshot
 from bazaarline.operators.quality import all_of, check_intervals
 from bazaarline.plans import contracts
-from bazaarline.plans.contracts import CONTRACT_OF, Contract, contract_checks, relation
+from bazaarline.plans.contracts import CONTRACT_OF, ROW_WISE, Contract, contract_checks, relation
 from bazaarline.plans.relations import Relations
 from bazaarline.plans.staging import order_versions
 from bazaarline.session import prepare
+from bazaarline.sources.commits import commit, published
 from bazaarline.sources.readers import RawTables
 from bazaarline.sources.writers import materialize_table, materialize_view
 
-# Views over a single raw table that keep its rows, so the raw table's tests run on the view
-# together with its own, in one pass. Reviews are not among them: staging drops repeats.
-ROW_WISE = {
-    "stg_orders": "raw_orders",
-    "stg_order_items": "raw_order_items",
-    "stg_order_payments": "raw_order_payments",
-    "stg_customers": "raw_customers",
-    "stg_sellers": "raw_sellers",
-    "stg_products": "raw_products",
-}
 STAGING = (*ROW_WISE, "stg_order_reviews", "stg_translations")
 
 STATUS_HISTORY = "orders_status_snapshot"
@@ -51,18 +43,20 @@ def build(
 ) -> dict[str, DataFrame]:
     """Build all marts under ``root`` for the run ``run``; returns them by name.
 
-    Every table goes to a folder of its own run, so repeating a run replaces its own output
-    only. A mart gets its view name after its checks passed; until then readers keep seeing
-    the previous run. The outcome of every check is stored under ``root/quality``.
+    Every attempt writes each table to a folder of its own, checks it and only then points the
+    table's name to it, so readers see the last version that passed, whether a run is new or
+    repeated. The names outlast the session: see :func:`open_marts`. The outcome of every
+    check is stored under ``root/quality``.
     """
     prepare(spark)
 
-    def stored_at(folder: str) -> str:
-        return f"{root}/{folder}/run={run}"
-
     def gate(relations: Relations, stage: str, *tests: Contract) -> None:
         checks = all_of(contract_checks(relation(relations, c.relation), c) for c in tests)
-        _stop_on_failures(materialize_table(checks, stored_at(f"quality/{stage}")))
+        _stop_on_failures(materialize_table(checks, f"{root}/quality/{stage}/run={run}"))
+
+    def attempt(layer: str, name: str, df: DataFrame) -> tuple[str, DataFrame]:
+        folder = f"{root}/{layer}/{name}/run={run}/{uuid.uuid4().hex}"
+        return folder, materialize_table(df, folder)
 
     relations = Relations(raw, config)
     gate(relations, "staging", *_staging_contracts())
@@ -70,25 +64,33 @@ def build(
         materialize_view(relation(relations, name), name)
 
     # All marts read this one: written once instead of joined again per mart.
-    stored = {
-        "order_summary": materialize_table(
-            relations.order_summary, stored_at("shared/order_summary")
-        )
-    }
+    folder, summary = attempt("shared", "order_summary", relations.order_summary)
+    commit(spark, f"{root}/shared", "order_summary", folder)
+    stored = {"order_summary": summary}
     marts: dict[str, DataFrame] = {}
     for name, layer in MARTS.items():
         relations = Relations(raw, config, stored)
-        marts[name] = materialize_table(getattr(relations, name), stored_at(f"{layer}/{name}"))
+        folder, marts[name] = attempt(layer, name, getattr(relations, name))
         stored[name] = marts[name]
         gate(Relations(raw, config, stored), name, CONTRACT_OF[name])
+        commit(spark, f"{root}/{layer}", name, folder)
         materialize_view(marts[name], name)
     return marts
 
 
+def open_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The marts that count as published now, also as views of this session."""
+    marts = {name: published(spark, f"{root}/{layer}", name) for name, layer in MARTS.items()}
+    for name, mart in marts.items():
+        materialize_view(mart, name)
+    return marts
+
+
 def snapshot_orders(spark: SparkSession, raw: RawTables, root: str, as_of: datetime) -> DataFrame:
     """Take the status history one run further; the history is published as a view.
 
-    Meant to run before :func:`build`, so that it sees the orders as the source has them.
+    Meant to run before :func:`build`, so that it sees the orders as the source has them. The
+    run counts only after its checks passed.
     """
     prepare(spark)
     label = run_label(as_of)
@@ -98,9 +100,14 @@ def snapshot_orders(spark: SparkSession, raw: RawTables, root: str, as_of: datet
 
     # Two rows of one order would open two versions, so they must not get into the history.
     gate(f"{STATUS_HISTORY}_input", contract_checks(raw.orders, CONTRACT_OF["raw_orders"]))
-    folder = f"{root}/snapshots/{STATUS_HISTORY}"
-    history = snapshot(order_versions(raw.orders), folder, ORDER_STATUS, as_of, run=label)
-    gate(STATUS_HISTORY, check_intervals(history, STATUS_HISTORY, ORDER_STATUS.key))
+    history = snapshot(
+        order_versions(raw.orders),
+        f"{root}/snapshots/{STATUS_HISTORY}",
+        ORDER_STATUS,
+        as_of,
+        run=label,
+        check=lambda new: gate(STATUS_HISTORY, check_intervals(new, STATUS_HISTORY, ORDER_STATUS.key)),
+    )
     return materialize_view(history, STATUS_HISTORY)
 
 
@@ -109,8 +116,6 @@ def snapshot_orders(spark: SparkSession, raw: RawTables, root: str, as_of: datet
 ACCEPTANCE = {
     "ranges": contracts.range_checks,
     "nullness": contracts.nullness_checks,
-    "orphans": contracts.orphan_checks,
-    "row_counts": contracts.row_count_checks,
     "reconciliation": contracts.reconciliation_checks,
     "shares": contracts.share_checks,
 }
@@ -122,13 +127,27 @@ def report_acceptance(
     root: str,
     run: str,
     config: MartConfig = MartConfig(),
+    now: datetime | None = None,
 ) -> dict[str, DataFrame]:
-    """Check the built marts against their acceptance criteria and store the outcomes."""
-    relations = Relations(raw, config, marts)
-    return {
-        name: materialize_table(check(relations), f"{root}/quality/{name}/run={run}")
-        for name, check in ACCEPTANCE.items()
-    }
+    """Check the built marts against their acceptance criteria and store the outcomes.
+
+    The order summary of the build is read, not joined again. If there is a status history
+    below ``root``, its criteria are checked as well. ``now`` is the time that the age of the
+    marts is taken at; the clock's, if not given.
+    """
+    spark = next(iter(marts.values())).sparkSession
+    summary = published(spark, f"{root}/shared", "order_summary")
+    relations = Relations(raw, config, {"order_summary": summary, **marts})
+    folder = f"{root}/snapshots/{STATUS_HISTORY}"
+    history = read_history(spark, folder) if committed_runs(spark, folder) else None
+    checks = {name: check(relations) for name, check in ACCEPTANCE.items()}
+    checks["orphans"] = contracts.orphan_checks(relations, history=history)
+    checks["row_counts"] = contracts.row_count_checks(relations, history)
+    clock = now or datetime.now(UTC).replace(tzinfo=None)
+    checks["freshness"] = contracts.freshness_checks(relations, clock)
+    if history is not None:
+        checks["history"] = contracts.history_checks(history)
+    return {name: materialize_table(df, f"{root}/quality/{name}/run={run}") for name, df in checks.items()}
 
 
 def _staging_contracts() -> list[Contract]:

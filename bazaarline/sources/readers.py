@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Mapping
-from itertools import islice
 from pathlib import Path
 from types import SimpleNamespace
 from typing import Protocol
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from bazaarline.sources.schemas import RAW_SCHEMAS
 
 SEED_DIR = Path(__file__).resolve().parents[1] / "seeds"
 
-# A seed travels inside the plan, so its size is bounded here, not assumed.
-MAX_SEED_ROWS = 10_000
+# Marks a null in CSV, so that it differs from an empty text.
+CSV_NULL = "\\N"
+# CSV as this library writes it: every text in quotes, quotes doubled.
+STORED_CSV = {"header": True, "nullValue": CSV_NULL, "emptyValue": "", "escape": '"', "quoteAll": True}
 
 
 class RawTables(Protocol):
@@ -40,42 +39,40 @@ def load_source(
     schema: str | StructType,
     file_format: str = "parquet",
     multi_line: bool = False,
+    null_value: str = "",
 ) -> DataFrame:
     """One table with a given schema. Text formats fail on a malformed row.
 
     ``multi_line`` admits line breaks inside quoted CSV fields; such a file cannot be
-    split, so keep it off unless the table holds free text.
+    split, so keep it off unless the table holds free text. ``null_value`` is the text that
+    stands for null in CSV: nothing between two commas in files from elsewhere, and
+    :data:`CSV_NULL` in those of :func:`bazaarline.sources.writers.materialize_table`, where
+    an empty text stays one.
     """
     reader = spark.read.schema(schema)
     if file_format == "csv":
         reader = reader.options(
-            header=True, nullValue="", mode="FAILFAST", multiLine=multi_line, escape='"'
+            header=True, nullValue=null_value, mode="FAILFAST", multiLine=multi_line, escape='"'
         )
+        if null_value:
+            reader = reader.options(emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     elif file_format == "json":
         reader = reader.options(mode="FAILFAST")
     return reader.format(file_format).load(path)
 
 
 def load_seed(spark: SparkSession, path: str | Path, schema: str) -> DataFrame:
-    """A small version-controlled CSV with a header as a local relation.
+    """A version-controlled CSV with a header, read like any other source.
 
-    The file is read where the program runs, so executors need no copy of it. A local
-    relation has an exact size, so the optimizer broadcasts it by its own size check.
+    The optimizer broadcasts it by its size. Every node has to reach the path; a
+    :class:`~pathlib.Path` names a file of this machine, which on a cluster must be there on
+    every node, as part of the installed package is.
     """
-    target = StructType.fromDDL(schema)
-    with open(path, encoding="utf-8", newline="") as handle:
-        records = list(islice(csv.DictReader(handle), MAX_SEED_ROWS + 1))
-    if len(records) > MAX_SEED_ROWS:
-        raise ValueError(f"{path} has over {MAX_SEED_ROWS} rows: load it as a source")
-    texts = pa.table(
-        {
-            name: pa.array([record[name] or None for record in records], pa.string())
-            for name in target.names
-        }
-    )
-    return spark.createDataFrame(texts).select(
-        *[F.col(item.name).cast(item.dataType).alias(item.name) for item in target]
+    uri = path.resolve().as_uri() if isinstance(path, Path) else path
+    reader = spark.read.schema(schema).options(
+        header=True, enforceSchema=False, mode="FAILFAST", multiLine=True, escape='"'
     )
+    return reader.csv(uri)
 
 
 def load_raw_tables(

@@ -5,9 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from bazaarline.sources.readers import load_source
+from bazaarline.sources.readers import CSV_NULL, STORED_CSV, load_source
 
 TEXT_FORMATS = ("csv", "json")
 # The default of text formats cuts timestamps to milliseconds.
@@ -44,10 +45,31 @@ def materialize_table(df: DataFrame, path: str, file_format: str = "parquet") ->
 
     Reading back cuts the lineage: a lost executor costs a re-read, not a recomputation.
     """
-    writer = df.write.mode("overwrite").format(file_format)
+    stored = _escaped(df) if file_format == "csv" else df
+    writer = stored.write.mode("overwrite").format(file_format)
     if file_format in TEXT_FORMATS:
         writer = writer.options(timestampNTZFormat=FULL_TIMESTAMP)
     if file_format == "csv":
-        writer = writer.options(header=True, nullValue="", escape='"')
+        writer = writer.options(**STORED_CSV, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     writer.save(path)
-    return load_source(df.sparkSession, path, df.schema, file_format)
+    return read_table(df.sparkSession, path, df.schema, file_format)
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet") -> DataFrame:
+    """A table that :func:`materialize_table` wrote, with the values it had."""
+    texts = any(isinstance(f.dataType, StringType) for f in schema)
+    read = load_source(spark, path, schema, file_format, multi_line=texts, null_value=CSV_NULL)
+    return _escaped(read, undo=True) if file_format == "csv" else read
+
+
+def _escaped(df: DataFrame, undo: bool = False) -> DataFrame:
+    """A text that begins with a backslash gets a second one, so none is the mark of a null."""
+
+    def column(field: StructField) -> Column:
+        text = F.col(f"`{field.name}`")
+        if not isinstance(field.dataType, StringType):
+            return text
+        other = F.substr(text, F.lit(2)) if undo else F.concat(F.lit("\\"), text)
+        return F.when(F.startswith(text, F.lit("\\")), other).otherwise(text).alias(field.name)
+
+    return df.select(*[column(field) for field in df.schema])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 from operator import attrgetter
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -27,10 +27,9 @@ from bazaarline.operators.calendar import date_spine, densify_calendar
 from bazaarline.operators.latest import latest_per_key
 from bazaarline.plans import contracts, core, marketing, metrics
 from bazaarline.plans.relations import Relations
+from bazaarline.plans.staging import order_versions
 from bazaarline.session import prepare
-from bazaarline.sources.readers import load_source
 from bazaarline.sources.sample_binding import (
-    SAMPLE_SCHEMAS,
     SampleTables,
     sample_table,
     status_run_1,
@@ -55,8 +54,6 @@ SAMPLE_TIERS = (
 )
 CONFIG = MartConfig(as_of=AS_OF, seller_tiers=SAMPLE_TIERS)
 
-# A customer calendar as long as the default one, ending at the run date.
-CUSTOMER_CALENDAR = (AS_OF - timedelta(days=791), AS_OF)
 # All days with orders.
 FULL_CALENDAR = (date(1995, 1, 1), AS_OF)
 
@@ -122,9 +119,9 @@ _register_relations()
 
 @query("stg_translations")
 def stg_translations(r: Relations) -> DataFrame:
-    """Translated products: every product with the translation row of its category."""
+    """Every product with the translation row of its category, if there is one."""
     known = F.col("product_category_name") == F.col("product_category_name_pt")
-    return r.stg_products.join(r.stg_translations, known).select(
+    return r.stg_products.join(r.stg_translations, known, "left").select(
         "product_id", "product_category_name_pt", "product_category_name_en"
     )
 
@@ -150,9 +147,11 @@ def scan_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @table_query("scan_csv_source")
 def scan_csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_path(spark, "customer-csv")
-    materialize_table(sample_table(spark, sf_dir, "customer"), path, "csv")
-    return load_source(spark, path, SAMPLE_SCHEMAS["customer"], "csv")
+    """Customers with free text, through CSV and back."""
+    notes = ["null", "''", r"'\\N'", "'say \"hi\", ok'", r"concat('line 1\n', 'line 2, ', c_name)", "concat(' ', c_name, ' ')"]
+    cases = " ".join(f"when {k} then {note}" for k, note in enumerate(notes))
+    noted = sample_table(spark, sf_dir, "customer").withColumn("note", F.expr(f"case c_custkey % 6 {cases} end"))
+    return materialize_table(noted, fresh_path(spark, "customer-csv"), "csv")
 
 
 @table_query("materialize_table")
@@ -375,7 +374,7 @@ def densify_calendar_query(r: Relations) -> DataFrame:
 
 @query("customer_order_dates")
 def customer_order_dates(r: Relations) -> DataFrame:
-    return marketing.customer_order_dates(r.fct_by_order, *CUSTOMER_CALENDAR)
+    return marketing.customer_order_dates(r.fct_by_order, *FULL_CALENDAR)
 
 
 # Status history
@@ -391,7 +390,8 @@ def _second(r: Relations) -> DataFrame:
 
 @query("scd2_initial")
 def scd2_initial(r: Relations) -> DataFrame:
-    return _initial(r)
+    """Every order as an open version, as after a first run over the whole source."""
+    return h.open_versions(order_versions(r.raw.orders), h.ORDER_STATUS, RUN_1)
 
 
 @query("scd2_second_run")
@@ -479,7 +479,8 @@ def dq_conditional_null(r: Relations) -> DataFrame:
 
 @query("dq_orphans")
 def dq_orphans(r: Relations) -> DataFrame:
-    return contracts.orphan_checks(r, contracts.Fact(r.fct_by_order_product, "lines"))
+    fact = contracts.Fact(r.fct_by_order_product, "lines")
+    return contracts.orphan_checks(r, fact, history=_second(r))
 
 
 @query("dq_row_count_match")
@@ -504,13 +505,7 @@ def dq_scd2_intervals(r: Relations) -> DataFrame:
 
 @query("dq_freshness")
 def dq_freshness(r: Relations) -> DataFrame:
-    return q.all_of(
-        [
-            q.check_freshness(r.order_revenue, "order_revenue", "order_purchase_at", NOW, 36),
-            q.check_freshness(r.seller_performance, "seller_performance", "last_sale_at", NOW, 36),
-            q.check_freshness(r.customer_segmentation, "customer_segmentation", "last_order_at", NOW, 48),
-        ]
-    )
+    return contracts.freshness_checks(r, NOW)
 
 
 # Metrics
@@ -562,7 +557,7 @@ def category_gmv(r: Relations) -> DataFrame:
 
 @query("category_avg_weight")
 def category_avg_weight(r: Relations) -> DataFrame:
-    totals = metrics.category_totals(r.fct_by_order_product, r.dim_products, lines="lines")
+    totals = metrics.category_totals(r.fct_by_order_product, r.dim_products, lines="lines", overall=True)
     return metrics.category_avg_weight(totals)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bazaarline.operators import history as h
 from bazaarline.operators.quality import check_intervals
+from bazaarline.sources.commits import committed
 
 T1, T2, T3 = datetime(2024, 1, 1), datetime(2024, 1, 2, 12), datetime(2024, 1, 3)
 
@@ -124,7 +125,7 @@ def test_unfinished_run_is_not_read(spark, tmp_path):
     root = tmp_path / "history"
     h.snapshot(orders(spark, *FIRST), str(root), h.ORDER_STATUS, T1)
     h.snapshot(orders(spark, *SECOND), str(root), h.ORDER_STATUS, T2)
-    (root / "run=20240102T120000" / "_SUCCESS").rename(tmp_path / "moved_marker")
+    (root / "run" / "_published" / "20240102T120000").rename(tmp_path / "moved_pointer")
     assert len(versions(h.read_history(spark, str(root)))) == len(FIRST)
     assert versions(h.snapshot(orders(spark, *SECOND), str(root), h.ORDER_STATUS, T2)) == EXPECTED
 
@@ -146,3 +147,47 @@ def test_current_versions(spark):
     second = h.scd2_apply(first, orders(spark, *SECOND), h.ORDER_STATUS, T2)
     current = h.current_versions(second)
     assert current.count() == current.select(F.countDistinct("order_id")).first()[0] == 8
+
+
+def test_a_run_writes_what_it_changes(spark, tmp_path):
+    root = str(tmp_path / "history")
+    many = spark.range(2000).selectExpr("cast(id as string) order_id", "'created' order_status", "'x' note")
+    h.snapshot(many, root, h.ORDER_STATUS, T1)
+    few = many.withColumn("order_status", F.when(F.col("order_id") < "1001", "shipped").otherwise("created"))
+    changed = few.where("order_status = 'shipped'").count()
+    h.snapshot(few, root, h.ORDER_STATUS, T2)
+    folder = committed(spark, f"{root}/run")[h.run_label(T2)]
+    assert spark.read.parquet(folder).count() == 2 * changed < 100
+    before = versions(h.read_history(spark, root))
+    assert len(before) == 2000 + changed
+    h.compact(spark, root)
+    assert versions(h.read_history(spark, root)) == before
+    # After the compaction a run reads the base.
+    assert versions(h.snapshot(few, root, h.ORDER_STATUS, T3)) == before
+    assert h.open_rows(spark, root, h.committed_runs(spark, root)).count() == 2000
+
+
+def test_null_keys_are_keys_and_repeated_ones_are_refused(spark, tmp_path):
+    root = str(tmp_path / "history")
+    rows = orders(spark, (None, "created", "x"), ("a", "created", "x"))
+    for moment in (T1, T2, T3):
+        state = h.snapshot(rows, root, h.ORDER_STATUS, moment)
+    assert versions(state) == sorted([(None, "created", T1, None), ("a", "created", T1, None)], key=repr)
+    later = datetime(2024, 1, 9)
+    for twice in (None, "a"):
+        with pytest.raises(h.RepeatedKeys):
+            h.snapshot(rows.unionByName(orders(spark, (twice, "shipped", "x"))), root, h.ORDER_STATUS, later)
+    assert h.committed_runs(spark, root)[-1] == h.run_label(T3)
+
+
+def test_a_run_counts_only_after_its_check(spark, tmp_path):
+    root = str(tmp_path / "history")
+    h.snapshot(orders(spark, *FIRST), root, h.ORDER_STATUS, T1)
+
+    def refuse(history):
+        assert versions(history) == EXPECTED
+        raise RuntimeError("no")
+
+    with pytest.raises(RuntimeError):
+        h.snapshot(orders(spark, *SECOND), root, h.ORDER_STATUS, T2, check=refuse)
+    assert len(versions(h.read_history(spark, root))) == len(FIRST)

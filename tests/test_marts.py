@@ -226,11 +226,15 @@ def test_metrics(relations):
     )
     items = dict(metrics.items_per_order(r.stg_order_items, r.stg_orders).collect())
     assert items == {"o1": 3, "o2": 1, "o3": 1, "o4": 1}
-    totals = by_key(metrics.category_totals(r.fct_order_items, r.dim_products), "product_category_name_en")
-    assert sorted(totals) == ["(all)", "furniture", "uncategorized"]
+    totals = by_key(
+        metrics.category_totals(r.fct_order_items, r.dim_products, overall=True), "product_category_name_en"
+    )
+    assert set(totals) == {None, "furniture", "uncategorized"} and totals[None].is_overall
+    alone = by_key(metrics.category_totals(r.fct_order_items, r.dim_products), "product_category_name_en")
+    assert sorted(alone) == ["furniture", "uncategorized"]
     assert (totals["furniture"].items, totals["furniture"].avg_weight_g) == (3, 200)
     assert totals["uncategorized"].avg_weight_g == 300
-    assert totals["(all)"].avg_weight_g == 240
+    assert totals[None].avg_weight_g == 240
     tiers = by_key(metrics.tier_distribution(r.seller_performance), "seller_tier")
     assert (tiers["bronze"].sellers, tiers["bronze"].share) == (2, 2 / 3)
     assert metrics.underperforming_sellers(r.seller_performance).count() == 0

@@ -8,13 +8,14 @@ from conftest import SAMPLE
 from pyspark.sql import functions as F
 
 import bazaarline.__main__ as jobs
+from bazaarline.operators.history import read_history
 from bazaarline.plans import contracts
-from bazaarline.plans.pipeline import MARTS, ContractViolation, build, snapshot_orders
+from bazaarline.plans.pipeline import MARTS, ContractViolation, build, open_marts, snapshot_orders
 from bazaarline.plans.relations import Relations
 from bazaarline.sources.readers import load_raw_tables, load_seed
 from bazaarline.sources.sample_binding import SAMPLE_SEED, SampleTables
 from bazaarline.sources.schemas import RAW_SCHEMAS
-from bazaarline.sources.writers import materialize_table, shared_dir
+from bazaarline.sources.writers import FULL_TIMESTAMP, materialize_table, shared_dir
 from parity.queries import CONFIG
 
 
@@ -82,6 +83,46 @@ def test_a_mart_that_fails_keeps_its_published_version(spark, tmp_path):
     assert spark.table("seller_performance").where("seller_tier = 'unclassified'").count() == 0
 
 
+def test_a_failed_repeat_leaves_what_is_published(spark, tmp_path):
+    raw = SampleTables(spark, SAMPLE)
+    build(spark, raw, str(tmp_path), "r1", CONFIG)
+    before = {name: mart.count() for name, mart in open_marts(spark, str(tmp_path)).items()}
+    broken = raw.order_items.withColumn("price", F.lit(None).cast("double"))
+    with pytest.raises(ContractViolation, match="fct_order_items.item_price not_null"):
+        build(spark, replaced(raw, order_items=broken), str(tmp_path), "r1", CONFIG)
+    marts = open_marts(spark.newSession(), str(tmp_path))
+    assert {name: mart.count() for name, mart in marts.items()} == before
+    assert marts["fct_order_items"].where("item_price is null").count() == 0
+
+
+def test_a_failed_history_run_is_not_committed(spark, tmp_path, monkeypatch):
+    raw = SampleTables(spark, SAMPLE)
+    snapshot_orders(spark, raw, str(tmp_path), datetime(2024, 1, 1))
+    before = spark.table("orders_status_snapshot").count()
+
+    def failing(history, relation, key):
+        return history.limit(1).selectExpr(
+            "'h' relation", "'r' rule", "'c' column_name", "cast(1 as bigint) failing"
+        )
+
+    monkeypatch.setattr("bazaarline.plans.pipeline.check_intervals", failing)
+    shipped = replaced(raw, orders=raw.orders.withColumn("order_status", F.lit("SHIPPED")))
+    with pytest.raises(ContractViolation):
+        snapshot_orders(spark, shipped, str(tmp_path), datetime(2024, 1, 2))
+    assert read_history(spark, f"{tmp_path}/snapshots/orders_status_snapshot").count() == before
+
+
+TRICKY = [None, "", "\\N", "\\", "a,b", 'q"q', '"', "x\ny", "x\r\ny", "\r", " lead", "trail ", "\t", "line1\n2,boom", '""', "é"]
+
+
+@pytest.mark.parametrize("file_format", ["parquet", "csv", "json", "orc"])
+def test_texts_survive_every_format(spark, tmp_path, file_format):
+    data = [(i, a, b) for i, (a, b) in enumerate((a, b) for a in TRICKY for b in TRICKY)]
+    df = spark.createDataFrame(data, "i int, a string, b string").repartition(2)
+    out = materialize_table(df, str(tmp_path / "t"), file_format)
+    assert sorted((tuple(r) for r in out.collect()), key=lambda r: r[0]) == data
+
+
 def test_every_column_test_is_declared():
     unique = sum(len(c.unique) for c in contracts.CONTRACTS)
     not_null = sum(len(c.not_null) for c in contracts.CONTRACTS)
@@ -116,7 +157,11 @@ def test_raw_tables_from_files(spark, tmp_path, rows, file_format):
         typed = getattr(sample, name).to(spark.createDataFrame([], schema).schema)
         expected[name] = typed
         path = "people/2024" if name == "customers" else f"{name}{suffix}"
-        materialize_table(typed, f"{tmp_path}/{path}", file_format)
+        if file_format == "csv":  # as another tool writes it: nothing stands for null
+            options = {"header": True, "nullValue": "", "escape": '"', "timestampNTZFormat": FULL_TIMESTAMP}
+            typed.write.options(**options).csv(f"{tmp_path}/{path}")
+        else:
+            materialize_table(typed, f"{tmp_path}/{path}", file_format)
     raw = load_raw_tables(
         spark, str(tmp_path), file_format, seed=SAMPLE_SEED, names={"customers": "people/2024"}
     )
@@ -133,10 +178,15 @@ def test_csv_fails_on_a_malformed_row(spark, tmp_path):
         df.collect()
 
 
-def test_seed_limits(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("bazaarline.sources.readers.MAX_SEED_ROWS", 4)
-    with pytest.raises(ValueError, match="load it as a source"):
-        load_seed(spark, SAMPLE_SEED, RAW_SCHEMAS["translations"])
+def test_seeds_of_any_size_and_order_of_columns(spark, tmp_path):
+    columns = "product_category_name,product_category_name_english"
+    path = tmp_path / "seed.csv"
+    path.write_text(columns + "\n" + "".join(f'c{k},"a, ""{k}"""\n' for k in range(30_000)))
+    seed = load_seed(spark, path, RAW_SCHEMAS["translations"])
+    assert seed.count() == 30_000 and seed.where("product_category_name_english = 'a, \"7\"'").count() == 1
+    path.write_text("something,else\na,b\n")
+    with pytest.raises(Exception, match="CSV header does not conform|header"):
+        load_seed(spark, path, RAW_SCHEMAS["translations"]).collect()
 
 
 def test_shared_dir_is_the_configured_one(spark):
@@ -155,9 +205,15 @@ def test_jobs(spark, tmp_path):
     jobs.main(["build", *places, "--run", "a", "--as-of", "2001-08-02"])
     orders = sample.orders.count()
     assert spark.table("orders_status_snapshot").count() == orders
-    assert spark.read.parquet(f"{root}/core/order_revenue/run=a").count() == orders
+    fresh = spark.newSession()
+    assert open_marts(fresh, root)["order_revenue"].count() == orders
+    assert fresh.table("order_revenue").count() == orders
     totals = spark.read.parquet(f"{root}/quality/reconciliation/run=a")
     passed = {(r.relation, r.rule): r.passed for r in totals.collect()}
     assert not passed.pop(("seller_performance", "gmv")) and all(passed.values())
     counts = spark.read.parquet(f"{root}/quality/row_counts/run=a")
-    assert counts.where("not passed").count() == 0
+    assert counts.where("not passed").count() == 0 and counts.where("relation = 'status_history'").count() == 1
+    orphans = spark.read.parquet(f"{root}/quality/orphans/run=a")
+    assert orphans.where("relation = 'raw_orders' and failing = 0").count() == 1
+    assert spark.read.parquet(f"{root}/quality/history/run=a").first().failing == 0
+    assert spark.read.parquet(f"{root}/quality/freshness/run=a").where("stale").count() == 3

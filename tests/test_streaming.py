@@ -61,3 +61,15 @@ def test_repeated_batch_is_stored_once(spark, tmp_path):
     # A lost checkpoint replays batch 0.
     run(spark, feed, root, str(tmp_path / "second"))
     assert versions(spark, root) == [("a", "created", T0, None)]
+
+
+def test_late_rows_and_ties(spark, tmp_path):
+    """Batches out of order end like one batch run per moment in order."""
+    feed, root, checkpoint = (str(tmp_path / name) for name in ("feed", "history", "checkpoint"))
+    write(spark, feed, ("a", "delivered", 50), ("b", "created", 5), ("b", "approved", 5))
+    run(spark, feed, root, checkpoint)
+    write(spark, feed, ("a", "shipped", 10), ("b", "zero", 5), ("c", "created", 60))
+    run(spark, feed, root, checkpoint)
+    t0, t1 = batch_time(0), batch_time(1)
+    expected = [("a", "delivered", t0, None), ("b", "created", t0, None), ("c", "created", t1, None)]
+    assert versions(spark, root) == sorted(expected, key=repr)
