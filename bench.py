@@ -42,6 +42,9 @@ HEADLINE = (
     "dq_accepted_values",
     "dq_orphans",
     "dq_reconcile",
+    "dq_row_count_match",
+    "dq_freshness",
+    "dq_share_threshold",
 )
 
 
