@@ -425,8 +425,7 @@ def components(edges: DataFrame) -> DataFrame:
     the neighbours of a node.
     """
     edges = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
-    while True:
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least.hint("shuffle_merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -434,10 +433,15 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least.hint("shuffle_merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stored(small.where("u != v").unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = now
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Every node has one smaller neighbour, which has none itself."""
+    if not edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return False
+    upper = edges.select(F.col("u").alias("v")).distinct()
+    return edges.join(upper.hint("shuffle_merge"), "v", "left_semi").isEmpty()
 
 
 @dataclass
