@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -18,7 +19,7 @@ FULL_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 def shared_dir(spark: SparkSession) -> str:
     """The folder every node can reach, named by ``spark.checkpoint.dir``.
 
-    A temporary folder stands in only for a local master, as in tests.
+    A temporary folder, one for the application, stands in only for a local master, as in tests.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -26,6 +27,11 @@ def shared_dir(spark: SparkSession) -> str:
     master = spark.conf.get("spark.master", "")
     if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all nodes")
+    return _own_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _own_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix="bazaarline-")
 
 
