@@ -15,11 +15,12 @@ WINDOW = 3
 
 @dataclass(frozen=True)
 class QualityRules:
-    """Limits of a document, and of a host's share of failing documents after shrinkage."""
+    """Limits of a document, and of a host's share of failing documents after shrinkage: a host
+    goes only if nearly all it has is junk, so clean documents of a mixed host stay."""
 
     min_words: int = 50
     max_repeat_percent: int = 50
-    max_host_rate: float = 0.5
+    max_host_rate: float = 0.9
 
 
 def words_of(text: Column) -> Column:

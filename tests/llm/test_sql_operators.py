@@ -39,7 +39,7 @@ def test_host_rates_are_shrunk(spark):
     rows = [("bad", f, 0) for f in [True] * 90 + [False] * 10] + [("tiny", True, 0)]
     rows += [(f"good{h}", k < 5, 0) for h in range(30) for k in range(100)]
     scored = spark.createDataFrame(rows, "source string, base_failed boolean, x int")
-    told = dict(quality.host_verdicts(scored, "source", quality.QualityRules()).collect())
+    told = dict(quality.host_verdicts(scored, "source", quality.QualityRules(max_host_rate=0.5)).collect())
     # One failing document says little about its host; ninety of a hundred do.
     assert told.pop("bad") and not any(told.values())
 
