@@ -29,6 +29,8 @@ class Relations:
         self.config = config
         # A cached property looks here first, so a stored relation takes its place.
         self.__dict__.update(stored or {})
+        # The stored fact has the lines of known orders, typed; sellers are summed from it.
+        self._lines_of_sellers = (stored or {}).get("fct_order_items")
 
     # Staging
 
@@ -80,7 +82,9 @@ class Relations:
 
     @cached_property
     def seller_order_items(self) -> DataFrame:
-        return rollups.seller_order_items(self.stg_order_items)
+        """From the stored fact if there is one; seller details need known orders in any case."""
+        lines = self.stg_order_items if self._lines_of_sellers is None else self._lines_of_sellers
+        return rollups.seller_order_items(lines)
 
     @cached_property
     def order_summary(self) -> DataFrame:

@@ -25,7 +25,7 @@ from bazaarline.functions import (
 from bazaarline.operators import history as h, quality as q
 from bazaarline.operators.calendar import date_spine, densify_calendar
 from bazaarline.operators.latest import latest_per_key
-from bazaarline.plans import contracts, core, marketing, metrics
+from bazaarline.plans import contracts, core, marketing, metrics, rollups
 from bazaarline.plans.relations import Relations
 from bazaarline.plans.staging import order_versions
 from bazaarline.session import prepare
@@ -114,6 +114,18 @@ def _register_relations() -> None:
 _register_relations()
 
 
+@query("order_items_agg_from_fact")
+def order_items_agg_from_fact(r: Relations) -> DataFrame:
+    """The order roll-up over the item fact, so without lines of unknown orders."""
+    return rollups.order_items_agg(r.fct_order_items)
+
+
+@query("seller_order_items_from_fact")
+def seller_order_items_from_fact(r: Relations) -> DataFrame:
+    """The roll-up by seller and order over the item fact, without lines of unknown orders."""
+    return rollups.seller_order_items(r.fct_order_items)
+
+
 # The seed is a fixed small table, so its queries meet it with the product table.
 
 
