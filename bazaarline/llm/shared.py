@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,10 +31,34 @@ def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     a size that the optimizer knows.
     """
     path = fresh_path(df.sparkSession, name)
+    if (turn := _turn.get()) is not None:
+        _tables.setdefault(turn, []).append(path)
     df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Tables stored in a turn of several steps, to be deleted when the next step begins.
+_turn: ContextVar[str | None] = ContextVar("turn", default=None)
+_tables: dict[str, list[str]] = {}
+
+
+@contextmanager
+def step(spark: SparkSession, turn: str) -> Iterator[None]:
+    """A step of ``turn``: the tables that the step before stored are deleted first.
+
+    For steps whose results are written before the next one begins; then nothing reads their
+    tables any more, and the shared folder holds those of one step at a time.
+    """
+    for name in _tables.pop(turn, []):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    before = _turn.set(turn)
+    try:
+        yield
+    finally:
+        _turn.reset(before)
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
@@ -48,11 +74,6 @@ def lower_ascii(value: Column) -> Column:
     return F.translate(value, upper, upper.lower())
 
 
-def tasks_of(spark: SparkSession) -> int:
-    """Tasks of a shuffle, as the session sets them."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts have about ``most`` bytes; a longer text is a part of its own."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from bazaarline.llm.mixing import mixed_texts
 from bazaarline.llm.near_dedup import one_of_each
 from bazaarline.llm.quality import judge_documents
 from bazaarline.llm.queries import END_ID, FILE_VOCABULARY, vocabulary
-from bazaarline.llm.shared import stored, table
+from bazaarline.llm.shared import step, stored, table
 from bazaarline.llm.token_files import documents_of
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -44,21 +46,37 @@ def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-STAGES: list[tuple[str, Stage]] = [
+def _in_turn(stage: Stage) -> Stage:
+    """The stage as one of a row, each of whose results is written before the next begins: the
+    working tables of the stage before are deleted."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with step(spark, "stages"):
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+PARTS: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
     ("MinHash near-dedup", near_dedup),
     ("benchmark decontamination", decontamination),
     ("mixing sources to target weights", mixing),
     ("token-ID / binary output", token_files),
 ]
+STAGES: list[tuple[str, Stage]] = [(name, _in_turn(stage)) for name, stage in PARTS]
 
 # Consistent samples, pseudorandom permutations and a tokenizer are not SQL.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; what a stage keeps is stored, as the next reads it often."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.split(" ")[0].lower())
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over the documents; what a stage keeps is stored before the next begins."""
+    docs, turn = table(spark, sf_dir, "documents"), uuid.uuid4().hex
+    for name, stage in PARTS:
+        with step(spark, turn):
+            result = stage(spark, docs, sf_dir)
+        # The last result still reads its tables; nothing is deleted after it.
+        docs = result if stage is token_files else stored(result, name.split(" ")[0].lower())
+    return docs
