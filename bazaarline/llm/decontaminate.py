@@ -139,20 +139,41 @@ def windows(texts: DataFrame, keys: list[str], size: int) -> DataFrame:
     )
 
 
+def _items(benchmark: DataFrame) -> DataFrame:
+    """``item_id, text, item_tokens, shape`` of the items with tokens.
+
+    The shape tells the forms and which slots have equal values, so texts that fill one item's
+    slots one to one do so for all items of its shape.
+    """
+    texts = benchmark.where("text is not null").select("item_id", "text", marked(F.col("text")).alias("told"))
+    cut = texts.select("item_id", "text", tokens_of(F.col("told")).alias("tokens"), has_slots(F.col("told")).alias("slotted"))
+    formed = cut.select(
+        "item_id", "text",
+        forms_of(F.col("tokens"), F.col("slotted")).alias("forms"),
+        slots_of(F.col("tokens"), F.col("slotted")).alias("slots"),
+    )
+    firsts = F.transform("slots", lambda s: F.array_position("slots", s))
+    return formed.select("item_id", "text", F.size("forms").alias("item_tokens"), F.xxhash64("forms", firsts).alias("shape")).where("item_tokens > 0")
+
+
+def _least_id(*more: str) -> Column:
+    """The row of a group with the least id, a null one last."""
+    return F.min(F.struct(F.col("item_id").isNull().alias("unknown"), "item_id", *more))
+
+
+def item_groups(benchmark: DataFrame) -> DataFrame:
+    """``item_id, group_item``: every item and the id under which those of its shape are looked for."""
+    items = _items(benchmark).select("item_id", "shape")
+    groups = items.groupBy("shape").agg(_least_id()["item_id"].alias("group_item"))
+    return items.join(groups.hint("shuffle_merge"), "shape").select("item_id", "group_item")
+
+
 def item_windows(benchmark: DataFrame, leaks: Leaks) -> DataFrame:
     """Windows of the items with enough literals: ``item, item_at, hash, item_slots, item_tokens``.
 
-    Items that differ in their slots only are looked for once, under the least of their ids.
+    Items of one shape are looked for once, under the least of their ids.
     """
-    texts = benchmark.where("text is not null").select("item_id", "text")
-    told = texts.select("item_id", "text", marked(F.col("text")).alias("told"))
-    forms = let(tokens_of(F.col("told")), lambda t: forms_of(t, has_slots(F.col("told"))))
-    shaped = told.select("item_id", "text", forms.alias("forms")).select(
-        "item_id", "text", F.size("forms").alias("item_tokens"), F.xxhash64("forms").alias("shape")
-    )
-    first = shaped.groupBy("shape").agg(
-        F.min(F.struct(F.col("item_id").isNull().alias("unknown"), "item_id", "text", "item_tokens")).alias("least")
-    )
+    first = _items(benchmark).groupBy("shape").agg(_least_id("text", "item_tokens").alias("least"))
     items = first.select(F.col("least.item_id").alias("item"), F.col("least.item_tokens").alias("item_tokens"), F.col("least.text").alias("text"), "shape")
     literal = F.coalesce(F.size(F.filter("slots", lambda s: s.isNull())), F.lit(leaks.window))
     return (
@@ -169,7 +190,9 @@ def leaked(docs: DataFrame, benchmark: DataFrame, leaks: Leaks = Leaks()) -> Dat
     also match with other values. Windows of texts and items are joined by the hash of their
     forms. Matches of a text and an item on one diagonal must fill the slots one to one: the
     same value of the item by the same value of the text, different ones by different ones;
-    diagonals that do not are left out. ``changed`` tells that some value differs.
+    diagonals that do not are left out. ``changed`` tells that some value differs. Items that
+    differ in values only, equal ones in the same places, are one; ``item_groups`` names all
+    items behind an id.
 
     ``tag`` is the ``xxhash64`` of the text; rows equal in id and text are one. Null and empty
     texts have no windows, null items and items shorter than a window are not looked for. Null

@@ -73,6 +73,14 @@ def test_items_that_differ_in_values_count_once(spark, rows):
     assert rows(dc.leaked(_docs(spark, ITEM), items), "doc_id", "item_id") == [(0, 0)]
 
 
+def test_items_of_one_shape_with_other_equal_values(spark, rows):
+    equal, other = ITEM.replace("2", "5"), ITEM.replace("Mary", "Tom")
+    items = _items(spark, equal, ITEM, other, ITEM.replace("5", "6"))
+    got = rows(dc.leaked(_docs(spark, f"a. {ITEM} b", f"a. {equal} b", f"a. {other} b"), items), "doc_id", "item_id", "changed")
+    assert {(0, 1, False), (1, 0, False), (2, 2, False)} <= set(got)
+    assert rows(dc.item_groups(items), "item_id", "group_item") == [(0, 0), (1, 1), (2, 2), (3, 1)]
+
+
 def test_odd_tables(spark, odd_docs, odd_rows):
     from pyspark.sql import functions as F
 
