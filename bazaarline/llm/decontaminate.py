@@ -103,47 +103,90 @@ def window_hashes(forms: Column, size: int) -> Column:
     return build(size, lambda h: h)
 
 
-def windows(texts: DataFrame, keys: list[str], size: int) -> DataFrame:
-    """Rows ``keys, at, hash, slots`` for every window of ``size`` tokens of the column ``text``.
+def plain_forms(tokens: Column) -> Column:
+    """A hash of each token as it is, names like other words."""
+    return F.transform(tokens, lambda t: F.xxhash64(F.translate(t, NAME, "")))
 
-    A text is cut into overlapping chunks first, so a row holds a bounded number of windows.
-    ``slots`` is null for texts without numbers and names.
-    """
+
+def _chunks(texts: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """Rows ``keys, slotted, start, lead, tokens``: a text is cut into overlapping chunks, so a row
+    has a bounded number of windows. A later chunk has the token before it, by which a first unit
+    is known."""
     chunks = F.transform(
         F.sequence(F.lit(0), F.greatest(F.size("tokens") - size, F.lit(0)), F.lit(CHUNK)),
         lambda start: F.struct(start.alias("start"), F.slice("tokens", F.greatest(start, F.lit(1)), CHUNK + size).alias("tokens")),
     )
-    lead, hashes, slots = F.col("lead"), F.col("hashes"), F.col("slots")
-    count = F.least(F.greatest(F.size(hashes) - lead - (size - 1), F.lit(0)), F.lit(CHUNK))
+    return (
+        texts.select(*keys, marked(text_or_empty("text")).alias("told"))
+        .select(*keys, tokens_of(F.col("told")).alias("tokens"), has_slots(F.col("told")).alias("slotted"))
+        .select(*keys, "slotted", F.explode(chunks).alias("chunk"))
+        .select(
+            *keys, "slotted", "chunk.start", "chunk.tokens",
+            F.when(F.col("chunk.start") > 0, F.lit(1)).otherwise(F.lit(0)).alias("lead"),
+        )
+    )
+
+
+def _cut(hashes: Column, size: int) -> Column:
+    """Of a chunk's window hashes, those of its own whole windows."""
+    count = F.least(F.greatest(F.size(hashes) - F.col("lead") - (size - 1), F.lit(0)), F.lit(CHUNK))
+    return F.slice(hashes, F.col("lead") + 1, count)
+
+
+def _typed(size: int) -> Column:
+    return window_hashes(let(F.col("tokens"), lambda t: forms_of(t, F.col("slotted"))), size)
+
+
+def _plain(size: int) -> Column:
+    return window_hashes(plain_forms(F.col("tokens")), size)
+
+
+def some_windows(texts: DataFrame, keys: list[str], size: int, typed: bool) -> DataFrame:
+    """Rows ``keys, hash`` for the different windows of a chunk, as they are and, if asked for, typed."""
+    plain = _cut(F.col("plain"), size)
+    if typed:
+        both = F.array_union(plain, _cut(F.col("typed"), size))
+        own = F.when(F.col("slotted"), both).otherwise(plain)
+        hashes = _chunks(texts, keys, size).select(
+            *keys, "slotted", "lead", _plain(size).alias("plain"), F.when(F.col("slotted"), _typed(size)).alias("typed")
+        )
+    else:
+        own = plain
+        hashes = _chunks(texts, keys, size).select(*keys, "lead", _plain(size).alias("plain"))
+    return hashes.select(*keys, F.explode(own).alias("hash"))
+
+
+def windows(texts: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """Rows ``keys, at, hash, plain, slots`` for every window of ``size`` tokens of the column ``text``.
+
+    ``hash`` is of the typed tokens, ``plain`` of the tokens as they are; both are equal in
+    windows without slots. ``slots`` is null for texts without numbers and names.
+    """
+    slots, plain = F.col("slots"), F.col("plain")
     cut = F.transform(
-        F.slice(hashes, lead + 1, count),
+        _cut(F.col("hashes"), size),
         lambda h, k: F.struct(
             h.alias("hash"),
-            F.when(slots.isNotNull(), F.array(*[F.get(slots, lead + k + i) for i in range(size)])).alias("slots"),
+            F.get(plain, F.col("lead") + k).alias("plain"),
+            F.when(slots.isNotNull(), F.array(*[F.get(slots, F.col("lead") + k + i) for i in range(size)])).alias("slots"),
         ),
     )
     return (
-        texts.select(*keys, marked(text_or_empty("text")).alias("told"))
-        .select(*keys, tokens_of(F.col("told")).alias("tokens"), has_slots(F.col("told")).alias("slotted"))
-        .select(*keys, "slotted", F.explode(chunks).alias("chunk"))
-        # A later chunk has the token before it, by which a first unit is known.
+        _chunks(texts, keys, size)
         .select(
-            *keys,
-            "chunk.start",
-            F.when(F.col("chunk.start") > 0, F.lit(1)).otherwise(F.lit(0)).alias("lead"),
-            window_hashes(let(F.col("chunk.tokens"), lambda t: forms_of(t, F.col("slotted"))), size).alias("hashes"),
-            let(F.col("chunk.tokens"), lambda t: slots_of(t, F.col("slotted"))).alias("slots"),
+            *keys, "start", "lead", _typed(size).alias("hashes"), _plain(size).alias("plain"),
+            let(F.col("tokens"), lambda t: slots_of(t, F.col("slotted"))).alias("slots"),
         )
         .select(*keys, "start", F.posexplode(cut).alias("k", "window"))
-        .select(*keys, (F.col("start") + F.col("k")).alias("at"), "window.hash", "window.slots")
-    )
+        .select(*keys, (F.col("start") + F.col("k")).alias("at"), "window.hash", "window.plain", "window.slots")
+    )
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
-    """``item_id, text, item_tokens, shape`` of the items with tokens.
+    """``item_id, text, item_tokens, shape, words`` of the items with tokens.
 
     The shape tells the forms and which slots have equal values, so texts that fill one item's
-    slots one to one do so for all items of its shape.
+    slots one to one do so for all items of its shape. ``words`` tells the tokens as they are.
     """
     texts = benchmark.where("text is not null").select("item_id", "text", marked(F.col("text")).alias("told"))
     cut = texts.select("item_id", "text", tokens_of(F.col("told")).alias("tokens"), has_slots(F.col("told")).alias("slotted"))
@@ -151,9 +194,12 @@ def _items(benchmark: DataFrame) -> DataFrame:
         "item_id", "text",
         forms_of(F.col("tokens"), F.col("slotted")).alias("forms"),
         slots_of(F.col("tokens"), F.col("slotted")).alias("slots"),
+        F.xxhash64(plain_forms(F.col("tokens"))).alias("words"),
     )
     firsts = F.transform("slots", lambda s: F.array_position("slots", s))
-    return formed.select("item_id", "text", F.size("forms").alias("item_tokens"), F.xxhash64("forms", firsts).alias("shape")).where("item_tokens > 0")
+    return formed.select(
+        "item_id", "text", F.size("forms").alias("item_tokens"), F.xxhash64("forms", firsts).alias("shape"), "words"
+    ).where("item_tokens > 0")
 
 
 def _least_id(*more: str) -> Column:
@@ -162,85 +208,148 @@ def _least_id(*more: str) -> Column:
 
 
 def item_groups(benchmark: DataFrame) -> DataFrame:
-    """``item_id, group_item``: every item and the id under which those of its shape are looked for."""
-    items = _items(benchmark).select("item_id", "shape")
+    """``item_id, same_item, group_item``: every item, the least id of those with its words and
+    the least id of those of its shape."""
+    items = _items(benchmark).select("item_id", "shape", "words")
+    same = items.groupBy("shape", "words").agg(_least_id()["item_id"].alias("same_item"))
     groups = items.groupBy("shape").agg(_least_id()["item_id"].alias("group_item"))
-    return items.join(groups.hint("shuffle_merge"), "shape").select("item_id", "group_item")
+    return (
+        items.join(same.hint("shuffle_merge"), ["shape", "words"])
+        .join(groups.hint("shuffle_merge"), "shape")
+        .select("item_id", "same_item", "group_item")
+    )
+
 
+def item_windows(benchmark: DataFrame, leaks: Leaks) -> tuple[DataFrame, DataFrame, list[int]]:
+    """What is looked for, both stored, and the lengths of windows in it, of at most ``window`` tokens.
 
-def item_windows(benchmark: DataFrame, leaks: Leaks) -> DataFrame:
-    """Windows of the items with enough literals: ``item, item_at, hash, item_slots, item_tokens``.
+    ``shape, item, item_tokens, size, item_at, hash, item_slots``: the windows of all items as
+    they are, without slots, and the typed ones with enough literals. Items shorter than a
+    window are one shorter window. Items of one shape are looked for once, under ``item``, the
+    least of their ids.
 
-    Items of one shape are looked for once, under the least of their ids.
+    ``shape, whole, same``: the hash of all windows of an item as they are, in order, and the
+    least id of the items with just these words.
     """
-    first = _items(benchmark).groupBy("shape").agg(_least_id("text", "item_tokens").alias("least"))
-    items = first.select(F.col("least.item_id").alias("item"), F.col("least.item_tokens").alias("item_tokens"), F.col("least.text").alias("text"), "shape")
-    literal = F.coalesce(F.size(F.filter("slots", lambda s: s.isNull())), F.lit(leaks.window))
-    return (
-        windows(items, ["item", "shape", "item_tokens"], leaks.window)
-        .where(literal >= leaks.literals)
-        .select("item", "shape", "item_tokens", F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"))
-    )
+    own = stored(_items(benchmark).withColumn("size", F.least("item_tokens", F.lit(leaks.window))), "items")
+    sizes = sorted(r["size"] for r in own.select("size").distinct().collect())
+    same = own.groupBy("shape", "words", "size").agg(_least_id("text", "item_tokens").alias("least"))
+    first = own.groupBy("shape").agg(_least_id("words").alias("least"))
+    first = first.select("shape", F.col("least.item_id").alias("item"), F.col("least.words").alias("first"))
+    items = same.join(first.hint("shuffle_merge"), "shape").select(
+        "shape", "words", "size", "item", (F.col("words") == F.col("first")).alias("typed"),
+        F.col("least.item_id").alias("same"), F.col("least.text").alias("text"), F.col("least.item_tokens").alias("item_tokens"),
+    )
+    keys = ["shape", "words", "size", "item", "typed", "same", "item_tokens"]
+    every = None
+    for size in sizes:
+        some = windows(items.where(F.col("size") == size), keys, size)
+        every = some if every is None else every.unionByName(some)
+    if every is None:
+        every = windows(items, keys, leaks.window)
+    every = stored(every, "all-item-windows")
+    columns = ["shape", "item", "item_tokens", "size", F.col("at").alias("item_at")]
+    none = F.lit(None).cast("array<bigint>")
+    plain = every.select(*columns, F.col("plain").alias("hash"), none.alias("item_slots")).distinct()
+    enough = F.size(F.filter("slots", lambda s: s.isNull())) >= leaks.literals
+    typed = every.where((F.col("size") == leaks.window) & F.col("typed") & (F.col("hash") != F.col("plain")) & enough)
+    index = plain.unionByName(typed.select(*columns, "hash", F.col("slots").alias("item_slots")))
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("at", "plain"))), lambda w: w["plain"])
+    whole = every.groupBy("shape", "words", "same").agg(F.xxhash64(in_order).alias("whole")).select("shape", "whole", "same")
+    return stored(index, "item-windows"), stored(whole, "whole-items"), sizes
 
 
 def leaked(docs: DataFrame, benchmark: DataFrame, leaks: Leaks = Leaks()) -> DataFrame:
-    """``doc_id, tag, item_id, matched_tokens, item_tokens, changed``, a row for each item in a text.
+    """``doc_id, tag, item_id, matched_tokens, item_tokens, changed, group_item``, a row for each item in a text.
 
-    Numbers, names and units after numbers are replaced by their types, so windows of an item
-    also match with other values. Windows of texts and items are joined by the hash of their
-    forms. Matches of a text and an item on one diagonal must fill the slots one to one: the
-    same value of the item by the same value of the text, different ones by different ones;
-    diagonals that do not are left out. ``changed`` tells that some value differs. Items that
-    differ in values only, equal ones in the same places, are one; ``item_groups`` names all
-    items behind an id.
+    Windows of texts and items are joined by the hash of their lower-cased tokens as they are.
+    Numbers, names and units after numbers are also replaced by their types, and windows joined
+    by the hash of these forms, so windows of an item also match with other values. Matches of
+    a text and an item on one diagonal must fill the slots one to one: the same value of the
+    item by the same value of the text, different ones by different ones; typed matches on
+    diagonals that do not are left out. ``changed`` tells that some value differs.
+
+    Items that differ in values only, equal ones in the same places, are looked for as one,
+    ``group_item``, the least of their ids. ``item_id`` is that of an item whose whole words are
+    in the text, a row for each, or else ``group_item``; ``item_groups`` names all items behind
+    an id.
 
     ``tag`` is the ``xxhash64`` of the text; rows equal in id and text are one. Null and empty
-    texts have no windows, null items and items shorter than a window are not looked for. Null
-    ids of documents and items stay null. Only ``doc_id`` and ``text``, ``item_id`` and
-    ``text`` are read. Empty tables on either side give an empty table.
+    texts have no windows, null items and items without words are not looked for; an item
+    shorter than a window is found as a whole, as it is. Null ids of documents and items stay
+    null. Only ``doc_id`` and ``text``, ``item_id`` and ``text`` are read. Empty tables on
+    either side give an empty table.
 
+    First the texts that have any window are found, then places and values in those only.
     Windows of the items are broadcast up to a counted bound, so the texts are not shuffled;
     beyond it, rows are joined by a shuffle on the hash.
     """
-    index = stored(item_windows(benchmark, leaks), "item-windows")
+    index, whole, sizes = item_windows(benchmark, leaks)
+    hashes = index.select("hash").distinct()
     if index.count() <= BROADCAST_WINDOWS:
-        index = F.broadcast(index)
+        index, hashes, whole = F.broadcast(index), F.broadcast(hashes), F.broadcast(whole)
     texts = docs.select("doc_id", text_or_empty("text").alias("text")).withColumn("tag", F.xxhash64("text"))
+    keys, sizes = ["doc_id", "tag"], sizes or [leaks.window]
+    some = None
+    for size in sizes:
+        found = some_windows(texts, keys, size, size == leaks.window).join(hashes, "hash", "left_semi").select(*keys)
+        some = found if some is None else some.unionByName(found)
+    some = stored(some.distinct(), "some-window").withColumnsRenamed({"doc_id": "_some_id", "tag": "_some_tag"})
+    some = F.broadcast(some) if some.count() <= BROADCAST_DOCS else some.hint("shuffle_merge")
+    texts = texts.join(some, F.col("doc_id").eqNullSafe(F.col("_some_id")) & (F.col("tag") == F.col("_some_tag")), "left_semi")
+
     # Equal forms have their slots in the same places.
-    pairs = F.when(
-        F.col("item_slots").isNotNull() & F.col("slots").isNotNull(),
-        F.filter(
-            F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc")),
-            lambda pair: pair["item"].isNotNull(),
-        ),
-    ).otherwise(F.expr("cast(array() as array<struct<item: bigint, doc: bigint>>)"))
-    hits = (
-        windows(texts, ["doc_id", "tag"], leaks.window)
-        .join(index, "hash")
-        .select("doc_id", "tag", "item", "shape", "item_tokens", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), pairs.alias("pairs"))
+    pairs = F.filter(
+        F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc")),
+        lambda pair: pair["item"].isNotNull(),
     )
-    lines = hits.groupBy("doc_id", "tag", "item", "shape", "item_tokens", "shift").agg(
-        F.collect_set("item_at").alias("ats"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
+    hits = None
+    for size in sizes:
+        own = windows(texts, keys, size)
+        as_is = F.struct(F.col("plain").alias("hash"), F.lit(None).cast("array<bigint>").alias("slots"))
+        typed = F.struct("hash", "slots")
+        forms = F.when(F.col("hash") != F.col("plain"), F.array(as_is, typed)).otherwise(F.array(as_is)) if size == leaks.window else F.array(as_is)
+        own = own.select(*keys, "at", F.explode(forms).alias("form")).select(*keys, "at", "form.hash", "form.slots")
+        own = own.join(index, "hash").select(
+            *keys, "shape", "item", "item_tokens", "size", "item_at", (F.col("at") - F.col("item_at")).alias("shift"),
+            "hash", F.when(F.col("item_slots").isNotNull(), pairs).alias("pairs"),
+        )
+        hits = own if hits is None else hits.unionByName(own)
+    is_typed = F.col("pairs").isNotNull()
+    lines = hits.groupBy(*keys, "shape", "item", "item_tokens", "size", "shift").agg(
+        F.array_sort(F.collect_set(F.when(~is_typed, F.struct("item_at", "hash")))).alias("equal"),
+        F.collect_set(F.when(is_typed, F.col("item_at"))).alias("ats"),
+        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
     )
     one_to_one = (F.size(F.array_distinct("pairs.item")) == F.size("pairs")) & (
         F.size(F.array_distinct("pairs.doc")) == F.size("pairs")
     )
+    complete = F.size("equal") == F.col("item_tokens") - F.col("size") + 1
+    lines = (
+        lines.withColumn("fits", one_to_one)
+        .withColumn("differing", F.when(F.col("fits"), F.array_except("ats", "equal.item_at")).otherwise(F.expr("cast(array() as array<int>)")))
+        .withColumn("whole", F.when(complete, F.xxhash64("equal.hash")))
+        .join(whole.withColumn("known", F.lit(True)), ["shape", "whole"], "left")
+        .withColumn("ats", F.array_union("equal.item_at", "differing"))
+    )
     spread = F.array_distinct(
-        F.flatten(F.transform(F.flatten(F.collect_list("ats")), lambda at: F.sequence(at, at + (leaks.window - 1))))
+        F.flatten(F.transform(F.flatten(F.collect_list("ats")), lambda at: F.sequence(at, at + F.col("size") - 1)))
+    )
+    found = lines.groupBy(*keys, "shape", "item", "item_tokens", "size").agg(
+        F.size(spread).cast("long").alias("matched_tokens"),
+        F.max(F.size("differing") > 0).alias("changed"),
+        F.collect_set(F.when(F.col("known"), F.struct(F.col("same").alias("item_id")))).alias("verbatim"),
     )
-    changed = F.exists("pairs", lambda p: p["item"] != p["doc"])
+    ids = F.when(F.size("verbatim") > 0, F.col("verbatim")).otherwise(F.array(F.struct(F.col("item").alias("item_id"))))
     return (
-        lines.where(one_to_one)
-        .withColumn("changed", changed)
-        .groupBy("doc_id", "tag", "item", "shape", "item_tokens")
-        .agg(F.size(spread).cast("long").alias("matched_tokens"), F.bool_or("changed").alias("changed"))
-        .where(
+        found.where(
             (F.col("matched_tokens") >= leaks.coverage * F.col("item_tokens"))
             | (F.col("matched_tokens") >= leaks.tokens)
         )
+        .select("*", F.explode(ids).alias("own"))
         .select(
-            "doc_id", "tag", F.col("item").alias("item_id"), "matched_tokens",
-            F.col("item_tokens").cast("long").alias("item_tokens"), "changed",
+            "doc_id", "tag", "own.item_id", "matched_tokens", F.col("item_tokens").cast("long").alias("item_tokens"),
+            "changed", F.col("item").alias("group_item"),
         )
     )
 

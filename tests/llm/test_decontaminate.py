@@ -81,6 +81,25 @@ def test_items_of_one_shape_with_other_equal_values(spark, rows):
     assert rows(dc.item_groups(items), "item_id", "group_item") == [(0, 0), (1, 1), (2, 2), (3, 1)]
 
 
+def test_copies_in_other_case_and_of_numbers_only(spark, rows):
+    title = "Green River Summer Fair Opens Near Old Stone Bridge"
+    items = _items(spark, ITEM, title, "3 5 8 13 21 34 55 89", "seven plus two", ITEM.replace("5", "6"))
+    docs = _docs(
+        spark,
+        ITEM.lower(),
+        f"x {ITEM.upper()} y",
+        ITEM.replace(" ", "\n"),
+        f"so {title.lower()} and",
+        f"so {title} and",
+        "count 3 5 8 13 21 34 55 89 on",
+        "it is Seven plus\ntwo now",
+        "it is Seven plus one now",
+        ITEM.replace("5", "6").upper(),
+    )
+    got = rows(dc.leaked(docs, items), "doc_id", "item_id", "group_item", "changed")
+    assert got == [(0, 0, 0, False), (1, 0, 0, False), (2, 0, 0, False), (3, 1, 1, False), (4, 1, 1, False), (5, 2, 2, False), (6, 3, 3, False), (8, 4, 0, False)]
+
+
 def test_odd_tables(spark, odd_docs, odd_rows):
     from pyspark.sql import functions as F
 
