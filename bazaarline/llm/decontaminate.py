@@ -264,10 +264,10 @@ def leaked(docs: DataFrame, benchmark: DataFrame, leaks: Leaks = Leaks()) -> Dat
 
     Windows of texts and items are joined by the hash of their lower-cased tokens as they are.
     Numbers, names and units after numbers are also replaced by their types, and windows joined
-    by the hash of these forms, so windows of an item also match with other values. Matches of
-    a text and an item on one diagonal must fill the slots one to one: the same value of the
-    item by the same value of the text, different ones by different ones; typed matches on
-    diagonals that do not are left out. ``changed`` tells that some value differs.
+    by the hash of these forms, so windows of an item also match with other values. Windows with
+    the item's own values count in any case. The others of a text and an item on one diagonal
+    must fill the slots one to one: the same value of the item by the same value of the text,
+    different ones by different ones; on diagonals that do not they are left out. ``changed`` tells that some value differs.
 
     Items that differ in values only, equal ones in the same places, are looked for as one,
     ``group_item``, the least of their ids. ``item_id`` is that of an item whose whole words are
@@ -318,16 +318,18 @@ def leaked(docs: DataFrame, benchmark: DataFrame, leaks: Leaks = Leaks()) -> Dat
     is_typed = F.col("pairs").isNotNull()
     lines = hits.groupBy(*keys, "shape", "item", "item_tokens", "size", "shift").agg(
         F.array_sort(F.collect_set(F.when(~is_typed, F.struct("item_at", "hash")))).alias("equal"),
-        F.collect_set(F.when(is_typed, F.col("item_at"))).alias("ats"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
+        F.collect_set(F.when(is_typed, F.struct("item_at", "pairs"))).alias("typed"),
     )
+    # Places whose values equal an item's count in any case.
+    lines = lines.withColumn("typed", F.filter("typed", lambda t: ~F.array_contains(F.col("equal.item_at"), t["item_at"])))
+    lines = lines.withColumn("pairs", F.array_distinct(F.flatten("typed.pairs")))
     one_to_one = (F.size(F.array_distinct("pairs.item")) == F.size("pairs")) & (
         F.size(F.array_distinct("pairs.doc")) == F.size("pairs")
     )
     complete = F.size("equal") == F.col("item_tokens") - F.col("size") + 1
     lines = (
         lines.withColumn("fits", one_to_one)
-        .withColumn("differing", F.when(F.col("fits"), F.array_except("ats", "equal.item_at")).otherwise(F.expr("cast(array() as array<int>)")))
+        .withColumn("differing", F.when(F.col("fits"), F.col("typed.item_at")).otherwise(F.expr("cast(array() as array<int>)")))
         .withColumn("whole", F.when(complete, F.xxhash64("equal.hash")))
         .join(whole.withColumn("known", F.lit(True)), ["shape", "whole"], "left")
         .withColumn("ats", F.array_union("equal.item_at", "differing"))

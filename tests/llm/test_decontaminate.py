@@ -100,6 +100,22 @@ def test_copies_in_other_case_and_of_numbers_only(spark, rows):
     assert got == [(0, 0, 0, False), (1, 0, 0, False), (2, 0, 0, False), (3, 1, 1, False), (4, 1, 1, False), (5, 2, 2, False), (6, 3, 3, False), (8, 4, 0, False)]
 
 
+def test_one_altered_value_in_a_long_copy(spark, rows):
+    middle = "the baker then counts every loaf on the long shelf and writes the number down in a small red book"
+    item = f"On a day in May the baker Tom sells 5 loaves and {middle} while Tom keeps 5 loaves for the poor of the town"
+    docs = _docs(
+        spark,
+        item.replace("keeps 5", "keeps 7"),
+        item.replace("while Tom", "while Jim"),
+        "On a day in May the baker Tom sells 5 loaves and none is left, Tom keeps 7 loaves",
+    )
+    got = rows(dc.leaked(docs, _items(spark, item)), "doc_id", "matched_tokens")
+    assert [g[0] for g in got] == [0, 1] and all(g[1] >= 30 for g in got)
+    # Two places of one value filled differently do not fit, but all other windows are equal.
+    both = item.replace("sells 5", "sells 6").replace("keeps 5", "keeps 7")
+    assert rows(dc.leaked(_docs(spark, both), _items(spark, item)), "doc_id", "changed") == [(0, False)]
+
+
 def test_odd_tables(spark, odd_docs, odd_rows):
     from pyspark.sql import functions as F
 
