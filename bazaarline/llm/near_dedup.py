@@ -33,13 +33,20 @@ ROUNDING = 1e-9
 
 @dataclass(frozen=True)
 class Near:
-    """``bands`` of ``rows`` samples each: two texts whose weighted similarity is ``similarity``
-    share a band with a probability of 1 - (1 - similarity ** rows) ** bands."""
+    """``bands`` of ``rows`` samples each: two texts whose weighted similarity is s share a band
+    with a probability of 1 - (1 - s ** rows) ** bands. Texts are linked by a weighted or an
+    unweighted similarity of at least ``similarity``."""
 
     shingle: int = 5
     similarity: float = 0.8
-    bands: int = 12
-    rows: int = 4
+    bands: int = 18
+    rows: int = 3
+
+    @property
+    def least_weighted(self) -> float:
+        """The least weighted similarity of texts whose unweighted one is ``similarity``: weights lie
+        between 1, of all common shingles then, and 2, of all others."""
+        return self.similarity / (2 - self.similarity)
 
 
 # --- shingles ---------------------------------------------------------------------------------
@@ -209,12 +216,14 @@ def unpack_vector(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def similarity(left: bytes, right: bytes, idf: np.ndarray) -> float:
-    """Weighted Jaccard similarity of two vectors."""
+    """The larger of the weighted and the unweighted Jaccard similarity of two vectors."""
     (a, n), (b, m) = unpack_vector(left), unpack_vector(right)
     common, at, to = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     least = float((np.minimum(n[at], m[to]) * idf[common & np.uint32(COUNTERS - 1)]).sum())
     most = float((n * idf[a & np.uint32(COUNTERS - 1)]).sum() + (m * idf[b & np.uint32(COUNTERS - 1)]).sum()) - least
-    return least / most if most else 1.0
+    shared = float(np.minimum(n[at], m[to]).sum())
+    union = float(n.sum() + m.sum()) - shared
+    return max(least / most, shared / union) if most else 1.0
 
 
 def sketched(docs: DataFrame, near: Near) -> tuple[DataFrame, object]:
@@ -350,10 +359,11 @@ def _links_by_blocks(now: DataFrame, details: DataFrame, weights, near: Near) ->
     two blocks meet in one task. There a pair is compared in the first band it shares, if its
     samples agree often enough for it to be likely at all: the number that agree has a
     binomial distribution, and the limit is ``SIGMAS`` deviations below its mean at the
-    similarity asked for.
+    least weighted similarity that a pair with the similarity asked for can have.
     """
     number = near.bands * near.rows
-    mean, deviation = near.similarity * number, (near.similarity * (1 - near.similarity) * number) ** 0.5
+    share = near.least_weighted
+    mean, deviation = share * number, (share * (1 - share) * number) ** 0.5
     agreeing = int(mean - SIGMAS * deviation)
     full = now.join(details.hint("shuffle_merge"), "node")
     # An int on both sides: keys of a cogroup are dealt by their type, too.
@@ -458,7 +468,7 @@ def _least(column: str) -> Column:
 
 
 def classes(docs: DataFrame, near: Near = Near()) -> Classes:
-    """Classes of texts that are linked by a weighted similarity of at least ``near.similarity``.
+    """Classes of texts that are linked by a weighted or an unweighted similarity of at least ``near.similarity``.
 
     Texts are sets of word shingles with weights tf times idf, see :func:`shingles_of` and
     :func:`inverse_frequencies`. Texts with the same words in order are one node, whatever

@@ -111,6 +111,23 @@ def test_members_unlike_their_leader_are_compared(spark, monkeypatch):
     assert got == want and len(set(want.values())) == 7
 
 
+def test_edited_copy_of_a_third_of_all_rows(spark):
+    """Common shingles weigh little there; the similarity without weights counts as well."""
+    base = [f"w{k}" for k in range(200)]
+    edited = [f"new{k}" if k in (30, 80, 120, 160) else w for k, w in enumerate(base)]
+    less = [f"new{k}" if k % 25 == 10 else w for k, w in enumerate(base)]
+    texts = [" ".join(base)] * 100 + [" ".join(f"t{n}w{k}" for k in range(40)) for n in range(200)]
+    texts += [" ".join(edited), " ".join(less)]
+    plain = []
+    for other in texts[-2:]:
+        a, b = _shingles(texts[0]), _shingles(other)
+        plain.append((a & b).total() / (a | b).total())
+    assert plain[0] > 0.81 and plain[1] < 0.75
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["class_id"] for r in nd.classes(docs).rows.collect()}
+    assert got[300] == 0 and got[301] == 301
+
+
 def test_components_of_paths_and_stars(spark):
     def node(k: int) -> bytes:
         return (k * 2654435761 % 2**32).to_bytes(4, "big")
