@@ -18,13 +18,17 @@ from bazaarline.llm.shared import slices, text_or_empty
 GRAM, WINNOW = 3, 3
 BAND = 4
 MIN_IDENTITY = 0.8
+# Equal words of a reported part: a run of so many shares a fingerprint.
+MIN_RUN = GRAM + WINNOW - 1
+# A run ends where the alignment falls so far below its best score.
+DROP = 2 * BAND
 # Words of the templates that one pass looks for; more templates are looked for in more passes.
 PASS_WORDS = 200_000
 TEXT_BYTES = 4_000_000
 WORD = re.compile(r"[^\W_]+")
 NOT_WORD = r"[^\pL\pN]+"
 
-# Notices as their publishers word them.
+# Notices, opening clauses and, named "text", whole terms as their publishers word them.
 TEMPLATES: dict[str, str] = {
     "MIT": "Released under the MIT License.",
     "MIT-terms": (
@@ -54,6 +58,18 @@ TEMPLATES: dict[str, str] = {
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-terms": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "MIT-text": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+        "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
+        "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+        "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+        "following conditions: The above copyright notice and this permission notice shall be included in all "
+        "copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF "
+        "ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR "
+        "A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR "
+        "ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+        "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
@@ -191,14 +207,77 @@ def matches(index: Index, text: np.ndarray, places: np.ndarray, hashes: np.ndarr
     return sorted(kept, key=lambda k: k[3])
 
 
+def extend(template: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
+    """Equal words, words of the template and words of the text of the best alignment, within the
+    band, of some beginning of the template with some beginning of the text."""
+    best = (0, 0, 0, 0)  # score, equal, template words, text words
+    # Cells by the words of the text used: score, equal words.
+    cells = {j: (-j, 0) for j in range(min(BAND, len(text)) + 1)}
+    for q, word in enumerate(template):
+        following: dict[int, tuple[int, int]] = {}
+        for j in range(max(q + 1 - BAND, 0), min(q + 1 + BAND, len(text)) + 1):
+            options = []
+            if j - 1 in cells:
+                score, equal = cells[j - 1]
+                same = word == text[j - 1]
+                options.append((score + 1, equal + 1) if same else (score - 1, equal))
+            if j in cells:
+                options.append((cells[j][0] - 1, cells[j][1]))
+            if j - 1 in following:
+                options.append((following[j - 1][0] - 1, following[j - 1][1]))
+            if options:
+                following[j] = max(options)
+                if following[j][0] > best[0]:
+                    best = (*following[j], q + 1, j)
+        cells = following
+        if not cells or max(c[0] for c in cells.values()) < best[0] - DROP:
+            break
+    return best[1:]
+
+
+def runs(index: Index, text: np.ndarray, places: np.ndarray, hashes: np.ndarray, whole: list[tuple]) -> list[tuple]:
+    """``template, matched, start, end`` of parts of templates in a text, each through a common
+    fingerprint and with at least ``MIN_RUN`` equal words.
+
+    Of overlapping parts that with more equal words stays; one inside or beside a whole match
+    stays if it has more equal words than that.
+    """
+    found: list[tuple] = []
+    covered: dict[int, list[tuple[int, int, int, int]]] = {}
+    for template, _, _, start, end in whole:
+        covered.setdefault(template, []).append((0, len(index.words[template]), start, end))
+    for p, h in zip(places.tolist(), hashes, strict=True):
+        lo, hi = np.searchsorted(index.fingerprints, h, "left"), np.searchsorted(index.fingerprints, h, "right")
+        for k in range(lo, hi):
+            template, q = int(index.templates[k]), int(index.places[k])
+            words, mine = index.words[template], covered.setdefault(template, [])
+            if any(a <= q and q + GRAM <= b and c <= p and p + GRAM <= d for a, b, c, d in mine):
+                continue
+            reach = len(words) + BAND
+            after = extend(words[q + GRAM :], text[p + GRAM : p + GRAM + reach])
+            before = extend(words[:q][::-1], text[max(p - reach, 0) : p][::-1])
+            matched = before[0] + GRAM + after[0]
+            span = (q - before[1], q + GRAM + after[1], p - before[2], p + GRAM + after[2])
+            mine.append(span)
+            if matched >= MIN_RUN:
+                found.append((template, matched, span[2], span[3]))
+    kept = [(t, n, start, end) for t, n, _, start, end in whole]
+    parts = []
+    for run in sorted(found, key=lambda f: (-f[1], f[0], f[2])):
+        if all(run[3] <= k[2] or k[3] <= run[2] or k[1] < run[1] for k in kept):
+            kept.append(run)
+            parts.append(run)
+    return sorted(parts, key=lambda f: f[2])
+
+
 def word_spans(text: pa.Array) -> list[tuple[int, int]]:
     """Where the words of one text stand; lower-casing here keeps the number of characters."""
     marked = pc.replace_substring_regex(pc.utf8_lower(text), r"[\pL\pN]", "x")[0].as_py()
     return [m.span() for m in re.finditer("x+", marked)]
 
 
-def scan_batch(index: Index, texts: pa.Array) -> list[list[tuple]]:
-    """The matches in each text, with spans in words."""
+def scan_batch(index: Index, texts: pa.Array, parts: list[list[tuple]] | None = None) -> list[list[tuple]]:
+    """The matches in each text, with spans in words. The ``runs`` of each are added to ``parts``."""
     plain = pc.replace_substring_regex(pc.utf8_lower(texts), NOT_WORD, " ")
     words = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(plain))
     numbered = words.flatten().dictionary_encode()
@@ -229,18 +308,23 @@ def scan_batch(index: Index, texts: pa.Array) -> list[list[tuple]]:
         mine = hits[owner == k] if len(hits) < 1000 else hits[np.searchsorted(owner, k, "left") : np.searchsorted(owner, k, "right")]
         own = flat[offsets[k] : offsets[k + 1]]
         out[k] = matches(index, own, mine - offsets[k], hashes[mine])
+        if parts is not None:
+            parts[k] += runs(index, own, mine - offsets[k], hashes[mine], out[k])
     return out
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """Templates found in each text: ``doc_id, license, matched_words, template_words, coverage,
-    span_start, span_end``, a row for each place.
+    span_start, span_end, whole``, a row for each place.
 
     Words are runs of letters and digits, lower-cased. A text and a template that have a run of
     ``GRAM + WINNOW - 1`` words in common share a fingerprint; shorter templates are looked up
     by all their grams. Every diagonal with a common fingerprint is aligned within a band, and
     places where at least ``MIN_IDENTITY`` of the alignment's columns are equal words are
-    reported; of overlapping places the one with more equal words, then the larger share, stays.
+    reported as ``whole``; of overlapping places the one with more equal words, then the larger
+    share, stays. Other common fingerprints are extended both ways to the best run near their
+    diagonal; runs of at least ``MIN_RUN`` equal words are reported as parts, if no place with
+    as many equal words overlaps them. More than ``BAND`` words put in part a template in two.
     ``coverage`` is the share of the template's words, the span is in characters.
 
     Null and empty texts have no places. Null and repeated ids keep their rows; rows equal in
@@ -272,23 +356,25 @@ def _scan_part(docs: DataFrame, index: Index) -> DataFrame:
             for part in slices(batch, 1, TEXT_BYTES):
                 rows: list[tuple] = []
                 ids: list[int] = []
-                for k, found in enumerate(scan_batch(index, part.column(1))):
+                partial: list[list[tuple]] = [[] for _ in range(len(part))]
+                for k, found in enumerate(scan_batch(index, part.column(1), partial)):
+                    found = [(t, n, a, b, True) for t, n, _, a, b in found] + [(*run, False) for run in partial[k]]
                     if not found:
                         continue
                     spans = word_spans(part.column(1).slice(k, 1))
-                    for template, matched, _, start, end in found:
+                    for template, matched, start, end, whole in found:
                         size = len(index.words[template])
-                        rows.append((index.names[template], matched, size, matched / size, spans[start][0], spans[end - 1][1]))
+                        rows.append((index.names[template], matched, size, matched / size, spans[start][0], spans[end - 1][1], whole))
                         ids.append(k)
                 if rows:
-                    types = [pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+                    types = [pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.bool_()]
                     columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-                    names = ["doc_id", "license", "matched_words", "template_words", "coverage", "span_start", "span_end"]
+                    names = ["doc_id", "license", "matched_words", "template_words", "coverage", "span_start", "span_end", "whole"]
                     yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(ids)), *columns], names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (
         f"doc_id {kind}, license string, matched_words bigint, template_words bigint, coverage double, "
-        "span_start bigint, span_end bigint"
+        "span_start bigint, span_end bigint, whole boolean"
     )
     return docs.select("doc_id", text_or_empty("text").alias("text")).mapInArrow(search, schema)

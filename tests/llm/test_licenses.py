@@ -70,6 +70,21 @@ def test_spans_and_places(spark):
     ]
 
 
+def test_parts_of_templates(spark):
+    words = lc.TEMPLATES["MIT-text"].split()
+    added = " ".join(f"other{k}" for k in range(12))
+    texts = [
+        "x y " + " ".join(words[-70:]) + " z",  # the end of the warranty
+        "x " + " ".join(words[:90]) + f" {added} " + " ".join(words[90:]),
+        "x THE SOFTWARE IS PROVIDED here",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = sorted((r for r in lc.scan(docs).collect() if r["license"] == "MIT-text"), key=lambda r: (r["doc_id"], r["span_start"]))
+    assert [r["doc_id"] for r in got] == [0, 1, 1] and not any(r["whole"] for r in got)
+    assert texts[0][got[0]["span_start"] : got[0]["span_end"]] == " ".join(words[-70:])[:-1]
+    assert got[1]["coverage"] + got[2]["coverage"] == 1
+
+
 def test_more_templates_take_more_passes(spark, monkeypatch, rows):
     docs = spark.createDataFrame([(k, f"a b c {t} d") for k, t in enumerate(lc.TEMPLATES.values())], "doc_id bigint, text string")
     whole = rows(lc.scan(docs), "doc_id", "license", "matched_words")
