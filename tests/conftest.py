@@ -13,8 +13,6 @@ os.environ["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, os.environ.get("PYT
 
 from bazaarline.session import local_session  # noqa: E402
 
-SAMPLE = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

@@ -4,7 +4,6 @@ from datetime import datetime
 from types import SimpleNamespace
 
 import pytest
-from conftest import SAMPLE
 from pyspark.sql import functions as F
 
 import bazaarline.__main__ as jobs
@@ -16,6 +15,7 @@ from bazaarline.sources.readers import load_raw_tables, load_seed
 from bazaarline.sources.sample_binding import SAMPLE_SEED, SampleTables
 from bazaarline.sources.schemas import RAW_SCHEMAS
 from bazaarline.sources.writers import FULL_TIMESTAMP, materialize_table, shared_dir
+from parity import SAMPLE
 from parity.queries import CONFIG
 
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import SAMPLE
 from pyspark.sql import functions as F
 
 from bazaarline.plans import core, metrics, rollups
+from parity import SAMPLE
 from parity.queries import REGISTRY
 
 
