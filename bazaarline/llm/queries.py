@@ -12,6 +12,7 @@ from bazaarline.llm.licenses import scan
 from bazaarline.llm.line_dedup import kept_texts
 from bazaarline.llm.mixing import taken_words
 from bazaarline.llm.near_dedup import classes
+from bazaarline.llm.prefix_bpe import decode, encode
 from bazaarline.llm.quality import judge_documents
 from bazaarline.llm.shared import table
 from bazaarline.llm.token_counts import token_counts
@@ -29,6 +30,7 @@ LINE_MIN_DOCS = 10
 REVISIT_BYTES = 100
 COUNT_VOCABULARY, COUNT_LIMIT = "byte_bpe_50k.json", 512
 FILE_VOCABULARY, END_ID = "word_bpe_49k.json", 2
+BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 def vocabulary(name: str) -> str:
@@ -86,6 +88,18 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary(BYTE_VOCABULARY)
+    read = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    return read.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.octet_length("last_tokens").alias("packed_prefix_bytes"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_near_dedup": op2_near_dedup,
@@ -97,4 +111,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_quality_rules": op9_quality_rules,
     "op10_licenses": op10_licenses,
+    "op13_prefix_bpe": op13_prefix_bpe,
 }
