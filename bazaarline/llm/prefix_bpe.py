@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import base64
 import math
-import re
-from collections import ChainMap
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark.sql import DataFrame
@@ -19,7 +20,7 @@ from bazaarline.llm.shared import slices
 
 # Bounds of what a worker keeps between texts.
 MAX_CHUNKS = 400_000  # chunks with their tables, twice as many with older ones
-MAX_PAIRS = 1_000_000
+MAX_PAIRS = 400_000
 LONG_CHUNK = 64  # tables of chunks with more characters are not kept
 TEXT_BYTES = 4_000_000  # of the texts worked on at a time
 
@@ -29,12 +30,15 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 # its last character.
 LOOK_AHEAD = 2
 # Texts whose white space is single blanks and line ends between other characters are cut there.
-CHUNKS = re.compile(r"\n| ?[^ \n]+")
+SPACES = r"\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+UNEVEN = rf"  |\n\n| \n|\n |\A[ \n]|[ \n]\z|[\x00{SPACES}]"
+LETTERS = r"\A ?[A-Za-zÀ-ÖØ-öø-ÿ]+\z"
 MARKS = ".,;:!?#$%&*|<>()[]{}+-=/~^_@\""  # neither letters nor numbers, and no apostrophe
 
 # A table entry is the last token of the prefix that ends with this byte, and this mark on the
 # first byte of a piece.
-START = np.uint32(1 << 31)
+START_BIT = 1 << 31
+START = np.uint32(START_BIT)
 TOKEN = np.uint32((1 << 31) - 1)
 
 
@@ -45,11 +49,24 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in lines}
 
 
-def even(text: str) -> bool:
-    """Whether blanks and line ends are single ones between other characters."""
-    if not text or text[0] in " \n" or text[-1] in " \n":
-        return False
-    return not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text)
+def _marked(lasts: list[int]) -> bytes:
+    """The table of a piece."""
+    return array("I", [lasts[0] | START_BIT, *lasts[1:]]).tobytes()
+
+
+def _shared(ordered: list[bytes]) -> list[int]:
+    """How many first bytes each piece shares with the one before it, 32 at most."""
+    rows = np.array(ordered, dtype="S32").view(np.uint8).reshape(len(ordered), 32)
+    equal = np.cumprod(rows[1:] == rows[:-1], axis=1).sum(axis=1)
+    lengths = np.fromiter(map(len, ordered), "int64", len(ordered))
+    return [0, *np.minimum(equal, np.minimum(lengths[1:], lengths[:-1])).tolist()][: len(ordered)]
+
+
+def _gathered(flat: np.ndarray, sizes: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The chosen runs, one after the other, of an array of runs with these sizes."""
+    starts, picked = np.cumsum(sizes) - sizes, sizes[chosen]
+    ends = np.cumsum(picked)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[chosen] - (ends - picked), picked)]
 
 
 class PrefixBpe:
@@ -74,9 +91,11 @@ class PrefixBpe:
                 ending = token[start:]
                 if ending not in self.endings:
                     self.endings[ending] = ranks.get(ending, -1)
+        self.flat = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
         self.pieces = regex.compile(PIECES)
-        self.letters = regex.compile(r" ?\p{L}+")
-        self.pairs: dict[int, bool] = {}
+        # For a token those that were met before it, and whether both stay.
+        self.pairs: defaultdict[int, dict[int, bool]] = defaultdict(dict)
+        self.n_pairs = 0
         self.edges: tuple[dict[bytes, list], dict[bytes, list]] = ({}, {})
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # kept before; a chunk met again moves back
@@ -119,12 +138,14 @@ class PrefixBpe:
         both tokens are merged on their own unless at some time the parts at the border, as
         they stand then, have a merge that comes first; at equal ranks the left one does.
         """
-        pair = left << 32 | right
-        known = self.pairs.get(pair)
+        known = self.pairs[right].get(left)
         if known is None:
-            if len(self.pairs) >= MAX_PAIRS:
+            if self.n_pairs >= MAX_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[pair] = self._stays(self.edge(self.bytes_of[left], 1), self.edge(self.bytes_of[right], 0))
+                self.n_pairs = 0
+            known = self._stays(self.edge(self.bytes_of[left], 1), self.edge(self.bytes_of[right], 0))
+            self.pairs[right][left] = known
+            self.n_pairs += 1
         return known
 
     def _stays(self, lefts: list[tuple[bytes, float]], rights: list[tuple[bytes, float]]) -> bool:
@@ -152,23 +173,24 @@ class PrefixBpe:
                     if at == 0:
                         break
                     left = lasts[at - 1]
-                    fits = pairs.get(left << 32 | token)
-                    if self.stays(left, token) if fits is None else fits:
+                    fits = pairs[token].get(left)
+                    if fits or fits is None and self.stays(left, token):
                         break
             lasts.append(token)
         return lasts
 
-    def table_of_piece(self, piece: bytes, known: list[int] | None = None) -> bytes:
-        table = np.array(self.last_tokens(piece, known), dtype="<u4")
-        table[0] |= START
-        return table.tobytes()
-
-    def _cut(self, chunk: str) -> list[bytes]:
-        """The pieces of a chunk. Letters end where marks begin, so the usual chunk needs no search."""
-        word = chunk.rstrip(MARKS)
-        if self.letters.fullmatch(word):
-            return [part.encode() for part in (word, chunk[len(word) :]) if part]
-        return [piece.encode() for piece in self.pieces.findall(chunk)]
+    def _cut(self, chunks: list[str]) -> list[list[bytes]]:
+        """The pieces of each chunk. Letters end where marks begin, so the usual chunk needs no search."""
+        given = pa.array(chunks, pa.string())
+        words = pc.ascii_rtrim(given, MARKS)
+        usual = pc.match_substring_regex(words, LETTERS).to_pylist()
+        raws, heads = given.cast(pa.binary()).to_pylist(), words.cast(pa.binary()).to_pylist()
+        return [
+            ([head, raw[len(head) :]] if len(head) < len(raw) else [raw])
+            if plain
+            else [piece.encode() for piece in self.pieces.findall(chunk)]
+            for chunk, plain, raw, head in zip(chunks, usual, raws, heads, strict=True)
+        ]
 
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
         """Tables of chunks that are not kept.
@@ -176,45 +198,55 @@ class PrefixBpe:
         Pieces are worked out in the order of their bytes: what a piece shares with the one
         before it is taken over.
         """
-        cut = {chunk: self._cut(chunk) for chunk in chunks}
+        cut = self._cut(chunks)
         table_of: dict[bytes, bytes] = {}
-        before, lasts = b"", []
-        for piece in sorted({piece for pieces in cut.values() for piece in pieces}):
-            same, most = 0, min(len(before), len(piece))
-            while same < most and before[same] == piece[same]:
-                same += 1
-            before, lasts = piece, self.last_tokens(piece, lasts[:same])
-            table = np.array(lasts, dtype="<u4")
-            table[0] |= START
-            table_of[piece] = table.tobytes()
-        return {chunk: b"".join(map(table_of.__getitem__, pieces)) for chunk, pieces in cut.items()}
-
-    def tables(self, texts: list[str]) -> list[bytes]:
-        """For each text the last token of every byte prefix of its pieces, four bytes for each.
-
-        Pieces never go across a single blank or line end between other characters, so such
-        texts are cut there and their chunks looked up; others are cut into pieces at once.
-        """
-        chunked = [CHUNKS.findall(t) if even(t) else None for t in texts]
-        new = set().union(*filter(None, chunked)).difference(self.kept)
-        odd = {chunk for chunk in new if chunk != "\n" and chunk.split() != [chunk[chunk[0] == " " :]]}
-        for k, chunks in enumerate(chunked):
-            if chunks is None or odd and not odd.isdisjoint(chunks):
-                chunked[k] = self.pieces.findall(texts[k])
-        every = set().union(*chunked)
+        ordered = sorted({piece for pieces in cut for piece in pieces})
+        lasts: list[int] = []
+        for piece, same in zip(ordered, _shared(ordered), strict=True):
+            lasts = self.last_tokens(piece, lasts[:same])
+            table_of[piece] = _marked(lasts)
+        return {
+            chunk: table_of[pieces[0]] if len(pieces) == 1 else b"".join(map(table_of.__getitem__, pieces))
+            for chunk, pieces in zip(chunks, cut, strict=True)
+        }
+
+    def _tables_of(self, chunks: list[str]) -> list[bytes]:
+        """Tables of different chunks; those of short ones are kept."""
+        found = list(map(self.kept.get, chunks))
+        new = [k for k, table in enumerate(found) if table is None]
+        if len(self.kept) + len(new) > MAX_CHUNKS:
+            self.older, self.kept = self.kept, {}
         kept, older = self.kept, self.older
-        new = every.difference(kept)
-        found = {chunk: older[chunk] for chunk in new if chunk in older}
-        found |= self._learn([chunk for chunk in new if chunk not in found])
-        if len(kept) + len(found) > MAX_CHUNKS:
-            self.older, self.kept = kept, {chunk: kept[chunk] for chunk in every if chunk in kept}
-            kept = self.kept
-        kept.update((chunk, table) for chunk, table in found.items() if len(chunk) <= LONG_CHUNK)
-        get = ChainMap(kept, found).__getitem__ if any(len(c) > LONG_CHUNK for c in found) else kept.__getitem__
-        return [b"".join(map(get, chunks)) for chunks in chunked]
-
-    def table(self, text: str) -> bytes:
-        return self.tables([text])[0]
+        learned = self._learn([chunks[k] for k in new if chunks[k] not in older])
+        for k in new:
+            chunk = chunks[k]
+            found[k] = learned[chunk] if chunk in learned else older[chunk]
+            if len(chunk) <= LONG_CHUNK:
+                kept[chunk] = found[k]
+        return found
+
+    def tables(self, texts: pa.Array) -> np.ndarray:
+        """The last token of every byte prefix of each piece of each text, one text after the other.
+
+        Pieces never go across a single blank or line end between other characters, so texts
+        with no other white space are cut there, and each different chunk is looked up once;
+        others are cut into pieces.
+        """
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        uneven = pc.match_substring_regex(texts, UNEVEN)
+        marked = pc.replace_substring(pc.replace_substring(texts.filter(pc.invert(uneven)), " ", "\0 "), "\n", "\0\n\0")
+        lists = pc.split_pattern(marked, "\0").cast(pa.list_(pa.string()))
+        if len(lists) < len(texts):
+            cut = [self.pieces.findall(t) for t in texts.filter(uneven).to_pylist()]
+            order = np.argsort(np.argsort(uneven.to_numpy(zero_copy_only=False), kind="stable"), kind="stable")
+            lists = pa.concat_arrays([lists, pa.array(cut, pa.list_(pa.string()))]).take(pa.array(order))
+        numbered = lists.flatten().dictionary_encode()
+        found = self._tables_of(numbered.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, found), "int64", len(found)) // 4
+        return _gathered(np.frombuffer(b"".join(found), "<u4"), sizes, numbered.indices.to_numpy())
+
+    def table(self, text: str) -> np.ndarray:
+        return self.tables(pa.array([text], pa.string()))
 
     def ids(self, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids and the bytes they start at, read from a table by walking back from the ends of all pieces."""
@@ -235,8 +267,9 @@ class PrefixBpe:
         """Ids of the pieces of the text cut after ``n_bytes``: no byte is encoded anew."""
         return self.ids(table[:n_bytes])[0]
 
-    def decoded(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
+    def decoded(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes that ids stand for."""
+        return _gathered(self.flat, self.lengths, ids)
 
     def edited(self, text: str, table: np.ndarray, at: int, cut: int, put: str) -> tuple[str, np.ndarray, int]:
         """Put ``put`` in the place of ``cut`` characters from ``at``: the new text and table.
@@ -268,7 +301,7 @@ class PrefixBpe:
             if place == begin:
                 same = min(change, old_end, begin + len(piece)) - begin
                 known = (table[begin : begin + max(same, 0)] & TOKEN).tolist()
-            parts.append(np.frombuffer(self.table_of_piece(piece, known), "<u4"))
+            parts.append(np.frombuffer(_marked(self.last_tokens(piece, known)), "<u4"))
             made += len(piece) - len(known)
             place += len(piece)
         parts.append(table[place - shift :])
@@ -281,25 +314,26 @@ def encoder(path: str) -> PrefixBpe:
     return PrefixBpe(read_ranks(path))
 
 
-def pack_table(table: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(table)
+def pack_table(table: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(table, "<u4").data)
 
 
 def unpack_table(packed: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), "<u4")
 
 
-def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, decoded: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids, last_tokens`` for each row of ``docs``.
 
     ``vocabulary`` is the path of a file of ranks on every node. ``last_tokens`` is the packed
     table with the last token of every byte prefix (:func:`unpack_table`); ``ids``, as
     little-endian integers of four bytes, are read from it by walking back. They are those of
-    the library that owns the format, without special tokens.
+    the library that owns the format, without special tokens. With ``decoded`` a column of this
+    name holds the bytes that the ids stand for, as :func:`decode` would add in a pass of its own.
 
     A null text counts as empty and has no tokens. Null and repeated ids keep their rows; an
     empty table gives an empty table; columns other than ``doc_id`` and ``text`` are ignored.
-    Texts are never cut. There is no shuffle; a worker keeps the tables of short words up to a
+    Texts are never cut. There is no shuffle; a worker keeps the tables of short chunks up to a
     fixed number and works on about ``TEXT_BYTES`` of text at a time.
     """
 
@@ -307,25 +341,34 @@ def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
         bpe = encoder(vocabulary)
         for batch in batches:
             for part in slices(batch, 1, TEXT_BYTES):
-                tables = bpe.tables([t or "" for t in part.column(1).to_pylist()])
-                ids, starts = bpe.ids(np.frombuffer(b"".join(tables), "<u4"))
-                ends = np.searchsorted(starts, np.cumsum([len(t) // 4 for t in tables]))
-                counts = np.diff(ends, prepend=0)
-                raw = ids.tobytes()
-                cut = [raw[4 * (e - n) : 4 * e] for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array(counts, pa.int64()),
-                        pa.array(cut, pa.binary()),
-                        pa.array([pack_table(t) for t in tables], pa.binary()),
-                    ],
-                    names=["doc_id", "n_tokens", "ids", "last_tokens"],
-                )
+                texts = part.column(1)
+                sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype("int64")
+                table = bpe.tables(texts)
+                ids, starts = bpe.ids(table)
+                text_ends = np.cumsum(sizes)
+                ends = np.searchsorted(starts, text_ends)
+                columns = [
+                    part.column(0),
+                    pa.array(np.diff(ends, prepend=0), pa.int64()),
+                    _binaries(ids, ends),
+                    pa.array(map(pack_table, np.split(table, text_ends[:-1])), pa.binary()),
+                ]
+                names = ["doc_id", "n_tokens", "ids", "last_tokens"]
+                if decoded:
+                    read = bpe.decoded(ids)
+                    byte_ends = np.append(0, np.cumsum(bpe.lengths[ids]))[ends]
+                    columns, names = [*columns, _binaries(read, byte_ends)], [*names, "decoded"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens bigint, ids binary, last_tokens binary"
-    return docs.select("doc_id", "text").mapInArrow(encoded, schema)
+    return docs.select("doc_id", "text").mapInArrow(encoded, schema + ", decoded binary" * decoded)
+
+
+def _binaries(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary values that end at these places of an array."""
+    offsets = np.append(0, ends * values.itemsize).astype("<i4")
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())])
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
@@ -340,7 +383,8 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
         bpe = encoder(vocabulary)
         for batch in batches:
             for part in slices(batch, place, TEXT_BYTES):
-                texts = [None if i is None else bpe.decoded(np.frombuffer(i, "<u4")) for i in part.column(place).to_pylist()]
+                ids = part.column(place).to_pylist()
+                texts = [None if i is None else bpe.decoded(np.frombuffer(i, "<u4")).tobytes() for i in ids]
                 names = [f.name for f in others] + ["decoded"]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=names)
 
@@ -369,7 +413,7 @@ def edit(tables: DataFrame, vocabulary: str) -> DataFrame:
                     at = len(text) if row["at"] is None else row["at"]
                     text, table, made = bpe.edited(text, table, at, row["cut"] or 0, row["put"] or "")
                     ids = bpe.ids(table)[0]
-                    rows.append((text, len(ids), ids.tobytes(), pack_table(table.tobytes()), made))
+                    rows.append((text, len(ids), ids.tobytes(), pack_table(table), made))
                 kinds = (pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.int64())
                 columns = [pa.array(values, kind) for values, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
                 names = ["doc_id", "text", "n_tokens", "ids", "last_tokens", "made"]

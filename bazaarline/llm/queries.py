@@ -12,7 +12,7 @@ from bazaarline.llm.licenses import scan
 from bazaarline.llm.line_dedup import kept_texts
 from bazaarline.llm.mixing import taken_words
 from bazaarline.llm.near_dedup import classes
-from bazaarline.llm.prefix_bpe import decode, encode
+from bazaarline.llm.prefix_bpe import encode
 from bazaarline.llm.quality import judge_documents
 from bazaarline.llm.shared import table
 from bazaarline.llm.token_counts import token_counts
@@ -89,8 +89,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary(BYTE_VOCABULARY)
-    read = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    read = encode(table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY), decoded=True)
     return read.select(
         "doc_id",
         "n_tokens",
