@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bazaarline.llm.queries import LINE_MIN_DOCS, REVISIT_BYTES, URL_RULES
+from bazaarline.llm.queries import CODES, LINE_MIN_DOCS, REVISIT_BYTES, TAMPERED_EVERY, URL_RULES
 from bazaarline.llm.quality import SYMBOLS, QualityRules
 from bazaarline.llm.shared import SPACE
 
@@ -136,9 +136,123 @@ select page_id, payload_bytes::bigint as payload_bytes, sha256(p.h) as payload_d
 from p left join first on p.h = first.h"""
 
 
+def _vector_codes() -> str:
+    """Every round written out: integers only, so the order of sums does not matter."""
+    spec = CODES
+    near = f"""select p.*, e.entry, list_sum(list_transform(range(1, len(ints) + 1), lambda k: (ints[k] - comps[k]) ** 2))::bigint as d
+        from pieces p join books_{{k}} e using (part)"""
+    steps = []
+    for k in range(spec.rounds + 1):
+        steps += [
+            f"near_{k} as ({near.format(k=k)})",
+            f"""codes_{k} as (select vec_id, label, part, ints, entry, d from near_{k}
+                qualify row_number() over (partition by vec_id, part order by d, entry) = 1)""",
+        ]
+        if k < spec.rounds:
+            steps += [
+                f"""sums_{k} as (select part, entry, pos, sum(ints[pos])::hugeint as s, count(*) as c
+                    from codes_{k}, unnest(range(1, len(ints) + 1)) as u(pos) group by all)""",
+                f"""books_{k + 1} as (
+                    select b.part, b.entry, coalesce(m.comps, b.comps) as comps from books_{k} b left join (
+                        select part, entry, list(((s - ((s % c) + c) % c) // c)::bigint order by pos) as comps
+                        from sums_{k} group by all) m using (part, entry))""",
+            ]
+    last = spec.rounds
+    return f"""
+with kept as (
+    select vec_id, label, list_transform(embedding, lambda x: floor(x::double * {spec.scale})::bigint) as ints
+    from embeddings
+    where embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+),
+pieces as (
+    select vec_id, label, part, ints[part * (len(ints) // {spec.parts}) + 1 : (part + 1) * (len(ints) // {spec.parts})] as ints
+    from kept, unnest(range({spec.parts})) as u(part)
+),
+books_0 as (
+    select part, row_number() over (partition by part order by vec_id) - 1 as entry, ints as comps from pieces
+    qualify entry < {spec.entries}
+),
+{", ".join(steps)},
+coded as (
+    select vec_id, label, string_agg(printf('%02x', entry::int), '' order by part) as code, sum(d)::bigint as error
+    from codes_{last} group by all
+),
+digest as (
+    select sha256(string_agg(array_to_string(comps, ','), ',' order by part, entry)) as codebooks_sha256 from books_{last}
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from coded, digest"""
+
+
+def _merkle() -> str:
+    def value(name: str) -> str:
+        return f"coalesce(strlen({name}::varchar)::varchar || ':' || {name}::varchar, '-')"
+
+    def leaf(n_chars: str) -> str:
+        return "sha256(" + " || ".join(map(value, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+    up = "list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))"
+    step = """row(case when xor(place >> level, 1) < len(nodes) then nodes[xor(place >> level, 1) + 1] else '' end,
+        (place >> level) % 2 = 1)"""
+    crc = "xor(list_reduce(list_prepend(4294967295, codes), lambda a, b: xor(a >> 8, crcs[(xor(a, b) & 255) + 1])), 4294967295)"
+    return f"""
+with recursive crc_table as (
+    select list_transform(range(256), lambda i: list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+        lambda a, z: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)) as crcs
+),
+hashed as (
+    select row_number() over () as rid, doc_id, lang, {leaf("n_chars")} as leaf, {leaf("(n_chars + 1)")} as other,
+        list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint) as codes
+    from documents
+),
+ordered as (
+    select rid, doc_id, lang, leaf, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as place,
+        case when doc_id is not null and {crc} % {TAMPERED_EVERY} = 0 then other else leaf end as start
+    from hashed, crc_table
+),
+levels as (
+    select lang, 0 as level, list(leaf order by place) as nodes from ordered group by lang
+    union all
+    select lang, level + 1, {up} from levels where len(nodes) > 1
+),
+subroots as (
+    select lang, nodes[1] as subroot, row_number() over (order by lang nulls first) - 1 as place
+    from levels where len(nodes) = 1
+),
+tops as (
+    select 0 as level, list(subroot order by place) as nodes from subroots
+    union all
+    select level + 1, {up} from tops where len(nodes) > 1
+),
+steps as (
+    select rid, level, {step} as step from ordered o join levels l on o.lang is not distinct from l.lang where len(nodes) > 1
+    union all
+    select rid, 1000 + level, {step.replace("place", "s.place")}
+    from ordered o join subroots s on o.lang is not distinct from s.lang, tops where len(nodes) > 1
+),
+paths as (
+    select o.rid, any_value(start) as start, list(step order by level) filter (step is not null) as path
+    from ordered o left join steps using (rid) group by o.rid
+),
+fold as (
+    select rid, 0 as k, start as node, coalesce(path, []) as path from paths
+    union all
+    select rid, k + 1, sha256(case when path[k + 1][2] then path[k + 1][1] || node else node || path[k + 1][1] end), path
+    from fold where k < len(path)
+)
+select doc_id, leaf, subroot, nodes[1] as root,
+    sha256(coalesce(list_reduce(list_prepend('', list_transform(path, lambda s: s[1])), lambda a, b: a || b), '')) as proof_sha256,
+    node as folded_root, node = nodes[1] as verified
+from fold join ordered using (rid) join subroots s on ordered.lang is not distinct from s.lang, tops
+where k = len(path) and len(nodes) = 1"""
+
+
 ORACLES: dict[str, str] = {
     "op1_url_rules": _url_rules(),
     "op3_line_dedup": _line_dedup(),
     "op6_warc": _warc(),
     "op9_quality_rules": _quality(),
+    "op11_vector_codes": _vector_codes(),
+    "op12_merkle": _merkle(),
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from bazaarline.llm.decontaminate import leaked
 from bazaarline.llm.licenses import scan
 from bazaarline.llm.line_dedup import kept_texts
+from bazaarline.llm.merkle import manifest
 from bazaarline.llm.mixing import taken_words
 from bazaarline.llm.near_dedup import classes
 from bazaarline.llm.prefix_bpe import encode
@@ -18,6 +19,7 @@ from bazaarline.llm.shared import table
 from bazaarline.llm.token_counts import token_counts
 from bazaarline.llm.token_files import documents_of
 from bazaarline.llm.url_rules import RULE_SCHEMA, judge_urls
+from bazaarline.llm.vector_codes import CodeSpec, books_digest, compress, with_label_error
 from bazaarline.llm.warc import round_trip
 
 URL_RULES = [
@@ -30,6 +32,8 @@ LINE_MIN_DOCS = 10
 REVISIT_BYTES = 100
 COUNT_VOCABULARY, COUNT_LIMIT = "byte_bpe_50k.json", 512
 FILE_VOCABULARY, END_ID = "word_bpe_49k.json", 2
+CODES = CodeSpec(parts=8, entries=16, rounds=6, scale=4096)
+TAMPERED_EVERY = 7
 BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
@@ -88,6 +92,24 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = compress(table(spark, sf_dir, "embeddings"), CODES)
+    return with_label_error(codes.rows).select(
+        "vec_id",
+        "code",
+        F.col("error").cast("bigint").alias("error"),
+        F.col("label_error").cast("bigint").alias("label_error"),
+        F.lit(books_digest(codes.codebooks)).alias("codebooks_sha256"),
+    )
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % TAMPERED_EVERY == 0
+    return manifest(table(spark, sf_dir, "documents"), tampered).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
 def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = encode(table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY), decoded=True)
     return read.select(
@@ -110,5 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_quality_rules": op9_quality_rules,
     "op10_licenses": op10_licenses,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_merkle": op12_merkle,
     "op13_prefix_bpe": op13_prefix_bpe,
 }

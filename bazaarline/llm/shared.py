@@ -50,8 +50,7 @@ def step(spark: SparkSession, turn: str) -> Iterator[None]:
     tables any more, and the shared folder holds those of one step at a time.
     """
     for name in _tables.pop(turn, []):
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        deleted(spark, name)
     before = _turn.set(turn)
     try:
         yield
@@ -59,6 +58,12 @@ def step(spark: SparkSession, turn: str) -> Iterator[None]:
         _turn.reset(before)
 
 
+def deleted(spark: SparkSession, name: str) -> None:
+    """Delete a working folder that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
