@@ -28,12 +28,18 @@ UNITS = (
 @dataclass(frozen=True)
 class Leaks:
     """``window`` tokens are compared at a time, ``literals`` of them no placeholders. A document
-    has an item if windows cover ``coverage`` of the item's tokens or ``tokens`` of them."""
+    has an item if windows cover ``coverage`` of the item's tokens or ``tokens`` of them.
+
+    A window that more than ``shared`` items have is common. The tokens of an item in no common
+    window are its own: of these, too, windows must cover ``coverage`` or ``tokens``. Of an item
+    without own tokens they must cover ``whole``."""
 
     window: int = 6
     literals: int = 3
     coverage: float = 0.5
     tokens: int = 30
+    shared: int = 8
+    whole: float = 0.9
 
 
 def marked(text: Column) -> Column:
@@ -108,12 +114,12 @@ def plain_forms(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.xxhash64(F.translate(t, NAME, "")))
 
 
-def _chunks(texts: DataFrame, keys: list[str], size: int) -> DataFrame:
+def _chunks(texts: DataFrame, keys: list[str], size: int, least: int | None = None) -> DataFrame:
     """Rows ``keys, slotted, start, lead, tokens``: a text is cut into overlapping chunks, so a row
-    has a bounded number of windows. A later chunk has the token before it, by which a first unit
-    is known."""
+    has a bounded number of windows of ``least`` to ``size`` tokens. A later chunk has the token
+    before it, by which a first unit is known."""
     chunks = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("tokens") - size, F.lit(0)), F.lit(CHUNK)),
+        F.sequence(F.lit(0), F.greatest(F.size("tokens") - (least or size), F.lit(0)), F.lit(CHUNK)),
         lambda start: F.struct(start.alias("start"), F.slice("tokens", F.greatest(start, F.lit(1)), CHUNK + size).alias("tokens")),
     )
     return (
@@ -141,19 +147,18 @@ def _plain(size: int) -> Column:
     return window_hashes(plain_forms(F.col("tokens")), size)
 
 
-def some_windows(texts: DataFrame, keys: list[str], size: int, typed: bool) -> DataFrame:
-    """Rows ``keys, hash`` for the different windows of a chunk, as they are and, if asked for, typed."""
-    plain = _cut(F.col("plain"), size)
-    if typed:
-        both = F.array_union(plain, _cut(F.col("typed"), size))
-        own = F.when(F.col("slotted"), both).otherwise(plain)
-        hashes = _chunks(texts, keys, size).select(
-            *keys, "slotted", "lead", _plain(size).alias("plain"), F.when(F.col("slotted"), _typed(size)).alias("typed")
-        )
-    else:
-        own = plain
-        hashes = _chunks(texts, keys, size).select(*keys, "lead", _plain(size).alias("plain"))
-    return hashes.select(*keys, F.explode(own).alias("hash"))
+def some_windows(texts: DataFrame, keys: list[str], sizes: list[int], typed: int) -> DataFrame:
+    """Rows ``keys, hash`` for the different windows of a chunk, of all sizes as they are and of the
+    size ``typed`` with types, too. Texts are cut into tokens once."""
+    chunks = _chunks(texts, keys, max(sizes), min(sizes))
+    hashes = chunks.select(
+        *keys, "slotted", "lead", *[_plain(size).alias(f"plain_{size}") for size in sizes],
+        *[F.when(F.col("slotted"), _typed(typed)).alias("typed")] * (typed in sizes),
+    )
+    own = F.concat(*[_cut(F.col(f"plain_{size}"), size) for size in sizes])
+    if typed in sizes:
+        own = F.when(F.col("slotted"), F.concat(own, _cut(F.col("typed"), typed))).otherwise(own)
+    return hashes.select(*keys, F.explode(F.array_distinct(own)).alias("hash"))
 
 
 def windows(texts: DataFrame, keys: list[str], size: int) -> DataFrame:
@@ -223,10 +228,11 @@ def item_groups(benchmark: DataFrame) -> DataFrame:
 def item_windows(benchmark: DataFrame, leaks: Leaks) -> tuple[DataFrame, DataFrame, list[int]]:
     """What is looked for, both stored, and the lengths of windows in it, of at most ``window`` tokens.
 
-    ``shape, item, item_tokens, size, item_at, hash, item_slots``: the windows of all items as
-    they are, without slots, and the typed ones with enough literals. Items shorter than a
-    window are one shorter window. Items of one shape are looked for once, under ``item``, the
-    least of their ids.
+    ``shape, item, item_tokens, size, item_at, hash, item_slots, common, shared_at``: the windows of
+    all items as they are, without slots, and the typed ones with enough literals. Items shorter
+    than a window are one shorter window. Items of one shape are looked for once, under
+    ``item``, the least of their ids. ``common`` tells that more than ``shared`` shapes have
+    the window, ``shared_at`` the item's places in any such window.
 
     ``shape, whole, same``: the hash of all windows of an item as they are, in order, and the
     least id of the items with just these words.
@@ -256,11 +262,20 @@ def item_windows(benchmark: DataFrame, leaks: Leaks) -> tuple[DataFrame, DataFra
     index = plain.unionByName(typed.select(*columns, "hash", F.col("slots").alias("item_slots")))
     in_order = F.transform(F.array_sort(F.collect_list(F.struct("at", "plain"))), lambda w: w["plain"])
     whole = every.groupBy("shape", "words", "same").agg(F.xxhash64(in_order).alias("whole")).select("shape", "whole", "same")
+    index = stored(index, "item-windows")
+    many = index.groupBy("hash").agg(F.countDistinct("shape").alias("shapes")).where(F.col("shapes") > leaks.shared)
+    flagged = index.join(many.select("hash", F.lit(True).alias("common")), "hash", "left")
+    flagged = stored(flagged.withColumn("common", F.coalesce("common", F.lit(False))), "item-windows")
+    places = F.explode(F.sequence("item_at", F.col("item_at") + F.col("size") - 1))
+    shared = flagged.where("common").select("shape", places.alias("at")).groupBy("shape").agg(F.collect_set("at").alias("shared_at"))
+    none = F.expr("cast(array() as array<int>)")
+    index = flagged.join(shared, "shape", "left").withColumn("shared_at", F.coalesce("shared_at", none))
     return stored(index, "item-windows"), stored(whole, "whole-items"), sizes
 
 
 def leaked(docs: DataFrame, benchmark: DataFrame, leaks: Leaks = Leaks()) -> DataFrame:
-    """``doc_id, tag, item_id, matched_tokens, item_tokens, changed, group_item``, a row for each item in a text.
+    """``doc_id, tag, item_id, matched_tokens, item_tokens, changed, group_item, similar_items``, a row for
+    each item in a text.
 
     Windows of texts and items are joined by the hash of their lower-cased tokens as they are.
     Numbers, names and units after numbers are also replaced by their types, and windows joined
@@ -280,20 +295,28 @@ def leaked(docs: DataFrame, benchmark: DataFrame, leaks: Leaks = Leaks()) -> Dat
     null. Only ``doc_id`` and ``text``, ``item_id`` and ``text`` are read. Empty tables on
     either side give an empty table.
 
+    Windows that more than ``leaks.shared`` items have are no evidence by themselves: they are
+    looked for only where a window of the item's own stands on their diagonal, so a text with a
+    common phrase meets no item. Items all of whose tokens stand in such windows must be in the
+    text nearly whole, and of these a text gets one row: one whose whole words it has, then that with
+    the most tokens, then the least id. ``similar_items`` is how many it stands for, 1 for others.
+
     First the texts that have any window are found, then places and values in those only.
     Windows of the items are broadcast up to a counted bound, so the texts are not shuffled;
     beyond it, rows are joined by a shuffle on the hash.
     """
     index, whole, sizes = item_windows(benchmark, leaks)
-    hashes = index.select("hash").distinct()
-    if index.count() <= BROADCAST_WINDOWS:
-        index, hashes, whole = F.broadcast(index), F.broadcast(hashes), F.broadcast(whole)
+    few = index.count() <= BROADCAST_WINDOWS
+
+    def small(table: DataFrame) -> DataFrame:
+        return F.broadcast(table) if few else table
+
+    has_own = F.size("shared_at") < F.col("item_tokens")
+    direct, common = index.where(~F.col("common") | ~has_own), index.where(F.col("common") & has_own)
     texts = docs.select("doc_id", text_or_empty("text").alias("text")).withColumn("tag", F.xxhash64("text"))
     keys, sizes = ["doc_id", "tag"], sizes or [leaks.window]
-    some = None
-    for size in sizes:
-        found = some_windows(texts, keys, size, size == leaks.window).join(hashes, "hash", "left_semi").select(*keys)
-        some = found if some is None else some.unionByName(found)
+    some = some_windows(texts, keys, sizes, leaks.window)
+    some = some.join(small(direct.select("hash").distinct()), "hash", "left_semi").select(*keys)
     some = stored(some.distinct(), "some-window").withColumnsRenamed({"doc_id": "_some_id", "tag": "_some_tag"})
     some = F.broadcast(some) if some.count() <= BROADCAST_DOCS else some.hint("shuffle_merge")
     texts = texts.join(some, F.col("doc_id").eqNullSafe(F.col("_some_id")) & (F.col("tag") == F.col("_some_tag")), "left_semi")
@@ -303,20 +326,31 @@ def leaked(docs: DataFrame, benchmark: DataFrame, leaks: Leaks = Leaks()) -> Dat
         F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc")),
         lambda pair: pair["item"].isNotNull(),
     )
-    hits = None
+    places = None
     for size in sizes:
         own = windows(texts, keys, size)
         as_is = F.struct(F.col("plain").alias("hash"), F.lit(None).cast("array<bigint>").alias("slots"))
         typed = F.struct("hash", "slots")
         forms = F.when(F.col("hash") != F.col("plain"), F.array(as_is, typed)).otherwise(F.array(as_is)) if size == leaks.window else F.array(as_is)
         own = own.select(*keys, "at", F.explode(forms).alias("form")).select(*keys, "at", "form.hash", "form.slots")
-        own = own.join(index, "hash").select(
-            *keys, "shape", "item", "item_tokens", "size", "item_at", (F.col("at") - F.col("item_at")).alias("shift"),
-            "hash", F.when(F.col("item_slots").isNotNull(), pairs).alias("pairs"),
-        )
-        hits = own if hits is None else hits.unionByName(own)
+        own = own.join(small(index.select("hash").distinct()), "hash", "left_semi")
+        places = own if places is None else places.unionByName(own)
+    places = stored(places, "window-places")
+    of_item = ["shape", "item", "item_tokens", "size", "shared_at"]
+    found = [F.col("item_at"), "hash", F.when(F.col("item_slots").isNotNull(), pairs).alias("pairs")]
+    shift = (F.col("at") - F.col("item_at")).alias("shift")
+    hits = places.join(small(direct), "hash").select(*keys, *of_item, shift, *found)
+    # Where a common window must stand for a diagonal with other windows, and whether it does.
+    diagonals = hits.select(*keys, "shape", "size", "shift").distinct()
+    due = diagonals.join(small(common), ["shape", "size"]).withColumn("at", F.col("shift") + F.col("item_at"))
+    due = due.withColumnsRenamed({"doc_id": "_due_id", "tag": "_due_tag", "at": "_due_at", "hash": "_due_hash"})
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("_due_id")) & (F.col("tag") == F.col("_due_tag"))
+        & (F.col("at") == F.col("_due_at")) & (F.col("hash") == F.col("_due_hash"))
+    )
+    hits = hits.unionByName(places.join(due, same).select(*keys, *of_item, shift, *found))
     is_typed = F.col("pairs").isNotNull()
-    lines = hits.groupBy(*keys, "shape", "item", "item_tokens", "size", "shift").agg(
+    lines = hits.groupBy(*keys, *of_item, "shift").agg(
         F.array_sort(F.collect_set(F.when(~is_typed, F.struct("item_at", "hash")))).alias("equal"),
         F.collect_set(F.when(is_typed, F.struct("item_at", "pairs"))).alias("typed"),
     )
@@ -337,30 +371,47 @@ def leaked(docs: DataFrame, benchmark: DataFrame, leaks: Leaks = Leaks()) -> Dat
     spread = F.array_distinct(
         F.flatten(F.transform(F.flatten(F.collect_list("ats")), lambda at: F.sequence(at, at + F.col("size") - 1)))
     )
-    found = lines.groupBy(*keys, "shape", "item", "item_tokens", "size").agg(
-        F.size(spread).cast("long").alias("matched_tokens"),
+    covered = lines.groupBy(*keys, *of_item).agg(
+        spread.alias("covered"),
         F.max(F.size("differing") > 0).alias("changed"),
         F.collect_set(F.when(F.col("known"), F.struct(F.col("same").alias("item_id")))).alias("verbatim"),
     )
+    covered = covered.select(
+        "*",
+        F.size("covered").cast("long").alias("matched_tokens"),
+        F.size(F.array_except("covered", "shared_at")).alias("matched_own"),
+        (F.col("item_tokens") - F.size("shared_at")).alias("own_tokens"),
+    )
+
+    def enough(matched: str, of: str) -> Column:
+        return (F.col(matched) >= leaks.coverage * F.col(of)) | (F.col(matched) >= leaks.tokens)
+
+    own = covered.where((F.col("own_tokens") > 0) & enough("matched_tokens", "item_tokens") & enough("matched_own", "own_tokens"))
     ids = F.when(F.size("verbatim") > 0, F.col("verbatim")).otherwise(F.array(F.struct(F.col("item").alias("item_id"))))
-    return (
-        found.where(
-            (F.col("matched_tokens") >= leaks.coverage * F.col("item_tokens"))
-            | (F.col("matched_tokens") >= leaks.tokens)
-        )
-        .select("*", F.explode(ids).alias("own"))
-        .select(
-            "doc_id", "tag", "own.item_id", "matched_tokens", F.col("item_tokens").cast("long").alias("item_tokens"),
-            "changed", F.col("item").alias("group_item"),
-        )
-    )
+    told = [F.col("matched_tokens"), F.col("item_tokens").cast("long").alias("item_tokens"), "changed", F.col("item").alias("group_item")]
+    rows = own.select("*", F.explode(ids).alias("own")).select("doc_id", "tag", "own.item_id", *told, F.lit(1).cast("long").alias("similar_items"))
+    alike = covered.where((F.col("own_tokens") <= 0) & (F.col("matched_tokens") >= leaks.whole * F.col("item_tokens")))
+    alike = alike.select("doc_id", "tag", F.array_min(ids).getField("item_id").alias("item_id"), *told, (F.size("verbatim") == 0).alias("part"))
+    best = F.min_by(
+        F.struct("item_id", "matched_tokens", "item_tokens", "changed", "group_item"),
+        F.struct("part", -F.col("matched_tokens"), F.col("item_id").isNull(), "item_id", "group_item"),
+    )
+    one = alike.groupBy(*keys).agg(best.alias("best"), F.count(F.lit(1)).alias("similar_items"))
+    return rows.unionByName(one.select(*keys, "best.*", "similar_items"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, leaks: Leaks = Leaks()) -> DataFrame:
-    """The rows of ``docs`` in whose text no item was found, all columns as they are."""
+    """The rows of ``docs`` in whose text no item was found, all columns as they are.
+
+    Rows with a null or empty text stay, repeated rows all stay or all go, a row with a null id
+    goes by its text. Columns may have any names. An empty benchmark keeps all rows.
+    """
     found = stored(leaked(docs, benchmark, leaks).select("doc_id", "tag").distinct(), "leaks")
-    found = found.select(F.col("doc_id").alias("_leaked_id"), F.col("tag").alias("_leaked_tag"))
+    # Names that no column of the documents has.
+    free = max(map(len, docs.columns)) * "_"
+    id_, tag = f"{free}id", f"{free}tag"
+    found = found.select(F.col("doc_id").alias(id_), F.col("tag").alias(tag))
     few = found.count() <= BROADCAST_DOCS
     found = F.broadcast(found) if few else found.hint("shuffle_merge")
-    same = docs["doc_id"].eqNullSafe(F.col("_leaked_id")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_leaked_tag"))
+    same = docs["doc_id"].eqNullSafe(F.col(id_)) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col(tag))
     return docs.join(found, same, "left_anti")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bazaarline.llm import decontaminate as dc
+from bazaarline.llm.decontaminate import leaked, without_leaks
 from bazaarline.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -129,3 +130,41 @@ def test_odd_tables(spark, odd_docs, odd_rows):
     assert {r["item_id"] for r in dc.leaked(odd_docs, items).collect()} == {1}
     assert dc.leaked(odd_docs.limit(0), items).count() == 0
     assert dc.without_leaks(odd_docs, items.limit(0)).count() == len(odd_rows)
+
+
+def test_common_phrases_are_no_evidence(spark):
+    """Essays that hold a stem of 50 items stay; texts with an item of them go, whole, typed or in part."""
+    stem = "which of the following statements is correct about the"
+    names = [f"alpha{k} beta{k} gamma{k} delta{k} epsilon{k} zeta{k} eta{k} theta{k} iota{k}" for k in range(50)]
+    items = [(k, f"{stem} {own}") for k, own in enumerate(names)]
+    essays = [(k, " ".join(f"w{k}x{i}" for i in range(150)) + f" {stem} " + " ".join(f"v{k}x{i}" for i in range(150))) for k in range(20)]
+    # The word behind the stem is the item's, too.
+    essays += [(20, f"some words here {stem} alpha7 and other words that follow it")]
+    copies = [(100 + k, f"before it {stem} {names[k]} and after it") for k in (0, 7, 49)]
+    copies += [(200, f"only the own part {names[3]} without its stem")]
+    docs = spark.createDataFrame(essays + copies, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = sorted((r["doc_id"], r["item_id"], r["similar_items"]) for r in leaked(docs, benchmark).collect())
+    assert found == [(100, 0, 1), (107, 7, 1), (149, 49, 1), (200, 3, 1)]
+    kept = {r["doc_id"] for r in without_leaks(docs, benchmark).collect()}
+    assert kept == set(range(21))
+
+
+def test_items_without_own_tokens_give_one_row(spark):
+    """Items made of the same sentences in another order: a text with one of them has one row."""
+    from itertools import permutations
+
+    parts = [" ".join(f"{c}{i}" for i in range(12)) for c in "abcd"]
+    every = ["  ".join(p) for p in permutations(parts)]
+    items = [(k, text) for k, text in enumerate(every)]
+    docs = spark.createDataFrame([(1, f"x y {every[5]} z"), (2, f"only {parts[0]} and no more"), (3, None)], "doc_id bigint, text string")
+    rows = leaked(docs, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert [(r["doc_id"], r["item_id"]) for r in rows if r["doc_id"] == 1] == [(1, 5)]
+    assert {r["doc_id"] for r in rows} <= {1, 2} and sum(r["doc_id"] == 1 for r in rows) == 1
+
+
+def test_columns_with_inner_names_stay(spark):
+    docs = spark.createDataFrame([(1, "plain words", "q", "r")], "doc_id bigint, text string, _leaked_id string, `_leaked_tag` string")
+    benchmark = spark.createDataFrame([(1, "other things that nobody says at all")], "item_id bigint, text string")
+    assert without_leaks(docs, benchmark).columns == docs.columns
+    assert without_leaks(docs, benchmark).count() == 1
