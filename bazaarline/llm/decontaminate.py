@@ -155,10 +155,14 @@ def some_windows(texts: DataFrame, keys: list[str], sizes: list[int], typed: int
         *keys, "slotted", "lead", *[_plain(size).alias(f"plain_{size}") for size in sizes],
         *[F.when(F.col("slotted"), _typed(typed)).alias("typed")] * (typed in sizes),
     )
-    own = F.concat(*[_cut(F.col(f"plain_{size}"), size) for size in sizes])
+    plain = [_cut(F.col(f"plain_{size}"), size) for size in sizes]
+    own = F.concat(*plain) if len(plain) > 1 else plain[0]
     if typed in sizes:
-        own = F.when(F.col("slotted"), F.concat(own, _cut(F.col("typed"), typed))).otherwise(own)
-    return hashes.select(*keys, F.explode(F.array_distinct(own)).alias("hash"))
+        # Windows without slots are equal in both.
+        others = [column for size, column in zip(sizes, plain, strict=True) if size != typed]
+        both = F.array_union(_cut(F.col(f"plain_{typed}"), typed), _cut(F.col("typed"), typed))
+        own = F.when(F.col("slotted"), F.concat(both, *others) if others else both).otherwise(own)
+    return hashes.select(*keys, F.explode(own).alias("hash"))
 
 
 def windows(texts: DataFrame, keys: list[str], size: int) -> DataFrame:
