@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bazaarline.functions import hashed_key, hours_between
-from bazaarline.sources.commits import commit, committed
+from bazaarline.sources.commits import commit, folder_of, names
 from bazaarline.sources.commits import existing as _paths
 
 MANAGED = ("scd_id", "updated_at", "valid_from", "valid_to")
@@ -136,7 +136,7 @@ def run_label(as_of: datetime) -> str:
 
 def committed_runs(spark: SparkSession, root: str) -> list[str]:
     """Labels of the finished runs, oldest first."""
-    return sorted(committed(spark, f"{root}/{RUN}"))
+    return names(spark, f"{root}/{RUN}")
 
 
 class RepeatedKeys(ValueError):
@@ -190,29 +190,42 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
 def compact(spark: SparkSession, root: str) -> None:
     """Write the versions open now as a base, so that later runs read it and not the runs before.
 
-    The versions closed until then stay where they are. Meant as a job of its own.
+    The versions closed until then stay where they are. The base names the attempt at the last
+    run that it was built from; if that run is repeated afterwards, the base no longer counts.
+    Runs before the last one cannot be repeated. Meant as a job of its own.
     """
     runs = committed_runs(spark, root)
     state = open_rows(spark, root, runs)
     if state is None:
         raise ValueError(f"no finished run in {root}")
+    built_from = folder_of(spark, f"{root}/{RUN}", runs[-1])
     attempt = f"{root}/{BASE}/attempts/{runs[-1]}-{uuid.uuid4().hex}"
     state.write.parquet(attempt)
-    commit(spark, f"{root}/{BASE}", runs[-1], attempt)
+    commit(spark, f"{root}/{BASE}", runs[-1], f"{attempt}\n{built_from}")
+
+
+def _last_base(spark: SparkSession, root: str, runs: Sequence[str]) -> tuple[str, str | None]:
+    """Label and folder of the last base at or before the last run that is still of its runs."""
+    for label in reversed(names(spark, f"{root}/{BASE}")):
+        if label in runs:
+            folder, _, built_from = folder_of(spark, f"{root}/{BASE}", label).partition("\n")
+            if built_from == folder_of(spark, f"{root}/{RUN}", label):
+                return label, folder
+    return "", None
 
 
 def open_rows(spark: SparkSession, root: str, runs: Sequence[str], attempt: str | None = None) -> DataFrame | None:
     """The versions open after ``runs``, and after an attempt that is not committed yet.
 
-    Read from the last base at or before the last run and the runs after it.
+    Read from the last base at or before the last run and the runs after it; no pointer of an
+    older run is read.
     """
-    of_run = committed(spark, f"{root}/{RUN}")
-    bases = {label: path for label, path in committed(spark, f"{root}/{BASE}").items() if runs and label <= runs[-1]}
-    base = max(bases, default="")
-    later = [of_run[label] for label in runs if label > base] + ([attempt] if attempt else [])
-    opened = [path for folder in later for path in _paths(spark, f"{folder}/state=opened")]
-    closed = [path for folder in later for path in _paths(spark, f"{folder}/state=closed")]
-    parts = ([bases[base]] if base else []) + opened
+    base, folder = _last_base(spark, root, runs)
+    later = [folder_of(spark, f"{root}/{RUN}", label) for label in runs if label > base]
+    later += [attempt] if attempt else []
+    opened = [path for folder_ in later for path in _paths(spark, f"{folder_}/state=opened")]
+    closed = [path for folder_ in later for path in _paths(spark, f"{folder_}/state=closed")]
+    parts = ([folder] if folder else []) + opened
     if not parts:
         return None
     found = spark.read.parquet(parts[0])
@@ -226,8 +239,7 @@ def open_rows(spark: SparkSession, root: str, runs: Sequence[str], attempt: str
 
 def _history(spark: SparkSession, root: str, runs: Sequence[str], attempt: str | None = None) -> DataFrame:
     history = open_rows(spark, root, runs, attempt)
-    of_run = committed(spark, f"{root}/{RUN}")
-    folders = [of_run[label] for label in runs] + ([attempt] if attempt else [])
+    folders = [folder_of(spark, f"{root}/{RUN}", label) for label in runs] + ([attempt] if attempt else [])
     if history is None:
         # A first run without rows.
         return spark.read.parquet(*folders)

@@ -40,10 +40,20 @@ def commit(spark: SparkSession, root: str, name: str, folder: str) -> None:
     context.rename(written, target, options)
 
 
+def names(spark: SparkSession, root: str) -> list[str]:
+    """What is published below ``root``, in order; only listed, no pointer is read."""
+    found = [path.rpartition("/")[2] for path in existing(spark, f"{root}/{POINTERS}/*")]
+    return [name for name in found if not name.startswith(".")]
+
+
+def folder_of(spark: SparkSession, root: str, name: str) -> str:
+    """The folder that counts as ``name`` now."""
+    return _content(spark, f"{root}/{POINTERS}/{name}")
+
+
 def committed(spark: SparkSession, root: str) -> dict[str, str]:
     """The folder of every name published below ``root``."""
-    paths = [path for path in existing(spark, f"{root}/{POINTERS}/*") if not path.rpartition("/")[2].startswith(".")]
-    return {path.rpartition("/")[2]: _content(spark, path) for path in paths}
+    return {name: folder_of(spark, root, name) for name in names(spark, root)}
 
 
 def _content(spark: SparkSession, path: str) -> str:
@@ -57,7 +67,6 @@ def _content(spark: SparkSession, path: str) -> str:
 
 def published(spark: SparkSession, root: str, name: str):
     """The table that counts as ``name`` below ``root`` now."""
-    folders = committed(spark, root)
-    if name not in folders:
+    if name not in names(spark, root):
         raise ValueError(f"{name} is not published in {root}")
-    return spark.read.parquet(folders[name])
+    return spark.read.parquet(folder_of(spark, root, name))

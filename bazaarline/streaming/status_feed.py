@@ -8,7 +8,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from bazaarline.operators.history import ORDER_STATUS, HistorySpec, committed_runs, open_rows, snapshot
+from bazaarline.operators.history import ORDER_STATUS, HistorySpec, committed_runs, compact, open_rows, snapshot
 from bazaarline.operators.latest import latest_per_key
 
 
@@ -23,6 +23,7 @@ def follow_status(
     arrival: str,
     spec: HistorySpec = ORDER_STATUS,
     as_of: Callable[[int], datetime] = utc_now,
+    compact_every: int = 20,
 ) -> StreamingQuery:
     """Start applying ``feed`` to the history under ``root``, one run per micro-batch.
 
@@ -33,7 +34,8 @@ def follow_status(
     repeats the stored status leaves the stored version, and its ``arrival``, as they are. The batch
     number is the run label, so a batch repeated after a failure replaces its own run and the
     history holds it once. A batch may hold changed orders only: keys it does not name stay as
-    they are.
+    they are. After every ``compact_every`` runs a base is written, so a batch reads
+    at most that many runs.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -50,6 +52,8 @@ def follow_status(
             late = F.col(spec.key).eqNullSafe(F.col("__key")) & (F.col(arrival) <= F.col("__arrival"))
             rows = rows.join(newest, late, "left_anti")
         snapshot(rows, root, spec, as_of(batch_id), run=label)
+        if (len(before) + 1) % compact_every == 0:
+            compact(spark, root)
 
     return (
         feed.writeStream.foreachBatch(apply)

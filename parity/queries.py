@@ -22,7 +22,7 @@ from bazaarline.functions import (
     to_timestamp_ntz,
     to_whole,
 )
-from bazaarline.operators import history as h, quality as q
+from bazaarline.operators import changelog, history as h, quality as q
 from bazaarline.operators.calendar import date_spine, densify_calendar
 from bazaarline.operators.latest import latest_per_key
 from bazaarline.plans import contracts, core, marketing, metrics, rollups
@@ -36,6 +36,7 @@ from bazaarline.sources.sample_binding import (
     status_run_2,
 )
 from bazaarline.sources.writers import fresh_path, materialize_table, materialize_view
+from bazaarline.streaming.change_feed import changes_in_time, follow_log, write_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -439,6 +440,59 @@ def orders_status_snapshot(r: Relations) -> DataFrame:
     return h.snapshot(status_run_2(r.raw.orders), root, h.ORDER_STATUS, NOW)
 
 
+# Every user's events as a change log: many changes of a key in one run.
+
+EVENT_LOG = changelog.LogSpec(key="user_id", at="ts", state=("event_type",))
+FEED_DELAY = "6 hours"
+
+
+def _event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_table(prepare(spark), sf_dir, "events").select("user_id", "ts", "event_type")
+
+
+def _event_feed(spark: SparkSession, sf_dir: str, files: int) -> tuple[DataFrame, str]:
+    """The log as files of a stream, its rows dealt without regard to their instants."""
+    folder = fresh_path(spark, "feed")
+    log = _event_log(spark, sf_dir)
+    log.repartition(files, F.xxhash64("user_id", "ts", "event_type")).write.parquet(f"{folder}/rows")
+    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/rows"), folder
+
+
+@table_query("change_log_versions")
+def change_log_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changelog.versions_of(_event_log(spark, sf_dir), EVENT_LOG)
+
+
+@table_query("late_rows_spliced")
+def late_rows_spliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs that hold all rows between them, the latest third of each day first: every run but
+    the first cuts stored pieces. A base is written after the second."""
+    log, root = _event_log(spark, sf_dir), fresh_path(spark, "spliced")
+    third = F.floor(F.hour("ts") / 8)
+    for run, part in enumerate((2, 0, 1)):
+        changelog.apply_rows(spark, log.where(F.coalesce(third, F.lit(0)) == part), root, EVENT_LOG, run=f"{run:03d}")
+        if run == 1:
+            changelog.compact(spark, root, EVENT_LOG)
+    return changelog.read_versions(spark, root, EVENT_LOG)
+
+
+@table_query("feed_versions")
+def feed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history that a stream of unordered files leaves, a micro-batch per file."""
+    feed, folder = _event_feed(prepare(spark), sf_dir, files=3)
+    follow_log(feed, f"{folder}/log", f"{folder}/checkpoint", EVENT_LOG, compact_every=2).awaitTermination()
+    return changelog.read_versions(spark, f"{folder}/log", EVENT_LOG)
+
+
+@table_query("feed_changes")
+def feed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes given out by the stateful stream, up to its watermark."""
+    feed, folder = _event_feed(prepare(spark), sf_dir, files=1)
+    changes = changes_in_time(feed, EVENT_LOG, FEED_DELAY)
+    write_changes(changes, f"{folder}/changes", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.schema(changes.schema).parquet(f"{folder}/changes")
+
+
 @query("time_in_status")
 def time_in_status(r: Relations) -> DataFrame:
     return h.time_in_status(_second(r), NOW)
