@@ -72,7 +72,9 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"), vocabulary(COUNT_VOCABULARY), COUNT_LIMIT)
+    """All columns come from the table of prefixes; its packed size stands for it."""
+    counted = token_counts(table(spark, sf_dir, "documents"), vocabulary(COUNT_VOCABULARY), COUNT_LIMIT)
+    return counted.withColumn("packed_prefix_bytes", F.octet_length("prefix_counts")).drop("prefix_counts")
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -13,11 +14,12 @@ import regex
 from pyspark.sql import DataFrame
 
 # Bounds of what a worker keeps between texts.
-MAX_COUNTED = 700_000
+MAX_STEPS = 500_000
 MAX_PREFIXES = 900_000
 MAX_PAIRS = 1_000_000
-SHORT_PIECE = 48  # states of pieces with more bytes and counts of longer words are not kept
+SHORT_PIECE = 48  # states of pieces with more bytes and steps of longer words are not kept
 MARKS = ".,;:!?"  # after a word, each is one token
+ONE = b"\x01"
 
 # How this kind of vocabulary cuts a text into pieces before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -68,8 +70,8 @@ class PrefixCounter:
         self.cut = regex.compile("|".join(regex.escape(s) for s in self.special)) if self.special else None
         self.pairs: dict[int, bool] = {}
         self.states: dict[bytes, int] = {}
-        self.spaced: dict[str, int] = {}
-        self.bare: dict[str, int] = {}
+        self.steps: dict[str, np.ndarray] = {}
+        self.spaced_steps, self.bare_steps = _WordSteps(self, " "), _WordSteps(self, "")
 
     def merged(self, piece: bytes) -> list[int]:
         """The encoding of a short piece by merging, lowest rank first."""
@@ -153,51 +155,9 @@ class PrefixCounter:
             for _, part, special in self.segments(text)
         )
 
-    def _words(self, words: list[str], counted: dict[str, int], before: str) -> int:
-        total = 0
-        get = counted.get
-        for word in words:
-            count = get(word)
-            if count is None:
-                count = self._word(word, counted, before)
-            total += count
-        return total
-
-    def _word(self, word: str, counted: dict[str, int], before: str) -> int:
-        """Tokens of a word that is not kept yet; of a letters-only word the count is kept."""
-        if word.isalpha():
-            count = self.piece_count(before + word)
-        elif word[:-1].isalpha() and word[-1] in MARKS:
-            # The mark is a piece of its own.
-            count = counted.get(word[:-1])
-            return (self._word(word[:-1], counted, before) if count is None else count) + 1
-        elif not word or not word.isprintable():
-            raise _Uneven
-        else:
-            count = self.count_by_pieces(before + word)
-        if len(word) <= SHORT_PIECE:
-            if len(counted) >= MAX_COUNTED:
-                counted.clear()
-            counted[word] = count
-        return count
-
     def count(self, text: str) -> int:
-        """Tokens of the whole text.
-
-        Pieces never go across a single blank or line end between other characters, so such
-        texts are counted word by word from the states kept; others are cut as a whole.
-        """
-        if not text:
-            return 0
-        lines = text.split("\n")
-        try:
-            total = len(lines) - 1  # a line end alone is one token
-            for line in lines:
-                words = line.split(" ")
-                total += self._words(words[:1], self.bare, "") + self._words(words[1:], self.spaced, " ")
-            return total
-        except _Uneven:
-            return self.count_by_pieces(text)
+        """Tokens of the whole text: the count at its last prefix."""
+        return int(self.prefix_steps(text).sum(dtype=np.int64))
 
     def prefix_counts(self, text: str) -> np.ndarray:
         """Tokens of ``text[:n]`` for every ``n`` from 0 to the length, in code points.
@@ -206,56 +166,126 @@ class PrefixCounter:
         as ordinary text. Where white space runs are cut before their last character, the
         prefix that ends with the run has it as one piece.
         """
-        counts = np.zeros(len(text) + 1, dtype=np.int32)
-        done = 0
+        steps = self.prefix_steps(text)
+        return np.concatenate(([0], np.cumsum(steps, dtype=np.int32))).astype(np.int32)
+
+    def prefix_steps(self, text: str) -> np.ndarray:
+        """What each character adds to the count of the prefix before it; it may be negative.
+
+        The steps of a piece do not depend on what stands before it, so those of words and
+        pieces are kept and a text's are put together from them, in linear time.
+        """
+        try:
+            parts = []
+            for number, line in enumerate(text.split("\n") if text else ()):
+                if number:
+                    parts.append(ONE)  # a line end alone is one token
+                words = line.split(" ")
+                parts.append(self.bare_steps[words[0]])
+                parts.extend(map(self.spaced_steps.__getitem__, words[1:]))
+            return np.frombuffer(b"".join(parts), np.int8)
+        except _Uneven:
+            pass
+        except OverflowError:
+            return self._steps_by_pieces(text, wide=True)
+        try:
+            return self._steps_by_pieces(text)
+        except OverflowError:
+            return self._steps_by_pieces(text, wide=True)
+
+    def _steps_by_pieces(self, text: str, wide: bool = False) -> np.ndarray:
+        parts: list[bytes] = []
+        mended: list[tuple[int, int]] = []  # prefixes whose count is not the sum of steps, and what it lacks
+        last = ""  # the piece before
         for start, part, special in self.segments(text):
             if special:
-                # Its own prefixes are ordinary text, which may join what stands before it.
-                head = text[:start]
-                for n in range(1, len(part)):
-                    counts[start + n] = self._tail_count(counts, head, part[:n])
-                done += 1
-                counts[start + len(part)] = done
+                # Its own prefixes are ordinary text, which may join the piece before it.
+                before = self.count_by_pieces(last)
+                told = [0, *(self.count_by_pieces(last + part[:n]) - before for n in range(1, len(part))), 1]
+                parts.append(_bytes_of([b - a for a, b in zip(told, told[1:], strict=False)], wide))
+                last = ""
                 continue
-            for found in self.pieces.finditer(part):
-                piece, at = found.group(), start + found.start()
-                by_byte = self.prefix_counts_of(piece.encode("utf-8", "surrogatepass"))
-                ends = np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in piece])
-                told = [by_byte[end] for end in ends]
-                counts[at + 1 : at + 1 + len(piece)] = done + np.array(told, dtype=np.int32)
-                run = _run_before(text, at, start)
-                if run < at and piece[0].isspace():
+            at, run = start, start
+            for piece in self.pieces.findall(part):
+                steps = _bytes_of(self._steps_of(piece), wide) if wide else self.piece_steps(piece)
+                parts.append(steps)
+                if not (last.isspace() and piece[0].isspace()):
+                    run = at
+                else:
                     # The run up to here, taken as the end of the text, is one piece.
-                    counts[at + 1] = counts[run] + self.piece_count(text[run : at + 1])
-                elif piece[0] == "'" and len(piece) > 1:
-                    for n in range(1, len(piece)):
-                        counts[at + n] = done + self.count_by_pieces(piece[:n])
-                done += told[-1]
-        return counts
-
-    def _tail_count(self, counts: np.ndarray, head: str, extra: str) -> int:
-        """Tokens of ``head + extra`` where ``extra`` begins a special token's text."""
-        last = None
-        for last in self.segments(head):  # noqa: B007
-            pass
-        if last is None or last[2]:
-            return int(counts[len(head)]) + self.count_by_pieces(extra)
-        start = last[0]
-        cut = max((m.start() for m in self.pieces.finditer(last[1])), default=0)
-        cut = max(cut - 1, 0) if last[1][cut : cut + 1].isspace() else cut
-        whole = self.count_by_pieces(last[1] + extra) - self.count_by_pieces(last[1])
-        return int(counts[start + len(last[1])]) + whole
+                    apart = self.piece_count(text[run:at]) + self.piece_count(piece[0])
+                    mended.append((at, self.piece_count(text[run : at + 1]) - apart))
+                last, at = piece, at + len(piece)
+        steps = np.frombuffer(b"".join(parts), np.int32 if wide else np.int8)
+        if mended:
+            steps = steps.astype(np.int32)
+            for at, by in mended:
+                steps[at] += by
+                if at + 1 < len(steps):
+                    steps[at + 1] -= by
+        return steps
+
+    def _steps_of(self, piece: str) -> list[int]:
+        raw = piece.encode("utf-8", "surrogatepass")
+        if len(raw) > SHORT_PIECE:
+            counts = self.prefix_counts_of(raw)
+        else:
+            self.piece_count(piece)
+            known = self.states
+            counts = [0, *(known[raw[:end]] >> 32 for end in range(1, len(raw) + 1))]
+        if len(raw) > len(piece):
+            end, ends = 0, [0]
+            for c in piece:
+                end += len(c.encode("utf-8", "surrogatepass"))
+                ends.append(end)
+            counts = [counts[end] for end in ends]
+        if piece[0] == "'" and len(piece) <= 3:
+            for n in range(1, len(piece)):
+                counts[n] = self.count_by_pieces(piece[:n])
+        return [b - a for a, b in zip(counts, counts[1:], strict=False)]
+
+    def piece_steps(self, piece: str) -> bytes:
+        known = self.steps.get(piece)
+        if known is None:
+            known = _bytes_of(self._steps_of(piece))
+            if len(piece) <= SHORT_PIECE:
+                if len(self.steps) >= MAX_STEPS:
+                    self.steps.clear()
+                self.steps[piece] = known
+        return known
+
+
+def _bytes_of(steps: list[int], wide: bool = False) -> bytes:
+    """Steps of one byte, or four; an OverflowError if one does not fit."""
+    return array("i" if wide else "b", steps).tobytes()
 
 
 class _Uneven(Exception):
     """The text has blanks that stand together or other white space."""
 
 
-def _run_before(text: str, at: int, floor: int) -> int:
-    """Start of the white space that ends before ``at``."""
-    while at > floor and text[at - 1].isspace():
-        at -= 1
-    return at
+class _WordSteps(dict):
+    """The steps of words in texts whose words are parted by single blanks or line ends."""
+
+    def __init__(self, counter: PrefixCounter, before: str):
+        super().__init__()
+        self.counter, self.before = counter, before
+
+    def __missing__(self, word: str) -> bytes:
+        if word.isalpha():
+            packed = _bytes_of(self.counter._steps_of(self.before + word))
+        elif word[:-1].isalpha() and word[-1] in MARKS:
+            return self[word[:-1]] + ONE  # the mark is a piece of its own
+        elif not word or not word.isprintable():
+            raise _Uneven
+        else:
+            steps = self.counter._steps_by_pieces(self.before + word)
+            packed = steps.astype(np.int8).tobytes()
+        if len(word) <= SHORT_PIECE:
+            if len(self) >= MAX_STEPS:
+                self.clear()
+            self[word] = packed
+        return packed
 
 
 @cache
@@ -264,12 +294,15 @@ def counter(path: str) -> PrefixCounter:
     return PrefixCounter(path)
 
 
-def pack_counts(counts: np.ndarray) -> bytes:
-    return zlib.compress(np.diff(counts, prepend=0).astype("<i4").tobytes())
+def pack_steps(steps: np.ndarray) -> bytes:
+    """The table of a text's prefixes: a letter for the width of a step, and the steps, compressed."""
+    wide = steps.dtype != np.int8 and len(steps) and np.abs(steps).max() > 127
+    return (b"w" if wide else b"n") + zlib.compress(steps.astype("<i4" if wide else "<i1").tobytes(), 1)
 
 
 def unpack_counts(packed: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(zlib.decompress(packed), "<i4"))
+    steps = np.frombuffer(zlib.decompress(packed[1:]), "<i4" if packed[:1] == b"w" else "<i1")
+    return np.concatenate(([0], np.cumsum(steps, dtype=np.int64)))
 
 
 def count_at(packed: bytes, n_chars: int) -> int:
@@ -283,15 +316,17 @@ def fits(packed: bytes, budget: int) -> int:
     return int(np.flatnonzero(unpack_counts(packed) <= budget)[-1])
 
 
-def token_counts(docs: DataFrame, vocabulary: str, limit: int, prefixes: bool = False) -> DataFrame:
-    """``doc_id, n_bytes, n_tokens, over_limit`` for each row of ``docs``.
+def token_counts(docs: DataFrame, vocabulary: str, limit: int) -> DataFrame:
+    """``doc_id, n_bytes, n_tokens, over_limit, limit_chars, prefix_counts`` for each row of ``docs``.
 
-    ``vocabulary`` is the path of a byte-level BPE file on every node. The count is that of the
-    library that owns the format, without added begin or end tokens; a special token's text
-    counts as that token. With ``prefixes`` a column ``prefix_counts`` holds the packed counts
-    at every prefix, for :func:`count_at` and :func:`fits`. A null text counts as empty and has
-    0 tokens. Null and repeated ids keep their rows; an empty table gives an empty table;
-    columns other than ``doc_id`` and ``text`` are ignored. Texts are never cut.
+    ``vocabulary`` is the path of a byte-level BPE file on every node. ``prefix_counts`` holds
+    the packed counts at every prefix, for :func:`count_at` and :func:`fits`; the other columns
+    are read from it: ``n_tokens`` is the count at the last prefix, ``limit_chars`` the length of
+    the longest prefix of at most ``limit`` tokens. The count is that of the library that owns
+    the format, without added begin or end tokens; a special token's text counts as that token.
+    A null text counts as empty and has 0 tokens. Null and repeated ids keep their rows; an empty
+    table gives an empty table; columns other than ``doc_id`` and ``text`` are ignored. Texts
+    are never cut.
 
     There is no shuffle. A worker keeps the states of short pieces up to a fixed number.
     """
@@ -300,19 +335,25 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int, prefixes: bool =
         tokens = counter(vocabulary)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            n_tokens = [tokens.count(t) for t in texts]
+            packed, n_tokens, fitting = [], [], []
+            for text in texts:
+                steps = tokens.prefix_steps(text)
+                counts = np.cumsum(steps, dtype=np.int32)
+                packed.append(pack_steps(steps))
+                n_tokens.append(int(counts[-1]) if text else 0)
+                within = np.flatnonzero(counts <= limit)
+                fitting.append(int(within[-1]) + 1 if len(within) else 0)
             columns = [
                 batch.column(0),
                 pa.array([len(t.encode("utf-8", "surrogatepass")) for t in texts], pa.int64()),
                 pa.array(n_tokens, pa.int64()),
                 pa.array([n > limit for n in n_tokens], pa.bool_()),
+                pa.array(fitting, pa.int64()),
+                pa.array(packed, pa.binary()),
             ]
-            names = ["doc_id", "n_bytes", "n_tokens", "over_limit"]
-            if prefixes:
-                packed = [pack_counts(tokens.prefix_counts(t)) for t in texts]
-                columns, names = [*columns, pa.array(packed, pa.binary())], [*names, "prefix_counts"]
+            names = ["doc_id", "n_bytes", "n_tokens", "over_limit", "limit_chars", "prefix_counts"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean"
-    return docs.select("doc_id", "text").mapInArrow(counted, schema + ", prefix_counts binary" * prefixes)
+    schema = f"doc_id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean, limit_chars bigint, prefix_counts binary"
+    return docs.select("doc_id", "text").mapInArrow(counted, schema)

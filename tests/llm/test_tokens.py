@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -40,14 +41,45 @@ def test_counts_of_every_prefix(texts):
     for text in [t[:250] for t in texts[::25] + ODD]:
         want = [len(library.encode(text[:n], add_special_tokens=False).ids) for n in range(len(text) + 1)]
         assert counter.prefix_counts(text).tolist() == want, text[:60]
-        packed = tc.pack_counts(counter.prefix_counts(text))
+        packed = tc.pack_steps(counter.prefix_steps(text))
         assert tc.count_at(packed, len(text)) == want[-1]
         for budget in (0, 1, 5, 10**6):
             assert tc.fits(packed, budget) == max(n for n, count in enumerate(want) if count <= budget)
 
 
+def test_prefixes_of_texts_of_odd_parts():
+    counter, library = tc.counter(vocabulary(COUNT_VOCABULARY)), Tokenizer.from_file(vocabulary(COUNT_VOCABULARY))
+    special = counter.special[0]
+    parts = ["a", "Word", "don't", "'ll", " ", "  ", "\n\n", "\t", "é", "日本", "🙂", ".", "!!", "'", "12", special, special[:5], "\u00a0", "\x1c"]
+    draw = random.Random(5)
+    for _ in range(400):
+        text = "".join(draw.choice(parts) + draw.choice(("", " ")) for _ in range(draw.randint(0, 9)))
+        want = [len(library.encode(text[:n], add_special_tokens=False).ids) for n in range(len(text) + 1)]
+        assert counter.prefix_counts(text).tolist() == want, text
+        assert tc.unpack_counts(tc.pack_steps(counter.prefix_steps(text))).tolist() == want
+        assert counter._steps_by_pieces(text, wide=True).tolist() == counter.prefix_steps(text).tolist()
+
+
+def test_special_tokens_take_linear_work(monkeypatch):
+    counter = tc.PrefixCounter(vocabulary(COUNT_VOCABULARY))
+    seen = []
+    counted = counter.count_by_pieces
+    monkeypatch.setattr(counter, "count_by_pieces", lambda text: seen.append(len(text)) or counted(text))
+    work = []
+    for times in (50, 400):
+        seen.clear()
+        counter.prefix_steps(("two words " + counter.special[0]) * times)
+        work.append(sum(seen))
+    assert work[1] <= 9 * work[0]
+
+
+def test_wide_steps_are_kept():
+    steps = np.array([1, 200, -199, 0], np.int32)
+    assert tc.unpack_counts(tc.pack_steps(steps)).tolist() == [0, 1, 201, 2, 2]
+
+
 def test_bounded_states_change_nothing(texts, monkeypatch):
-    for name in ("MAX_COUNTED", "MAX_PREFIXES", "MAX_PAIRS"):
+    for name in ("MAX_STEPS", "MAX_PREFIXES", "MAX_PAIRS"):
         monkeypatch.setattr(tc, name, 50)
     counter = tc.PrefixCounter(vocabulary(COUNT_VOCABULARY))
     kept = tc.counter(vocabulary(COUNT_VOCABULARY))
@@ -56,13 +88,14 @@ def test_bounded_states_change_nothing(texts, monkeypatch):
 
 def test_odd_counts(odd_docs, odd_rows):
     library = Tokenizer.from_file(vocabulary(COUNT_VOCABULARY))
-    got = tc.token_counts(odd_docs, vocabulary(COUNT_VOCABULARY), 512, prefixes=True).collect()
+    got = tc.token_counts(odd_docs, vocabulary(COUNT_VOCABULARY), 512).collect()
     want = []
     for doc_id, text, *_ in odd_rows:
         n = len(library.encode(text or "", add_special_tokens=False).ids)
         want.append((doc_id, len((text or "").encode()), n, n > 512))
     assert sorted(map(repr, (tuple(r)[:4] for r in got))) == sorted(map(repr, want))
     assert all(tc.unpack_counts(r["prefix_counts"])[-1] == r["n_tokens"] for r in got)
+    assert all(tc.fits(r["prefix_counts"], 512) == r["limit_chars"] for r in got)
     assert tc.token_counts(odd_docs.limit(0), vocabulary(COUNT_VOCABULARY), 1).count() == 0
 
 
