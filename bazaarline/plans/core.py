@@ -15,6 +15,7 @@ from bazaarline.functions import (
     safe_divide,
     surrogate_key,
 )
+from bazaarline.operators.deltas import TotalSpec
 
 DELIVERED = "delivered"
 
@@ -230,6 +231,11 @@ def seller_performance(
         F.min("ordered_at").alias("first_sale_at"),
         F.max("ordered_at").alias("last_sale_at"),
     )
+    return seller_report(totals, sellers, tiers)
+
+
+def seller_report(totals: DataFrame, sellers: DataFrame, tiers: Iterable[Tier] = SELLER_TIERS) -> DataFrame:
+    """The mart's rows from the totals of sellers."""
     on_time_rate = safe_divide(F.col("on_time_orders"), F.col("total_delivered_orders"))
     return sellers.join(totals, "seller_id").select(
         "seller_id",
@@ -248,3 +254,59 @@ def seller_performance(
         "last_sale_at",
         classify_tier(F.col("total_gmv"), tiers).alias("seller_tier"),
     )
+
+
+# A seller's totals kept up by changed orders: what an order gives a seller, and how it adds up.
+SELLER_TOTALS = TotalSpec(
+    part="order_id",
+    group="seller_id",
+    sums=("orders", "delivered", "items", "gmv", "freight", "score_sum", "scored", "on_time", "days", "timed"),
+    least=("first_sale_at",),
+    greatest=("last_sale_at",),
+)
+
+
+def seller_contributions(detail: DataFrame) -> DataFrame:
+    """What each order adds to the totals of its sellers, an order once per review of it."""
+    weight = F.col("detail_rows")
+    money = weight.cast("decimal(10,0)")
+
+    def where(condition: Column) -> Column:
+        return F.when(condition, weight).otherwise(0)
+
+    return detail.select(
+        "order_id",
+        "seller_id",
+        weight.alias("orders"),
+        where(is_delivered()).alias("delivered"),
+        (F.col("items_in_order") * weight).alias("items"),
+        (F.col("order_revenue") * money).alias("gmv"),
+        (F.col("order_freight") * money).alias("freight"),
+        F.col("review_score_sum").alias("score_sum"),
+        F.col("scored_reviews").alias("scored"),
+        where(is_on_time()).alias("on_time"),
+        (days_to_deliver() * weight).alias("days"),
+        where(days_to_deliver().isNotNull()).alias("timed"),
+        F.col("ordered_at").alias("first_sale_at"),
+        F.col("ordered_at").alias("last_sale_at"),
+    )
+
+
+def seller_performance_from(
+    totals: DataFrame, sellers: DataFrame, tiers: Iterable[Tier] = SELLER_TIERS
+) -> DataFrame:
+    """The mart from totals kept up by :mod:`bazaarline.operators.deltas`."""
+    named = totals.select(
+        "seller_id",
+        F.col("orders").alias("total_orders"),
+        F.col("delivered").alias("total_delivered_orders"),
+        F.col("items").alias("total_items_sold"),
+        F.col("gmv").alias("total_gmv"),
+        F.col("freight").alias("total_freight_charged"),
+        exact_mean(F.col("score_sum"), F.col("scored")).alias("__score"),
+        F.col("on_time").alias("on_time_orders"),
+        exact_mean(F.col("days"), F.col("timed")).alias("__days"),
+        "first_sale_at",
+        "last_sale_at",
+    )
+    return seller_report(named, sellers, tiers)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import cached_property
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame
 
@@ -155,3 +156,28 @@ class Relations:
         return core.seller_performance(
             self.seller_order_detail, self.stg_sellers, self.config.seller_tiers, reviews
         )
+
+    def of_orders(self, changed: DataFrame) -> Relations:
+        """The relations over the rows of some orders, read by their keys in ``changed``.
+
+        Reviews are read by review: the one that counts may be another order's.
+        """
+        keys = changed.select("order_id").distinct()
+
+        def rows(table: DataFrame) -> DataFrame:
+            return table.join(keys, "order_id", "left_semi")
+
+        raw = self.raw
+        reviews = raw.order_reviews
+        theirs = reviews.join(rows(reviews).select("review_id").distinct(), "review_id", "left_semi")
+        few = SimpleNamespace(
+            orders=rows(raw.orders),
+            order_items=rows(raw.order_items),
+            order_payments=rows(raw.order_payments),
+            order_reviews=theirs,
+            customers=raw.customers,
+            sellers=raw.sellers,
+            products=raw.products,
+            translations=raw.translations,
+        )
+        return Relations(few, self.config)

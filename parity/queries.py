@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 from operator import attrgetter
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DecimalType
@@ -22,7 +23,8 @@ from bazaarline.functions import (
     to_timestamp_ntz,
     to_whole,
 )
-from bazaarline.operators import changelog, history as h, quality as q
+from bazaarline.operators import actives, changelog, deltas, history as h, quality as q
+from bazaarline.operators.asof import asof_join
 from bazaarline.operators.calendar import date_spine, densify_calendar
 from bazaarline.operators.latest import latest_per_key
 from bazaarline.plans import contracts, core, marketing, metrics, rollups
@@ -30,11 +32,14 @@ from bazaarline.plans.relations import Relations
 from bazaarline.plans.staging import order_versions
 from bazaarline.session import prepare
 from bazaarline.sources.sample_binding import (
+    RUN_1_ENDS,
+    RUN_2_STARTS,
     SampleTables,
     sample_table,
     status_run_1,
     status_run_2,
 )
+from bazaarline.sources.schemas import RAW_SCHEMAS
 from bazaarline.sources.writers import fresh_path, materialize_table, materialize_view
 from bazaarline.streaming.change_feed import changes_in_time, follow_log, write_changes
 
@@ -508,6 +513,68 @@ def avg_time_per_status(r: Relations) -> DataFrame:
     return metrics.avg_time_per_status(h.time_in_status(_second(r), NOW))
 
 
+# Changes, instants and running counts
+
+
+def _orders_before(r: Relations) -> DataFrame:
+    """The raw orders at a first run: the newest absent, some statuses early or unknown."""
+    early = "case when order_id % 25 = 0 then null when order_id % 4 = 0 then 'created' else order_status end"
+    known = F.col("order_purchase_timestamp") < F.lit(RUN_1_ENDS).cast("timestamp_ntz")
+    return r.raw.orders.where(known).withColumn("order_status", F.expr(early))
+
+
+def _orders_after(r: Relations) -> DataFrame:
+    """Those of a second run: statuses final, the oldest orders gone."""
+    return r.raw.orders.where(F.col("order_purchase_timestamp") >= F.lit(RUN_2_STARTS).cast("timestamp_ntz"))
+
+
+@query("seller_performance_by_changes")
+def seller_performance_by_changes(r: Relations) -> DataFrame:
+    """Sellers after two runs: all orders first, then only those that changed."""
+    spark, spec = r.raw.orders.sparkSession, core.SELLER_TOTALS
+    root = fresh_path(spark, "seller-totals")
+    roles = {role: getattr(r.raw, role) for role in RAW_SCHEMAS}
+    before, after = (
+        Relations(SimpleNamespace(**roles | {"orders": orders}), CONFIG)
+        for orders in (_orders_before(r), _orders_after(r))
+    )
+    all_keys = before.raw.orders.select("order_id")
+    deltas.apply_changes(spark, root, spec, all_keys, core.seller_contributions(before.seller_order_detail), "1")
+    found = deltas.changed_keys(before.raw.orders, after.raw.orders, "order_id")
+    changed = materialize_table(found, fresh_path(spark, "changed-orders"))
+    now = core.seller_contributions(after.of_orders(changed).seller_order_detail)
+    deltas.apply_changes(spark, root, spec, changed, now, "2")
+    return core.seller_performance_from(deltas.stored_totals(spark, root, spec), r.stg_sellers, SAMPLE_TIERS)
+
+
+@table_query("events_as_of_state")
+def events_as_of_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event that is not a click with the page state of its user's last click or view then."""
+    events = sample_table(prepare(spark), sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    seen = F.col("event_type").isin("click", "view")
+    states = events.where(seen).select("user_id", "ts", F.col("event_type").alias("last_seen"), F.col("event_id").alias("last_id"))
+    others = events.where(~seen | F.col("event_type").isNull())
+    return asof_join(others, states, "user_id", "ts", ["last_seen", "last_id"])
+
+
+@query("distinct_customers_by_period")
+def distinct_customers_by_period(r: Relations) -> DataFrame:
+    """Customers with an order, by week and month, from one daily table of bitmaps."""
+    daily = actives.daily_bitmaps(r.stg_orders, F.col("ordered_at"), F.col("customer_id"))
+    daily = materialize_table(daily, fresh_path(r.raw.orders.sparkSession, "daily-customers"))
+    found = [
+        actives.distinct_by(daily, F.to_date(F.date_trunc(unit, "day"))).select(F.lit(unit).alias("unit"), "period", "distinct_count")
+        for unit in ("week", "month")
+    ]
+    return found[0].unionByName(found[1])
+
+
+@query("active_customers_30d")
+def active_customers_30d(r: Relations) -> DataFrame:
+    """Customers with an order in the last 30 days, for every day of the calendar."""
+    return actives.active_entities(r.stg_orders, "customer_id", F.col("ordered_at"), 30, *FULL_CALENDAR)
+
+
 # Data quality
 
 
