@@ -104,16 +104,21 @@ hosts as (
     select source, count(*)::double as c, (count(*) filter (base_failed))::double as f
     from failed where source is not null group by source
 ),
-prior as (
-    select sum(f) / sum(c) as m, greatest(sum(f * f / c) / sum(c) - (sum(f) / sum(c)) ** 2, 0) as v from hosts
+sums as (
+    select sum(f) / sum(c) as m, sum(c) as n, count(*) - 1 as by_chance, sum(f * f / c) as squares,
+        sum(c) - sum(c * c) / sum(c) - (count(*) - 1) as spread
+    from hosts
 ),
-weights as (
-    select m, v, case when v < 1e-12 then 0 else greatest(m * (1 - m) / v - 1, 0) end as w from prior
+shares as (
+    select m, case when m > 0 and m < 1 and spread > 1e-9
+        then least(greatest(((squares - n * m * m) / (m * (1 - m)) - by_chance) / spread, 0), 1) else 0 end as share
+    from sums
 ),
 verdicts as (
     select source,
-        case when v < 1e-12 then m else (f + m * w) / (c + w) end > {limits.max_host_rate} as rejected
-    from hosts cross join weights
+        case when share < 1e-9 then m else (f + m * (1 / share - 1)) / (c + 1 / share - 1) end
+            > {limits.max_host_rate} as rejected
+    from hosts cross join shares
 )
 select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
     n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words, base_failed,

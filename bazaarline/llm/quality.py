@@ -55,21 +55,34 @@ def repeat_words(words: Column) -> Column:
     )
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _mark(names: list[str]) -> str:
+    """A beginning that no name has."""
+    mark = "_"
+    while any(name.startswith(mark) for name in names):
+        mark += "_"
+    return mark
+
+
 def with_features(docs: DataFrame, text: str, rules: QualityRules) -> DataFrame:
     """The measures of every text beside the columns of ``docs``."""
-    t = text_or_empty(text)
+    t = text_or_empty(_quoted(text))
     lines = F.filter(F.split(t, "\n"), lambda line: line.rlike(f"[^{SPACE}]"))
-    kept_names = docs.columns
+    mark = _mark(docs.columns)
+    w, by_line = F.col(f"{mark}words"), F.col(f"{mark}lines")
     return (
-        docs.withColumn("_words", words_of(t))
-        .withColumn("_lines", lines)
+        docs.withColumn(f"{mark}words", words_of(t))
+        .withColumn(f"{mark}lines", lines)
         .select(
-            *kept_names,
-            F.size("_words").cast("long").alias("n_words"),
+            *map(_quoted, docs.columns),
+            F.size(w).cast("long").alias("n_words"),
             F.length(F.regexp_replace(t, f"[{SPACE}]+", "")).cast("long").alias("word_chars"),
             F.length(F.regexp_replace(t, f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
-            (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-            repeat_words(F.col("_words")).cast("long").alias("n_repeat_words"),
+            (F.size(by_line) - F.size(F.array_distinct(by_line))).cast("long").alias("n_dup_lines"),
+            repeat_words(w).cast("long").alias("n_repeat_words"),
         )
         .withColumn(
             "base_failed",
@@ -82,26 +95,38 @@ def with_features(docs: DataFrame, text: str, rules: QualityRules) -> DataFrame:
 def host_verdicts(scored: DataFrame, host: str, rules: QualityRules) -> DataFrame:
     """Hosts and whether their shrunk rate of failing documents is over the limit.
 
-    The prior is a beta distribution with the mean and variance of the hosts' rates, hosts
-    weighted by their documents. Without any variance every host has the mean; with more than a
-    beta distribution can have, the prior weighs nothing.
+    Failures of a host are beta-binomial: the prior's mean is that of all documents, and its
+    weight follows from how much more the hosts' rates differ than rates of so many documents
+    differ by chance. Where they do not, or where no host has two documents, every host has the
+    mean.
     """
     hosts = (
-        scored.where(F.col(host).isNotNull())
-        .groupBy(F.col(host).alias("host"))
+        scored.where(F.col(_quoted(host)).isNotNull())
+        .groupBy(F.col(_quoted(host)).alias("host"))
         .agg(F.count("*").alias("n"), F.count_if("base_failed").alias("failed"))
     )
     hosts = stored(hosts, "hosts")
     n, failed = F.col("n").cast("double"), F.col("failed").cast("double")
-    totals = hosts.agg(F.sum(n).alias("n"), F.sum(failed).alias("failed"), F.sum(failed * failed / n).alias("squares")).first()
+    totals = hosts.agg(
+        F.count("*").alias("hosts"),
+        F.sum(n).alias("n"),
+        F.sum(n * n).alias("n_squares"),
+        F.sum(failed).alias("failed"),
+        F.sum(failed * failed / n).alias("squares"),
+    ).first()
     if not totals["n"]:
         return hosts.select("host", F.lit(False).alias("rejected"))
     mean = totals["failed"] / totals["n"]
-    variance = max(totals["squares"] / totals["n"] - mean * mean, 0.0)
-    if variance < 1e-12:
+    by_chance = totals["hosts"] - 1
+    spread = totals["n"] - totals["n_squares"] / totals["n"] - by_chance
+    share = 0.0  # of the variance of one document's outcome that lies between hosts
+    if 0 < mean < 1 and spread > 1e-9:
+        between = (totals["squares"] - totals["n"] * mean * mean) / (mean * (1 - mean))
+        share = min(max((between - by_chance) / spread, 0.0), 1.0)
+    if share < 1e-9:
         shrunk = F.lit(mean)
     else:
-        weight = max(mean * (1 - mean) / variance - 1, 0.0)
+        weight = 1 / share - 1
         shrunk = (failed + mean * weight) / (n + weight)
     return hosts.select("host", (shrunk > rules.max_host_rate).alias("rejected"))
 
@@ -121,19 +146,21 @@ def judge_documents(
     repeated rows and null ids stay rows. Null and empty texts have no words and fail. A null
     host has no verdict of its own. An empty table gives an empty table. The new columns
     (``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept``)
-    replace columns of the same name. Columns named in ``without`` are left out.
+    replace columns of the same name; all other columns stay, whatever their names. Columns named in ``without`` are left out.
 
     The measures are computed in one pass and stored, so the counts by host and the join back
     read a table; verdicts are one row per host.
     """
-    new = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "_words", "_lines"}
-    wanted = [c for c in docs.columns if c not in new or c in (text, host)]
-    scored = stored(with_features(docs.select(*wanted), text, rules).drop(*without), "quality")
+    new = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"}
+    # Names are compared as Spark does, without regard to case.
+    wanted = [c for c in docs.columns if c.lower() not in new or c in (text, host)]
+    scored = stored(with_features(docs.select(*map(_quoted, wanted)), text, rules).drop(*without), "quality")
     verdicts = stored(host_verdicts(scored, host, rules), "host-verdicts")
+    mark = _mark(scored.columns)
     judged = scored.join(
-        verdicts.select(F.col("host").alias("_host"), F.col("rejected").alias("_rejected")),
-        F.col(host) == F.col("_host"),
+        verdicts.select(F.col("host").alias(f"{mark}host"), F.col("rejected").alias(f"{mark}rejected")),
+        F.col(_quoted(host)) == F.col(f"{mark}host"),
         "left",
     )
-    kept = ~F.col("base_failed") & ~F.coalesce("_rejected", F.lit(False))
-    return judged.withColumn("kept", kept).drop("_host", "_rejected")
+    kept = ~F.col("base_failed") & ~F.coalesce(f"{mark}rejected", F.lit(False))
+    return judged.withColumn("kept", kept).drop(f"{mark}host", f"{mark}rejected")

@@ -44,6 +44,42 @@ def test_host_rates_are_shrunk(spark):
     assert told.pop("bad") and not any(told.values())
 
 
+def _hosts(spark, failing: dict):
+    rows = [(host, k < bad) for host, (bad, n) in failing.items() for k in range(n)]
+    return dict(quality.host_verdicts(spark.createDataFrame(rows, "source string, base_failed boolean"), "source", quality.QualityRules()).collect())
+
+
+def test_the_limit_of_the_query_rejects_hosts_just_over_it(spark):
+    good = {f"good{h}": (h % 4, 200) for h in range(40)}
+    told = _hosts(spark, good | {"over": (190, 200), "under": (178, 200), "tiny": (1, 1)})
+    assert [host for host, rejected in told.items() if rejected] == ["over"]
+
+
+def test_rates_of_single_documents_say_nothing_about_hosts(spark):
+    assert not any(_hosts(spark, {f"h{h}": (h % 2, 1) for h in range(100)}).values())
+    # Rates that differ no more than by chance: every host has the mean.
+    assert not any(_hosts(spark, {f"h{h}": (1 + h % 2, 2) for h in range(100)}).values())
+    assert all(_hosts(spark, {f"h{h}": (5, 5) for h in range(3)}).values())
+
+
+def test_a_rejected_host_takes_its_documents_along(spark):
+    fine = " ".join(f"word{k}" for k in range(60))
+    rows = [(n, "junk", fine if n % 50 == 0 else "short") for n in range(200)] + [(1000 + n, f"s{n % 9}", fine) for n in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    judged = quality.judge_documents(docs).collect()
+    assert {r["doc_id"] for r in judged if not r["base_failed"] and not r["kept"]} == {0, 50, 100, 150}
+    assert all(r["kept"] for r in judged if r["source"] != "junk")
+
+
+def test_quality_with_clashing_names(odd_docs):
+    names = ["_host", "_rejected", "a.b", "_words", "__lines", "Kept", "n`x"]
+    clashing = odd_docs.selectExpr("doc_id", "text", "source", *[f"{k} as `{n.replace('`', '``')}`" for k, n in enumerate(names)])
+    judged = quality.judge_documents(clashing)
+    assert judged.count() == odd_docs.count()
+    first = judged.first()
+    assert [first[n] for n in names if n != "Kept"] == [0, 1, 2, 3, 4, 6]
+
+
 @pytest.mark.parametrize("keep_first", [False, True])
 @pytest.mark.parametrize("partitions", ["1", "7"])
 def test_lines_beside_brute_force(spark, settings, odd_docs, keep_first, partitions):
