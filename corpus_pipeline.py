@@ -21,27 +21,49 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules on their text and the verdict on their source keep."""
-    return judge_documents(docs).where("kept").select(*docs.columns)
+    """Documents that the rules on their text and the verdict on their source keep.
+
+    Null and empty texts have no words and go; a null source has no verdict. Repeated rows stay
+    or go together, null ids stay ids; no documents give none. Other columns stay as they are,
+    but for those with the names of the measures, which then hold the measures.
+    """
+    judged = judge_documents(docs).where("kept")
+    return judged.select(*["`" + name.replace("`", "``") + "`" for name in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates, that with the least id."""
+    """One document of each class of near-duplicates, that with the least id.
+
+    Equal texts are one class, null and empty ones too; of repeated rows one stays. No documents
+    give none.
+    """
     return one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in whose text no benchmark item was found."""
+    """Documents in whose text no benchmark item was found.
+
+    Nothing is found in null and empty texts, so they stay, as do all documents beside an empty
+    benchmark. Repeated rows stay or go together.
+    """
     return without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words that the mix takes, a row per document and turn."""
+    """The words that the mix takes, a row per document and turn.
+
+    A null source is a source, the last. Texts without words give nothing; ties in the order
+    of a source's words are resolved by id and text. No documents give none.
+    """
     return mixed_texts(docs)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the mix, written to files and read back: place, number and checksum."""
+    """Token ids of the mix, written to files and read back: place, number and checksum.
+
+    A row for each row of the mix, in the order of the ids; rows of one id follow each other. A
+    null or empty text has the end id only; no documents give no rows.
+    """
     read = documents_of(docs, vocabulary(FILE_VOCABULARY), END_ID)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
@@ -72,7 +94,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; what a stage keeps is stored before the next begins."""
+    """All stages over the documents; what a stage keeps is stored before the next begins.
+
+    An empty table passes through all stages and gives no rows.
+    """
     docs, turn = table(spark, sf_dir, "documents"), uuid.uuid4().hex
     for name, stage in PARTS:
         with step(spark, turn):
