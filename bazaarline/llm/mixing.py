@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -62,21 +63,28 @@ def _scramble(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def permuted(index: np.ndarray, size: int, key: int) -> np.ndarray:
-    """Where a permutation of ``range(size)``, chosen by ``key``, puts each index.
+def permuted(index: np.ndarray, size: int, key: int, back: bool = False) -> np.ndarray:
+    """Where a permutation of ``range(size)``, chosen by ``key``, puts each index, or with
+    ``back`` the index that it puts at each place.
 
     Four rounds of a Feistel network over the next even number of bits; what falls outside the
-    range goes through it again. Nothing is stored, so any task can permute any index.
+    range goes through it again. Nothing is stored, so any task can permute any index. The way
+    back takes the rounds in reverse.
     """
     half = max(1, (max(size - 1, 1).bit_length() + 1) // 2)
     low = np.uint64((1 << half) - 1)
     shift = np.uint64(half)
 
+    def mixed(x: np.ndarray, turn: int) -> np.ndarray:
+        return _scramble(x + np.uint64((key * 4 + turn + 1) * 0x9E3779B97F4A7C15 & MASK)) & low
+
     def once(x: np.ndarray) -> np.ndarray:
         left, right = x >> shift, x & low
-        for turn in range(4):
-            mixed = _scramble(right + np.uint64((key * 4 + turn + 1) * 0x9E3779B97F4A7C15 & MASK))
-            left, right = right, left ^ (mixed & low)
+        for turn in reversed(range(4)) if back else range(4):
+            if back:
+                left, right = right ^ mixed(left, turn), left
+            else:
+                left, right = right, left ^ mixed(right, turn)
         return left << shift | right
 
     out = once(index.astype("uint64"))
@@ -114,7 +122,7 @@ def quota_of(source: int, size: int, target: Fraction, mix: Mix) -> Quota:
     if not rest:
         return Quota(source, size, blocks, turns * blocks, mix.block_words)
     short = mix.block_words * blocks - size
-    short_at = _place(blocks - 1, blocks, _key(mix, source, turns))
+    short_at = int(permuted(np.array([blocks - 1]), blocks, _key(mix, source, turns), back=True)[0])
     slots = -(-rest // mix.block_words)
     if slots > short_at:
         slots = -(-(rest + short) // mix.block_words)
@@ -122,16 +130,6 @@ def quota_of(source: int, size: int, target: Fraction, mix: Mix) -> Quota:
     return Quota(source, size, blocks, turns * blocks + slots, rest - before)
 
 
-def _place(value: int, size: int, key: int) -> int:
-    """The index that :func:`permuted` puts at ``value``."""
-    for start in range(0, size, 1 << 20):
-        index = np.arange(start, min(start + (1 << 20), size))
-        hit = np.flatnonzero(permuted(index, size, key) == value)
-        if len(hit):
-            return start + int(hit[0])
-    raise AssertionError("not a permutation")
-
-
 # --- blocks ----------------------------------------------------------------------------------
 
 
@@ -224,8 +222,7 @@ def shard_counts(rows: DataFrame, quotas: list[Quota], mix: Mix) -> DataFrame:
     drawn = spark.range(shards).mapInArrow(draw, "shard bigint, source int, drawn bigint")
     drawn = stored(drawn, "mix-draws")
     quota = spark.createDataFrame([(k, q.slots) for k, q in enumerate(quotas)], "source int, quota bigint")
-    so_far = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    own = drawn.join(F.broadcast(quota), "source").withColumn("first", F.coalesce(F.sum("drawn").over(so_far), F.lit(0)))
+    own = _with_sum_before(drawn, ["source"], "drawn", "first", shards).join(F.broadcast(quota), "source")
     kept = F.greatest(F.least(F.col("drawn"), F.col("quota") - F.col("first")), F.lit(0))
     own = own.withColumn("slots", kept).withColumn("over", F.col("drawn") - kept)
     # Shards and sources with draws to hand on, as intervals of one line, and the sources that
@@ -241,7 +238,6 @@ def shard_counts(rows: DataFrame, quotas: list[Quota], mix: Mix) -> DataFrame:
     given = own.where("slots > 0").select("shard", "source", "slots", "first")
     if not gaps:
         return given
-    line = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     sources, starts, ends, nexts = (np.array(x, dtype="int64") for x in zip(*gaps, strict=True))
 
     def hand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,12 +256,29 @@ def shard_counts(rows: DataFrame, quotas: list[Quota], mix: Mix) -> DataFrame:
                     names=["shard", "source", "slots", "first"],
                 )
 
-    handed = spare.select("shard", F.coalesce(F.sum("over").over(line), F.lit(0)).alias("begins"), "over").mapInArrow(
-        hand, "shard bigint, source int, slots bigint, first bigint"
-    )
+    line = _with_sum_before(spare, [], "over", "begins", shards).select("shard", "begins", "over")
+    handed = line.mapInArrow(hand, "shard bigint, source int, slots bigint, first bigint")
     return given.unionByName(handed)
 
 
+def _with_sum_before(rows: DataFrame, keys: list[str], value: str, name: str, shards: int) -> DataFrame:
+    """``name``: ``value`` summed over the earlier shards with the same keys.
+
+    Summed within runs of about sqrt(shards) shards, then over the runs before, so no task
+    holds a row of every shard.
+    """
+    run = F.floor(F.col("shard") / F.lit(max(1, math.isqrt(shards)))).alias("mix_run")
+    dealt = rows.select("*", run)
+    sums = dealt.groupBy(*keys, "mix_run").agg(F.sum(value).alias("mix_sum"))
+    runs = Window.partitionBy(*keys).orderBy("mix_run").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*keys, "mix_run").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*keys, "mix_run", F.coalesce(F.sum("mix_sum").over(runs), F.lit(0)).alias("mix_before"))
+    inside = dealt.withColumn("mix_inside", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    return inside.join(offsets, [*keys, "mix_run"]).select(
+        *rows.columns, (F.col("mix_before") + F.col("mix_inside")).alias(name)
+    )
+
+
 def slots(counts: DataFrame, quotas: list[Quota], mix: Mix) -> DataFrame:
     """One row per slot: ``shard, mix_source, turn, block, most``, at most ``most`` words.
 

@@ -8,6 +8,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from bazaarline.llm import mixing as mx
 from bazaarline.llm.queries import QUERIES
@@ -19,6 +20,10 @@ def test_permutations():
     for size in (1, 2, 3, 5, 16, 17, 1000, 4097):
         for key in (0, 1, 2**60):
             assert sorted(mx.permuted(np.arange(size), size, key)) == list(range(size))
+            assert mx.permuted(mx.permuted(np.arange(size), size, key), size, key, back=True).tolist() == list(range(size))
+    # One place of many is found without the others.
+    far = np.array([10**12 + 7])
+    assert mx.permuted(mx.permuted(far, 2 * 10**12, 5, back=True), 2 * 10**12, 5).tolist() == far.tolist()
     assert mx.permuted(np.arange(1000), 1000, 1).tolist() != mx.permuted(np.arange(1000), 1000, 2).tolist()
 
 
@@ -120,3 +125,16 @@ def test_odd_tables(spark, odd_docs, odd_rows):
     assert texts.columns == odd_docs.columns
     assert sum(len(mx.WORDS.findall(r["text"])) for r in texts.select("text").collect()) == sum(r["taken"] for r in got)
     assert mx.taken_words(odd_docs.limit(0)).count() == 0 and mx.mixed_texts(odd_docs.limit(0)).count() == 0
+
+
+def test_sums_before_in_two_levels(spark):
+    rng = random.Random(3)
+    rows = [(s, k, rng.randrange(9)) for s in range(50) for k in range(3) if rng.random() < 0.8]
+    df = spark.createDataFrame(rows, "shard bigint, source int, drawn bigint")
+    got = mx._with_sum_before(df, ["source"], "drawn", "first", 50).collect()
+    assert {(r["shard"], r["source"]): r["first"] for r in got} == {
+        (s, k): sum(n for t, j, n in rows if j == k and t < s) for s, k, _ in rows
+    }
+    line = mx._with_sum_before(df.groupBy("shard").agg(F.sum("drawn").alias("over")), [], "over", "begins", 50).collect()
+    assert {r["shard"]: r["begins"] for r in line} == {s: sum(n for t, _, n in rows if t < s) for s, _, _ in rows}
+    assert mx._with_sum_before(df.limit(0), ["source"], "drawn", "first", 0).count() == 0
