@@ -81,15 +81,27 @@ def split_records(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], byt
 
 
 def inflated(file) -> Iterator[bytes]:
-    """The plain bytes of a gzip file of one or more members, read once from start to end."""
-    unpack = zlib.decompressobj(wbits=31)
+    """The plain bytes of a gzip file of one or more members, read once from start to end.
+
+    Zero bytes between and after members are padding, as some writers leave it. A file that
+    ends inside a member, cut anywhere in its data or checksum, raises ValueError.
+    """
+    unpack = None
     while data := file.read(CHUNK):
         while data:
+            if unpack is None:
+                data = data.lstrip(b"\0")
+                if not data:
+                    break
+                unpack = zlib.decompressobj(wbits=31)
             if plain := unpack.decompress(data, CHUNK):
                 yield plain
-            data = unpack.unconsumed_tail or unpack.unused_data
             if unpack.eof:
-                unpack = zlib.decompressobj(wbits=31)
+                data, unpack = unpack.unused_data, None
+            else:
+                data = unpack.unconsumed_tail
+    if unpack is not None:
+        raise ValueError("the archive ends inside a gzip member")
 
 
 # --- archives ---------------------------------------------------------------------------------

@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sample_beside_sql(spark, sample, answers, result, name):
-    tables = {t: sample(t).toArrow() for t in ("documents", "pages")}
+    tables = {t: sample(t).toArrow() for t in ("documents", "pages", "embeddings")}
     assert result(QUERIES[name](spark, SF)) == answers(ORACLES[name], **tables)
 
 
@@ -189,3 +189,10 @@ def test_archives_of_any_members_are_split():
         assert [data for _, data in warc.split_records(warc.inflated(io.BytesIO(packed)))] == records
     with pytest.raises(ValueError):
         list(warc.split_records(warc.inflated(io.BytesIO(gzip.compress(records[3][:-5])))))
+    # Zero bytes between members and at the end are padding; a cut anywhere is an error.
+    padded = gzip.compress(records[0]) + bytes(700) + gzip.compress(records[1]) + bytes(1 << 21)
+    assert [data for _, data in warc.split_records(warc.inflated(io.BytesIO(padded)))] == records[:2]
+    assert list(warc.inflated(io.BytesIO(b""))) == []
+    for cut in (1, 4, 8, 9, 100):
+        with pytest.raises(ValueError):
+            list(warc.split_records(warc.inflated(io.BytesIO(whole[:-cut]))))
