@@ -102,6 +102,42 @@ def check_orphans(
     return orphans.select(*_outcome(relation, "no_orphans", column, failing))
 
 
+@dataclass(frozen=True)
+class Child:
+    """A relation whose non-null ``column`` must be in its parent. ``rows`` as in :func:`check_orphans`."""
+
+    relation: str
+    df: DataFrame
+    column: str
+    rows: str | None = None
+
+
+def check_children(children: Sequence[Child], parent: DataFrame, column: str) -> DataFrame:
+    """:func:`check_orphans` for all children of one parent, by one grouping and one join.
+
+    The children's keys are stacked and counted per key, one count a child; that row per key,
+    already dealt by the key, meets the parent once.
+    """
+    stacked = all_of(
+        child.df.where(F.col(child.column).isNotNull()).select(
+            F.col(child.column).alias(column),
+            F.lit(i).alias("__child"),
+            (F.col(child.rows) if child.rows else F.lit(1)).cast("bigint").alias("__rows"),
+        )
+        for i, child in enumerate(children)
+    )
+    counts = [F.sum(F.when(F.col("__child") == i, F.col("__rows"))).alias(f"__rows_{i}") for i in range(len(children))]
+    orphans = stacked.groupBy(column).agg(*counts).join(parent.select(column), column, "left_anti")
+    failing = orphans.agg(
+        *[F.coalesce(F.sum(f"__rows_{i}"), F.lit(0)).alias(f"__rows_{i}") for i in range(len(children))]
+    )
+    outcomes = [
+        F.struct(*_outcome(child.relation, "no_orphans", child.column, F.col(f"__rows_{i}")))
+        for i, child in enumerate(children)
+    ]
+    return failing.select(F.inline(F.array(*outcomes)))
+
+
 def check_totals(
     left: DataFrame,
     left_total: Column,

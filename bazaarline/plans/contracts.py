@@ -251,18 +251,21 @@ def orphan_checks(
     """``fact`` may be rolled up to any keys that keep order and product."""
     r = relations
     lines = _fact(relations, fact)
-    children = [
-        (r.stg_order_items, r.stg_orders, "stg_order_items", "order_id", None),
-        (r.stg_order_payments, r.stg_orders, "stg_order_payments", "order_id", None),
-        (r.stg_order_reviews, r.stg_orders, "stg_order_reviews", "order_id", None),
-        (r.stg_orders, r.stg_customers, "stg_orders", "customer_id", None),
-        (lines.df, r.stg_orders, "fct_order_items", "order_id", lines.rows),
-        (lines.df, r.dim_products, "fct_order_items", "product_id", lines.rows),
+    of_orders = [
+        q.Child("stg_order_items", r.stg_order_items, "order_id"),
+        q.Child("stg_order_payments", r.stg_order_payments, "order_id"),
+        q.Child("stg_order_reviews", r.stg_order_reviews, "order_id"),
+        q.Child("fct_order_items", lines.df, "order_id", lines.rows),
+    ]
+    checks = [
+        q.check_children(of_orders, r.stg_orders, "order_id"),
+        q.check_orphans(r.stg_orders, r.stg_customers, "stg_orders", "customer_id"),
+        q.check_orphans(lines.df, r.dim_products, "fct_order_items", "product_id", lines.rows),
     ]
     if history is not None:
         # Every order of the source has a version.
-        children.append((r.raw.orders, history, "raw_orders", "order_id", None))
-    return q.all_of(q.check_orphans(*child) for child in children)
+        checks.append(q.check_orphans(r.raw.orders, history, "raw_orders", "order_id"))
+    return q.all_of(checks)
 
 
 def row_count_checks(

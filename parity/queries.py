@@ -23,7 +23,7 @@ from bazaarline.functions import (
     to_timestamp_ntz,
     to_whole,
 )
-from bazaarline.operators import actives, changelog, deltas, history as h, quality as q
+from bazaarline.operators import actives, changelog, deltas, history as h, quality as q, reconcile
 from bazaarline.operators.asof import asof_join
 from bazaarline.operators.calendar import date_spine, densify_calendar
 from bazaarline.operators.latest import latest_per_key
@@ -31,9 +31,11 @@ from bazaarline.plans import contracts, core, marketing, metrics, rollups
 from bazaarline.plans.relations import Relations
 from bazaarline.plans.staging import order_versions
 from bazaarline.session import prepare
+from bazaarline.sources.quarantine import Sorted, load_sorted
 from bazaarline.sources.sample_binding import (
     RUN_1_ENDS,
     RUN_2_STARTS,
+    SAMPLE_SCHEMAS,
     SampleTables,
     sample_table,
     status_run_1,
@@ -641,6 +643,57 @@ def dq_freshness(r: Relations) -> DataFrame:
     return contracts.freshness_checks(r, NOW)
 
 
+def _where_different(spark: SparkSession, left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """The keys on which two relations differ, found by their checksum trees."""
+    left, right = (reconcile.store(df, fresh_path(spark, "tree"), [key], 12) for df in (left, right))
+    found = reconcile.differences(spark, left, right)
+    return found.withColumn("differing", F.array_join("differing", ","))
+
+
+@query("dq_reconcile_sellers")
+def dq_reconcile_sellers(r: Relations) -> DataFrame:
+    """The sellers whose figures differ if an order counts once per review or once in all."""
+    columns = ["seller_id", "total_orders", "total_items_sold", "total_gmv", "total_freight_charged", "seller_tier"]
+    left, right = r.seller_performance.select(*columns), r.sellers_by("per_order").select(*columns)
+    return _where_different(r.raw.orders.sparkSession, left, right, "seller_id")
+
+
+@query("dq_reconcile_runs")
+def dq_reconcile_runs(r: Relations) -> DataFrame:
+    """The orders that differ between two states of the source, and in what."""
+    columns = ["order_id", "customer_id", "order_status", "ordered_at", "approved_at"]
+    left, right = (run(r.raw.orders).select(*columns) for run in (status_run_1, status_run_2))
+    return _where_different(r.raw.orders.sparkSession, left, right, "order_id")
+
+
+# Lines with faults: a price and a day that are none, a missing customer, a value too many.
+FAULTY_LINES = """concat_ws(',', o_orderkey, if(o_orderkey % 29 = 0, '', cast(o_custkey as string)), o_orderstatus,
+    if(o_orderkey % 17 = 0, 'n/a', cast(o_totalprice as string)),
+    if(o_orderkey % 23 = 0, '1996-13-45', cast(o_orderdate as string)), o_orderpriority,
+    if(o_orderkey % 31 = 0, 'surplus', null))"""
+
+
+def _faulty_orders(spark: SparkSession, sf_dir: str) -> Sorted:
+    path = fresh_path(spark, "lines")
+    sample_table(prepare(spark), sf_dir, "orders").selectExpr(f"{FAULTY_LINES} as line").write.text(path)
+    return load_sorted(
+        spark, path, SAMPLE_SCHEMAS["orders"], fresh_path(spark, "sorted"), required=["o_custkey"], max_share=0.25, header=False
+    )
+
+
+@table_query("quarantine_good")
+def quarantine_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders read from text of which some lines are faulty: the good ones, typed."""
+    return _faulty_orders(spark, sf_dir).good
+
+
+@table_query("quarantine_rejected")
+def quarantine_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faulty lines of the same text with their reasons."""
+    rejected = _faulty_orders(spark, sf_dir).rejected
+    return rejected.select(F.col("o_orderkey").cast("bigint"), F.array_join("reasons", "; ").alias("reasons"))
+
+
 # Metrics
 
 
