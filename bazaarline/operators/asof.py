@@ -51,10 +51,13 @@ def asof_join(
     # One row per range: its first key, and the last row of the right that it holds.
     last = F.max(F.when(F.col("__side") == 0, F.struct("__key", "__at", "__value")))
     ends = dealt.groupBy("__range").agg(F.min("__key").alias("__first"), last.alias("__end"))
-    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select("__range", "__first", F.max("__end").over(earlier).alias("__end"))
-    carried = carried.where(F.col("__end.__key") == F.col("__first")).select(
-        F.col("__range").alias("__in"), F.col("__first"), F.col("__end.__value").alias("__carried")
+    # A range asks for the last end with its first key in the ranges before it.
+    asks = ends.select("__range", F.col("__first").alias("__of"), F.lit(None).cast(ends.schema["__end"].dataType).alias("__end"), F.lit(True).alias("__asks"))
+    tells = ends.where(F.col("__end").isNotNull()).select("__range", F.col("__end.__key").alias("__of"), "__end", F.lit(False).alias("__asks"))
+    earlier = Window.partitionBy("__of").orderBy("__range").rangeBetween(Window.unboundedPreceding, -1)
+    carried = asks.unionByName(tells).withColumn("__was", F.max("__end").over(earlier))
+    carried = carried.where(F.col("__asks") & F.col("__was").isNotNull()).select(
+        F.col("__range").alias("__in"), F.col("__of").alias("__first"), F.col("__was.__value").alias("__carried")
     )
     here = (F.col("__range") == F.col("__in")) & (F.col("__key") == F.col("__first"))
     joined = met.where(F.col("__side") == 1).join(F.broadcast(carried), here, "left")
