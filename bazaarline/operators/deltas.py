@@ -74,7 +74,7 @@ def moved_totals(totals: DataFrame, removed: DataFrame, added: DataFrame, curren
 
     ``totals`` are those before, ``removed`` and ``added`` the contributions of the changed parts
     before and after, ``current`` all contributions after. Of ``current`` only groups that lost
-    a witness are used. A null group is a group like any other.
+    a witness are used in the result. A null group is a group like any other.
     """
     moves = _signed(removed, added, spec).withColumnRenamed(spec.group, "__group")
     same = F.col("__group").eqNullSafe(F.col(spec.group))
@@ -101,28 +101,42 @@ def moved_totals(totals: DataFrame, removed: DataFrame, added: DataFrame, curren
         *[F.when(~empty, F.greatest(m, f"__in_{m}")).alias(m) for m in spec.greatest],
     )
     again = met.where("__lost").select(F.col("__group").alias("__again"))
-    anew = totals_of(current.join(again, F.col(spec.group).eqNullSafe(F.col("__again")), "left_semi"), spec)
+    # Rows are added up by group before the groups meet those that lost a witness, so no rows are
+    # shuffled for that; few such groups are broadcast, and then other rows are left out at once.
+    anew = totals_of(current, spec).join(again, F.col(spec.group).eqNullSafe(F.col("__again")), "left_semi")
     return kept.unionByName(anew.select(kept.columns))
 
 
 # Stored form: a folder per run with the contributions and the totals it changed. Of one part and
-# group, and of one group, the row of the last run counts; a run's pointer publishes both.
+# group, and of one group, the row of the last run counts, a live one before one that is gone; a
+# run's pointer publishes both.
 
 RUN = "run"
 
 
-def _after(spark: SparkSession, root: str, what: str, keys: Sequence[str], alive: Column, before: str | None) -> DataFrame | None:
+def _rows(spark: SparkSession, root: str, what: str, before: str | None) -> tuple[DataFrame | None, int]:
+    """The rows of all runs, or of those before a label, and how many runs they are of."""
     runs = [label for label in names(spark, f"{root}/{RUN}") if before is None or label < before]
     if not runs:
-        return None
+        return None, 0
     folders = [f"{folder_of(spark, f'{root}/{RUN}', label)}/{what}" for label in runs]
     schema = spark.read.parquet(folders[0]).schema
-    return _last(spark.read.schema(schema).parquet(*folders), keys).where(alive)
+    return spark.read.schema(schema).parquet(*folders), len(runs)
+
+
+def _after(spark: SparkSession, root: str, what: str, keys: Sequence[str], alive: Column, before: str | None) -> DataFrame | None:
+    rows, runs = _rows(spark, root, what, before)
+    return None if rows is None else _last(rows, keys, runs).where(alive)
 
 
-def _last(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _last(rows: DataFrame, keys: Sequence[str], runs: int) -> DataFrame:
+    """Of the rows with equal keys that of the last run, in a run a live one before one that is gone."""
+    if runs == 1:
+        # Columns of fixed width are grouped by hash here, while structs would be sorted.
+        return rows.dropDuplicates(list(keys))
     others = [c for c in rows.columns if c not in keys]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*others), "run").alias("__last")).select(*keys, "__last.*")
+    newest = F.struct("run", *["live"] * ("live" in others))
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*others), newest).alias("__last")).select(*keys, "__last.*")
 
 
 def stored_contributions(spark: SparkSession, root: str, spec: TotalSpec, before: str | None = None) -> DataFrame | None:
@@ -146,19 +160,25 @@ def apply_changes(spark: SparkSession, root: str, spec: TotalSpec, changed: Data
     attempt = f"{root}/{RUN}/attempts/{run}-{uuid.uuid4().hex}"
     columns = [spec.part, spec.group, *spec.measures]
     fresh = added.select(*columns, F.lit(True).alias("live"))
-    before = stored_contributions(spark, root, spec, before=run)
-    if before is None:
+    stored, runs = _rows(spark, root, "parts", before=run)
+    if stored is None:
         parts = materialize_table(fresh.withColumn("run", F.lit(run)), f"{attempt}/parts")
         totals = totals_of(parts, spec)
     else:
+        pair = [spec.part, spec.group]
         keys = changed.select(F.col(spec.part).alias("__changed")).distinct()
-        removed = before.join(keys, F.col(spec.part).eqNullSafe(F.col("__changed")), "left_semi").select(*columns)
-        # A pair that is in both is one row, the new one.
+        is_changed = F.col(spec.part).eqNullSafe(F.col("__changed"))
+        # Stored rows meet the changed keys before the last of a pair is looked for: both go by the
+        # part, so the rows are dealt once, or not at all if the keys are few.
+        removed = _last(stored.join(keys, is_changed, "left_semi"), pair, runs).where("live").select(*columns)
+        removed = materialize_table(removed, f"{attempt}/removed")
+        # A pair that is in both is live in this run.
         gone = removed.withColumn("live", F.lit(False))
-        pair = [spec.part, spec.group]
-        both = gone.unionByName(fresh).groupBy(*pair).agg(F.max_by(F.struct(*spec.measures, "live"), "live").alias("__row"))
-        parts = materialize_table(both.select(*pair, "__row.*").withColumn("run", F.lit(run)), f"{attempt}/parts")
-        current = _last(before.select(*parts.columns).unionByName(parts), pair).where("live")
-        totals = moved_totals(stored_totals(spark, root, spec, before=run), removed, parts.where("live"), current, spec)
+        both = gone.unionByName(fresh.dropDuplicates(pair)).withColumn("run", F.lit(run))
+        parts = materialize_table(both, f"{attempt}/parts")
+        added = parts.where("live").select(*columns)
+        others = _last(stored.join(keys, is_changed, "left_anti"), pair, runs).where("live").select(*columns)
+        current = others.unionByName(added)
+        totals = moved_totals(stored_totals(spark, root, spec, before=run), removed, added, current, spec)
     totals.withColumn("run", F.lit(run)).write.parquet(f"{attempt}/totals")
     commit(spark, f"{root}/{RUN}", run, attempt)

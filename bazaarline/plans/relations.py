@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from bazaarline.config import MartConfig
 from bazaarline.plans import core, marketing, rollups, staging
 from bazaarline.sources.readers import RawTables
+from bazaarline.sources.schemas import RAW_SCHEMAS
 
 
 class Relations:
@@ -157,6 +158,17 @@ class Relations:
             self.seller_order_detail, self.stg_sellers, self.config.seller_tiers, reviews
         )
 
+    def with_known_lines(self) -> Relations:
+        """The relations over the lines of known orders only.
+
+        Lines are dealt by order for that, and so they stay when they are rolled up by seller and
+        order and meet the orders: one shuffle of the lines in place of two.
+        """
+        known = self.raw.orders.select("order_id")
+        lines = self.raw.order_items.join(known, "order_id", "left_semi")
+        raw = SimpleNamespace(**{role: getattr(self.raw, role) for role in RAW_SCHEMAS} | {"order_items": lines})
+        return Relations(raw, self.config)
+
     def of_orders(self, changed: DataFrame) -> Relations:
         """The relations over the rows of some orders, read by their keys in ``changed``.
 

@@ -541,7 +541,8 @@ def seller_performance_by_changes(r: Relations) -> DataFrame:
         for orders in (_orders_before(r), _orders_after(r))
     )
     all_keys = before.raw.orders.select("order_id")
-    deltas.apply_changes(spark, root, spec, all_keys, core.seller_contributions(before.seller_order_detail), "1")
+    first = core.seller_contributions(before.with_known_lines().seller_order_detail)
+    deltas.apply_changes(spark, root, spec, all_keys, first, "1")
     found = deltas.changed_keys(before.raw.orders, after.raw.orders, "order_id")
     changed = materialize_table(found, fresh_path(spark, "changed-orders"))
     now = core.seller_contributions(after.of_orders(changed).seller_order_detail)

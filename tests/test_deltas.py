@@ -109,3 +109,26 @@ def test_changed_keys(spark):
     after = spark.createDataFrame([(1, "x"), (2, "y"), (4, None)], "id int, v string")
     assert {r["id"] for r in d.changed_keys(before, after, "id").collect()} == {2, 3, 4}
     assert d.changed_keys(before, before, "id").where(F.lit(True)).count() == 0
+
+
+def test_rows_of_one_run_are_not_sorted(spark):
+    root = fresh_path(spark, "deltas")
+    state = {k: {"a": (k, 1, 1, 1), None: (1, 1, 1, 1)} for k in (1, 2)}
+    run(spark, root, [1, 2], state, "1")
+    stored = d.stored_contributions(spark, root, SPEC)
+    assert "Sort" not in stored._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_rows_are_dealt_once_to_find_the_removed(spark, settings):
+    """The last row of a pair is looked for where the changed keys were met."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    root = fresh_path(spark, "deltas")
+    state = {1: {"a": (1, 1, 1, 9), "b": (1, 1, 1, 1)}, 2: {"a": (1, 1, 5, 5)}}
+    run(spark, root, [1, 2], state, "1")
+    state[1] = {"a": (2, 2, 6, 4)}
+    run(spark, root, [1], state, "2")
+    removed = spark.read.parquet(f"{root}/run/attempts/2-*/removed")
+    assert {(r["order"], r["seller"], r["n"]) for r in removed.collect()} == {(1, "a", 1), (1, "b", 1)}
+    kept = d.stored_contributions(spark, root, SPEC)
+    assert {(r["order"], r["seller"], r["n"]) for r in kept.collect()} == {(1, "a", 2), (2, "a", 1)}
+    assert told(d.stored_totals(spark, root, SPEC)) == brute(state)
