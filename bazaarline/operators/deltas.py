@@ -133,10 +133,10 @@ def _last(rows: DataFrame, keys: Sequence[str], runs: int) -> DataFrame:
     """Of the rows with equal keys that of the last run, in a run a live one before one that is gone."""
     if runs == 1:
         # Columns of fixed width are grouped by hash here, while structs would be sorted.
-        return rows.dropDuplicates(list(keys))
+        return rows.drop("run").dropDuplicates(list(keys))
     others = [c for c in rows.columns if c not in keys]
     newest = F.struct("run", *["live"] * ("live" in others))
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*others), newest).alias("__last")).select(*keys, "__last.*")
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*others), newest).alias("__last")).select(*keys, "__last.*").drop("run")
 
 
 def stored_contributions(spark: SparkSession, root: str, spec: TotalSpec, before: str | None = None) -> DataFrame | None:
