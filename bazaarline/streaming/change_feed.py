@@ -70,8 +70,8 @@ def changes_in_time(feed: DataFrame, spec: LogSpec, delay: str, idle: str | None
         waiting = list(zip(*held[: n + 1], strict=True)) if held else []
         given = tuple(held[n + 1 : -1]) if held and held[-1] else None
         for batch in batches:
-            waiting += batch[[MICROS, *names_]].itertuples(index=False, name=None)
-        waiting = [tuple(map(_plain, row)) for row in waiting]
+            # Held rows are plain already.
+            waiting += zip(*(map(_plain, batch[name].tolist()) for name in (MICROS, *names_)), strict=True)
         mark = state.getCurrentWatermarkMs() * 1000
         # At one instant the largest state counts.
         passed = {row[0]: row for row in sorted((row for row in waiting if row[0] <= mark), key=_order)}
@@ -90,7 +90,7 @@ def changes_in_time(feed: DataFrame, spec: LogSpec, delay: str, idle: str | None
             if wake is not None:
                 state.setTimeoutTimestamp(max(wake, mark) // 1000 + 1)
         if out:
-            yield pd.DataFrame(out, columns=[spec.key, MICROS, *names_])
+            yield pd.DataFrame(dict(zip((spec.key, MICROS, *names_), zip(*out, strict=True), strict=True)))
 
     changes = timed.groupBy(spec.key).applyInPandasWithState(
         step, schema, f"{waits}, {last}, known boolean", "append", GroupStateTimeout.EventTimeTimeout
