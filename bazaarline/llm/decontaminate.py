@@ -7,11 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarline.llm.shared import let, stored, text_or_empty
+from bazaarline.llm.shared import stored, text_or_empty
 
 NAME = "\u0001"  # stands before a name
 JOIN = "\u0002"  # stands for a mark inside a number
 CHUNK = 4096  # tokens of a text that are one row
+EDGE = ""  # no token: parts the tokens as they are from the typed ones
 # Rows that may be broadcast; larger tables are joined by a shuffle.
 BROADCAST_WINDOWS = 500_000
 BROADCAST_DOCS = 500_000
@@ -45,20 +46,19 @@ class Leaks:
 def marked(text: Column) -> Column:
     """The text with ``NAME`` before names and ``JOIN`` for marks between digits, letters after
     digits apart. A name is a word with a capital that follows another word on its line
-    without a full stop between them."""
+    without a full stop between them. The capital is looked for first: few places have one."""
     text = F.when(
         text.rlike("[0-9]"),
         F.regexp_replace(
             F.regexp_replace(text, "(?<=[0-9])[.,:/](?=[0-9])", JOIN), "(?<=[0-9])(?=\\p{L})", " "
         ),
     ).otherwise(text)
-    return F.regexp_replace(text, "(?<=[\\p{L}\\p{N},;][ \\t])(?=\\p{Lu})", NAME)
+    return F.regexp_replace(text, "(?=\\p{Lu})(?<=[\\p{L}\\p{N},;][ \\t])", NAME)
 
 
 def tokens_of(told: Column) -> Column:
     """Words of a marked text in lower case and without punctuation."""
-    plain = F.regexp_replace(F.lower(told), f"[^\\p{{L}}\\p{{M}}\\p{{N}}{NAME}{JOIN}]+", " ")
-    return F.filter(F.split(plain, " "), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(told), f"[^a-z\\p{{L}}\\p{{M}}\\p{{N}}{NAME}{JOIN}]+"), "")
 
 
 def has_slots(told: Column) -> Column:
@@ -80,9 +80,8 @@ def _kind(tokens: Column, token: Column, k: Column) -> Column:
 
 
 def forms_of(tokens: Column, slotted: Column) -> Column:
-    """A hash of each token, or of its type. A text without numbers and names has literals only."""
-    typed = F.transform(tokens, lambda t, k: F.xxhash64(F.coalesce(_kind(tokens, t, k), t)))
-    return F.when(slotted, typed).otherwise(F.transform(tokens, lambda t: F.xxhash64(t)))
+    """Each token, or its type. A text without numbers and names has literals only."""
+    return F.when(slotted, F.transform(tokens, lambda t, k: F.coalesce(_kind(tokens, t, k), t))).otherwise(tokens)
 
 
 def slots_of(tokens: Column, slotted: Column) -> Column:
@@ -90,38 +89,30 @@ def slots_of(tokens: Column, slotted: Column) -> Column:
     return F.when(slotted, F.transform(tokens, lambda t, k: F.when(_kind(tokens, t, k).isNotNull(), F.xxhash64(t))))
 
 
-def window_hashes(forms: Column, size: int) -> Column:
-    """A hash of every ``size`` forms from each place on, built from those of half as many.
+def words_of(tokens: Column, slotted: Column) -> Column:
+    """Each token as it is, names like other words. A text without numbers and names has no marks."""
+    return F.when(slotted, F.transform(tokens, lambda t: F.translate(t, NAME, ""))).otherwise(tokens)
 
-    The last ``size - 1`` hashes are of shorter windows.
-    """
-
-    def joined(first: Column, second: Column, shift: int) -> Column:
-        return F.zip_with(first, F.slice(second, shift + 1, F.size(second)), lambda x, y: F.xxhash64(x, y))
-
-    def build(n: int, body):
-        if n == 1:
-            return body(forms)
-        if n % 2:
-            return build(n - 1, lambda h: body(joined(h, forms, n - 1)))
-        return build(n // 2, lambda h: let(h, lambda one: body(joined(one, one, n // 2))))
 
-    return build(size, lambda h: h)
+def window_hash(tokens: Column, k: Column, size: int) -> Column:
+    """A hash of ``size`` tokens from the place ``k`` on, null where fewer are left.
 
-
-def plain_forms(tokens: Column) -> Column:
-    """A hash of each token as it is, names like other words."""
-    return F.transform(tokens, lambda t: F.xxhash64(F.translate(t, NAME, "")))
+    Of single elements and without a lambda: Spark compiles it with the rows of the places.
+    """
+    parts = [F.get(tokens, k + i) for i in range(size)]
+    return F.when(parts[-1].isNotNull(), F.xxhash64(*parts))
 
 
 def _chunks(texts: DataFrame, keys: list[str], size: int, least: int | None = None) -> DataFrame:
     """Rows ``keys, slotted, start, lead, tokens``: a text is cut into overlapping chunks, so a row
     has a bounded number of windows of ``least`` to ``size`` tokens. A later chunk has the token
     before it, by which a first unit is known."""
-    chunks = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("tokens") - (least or size), F.lit(0)), F.lit(CHUNK)),
+    last = F.size("tokens") - (least or size)
+    cut = F.transform(
+        F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(CHUNK)),
         lambda start: F.struct(start.alias("start"), F.slice("tokens", F.greatest(start, F.lit(1)), CHUNK + size).alias("tokens")),
     )
+    chunks = F.when(last < CHUNK, F.array(F.struct(F.lit(0).alias("start"), F.col("tokens").alias("tokens")))).otherwise(cut)
     return (
         texts.select(*keys, marked(text_or_empty("text")).alias("told"))
         .select(*keys, tokens_of(F.col("told")).alias("tokens"), has_slots(F.col("told")).alias("slotted"))
@@ -133,36 +124,27 @@ def _chunks(texts: DataFrame, keys: list[str], size: int, least: int | None = No
     )
 
 
-def _cut(hashes: Column, size: int) -> Column:
-    """Of a chunk's window hashes, those of its own whole windows."""
-    count = F.least(F.greatest(F.size(hashes) - F.col("lead") - (size - 1), F.lit(0)), F.lit(CHUNK))
-    return F.slice(hashes, F.col("lead") + 1, count)
-
-
-def _typed(size: int) -> Column:
-    return window_hashes(let(F.col("tokens"), lambda t: forms_of(t, F.col("slotted"))), size)
-
-
-def _plain(size: int) -> Column:
-    return window_hashes(plain_forms(F.col("tokens")), size)
-
-
 def some_windows(texts: DataFrame, keys: list[str], sizes: list[int], typed: int) -> DataFrame:
-    """Rows ``keys, hash`` for the different windows of a chunk, of all sizes as they are and of the
-    size ``typed`` with types, too. Texts are cut into tokens once."""
-    chunks = _chunks(texts, keys, max(sizes), min(sizes))
-    hashes = chunks.select(
-        *keys, "slotted", "lead", *[_plain(size).alias(f"plain_{size}") for size in sizes],
-        *[F.when(F.col("slotted"), _typed(typed)).alias("typed")] * (typed in sizes),
-    )
-    plain = [_cut(F.col(f"plain_{size}"), size) for size in sizes]
-    own = F.concat(*plain) if len(plain) > 1 else plain[0]
+    """Rows ``keys, hash`` for the windows of all sizes as they are and, of texts with numbers or
+    names, those of the size ``typed`` with types, too. Texts are cut into tokens once.
+
+    Both kinds of tokens are one array with ``EDGE`` between them; windows over it are equal to none
+    of an item. Windows of other sizes than ``typed`` over types are looked for in vain.
+    """
+    tokens, slotted = F.col("tokens"), F.col("slotted")
+    words = words_of(tokens, slotted)
     if typed in sizes:
-        # Windows without slots are equal in both.
-        others = [column for size, column in zip(sizes, plain, strict=True) if size != typed]
-        both = F.array_union(_cut(F.col(f"plain_{typed}"), typed), _cut(F.col("typed"), typed))
-        own = F.when(F.col("slotted"), F.concat(both, *others) if others else both).otherwise(own)
-    return hashes.select(*keys, F.explode(own).alias("hash"))
+        # The first token of a later chunk may be a unit whose number is not seen.
+        forms = F.slice(forms_of(tokens, slotted), F.col("lead") + 1, CHUNK + max(sizes))
+        words = F.when(slotted, F.concat(words, F.array(F.lit(EDGE)), forms)).otherwise(tokens)
+    places = (
+        _chunks(texts, keys, max(sizes), min(sizes))
+        .select(*keys, words.alias("words"))
+        # Outer: else Spark makes the words a second time to leave out texts without any.
+        .select(*keys, "words", F.posexplode_outer("words").alias("k", "word"))
+    )
+    hashes = [window_hash(F.col("words"), F.col("k"), size) for size in sizes]
+    return places.select(*keys, (F.explode(F.array(*hashes)) if len(hashes) > 1 else hashes[0]).alias("hash"))
 
 
 def windows(texts: DataFrame, keys: list[str], size: int) -> DataFrame:
@@ -171,23 +153,21 @@ def windows(texts: DataFrame, keys: list[str], size: int) -> DataFrame:
     ``hash`` is of the typed tokens, ``plain`` of the tokens as they are; both are equal in
     windows without slots. ``slots`` is null for texts without numbers and names.
     """
-    slots, plain = F.col("slots"), F.col("plain")
-    cut = F.transform(
-        _cut(F.col("hashes"), size),
-        lambda h, k: F.struct(
-            h.alias("hash"),
-            F.get(plain, F.col("lead") + k).alias("plain"),
-            F.when(slots.isNotNull(), F.array(*[F.get(slots, F.col("lead") + k + i) for i in range(size)])).alias("slots"),
-        ),
-    )
+    tokens, slotted = F.col("tokens"), F.col("slotted")
+    own = F.col("k") - F.col("lead")
+    slots = F.array(*[F.get(F.col("slots"), F.col("k") + i) for i in range(size)])
     return (
         _chunks(texts, keys, size)
         .select(
-            *keys, "start", "lead", _typed(size).alias("hashes"), _plain(size).alias("plain"),
-            let(F.col("tokens"), lambda t: slots_of(t, F.col("slotted"))).alias("slots"),
+            *keys, "start", "lead", forms_of(tokens, slotted).alias("forms"), words_of(tokens, slotted).alias("as_is"),
+            slots_of(tokens, slotted).alias("slots"),
+        )
+        .select("*", F.posexplode_outer("as_is").alias("k", "token"))
+        .where((own >= 0) & (own < CHUNK) & (F.col("k") <= F.size("as_is") - size))
+        .select(
+            *keys, (F.col("start") + own).alias("at"), window_hash(F.col("forms"), F.col("k"), size).alias("hash"),
+            window_hash(F.col("as_is"), F.col("k"), size).alias("plain"), F.when(F.col("slots").isNotNull(), slots).alias("slots"),
         )
-        .select(*keys, "start", F.posexplode(cut).alias("k", "window"))
-        .select(*keys, (F.col("start") + F.col("k")).alias("at"), "window.hash", "window.plain", "window.slots")
     )
 
 
@@ -203,7 +183,7 @@ def _items(benchmark: DataFrame) -> DataFrame:
         "item_id", "text",
         forms_of(F.col("tokens"), F.col("slotted")).alias("forms"),
         slots_of(F.col("tokens"), F.col("slotted")).alias("slots"),
-        F.xxhash64(plain_forms(F.col("tokens"))).alias("words"),
+        F.xxhash64(words_of(F.col("tokens"), F.col("slotted"))).alias("words"),
     )
     firsts = F.transform("slots", lambda s: F.array_position("slots", s))
     return formed.select(

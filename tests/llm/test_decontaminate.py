@@ -168,3 +168,27 @@ def test_columns_with_inner_names_stay(spark):
     benchmark = spark.createDataFrame([(1, "other things that nobody says at all")], "item_id bigint, text string")
     assert without_leaks(docs, benchmark).columns == docs.columns
     assert without_leaks(docs, benchmark).count() == 1
+
+
+def test_windows_are_hashed_in_compiled_code(spark):
+    """Hashes of windows are made with the rows of the places, not by interpreted lambdas; words are made once."""
+    found = dc.some_windows(_docs(spark, ITEM), ["doc_id"], [6], 6)
+    lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    hashed = [line for line in lines if "xxhash64(" in line]
+    assert hashed and all("*(" in line and "lambda" not in line for line in hashed)
+    assert sum(line.count("translate(") for line in lines) == 1
+
+
+def test_first_pass_has_the_windows_of_the_second(spark, monkeypatch):
+    monkeypatch.setattr(dc, "CHUNK", 10)
+    texts = [" ".join(f"pad{k}" for k in range(n)) + f". {ITEM} Then 7 km, 8 days" for n in range(0, 23)]
+    docs = _docs(spark, *texts, "plain words only are in this text of some more than ten words", "one two", "", "5 kg", "Now Ann has 5\nkg and is gone")
+    plain = {23, 24, 25}
+    for sizes in ([6], [2, 4, 6], [3]):
+        first = {tuple(r) for r in dc.some_windows(docs, ["doc_id"], sizes, 6).where("hash is not null").collect()}
+        second = set()
+        for size in sizes:
+            for r in dc.windows(docs, ["doc_id"], size).collect():
+                second |= {(r["doc_id"], r["plain"]), *([(r["doc_id"], r["hash"])] if size == 6 else [])}
+        # Texts with numbers or names have windows over the edge between both kinds of tokens, too.
+        assert second <= first and all(r in second for r in first if r[0] in plain)
