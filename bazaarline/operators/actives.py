@@ -40,16 +40,22 @@ def distinct_by(daily: DataFrame, period: Column) -> DataFrame:
 def prefix_sums(rows: DataFrame, order: str, value: str, block: Column) -> DataFrame:
     """``rows`` with ``value`` summed up to each row in the order of the unique ``order``.
 
-    In two levels: within blocks, which ascend with the order, and over the sums of blocks before.
+    In two levels: within blocks, which ascend with the order, and over the blocks before. Blocks
+    are whole numbers from 0 to 2^31. The sums of 1, 2, 4, ... neighbours are made once; the blocks
+    before a block are one such run for each bit of its number, so no task sees all blocks.
     """
     within = Window.partitionBy("__block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    dealt = rows.withColumn("__block", block)
+    dealt = rows.withColumn("__block", block.cast("bigint"))
     sums = dealt.groupBy("__block").agg(F.sum(value).alias("__sum"))
-    offsets = sums.select(F.col("__block").alias("__of"), F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__offset"))
+    bits = sums.select("*", F.explode(F.sequence(F.lit(0), F.lit(30))).alias("__bit"))
+    number = F.expr("shiftright(__block, __bit)")
+    runs = bits.groupBy("__bit", number.alias("__run")).agg(F.sum("__sum").alias("__sum"))
+    before = bits.where(number % 2 == 1).select(F.col("__block").alias("__of"), "__bit", (number - 1).alias("__run"))
+    offsets = before.join(runs, ["__bit", "__run"]).groupBy("__of").agg(F.sum("__sum").alias("__offset"))
     inside = dealt.withColumn("__inside", F.sum(value).over(within))
-    summed = inside.join(offsets, F.col("__block") == F.col("__of"))
-    return summed.select(*[c for c in rows.columns if c != value], (F.col("__inside") + F.col("__offset")).alias(value))
+    summed = inside.join(offsets, F.col("__block") == F.col("__of"), "left")
+    total = F.col("__inside") + F.coalesce("__offset", F.lit(0))
+    return summed.select(*[c for c in rows.columns if c != value], total.alias(value))
 
 
 def active_entities(rows: DataFrame, entity: str, day: Column, days: int, start: date, end: date) -> DataFrame:
@@ -73,4 +79,4 @@ def active_entities(rows: DataFrame, entity: str, day: Column, days: int, start:
     by_day = moves.groupBy("date_day").agg(F.sum("by").alias("by"))
     spine = date_spine(rows.sparkSession, start, end)
     every = spine.join(by_day, "date_day", "left").select("date_day", F.coalesce("by", F.lit(0)).alias("active"))
-    return prefix_sums(every, "date_day", "active", F.trunc("date_day", "month"))
+    return prefix_sums(every, "date_day", "active", 12 * F.year("date_day") + F.month("date_day"))

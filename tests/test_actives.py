@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import date, timedelta
 
 from pyspark.sql import functions as F
@@ -58,3 +59,13 @@ def test_no_rows(spark):
     assert a.daily_bitmaps(empty, F.col("day"), F.col("id")).count() == 0
     got = a.active_entities(empty, "id", F.col("day"), 30, START, START + timedelta(days=2)).collect()
     assert [r["active"] for r in got] == [0, 0]
+
+
+def test_sums_over_blocks_with_gaps(spark):
+    days = [0, 1, 2, 7, 8, 30, 31, 32, 33, 64, 100, 1000]
+    rows = spark.createDataFrame([(n, n % 5 - 1) for n in days], "at int, v int").repartition(3)
+    got = a.prefix_sums(rows, "at", "v", F.expr("at div 4"))
+    assert {r["at"]: r["v"] for r in got.collect()} == {n: sum(m % 5 - 1 for m in days if m <= n) for n in days}
+    windows = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Window [" in line]
+    # Functions, partition keys, order: a window without keys prints only two lists.
+    assert windows and all(re.search(r"\], \[[^\[\]]+\], \[[^\[\]]+\]$", line) for line in windows)
