@@ -15,9 +15,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarline.llm.shared import slices, stored, text_or_empty
+from bazaarline.llm.shared import batches_of, slices, stored, text_or_empty
 
-TEXT_BYTES = 4_000_000
+# Of texts that a worker sketches at a time, and of a batch that it is handed: what it allocates
+# for the largest of them it keeps, beside the executor's heap.
+TEXT_BYTES = 1_000_000
+BATCH_BYTES = 4_000_000
 CHUNK = 1 << 15  # shingles sampled at a time
 # Document frequencies are kept in this many hashed counters, at every size of the corpus, so a
 # shingle rarer than about one text in a thousand counts as just that rare.
@@ -161,9 +164,16 @@ def inverse_frequencies(texts: DataFrame, near: Near) -> np.ndarray:
 @cache
 def _gamma() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Values of the Gamma(2, 1) distribution by 16 bits, their inverses and logarithms."""
-    x = np.linspace(0, 40, 4_000_001)
-    u = 1 - (1 + x) * np.exp(-x)
-    value = np.interp((np.arange(1 << 16) + 0.5) / (1 << 16), u, x)
+    wanted = (np.arange(1 << 16) + 0.5) / (1 << 16)
+    value = np.empty(1 << 16)
+    # Piece by piece: a worker keeps the memory of a table of all places.
+    first, done, piece = 0, 0, 1 << 16
+    while done < len(wanted):
+        x = np.arange(first, first + piece + 1) * 1e-5
+        u = 1 - (1 + x) * np.exp(-x)
+        last = int(np.searchsorted(wanted, u[-1]))
+        value[done:last] = np.interp(wanted[done:last], u, x)
+        first, done = first + piece, last
     return value.astype("float32"), (1 / value).astype("float32"), np.log(value).astype("float32")
 
 
@@ -279,8 +289,8 @@ def verified(pairs: DataFrame, vectors: DataFrame, weights) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            told = [similarity(x, y, weights.value) for x, y in zip(left, right, strict=True)]
+            both = zip(batch.column(2), batch.column(3), strict=True)
+            told = [similarity(x.as_py(), y.as_py(), weights.value) for x, y in both]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(told, pa.float64())], names=["a", "b", "similarity"]
             )
@@ -321,7 +331,9 @@ def linked(nodes: DataFrame, details_of, weights, near: Near) -> DataFrame:
         .distinct()
     )
     first = verified(pairs, vectors, weights)
-    roots = _joined(members.sparkSession.createDataFrame([], "node binary, root binary"), _links(first, near))
+    # No rows from Python: workers that make them would stay beside those of the other steps.
+    none = members.select("node", F.col("node").alias("root")).where(F.lit(False))
+    roots = _joined(none, _links(first, near))
 
     now = members.join(roots.hint("shuffle_merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = now.groupBy("bucket", "root").agg(F.count("*").alias("n"))
@@ -383,7 +395,7 @@ def _links_by_blocks(now: DataFrame, details: DataFrame, weights, near: Near) ->
         links: list[tuple[bytes, bytes]] = []
         if len(left) and len(right):
             band = left["band"][0].as_py()
-            lefts, rights = ({c: t[c].to_pylist() for c in ("node", "root", "vector")} for t in (left, right))
+            lefts, rights = ({c: t[c].to_pylist() for c in ("node", "root")} for t in (left, right))
             lb, rb = (np.array(t["bands"].to_pylist(), dtype="int64") for t in (left, right))
             ls, rs = (np.frombuffer(b"".join(t["sketch"].to_pylist()), "uint16").reshape(len(t), -1) for t in (left, right))
             agree = np.zeros((len(left), len(right)), dtype="uint16")
@@ -401,7 +413,10 @@ def _links_by_blocks(now: DataFrame, details: DataFrame, weights, near: Near) ->
 
             for i, j in zip(*(x.tolist() for x in np.nonzero(wanted)), strict=True):
                 a, b = top(lefts["root"][i]), top(rights["root"][j])
-                if a != b and similarity(lefts["vector"][i], rights["vector"][j], weights.value) >= near.similarity - ROUNDING:
+                if a == b:
+                    continue
+                told = similarity(left["vector"][i].as_py(), right["vector"][j].as_py(), weights.value)
+                if told >= near.similarity - ROUNDING:
                     joined[max(a, b)] = min(a, b)
                     links.append((lefts["node"][i], rights["node"][j]))
         return pa.table([pa.array([x[k] for x in links], pa.binary()) for k in range(2)], names=["a", "b"])
@@ -480,7 +495,8 @@ def classes(docs: DataFrame, near: Near = Near()) -> Classes:
     class. Columns other than ``doc_id`` and ``text`` are ignored. An empty table gives an
     empty table.
     """
-    rows, weights = sketched(docs, near)
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        rows, weights = sketched(docs, near)
     bands = [f"b{k}" for k in range(near.bands)]
     nodes = stored(
         rows.groupBy("node").agg(*[F.min(b).alias(b) for b in bands], _least("least"), F.count("*").alias("n")), "nodes"
@@ -493,7 +509,8 @@ def classes(docs: DataFrame, near: Near = Near()) -> Classes:
         found = found.join(small_or_merged(wanted), "node", "left_semi")
         return stored(found.groupBy("node").agg(F.first("d").alias("d")).select("node", "d.*"), "details")
 
-    roots = linked(nodes.select("node", *bands), details_of, weights, near)
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        roots = linked(nodes.select("node", *bands), details_of, weights, near)
     rooted = nodes.select("node", "least", "n").join(roots.hint("shuffle_merge"), "node", "left")
     rooted = stored(rooted.withColumn("root", F.coalesce("root", "node")), "rooted")
     whole = rooted.groupBy("root").agg(F.min("least").alias("least"), F.sum("n").alias("class_rows"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 from math import log
 
@@ -11,6 +12,7 @@ import pyarrow as pa
 import pytest
 
 from bazaarline.llm import near_dedup as nd
+from bazaarline.llm.shared import stored
 
 
 def _shingles(text: str | None) -> Counter:
@@ -159,3 +161,38 @@ def test_frequencies_count_all_texts(spark):
     found = nd.shingles_of(pa.array(["a b c d e"]), 5)
     assert idf[found.hashes[0] & np.uint32(nd.COUNTERS - 1)] == pytest.approx(1)
     assert idf.max() == pytest.approx(2)
+
+
+def test_table_of_the_distribution_is_made_in_pieces():
+    tracemalloc.start()
+    value, inverse, log_value = nd._gamma.__wrapped__()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 16_000_000
+    x = np.linspace(0, 40, 4_000_001)
+    want = np.interp((np.arange(1 << 16) + 0.5) / (1 << 16), 1 - (1 + x) * np.exp(-x), x)
+    assert np.array_equal(value, want.astype("float32"))
+    assert np.array_equal(inverse, (1 / want).astype("float32"))
+    assert np.array_equal(log_value, np.log(want).astype("float32"))
+
+
+def test_workers_hold_few_bytes_of_long_texts(spark, monkeypatch):
+    """Batches are bounded in bytes, and nothing starts workers for rows made by the driver."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    rows = [(k, " ".join(f"t{k // 2}w{n}" for n in range(1000 + k % 2))) for k in range(200)]
+    docs = stored(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1), "long-texts")
+
+    def checked(batch, column, most):
+        assert batch.nbytes < 200_000
+        yield batch
+
+    def refused(*_, **__):
+        raise AssertionError("rows from Python")
+
+    monkeypatch.setattr(nd, "slices", checked)
+    monkeypatch.setattr(nd, "BATCH_BYTES", 100_000, raising=False)
+    monkeypatch.setattr(type(spark), "createDataFrame", refused)
+    got = {r["doc_id"]: r["class_id"] for r in nd.classes(docs).rows.collect()}
+    assert got == {k: k // 2 * 2 for k in range(200)}
+    assert spark.conf.get(name) == before
