@@ -10,14 +10,15 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from bazaarline.llm.shared import WORD, stored, text_or_empty
+from bazaarline.llm.shared import WORD, slices, stored, text_or_empty
 
 WEIGHTS = (5, 2, 1)
 MASK = (1 << 64) - 1
+TEXT_BYTES = 1_000_000  # of the texts cut at a time
 WORDS = re.compile("[^ \t\n\x0b\x0c\r]+")
 
 
@@ -34,6 +35,12 @@ class Mix:
     seed: int = 20240117
 
 
+def _told(spark: SparkSession, schema: str, **columns: Sequence) -> DataFrame:
+    """A small table by columns. Rows from Python would start Python workers of their own, which
+    take memory beside the others for a minute."""
+    return spark.createDataFrame(pa.table({name: list(values) for name, values in columns.items()}), schema)
+
+
 def targets_of(sizes: Sequence[int], mix: Mix) -> list[Fraction]:
     """Target words per source: shares by weight; what a source can't give goes to the others."""
     limits = [Fraction(mix.most * size) for size in sizes]
@@ -221,7 +228,7 @@ def shard_counts(rows: DataFrame, quotas: list[Quota], mix: Mix) -> DataFrame:
 
     drawn = spark.range(shards).mapInArrow(draw, "shard bigint, source int, drawn bigint")
     drawn = stored(drawn, "mix-draws")
-    quota = spark.createDataFrame([(k, q.slots) for k, q in enumerate(quotas)], "source int, quota bigint")
+    quota = _told(spark, "source int, quota bigint", source=range(len(quotas)), quota=[q.slots for q in quotas])
     own = _with_sum_before(drawn, ["source"], "drawn", "first", shards).join(F.broadcast(quota), "source")
     kept = F.greatest(F.least(F.col("drawn"), F.col("quota") - F.col("first")), F.lit(0))
     own = own.withColumn("slots", kept).withColumn("over", F.col("drawn") - kept)
@@ -343,12 +350,15 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> Mixed:
     targets = targets_of(sizes, mix)
     quotas = [quota_of(k, n, t, mix) for k, (n, t) in enumerate(zip(sizes, targets, strict=True))]
     kind = docs.schema["source"].dataType.simpleString()
-    sources = spark.createDataFrame(
-        [(k, r["source"]) for k, r in enumerate(ordered)], f"mix_source int, mix_source_name {kind}"
-    )
-    told = spark.createDataFrame(
-        [(k, n, float(t)) for k, (n, t) in enumerate(zip(sizes, targets, strict=True))],
+    each = range(len(ordered))
+    names = [r["source"] for r in ordered]
+    sources = _told(spark, f"mix_source int, mix_source_name {kind}", mix_source=each, mix_source_name=names)
+    told = _told(
+        spark,
         "mix_source int, mix_source_size bigint, mix_target double",
+        mix_source=each,
+        mix_source_size=sizes,
+        mix_target=[float(t) for t in targets],
     )
     placed = stored(packed(rows, sources), "mix-rows")
     drawn = slots(shard_counts(rows, quotas, mix), quotas, mix)
@@ -397,17 +407,21 @@ def mixed_texts(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     whole = docs.select(F.struct("*").alias("row"), row_hash().alias("mix_hash")).withColumn(
         "copy", F.row_number().over(Window.partitionBy("mix_hash").orderBy(F.xxhash64("row")))
     )
+    # The text replaces that of the row, so a worker gets it once.
+    rest = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("text", "n_chars")]
     taken = whole.join(placed.hint("shuffle_merge"), ["mix_hash", "copy"]).select(
-        "row", F.explode("turns").alias("runs"), text_or_empty("row.text").alias("text")
+        F.struct(*rest).alias("row"), F.explode("turns").alias("runs"), text_or_empty("row.text").alias("text")
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [
-                _cut(text, [(r["piece_from"], r["words"]) for r in runs])
-                for text, runs in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist(), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
+            for part in slices(batch, 2, TEXT_BYTES):
+                texts = [
+                    _cut(text, [(r["piece_from"], r["words"]) for r in runs])
+                    for text, runs in zip(part.column(2).to_pylist(), part.column(1).to_pylist(), strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["row", "text"])
+            pa.default_memory_pool().release_unused()
 
     schema = StructType([taken.schema["row"], StructField("text", StringType())])
     done = taken.mapInArrow(cut, schema)

@@ -19,7 +19,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bazaarline.llm.shared import open_store, publish, slices, stored, text_or_empty
+from bazaarline.llm.shared import batches_of, open_store, publish, slices, stored, text_or_empty
 from bazaarline.sources.writers import fresh_path
 
 # Fixed values of the seekable zstandard format.
@@ -30,13 +30,14 @@ LISTED = np.dtype([("doc", "<i8"), ("known", "u1"), ("tokens", "<u8")])
 
 FRAME_BYTES = 1 << 18
 LEVEL = 1
-MAX_WORDS = 400_000  # words whose ids a worker keeps, twice as many with older ones
+MAX_WORDS = 400_000  # words whose ids a worker keeps, about twice as many with older ones
 # A mark between a letter and a blank is a piece of its own. Only letters that are one letter
 # after normalising, too.
 LAST_MARK = r"([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?])([ \n])"
 LONG_WORD = 48
 RUN_DOCS, READ_DOCS = 512, 8192  # documents that are one row, and that a task reads, about
-TEXT_BYTES = 4_000_000  # of the texts encoded at a time
+TEXT_BYTES = 2_000_000  # of the texts encoded at a time
+BATCH_BYTES = 4_000_000  # of the rows that a worker gets at a time
 
 
 # --- ids of texts ---------------------------------------------------------------------------
@@ -64,48 +65,62 @@ class WordIds:
         suffix = model["end_of_word_suffix"]
         self.ends = np.zeros(max(model["vocab"].values()) + 1, dtype=bool)
         self.ends[[n for token, n in model["vocab"].items() if token.endswith(suffix)]] = True
-        self.kept: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}  # kept before; a word met again moves back
-
-    def _bytes(self, ids) -> bytes:
-        return np.array(ids, dtype="<u2" if self.small else "<u4").tobytes()
+        self.kind = pa.uint16() if self.small else pa.uint32()
+        self.dtype = np.dtype("<u2" if self.small else "<u4")
+        none = pa.array([], pa.string()), pa.array([], pa.list_(self.kind))
+        self.kept = self.older = none  # words and the ids of each; a word met again moves back
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [found.ids for found in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _keep(self, words: list[str]) -> None:
-        """Encode letters-only words, some hundred as one text."""
-        parts = [words[i : i + 256] for i in range(0, len(words), 256)]
-        for start in range(0, len(parts), 64):
-            some = parts[start : start + 64]
+    def _new_ids(self, words: list[str]) -> pa.ListArray:
+        """Ids by the library; of letters-only words, some hundred are one text."""
+        letters = [k for k, w in enumerate(words) if len(w) <= LONG_WORD and w.isalpha()]
+        others = np.setdiff1d(np.arange(len(words)), letters).tolist()
+        flat, sizes = [], []
+
+        def add(some: list[list[int]]) -> None:
+            flat.extend(np.array(ids, self.dtype) for ids in some)
+            sizes.extend([len(ids)] for ids in some)
+
+        parts = [[words[k] for k in letters[i : i + 256]] for i in range(0, len(letters), 256)]
+        for start in range(0, len(parts), 16):
+            some = parts[start : start + 16]
             for part, ids in zip(some, self._encode([" ".join(part) for part in some]), strict=True):
                 cut = np.flatnonzero(self.ends[ids]) + 1
                 if len(cut) == len(part):
-                    raw, width = self._bytes(ids), 2 if self.small else 4
-                    ends = (cut * width).tolist()
-                    found = [raw[i:j] for i, j in zip([0, *ends], ends, strict=False)]
+                    flat.append(np.array(ids[: cut[-1]], self.dtype))
+                    sizes.append(np.diff(cut, prepend=0))
                 else:
-                    found = [self._bytes(one) for one in self._encode(part)]
-                self.kept.update(zip(part, found, strict=True))
-
-    def ids_of(self, words: list[str]) -> list[bytes]:
-        """The ids of different words, each as little-endian integers of two or four bytes."""
-        found = list(map(self.kept.get, words))
-        new = [k for k, ids in enumerate(found) if ids is None]
-        if len(self.kept) + len(new) > MAX_WORDS:
-            self.older, self.kept = self.kept, {}
-        kept, older = self.kept, self.older
-        kept.update((words[k], older[words[k]]) for k in new if words[k] in older)
-        letters = [w for w in (words[k] for k in new) if w not in kept and len(w) <= LONG_WORD and w.isalpha()]
-        self._keep(letters)
-        others = [k for k in new if words[k] not in kept]
-        for k, ids in zip(others, self._encode([words[k] for k in others]), strict=True):
-            found[k] = self._bytes(ids)
-            if len(words[k]) <= LONG_WORD:
-                kept[words[k]] = found[k]
-        for k in new:
-            if found[k] is None:
-                found[k] = kept[words[k]]
+                    add(self._encode(part))
+        for start in range(0, len(others), 4096):
+            add(self._encode([words[k] for k in others[start : start + 4096]]))
+        offsets = np.cumsum(np.concatenate([[0], *sizes])).astype("int32")
+        ids = np.concatenate([np.array([], self.dtype), *flat])
+        found = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, self.kind))
+        return found.take(pa.array(np.argsort([*letters, *others], kind="stable"), pa.int64()))
+
+    def ids_of(self, words: pa.Array) -> pa.ListArray:
+        """The ids of different words. Words and ids are kept in arrays, in a tenth of the bytes of objects."""
+        (kept, kept_ids), (older, older_ids) = self.kept, self.older
+        places = pc.index_in(words, value_set=kept)
+        unknown = words.filter(places.is_null())
+        before = pc.index_in(unknown, value_set=older)
+        fresh = unknown.filter(before.is_null())
+        again = unknown.filter(before.is_valid())
+        added = pa.concat_arrays([again, fresh])
+        added_ids = pa.concat_arrays([older_ids.take(before.drop_null()), self._new_ids(fresh.to_pylist())])
+        at = np.empty(len(unknown), dtype="int64")
+        old = before.is_valid().to_numpy(zero_copy_only=False)
+        at[old], at[~old] = np.arange(len(again)), len(again) + np.arange(len(fresh))
+        to = places.fill_null(-1).to_numpy().astype("int64")
+        to[to < 0] = len(kept) + at
+        found = pa.concat_arrays([kept_ids, added_ids]).take(pa.array(to))
+        short = pc.less_equal(pc.utf8_length(added), LONG_WORD)
+        kept = pa.concat_arrays([kept, added.filter(short)])
+        self.kept = kept, pa.concat_arrays([kept_ids, added_ids.filter(short)])
+        if len(kept) > MAX_WORDS:
+            self.older, self.kept = self.kept, (kept[:0], kept_ids[:0])
         return found
 
     def encode(self, texts: pa.Array, end_id: int) -> list[bytes]:
@@ -114,12 +129,12 @@ class WordIds:
             texts = pc.ascii_lower(texts)
         words = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, LAST_MARK, r"\1 \2\3"))
         numbered = words.flatten().dictionary_encode()
-        found = [*self.ids_of(numbered.dictionary.to_pylist()), self._bytes([end_id])]
-        flat = np.frombuffer(b"".join(found), dtype="<u2" if self.small else "<u4")
-        lengths = np.fromiter(map(len, found), "int64", len(found)) // flat.itemsize
+        found = self.ids_of(numbered.dictionary)
+        lengths = np.append(pc.list_value_length(found).to_numpy().astype("int64"), 1)
+        flat = np.append(found.flatten().to_numpy(), end_id).astype(self.dtype)
         starts = np.cumsum(lengths) - lengths
         ends = np.asarray(words.offsets)[1:] - words.offsets[0].as_py()
-        at = np.insert(numbered.indices.to_numpy(), ends, len(found) - 1)
+        at = np.insert(numbered.indices.to_numpy(), ends, len(found))
         n = lengths[at]
         first = np.cumsum(n) - n
         step = np.ones(int(n.sum()), dtype="int64")
@@ -152,6 +167,7 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
                     [part.column(0), pa.array(ids, pa.binary()), pa.array([width] * len(ids), pa.int32())],
                     names=["doc_id", "ids", "width"],
                 )
+                pa.default_memory_pool().release_unused()  # else a worker holds on to its largest part
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
     return texts.mapInArrow(encode, "doc_id bigint, ids binary, width int")
@@ -260,7 +276,8 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     harm.
     """
     spark = docs.sparkSession
-    ids = stored(encoded(docs, vocabulary, end_id), "token-ids", compression="zstd")
+    with batches_of(spark, BATCH_BYTES):
+        ids = stored(encoded(docs, vocabulary, end_id), "token-ids", compression="zstd")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = open_store(folder)
@@ -295,7 +312,8 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
         .select("doc_id", "ids", "width", F.spark_partition_id().alias("part"))
         .mapInArrow(write, "part int, file string, documents bigint, tokens bigint")
     )
-    files = stored(files, "token-file-list")
+    with batches_of(spark, BATCH_BYTES):
+        files = stored(files, "token-file-list")
     # One row per file, so one task is enough.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("first_token", F.coalesce(F.sum("tokens").over(before), F.lit(0)))

@@ -7,11 +7,13 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from bazaarline.llm import mixing as mx
 from bazaarline.llm.queries import QUERIES
+from bazaarline.llm.shared import stored
 
 SF = "/root/testdata/sf0.001"
 
@@ -138,3 +140,26 @@ def test_sums_before_in_two_levels(spark):
     line = mx._with_sum_before(df.groupBy("shard").agg(F.sum("drawn").alias("over")), [], "over", "begins", 50).collect()
     assert {r["shard"]: r["begins"] for r in line} == {s: sum(n for t, _, n in rows if t < s) for s, _, _ in rows}
     assert mx._with_sum_before(df.limit(0), ["source"], "drawn", "first", 0).count() == 0
+
+
+def test_workers_get_a_text_once_and_no_rows_of_the_driver(spark, monkeypatch):
+    """Rows that the driver makes from Python objects start a second set of Python workers."""
+    rows = [(k, " ".join(f"w{n}" for n in range(200)), "ab"[k % 2], 0) for k in range(20)]
+    docs = stored(spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars bigint"), "texts")
+    made = type(spark).createDataFrame
+
+    def tables_only(self, data, *args, **kwargs):
+        assert isinstance(data, pa.Table)
+        return made(self, data, *args, **kwargs)
+
+    def checked(batch, column, most):
+        assert batch.column(0).type.names == ["doc_id", "source"]
+        yield batch
+
+    monkeypatch.setattr(type(spark), "createDataFrame", tables_only)
+    monkeypatch.setattr(mx, "slices", checked, raising=False)
+    got = mx.mixed_texts(docs)
+    assert got.columns == docs.columns
+    found = got.collect()
+    assert sum(len(r["text"].split()) for r in found) == 20 * 200 * 3 // 2
+    assert all(r["n_chars"] == len(r["text"]) and r["source"] == "ab"[r["doc_id"] % 2] for r in found)

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from bazaarline.llm import token_counts as tc
 from bazaarline.llm import token_files as tf
 from bazaarline.llm.queries import COUNT_VOCABULARY, END_ID, FILE_VOCABULARY, QUERIES, vocabulary
+from bazaarline.llm.shared import stored
 
 SF = "/root/testdata/sf0.001"
 ODD = ["", " ", "  ", "a  b", "a \n b", "\n\n", "a\n\nb ", "it's I'll x<|endoftext|> y", " <|endoftext|>\n<|endoftext|>", "<|endoft",
@@ -110,6 +113,40 @@ def test_ids_are_the_library_s(texts, monkeypatch):
         assert [np.frombuffer(ids, "<u2").tolist() for ids in got] == want
 
 
+def test_kept_words_take_few_bytes():
+    """Strings, byte strings and their dict took some 200 bytes a word."""
+    own = tf.WordIds(vocabulary(FILE_VOCABULARY))
+    texts = [pa.array([" ".join(f"w{k}" for k in range(n, n + 1000))]) for n in range(0, 30_000, 1000)]
+    own.encode(pa.array(["warm up"]), END_ID)
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    first = [own.encode(text, END_ID) for text in texts]
+    del first
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert held < 50 * 30_000
+    own.library = None  # words met before are not encoded again
+    assert len(own.encode(texts[0], END_ID)) == 1
+
+
+def test_workers_hold_few_bytes_of_long_texts(spark, monkeypatch):
+    """Batches for the workers are bounded in bytes."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    rows = [(k, " ".join(f"t{k}w{n}" for n in range(1000))) for k in range(100)]
+    docs = stored(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1), "long-texts")
+
+    def checked(batch, column, most):
+        assert batch.nbytes < 200_000
+        yield batch
+
+    monkeypatch.setattr(tf, "slices", checked)
+    monkeypatch.setattr(tf, "BATCH_BYTES", 100_000, raising=False)
+    got = tf.documents_of(docs, vocabulary(FILE_VOCABULARY), END_ID)
+    _checked(got.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("crc")).collect(), rows)
+    assert spark.conf.get(name) == before
+
+
 def _want(rows) -> list[tuple]:
     library = Tokenizer.from_file(vocabulary(FILE_VOCABULARY))
     ids = [(r[0], library.encode(r[1] or "", add_special_tokens=False).ids + [END_ID]) for r in rows]
